@@ -30,9 +30,27 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import round_trip
+
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).withColumnRenamed("id", "doc_id")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
+    "op2_bpe": op2_bpe,
+    "op7_packing": op7_packing,
 }
 
 ORACLES: dict[str, str] = {
