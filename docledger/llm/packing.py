@@ -2,10 +2,9 @@
 
 A document is its ids and an end id. Runs of `length` tokens become sequences of their own; what remains of each document
 is packed. A task gathers remainders into blocks of about `block_tokens` tokens (its memory is bounded by that and the
-longest document), opens as many sequences as the block's tokens fill, and deals the remainders by falling estimated
-attention cost (linear * n + quadratic * n * n) to the sequence of lowest cost that still has room for them. A
-remainder that fits nowhere whole is cut over the sequences with most room. So every sequence of a block is full but
-for the last ones, which hold less than one sequence of padding together.
+longest document), opens the sequences that the block's tokens fill exactly (the last few shorter, at powers of two),
+and deals the remainders by falling estimated attention cost (linear * n + quadratic * n * n) to the sequence of lowest
+cost that still has room for them. A remainder that fits nowhere whole is cut over the sequences with most room.
 
 Sequence ids are unique: the number of the input partition and a count inside it; a task that runs again gives the same
 ids. Nothing is shuffled.
@@ -16,7 +15,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -37,42 +35,33 @@ def cost(n: int, linear: float = 1.0, quadratic: float = 1 / 2048) -> float:
 
 
 def pack_block(lengths: list[tuple[int, int, int]], capacity: int) -> list[Piece]:
-    """Pieces for (document, start, length < capacity) in sequences from 0. Descending cost, lowest-cost bin with room."""
-    bins = -(-sum(n for _, _, n in lengths) // capacity)
-    spent, room, out = [0.0] * bins, [capacity] * bins, []
-    heap = [(0.0, b) for b in range(bins)]  # by cost
+    """Pieces for (document, start, length < capacity) in sequences from 0: descending cost, lowest-cost bin with room.
+
+    The bins hold the block's tokens exactly: full sequences, and what is left as sequences of falling powers of two,
+    which aren't padded.
+    """
+    total, out = sum(n for _, _, n in lengths), []
+    size = np.array([capacity] * (total // capacity) + [1 << k for k in range(capacity.bit_length(), -1, -1) if (total % capacity) >> k & 1])
+    room, spent = size.copy(), np.zeros(len(size))
 
     def put(doc: int, start: int, n: int, b: int) -> None:
-        out.append((doc, start, n, b, capacity - room[b]))
+        out.append((doc, start, n, b, int(size[b] - room[b])))
         room[b] -= n
         spent[b] += cost(n)
-        if room[b]:
-            heapq.heappush(heap, (spent[b], b))
 
     late = []
     for doc, start, n in sorted(lengths, key=lambda x: (-x[2], x[0], x[1])):
-        # bins passed over here have too little room for this piece, and so for each that is as long
-        over = []
-        while heap and room[heap[0][1]] < n:
-            over.append(heapq.heappop(heap))
-            if len(over) > 32:
-                break
-        if heap and room[heap[0][1]] >= n:
-            put(doc, start, n, heapq.heappop(heap)[1])
+        b = int(np.where(room >= n, spent, np.inf).argmin())
+        if room[b] >= n:
+            put(doc, start, n, b)
         else:
             late.append((doc, start, n))
-        for x in over:
-            heapq.heappush(heap, x)
-    by_room = [(-r, b) for b, r in enumerate(room) if r]
-    heapq.heapify(by_room)
-    for doc, start, n in late:
+    for doc, start, n in late:  # fits nowhere whole: cut over the bins with most room
         while n:
-            r, b = heapq.heappop(by_room)
-            take = min(n, -r)
+            b = int(room.argmax())
+            take = min(n, int(room[b]))
             put(doc, start, take, b)
             start, n = start + take, n - take
-            if room[b]:
-                heapq.heappush(by_room, (-room[b], b))
     return out
 
 
@@ -94,7 +83,7 @@ def pack(
                 key, ids, first, total = held[doc]
                 part = ids[4 * (start - first) : 4 * (start - first + n)]
                 rows.append((key, start, n, zlib.crc32(part), total, base + used + seq, at))
-            used += -(-tokens // length)
+            used += tokens // length + (tokens % length).bit_count()
             held, tokens = [], 0
 
         def batch() -> pa.RecordBatch:
