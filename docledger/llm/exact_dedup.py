@@ -42,9 +42,13 @@ class DigestIndex:
         return self.spark.read.parquet(*self.level0)
 
     def compact(self) -> DataFrame:
-        """One row per digest: smallest and largest id, rows. Partial sums are made in each run, then merged."""
-        return self.rows().groupBy("digest").agg(
-            F.min("id").alias("min_id"), F.max("id").alias("max_id"), F.count(F.lit(1)).alias("n")
+        """One row per digest: smallest and largest id, rows. Partial sums are made in each run, then merged.
+
+        The merged run is written to the index, so that a join with it can split a hot digest on the other side.
+        """
+        return cut(
+            self.rows().groupBy("digest").agg(F.min("id").alias("min_id"), F.max("id").alias("max_id"), F.count(F.lit(1)).alias("n")),
+            "digest-level1",
         )
 
     def lookup(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
