@@ -46,11 +46,29 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")).withColumnRenamed("id", "doc_id")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, identify
+
+    docs = documents(spark, sf_dir)
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = fit(docs.filter(~held))
+    found = identify(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
     "op2_bpe": op2_bpe,
     "op7_packing": op7_packing,
+    "op10_licenses": op10_licenses,
+    "op4_langid": op4_langid,
 }
 
 ORACLES: dict[str, str] = {
