@@ -62,6 +62,14 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import ngram_join
+
+    return ngram_join(documents(spark, sf_dir), n=3, num=90, den=100).select(
+        F.col("id").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("component").alias("component_id"), "n_links"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
@@ -69,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op7_packing": op7_packing,
     "op10_licenses": op10_licenses,
     "op4_langid": op4_langid,
+    "op5_ngram_join": op5_ngram_join,
 }
 
 ORACLES: dict[str, str] = {
