@@ -70,6 +70,12 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import substring_dedup
+
+    return substring_dedup(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
@@ -78,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op10_licenses": op10_licenses,
     "op4_langid": op4_langid,
     "op5_ngram_join": op5_ngram_join,
+    "op1_substring_dedup": op1_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
