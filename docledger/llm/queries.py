@@ -76,6 +76,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract
+
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumnRenamed("id", "page_id")
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op4_langid": op4_langid,
     "op5_ngram_join": op5_ngram_join,
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_html_extract": op6_html_extract,
 }
 
 ORACLES: dict[str, str] = {
