@@ -2,7 +2,7 @@
 
 A document is the set of its word n-grams. N-grams have one global order (by hash), which is cut into fragments; a
 document's set falls into one segment per fragment. Sets with Jaccard similarity of at least `num/den` and sizes a <= b
-differ in at most a * (den - num) / num n-grams, so with more segments than that, at least one segment is the same in
+differ in at most a * (den - num) / num n-grams, so with more non-empty segments than that, at least one is the same in
 both. Documents that share a whole segment are candidates; documents that merely share words, lines or passages are not,
 as a segment mixes n-grams from all over a document. Sizes fall into levels, each with its own number of fragments; a
 document takes part in its level and, near its lower end, in the one below.
@@ -24,8 +24,8 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +51,23 @@ class Levels:
         """Most n-grams in which a set of n and a linked set differ."""
         return n * (self.den - self.num) // self.num
 
+    @cache  # noqa: B019
     def fragments(self, level: int) -> int:
-        d = self.differ(self.bounds[level + 1] - 1)
-        return d + 2 + d // 50
+        """So many that a set of the level's largest size has more non-empty segments than it can differ in n-grams.
+
+        Empty ones are allowed for by seven standard deviations, unless segments became so small that common n-grams
+        stood alone in them; the sets of few n-grams that this leaves short are joined by weak_links().
+        """
+        n = self.bounds[level + 1] - 1
+        d = self.differ(n)
+        f = d + 2
+        while f < 0.4 * n:
+            load = n / f
+            empty = math.exp(-load)
+            if f * (1 - empty) - 7 * math.sqrt(f * empty * max(0.0, 1 - (1 + load) * empty)) >= d + 1:
+                break
+            f += 1 + f // 100
+        return f
 
     def of(self, n: int) -> list[int]:
         k = bisect_right(self.bounds, n) - 1
@@ -181,19 +195,24 @@ class NgramJoin:
         return tiles.mapInArrow(run, "u bigint, v bigint, n bigint")
 
     def weak_links(self, sets: DataFrame) -> DataFrame:
-        """Links of the sets that have too few segments: joined on their n-grams with all sets."""
+        """Links of the sets that have too few segments: joined on their n-grams with all sets of sizes in reach."""
         n, salt = self.n, self.salt
+        least, most = sets.filter("weak").agg(F.min("n"), F.max("n")).first()
+        least, most = least * self.num // self.den, -(-most * self.den // self.num)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches):
+                vs, xs = [], []
                 for x in ngram_sets(b.column(1).to_pylist(), n, salt):
-                    if len(x):
+                    if least <= len(x) <= most:
                         with np.errstate(over="ignore"):
-                            v = np.full(len(x), mix(x, 1).sum(dtype=U), U)
-                        yield pa.RecordBatch.from_arrays([_long(v), _long(x)], ["v", "x"])
+                            vs.append(np.full(len(x), mix(x, 1).sum(dtype=U), U))
+                        xs.append(x)
+                if xs:
+                    yield pa.RecordBatch.from_arrays([_long(np.concatenate(vs)), _long(np.concatenate(xs))], ["v", "x"])
 
         grams = self.source.mapInArrow(run, "v bigint, x bigint").distinct()
-        size = sets.groupBy("lo").agg(F.first("n").alias("n"), F.max("weak").alias("weak"))
+        size = sets.groupBy("lo").agg(F.min("n").alias("n"), F.max("weak").alias("weak"))
         weak = size.filter("weak").select(F.col("lo").alias("u"), F.col("n").alias("nu"))
         left = grams.join(weak, F.col("v") == F.col("u")).select("u", "nu", "x")
         both = left.join(grams, "x").filter("u <> v").groupBy("u", "nu", "v").agg(F.count(F.lit(1)).alias("i"))
