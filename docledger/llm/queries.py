@@ -82,6 +82,12 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumnRenamed("id", "page_id")
 
 
+def op8_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .webp import encode_media, read_media
+
+    return read_media(encode_media(documents(spark, sf_dir))).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
@@ -92,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op5_ngram_join": op5_ngram_join,
     "op1_substring_dedup": op1_substring_dedup,
     "op6_html_extract": op6_html_extract,
+    "op8_webp": op8_webp,
 }
 
 ORACLES: dict[str, str] = {
