@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -154,3 +155,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, f"id {source.schema[0].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+
+
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose language the model doesn't reject, with all their columns. Nothing is shuffled."""
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        return pd.Series([not model.predict(t)[2] for t in texts], dtype=bool)
+
+    return docs.filter(known(F.col(text_col)))

@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
@@ -158,8 +159,8 @@ class SubstringDedup:
 FAR = (1 << 63) - 1
 
 
-def _u(x: list[int] | None) -> np.ndarray:
-    return np.array(x or [], np.int64).view(U)
+def _u(x: list[int] | np.ndarray | None) -> np.ndarray:
+    return np.array([] if x is None else x, np.int64).view(U)
 
 
 def covered(w: Walk, whole: list[int] | None, edges: list[int] | None, n: int, words: int) -> np.ndarray:
@@ -167,9 +168,9 @@ def covered(w: Walk, whole: list[int] | None, edges: list[int] | None, n: int, w
     gone = np.zeros(words + 1, np.int64)
     if w.count:
         bad = w.repeated()
-        if whole:
+        if whole is not None and len(whole):
             bad |= w.inside(np.isin(w.segment, _u(whole)))
-        if edges:
+        if edges is not None and len(edges):
             bad |= np.isin(w.edge, _u(edges))
         at = np.flatnonzero(bad)
         np.add.at(gone, at, 1)
@@ -203,3 +204,29 @@ def substring_dedup(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_c
     joined = op.source.join(marks, F.coalesce(op.source["id"], F.lit(FAR)) == marks["__id"], "left").select("id", "text", "whole", "edges")
     out = joined.mapInArrow(run, "id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
     return out if with_text else out.drop("kept")
+
+
+def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+    """docs with all columns, the repeated words cut from the text.
+
+    A text that loses words becomes its kept words joined by one space (the empty text, if it loses all); other texts stay
+    as they are. chars_col, where docs has it, follows the text.
+    """
+    op = SubstringDedup(docs, n, id_col, text_col)
+
+    @F.pandas_udf("string")
+    def kept(texts: pd.Series, wholes: pd.Series, edges: pd.Series) -> pd.Series:
+        out = []
+        for t, whole, edge, (text, w) in zip(texts, wholes, edges, walks(list(texts), n), strict=True):
+            words = text.split()
+            gone = covered(w, whole, edge, n, len(words))
+            out.append(b" ".join(x for x, g in zip(words, gone.tolist(), strict=True) if not g).decode() if gone.any() else t)
+        return pd.Series(out, dtype=object)
+
+    removed = op.removed().select(F.col("id").alias("__id"), F.col("whole").alias("__whole"), F.col("edges").alias("__edges"))
+    joined = docs.join(removed, F.coalesce(docs[id_col].cast("long"), F.lit(FAR)) == removed["__id"], "left")
+    out = joined.withColumn("__kept", kept(docs[text_col].cast("string"), "__whole", "__edges"))
+    new = {text_col: F.col("__kept")}
+    if chars_col in docs.columns:
+        new[chars_col] = F.when(F.col("__kept").eqNullSafe(docs[text_col]), docs[chars_col]).otherwise(F.length("__kept").cast(docs.schema[chars_col].dataType))
+    return out.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
