@@ -10,7 +10,7 @@ Calibration: a part of the sample is held back from training; a temperature is f
 (class `und`) if the text has no letters, or if its calibrated score is below the `reject_below` quantile of the held-back
 scores of right predictions and below even odds.
 
-The sample: rows with a label and a text, the `sample` smallest by a hash of the id, so that it doesn't depend on how the
+The sample: about `sample` rows with a label and a text, chosen by a hash of the id, so that it doesn't depend on how the
 table is partitioned. Prediction reads every text whole.
 
 Defined results: a null text or one without letters is `und` with score 1. Rows with a null label are predicted, never
@@ -129,14 +129,15 @@ def train(
 
 
 def sample_rows(docs: DataFrame, sample: int, id_col: str, text_col: str, label_col: str) -> list[tuple[str, str]]:
-    """At most `sample` labelled rows, the smallest by a hash of the id. The top-k runs in the tasks; few rows leave them."""
-    few = (
-        docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-        .orderBy("h", "label", "text")
-        .limit(sample)
-    )
-    return [(r["text"], r["label"]) for r in few.collect()]
+    """About `sample` labelled rows (all, if there are fewer): those whose id's hash is below the fitting quantile.
+
+    The tasks filter by the hash, so that only rows of the sample leave them, whatever the number of partitions.
+    """
+    labelled = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+    share = min(1.0, sample / max(1, labelled.count()))
+    h = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40))
+    few = labelled.filter(h < int(share * (1 << 40))).select(h.alias("h"), F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
+    return [(r["text"], r["label"]) for r in sorted(few.collect())]
 
 
 def fit(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", **options) -> Model:
