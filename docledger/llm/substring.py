@@ -91,37 +91,48 @@ class SubstringDedup:
         self.n = n
         self.source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def segments(self) -> DataFrame:
-        """s (segment), c (its second hash), m (minimizer), id: one row per distinct segment of a document."""
+    def keys(self, first: bool) -> DataFrame:
+        """key, c, v for each distinct segment of a document, and for each minimizer.
+
+        A segment's key goes with its second hash c, and v is the document. A minimizer's key goes with c = NO_CHECK, and v
+        is the segment (first pass) or the document (second pass).
+        """
         n = self.n
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches):
-                s, c, m, ids = [], [], [], []
+                keys, checks, values = [], [], []
                 for key, (_, w) in zip(b.column(0).to_pylist(), walks(b.column(1).to_pylist(), n, True), strict=True):
                     if w.count:
+                        doc = FAR if key is None else key
                         one, index = np.unique(w.segment, return_index=True)
-                        s.append(one)
-                        c.append(w.segment_check[index])
-                        m.append(w.minimizer[index])
-                        ids.append(np.full(len(one), FAR if key is None else key, np.int64))
-                if s:
+                        if first:
+                            m, of_m = w.minimizer[index], one.view(np.int64)
+                        else:
+                            m = np.unique(w.minimizer)
+                            of_m = np.full(len(m), doc, np.int64)
+                        keys += [one, m]
+                        checks += [w.segment_check[index] >> U(32), np.full(len(m), NO_CHECK, U)]
+                        values += [np.full(len(one), doc, np.int64), of_m]
+                if keys:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(s).view(np.int64)), check32(np.concatenate(c)), pa.array(np.concatenate(m).view(np.int64)), pa.array(np.concatenate(ids))],
-                        ["s", "c", "m", "id"],
+                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(checks).view(np.int64)), pa.array(np.concatenate(values))], ["key", "c", "v"]
                     )
 
-        return self.source.mapInArrow(run, "s bigint, c int, m bigint, id bigint")
+        return self.source.mapInArrow(run, "key bigint, c bigint, v bigint")
 
     def marks(self) -> DataFrame:
-        """id, whole, open: segments of a document that stand whole in an earlier one; minimizers at which paths branch."""
-        rows = self.segments()
-        firsts = rows.groupBy("s", "c").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("s", "c", "a")
-        whole = rows.select("s", "c", "id").join(firsts, ["s", "c"]).filter("id > a").select("id", "s")
-        branching = rows.groupBy("m").agg(F.min("s").alias("a"), F.max("s").alias("b")).filter("a <> b").select("m")
-        opened = rows.select("m", "id").join(branching, "m").select("id", "m").distinct()
-        both = whole.select("id", "s", F.lit(None).cast("long").alias("m")).unionByName(opened.select("id", F.lit(None).cast("long").alias("s"), "m"))
-        return cut(both.groupBy("id").agg(F.collect_list("s").alias("whole"), F.collect_list("m").alias("open")), "substring-marks")
+        """id, whole, open: segments of a document that stand whole in an earlier one; minimizers at which paths branch.
+
+        One aggregate finds repeated segments with their first source and minimizers with more than one segment; one join
+        brings both to the documents that hold them.
+        """
+        shared = self.keys(True).groupBy("key", "c").agg(F.min("v").alias("a"), F.max("v").alias("b")).filter("a <> b").select("key", "c", "a")
+        found = self.keys(False).join(shared, ["key", "c"]).filter(f"c = {NO_CHECK} OR v > a").select(F.col("v").alias("id"), "key", (F.col("c") == NO_CHECK).alias("opens"))
+        lists = found.groupBy("id").agg(
+            F.collect_list(F.when(~F.col("opens"), F.col("key"))).alias("whole"), F.collect_list(F.when(F.col("opens"), F.col("key"))).alias("open")
+        )
+        return cut(lists, "substring-marks")
 
     def edges(self, marks: DataFrame) -> DataFrame:
         """e, c (second hash), id: edges of the opened segments that aren't found whole elsewhere."""
@@ -155,6 +166,8 @@ class SubstringDedup:
         return marks.select("id", "whole").join(later, "id", "left").filter("size(whole) > 0 OR edges IS NOT NULL")
 
 
+#: In the place of a second hash (32 bits): the key is a minimizer.
+NO_CHECK = 1 << 40
 #: Stands for a null id: larger than any other.
 FAR = (1 << 63) - 1
 
