@@ -41,8 +41,8 @@ from .hashing import LOWER, U, blocks, mix, windows, word_hashes
 class Levels:
     """Sizes, and into how many segments each level's sets fall."""
 
-    def __init__(self, num: int, den: int, ratio: float = 1.4):
-        self.num, self.den = num, den
+    def __init__(self, num: int, den: int, probes: int | None = None, ratio: float = 1.4):
+        self.num, self.den, self.probes = num, den, probes
         self.bounds = [max(1, -(-num // (den - num)))]
         while self.bounds[-1] < 1 << 40:
             self.bounds.append(math.ceil(self.bounds[-1] * ratio) + 1)
@@ -90,10 +90,17 @@ def segments(x: np.ndarray, levels: Levels, salt: int) -> tuple[np.ndarray, bool
     keys, weak = [], False
     with np.errstate(over="ignore"):
         for level in levels.of(len(x)):
-            f = ((x >> U(32)) * U(levels.fragments(level))) >> U(32)
+            count = levels.fragments(level)
+            f = ((x >> U(32)) * U(count)) >> U(32)
+            if levels.probes and count > levels.probes:
+                f = f[: np.searchsorted(f, U(levels.probes))]
+                if not len(f):
+                    continue
+            y = x[: len(f)]
             first = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-            weak |= len(first) <= levels.differ(len(x))
-            keys.append(mix(np.add.reduceat(mix(x, 3), first) + mix(f[first] + U(level << 32), 5 + salt), 9))
+            # a link of this level has its smaller set in it, and differs by what that one can at most
+            weak |= len(y) == len(x) and len(first) <= levels.differ(min(len(x), levels.bounds[level + 1] - 1))
+            keys.append(mix(np.add.reduceat(mix(y, 3), first) + mix(f[first] + U(level << 32), 5 + salt), 9))
     return (np.concatenate(keys) if keys else np.zeros(0, U)), weak
 
 
@@ -108,11 +115,11 @@ def _signed(x: int) -> int:
 class NgramJoin:
     """One join over one table; see ngram_join()."""
 
-    def __init__(self, docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, tile: int, salt: int = 0):
+    def __init__(self, docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, tile: int, probes: int | None = None, salt: int = 0):
         self.source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
         self.kind = self.source.schema["id"].dataType.simpleString()
         self.n, self.num, self.den, self.tile, self.salt = n, num, den, tile, salt
-        self.levels = Levels(num, den)
+        self.levels = Levels(num, den, probes)
 
     def sets(self) -> DataFrame:
         """id, n, lo and hi (hashes of the set), weak."""
@@ -265,11 +272,17 @@ def tile_links(held: dict[int, tuple[np.ndarray, int]], num: int, den: int, key:
 
 
 def ngram_join(
-    docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", tile: int = 512
+    docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", tile: int = 512, probes: int | None = None
 ) -> DataFrame:
-    """One row per row of docs: id, n_grams, component (smallest id reachable by links), n_links (linked sets)."""
+    """One row per row of docs: id, n_grams, component (smallest id reachable by links), n_links (linked sets).
+
+    probes: look for shared segments in so many fragments of a level only. A linked pair's sets differ in at most as many
+    n-grams as there are fragments, spread by a hash, so that a fragment is the same in both with a chance of at least
+    exp(-1); with 64 probes a link escapes with a chance below 2e-13, as rarely as 64-bit hashes collide. None: all
+    fragments, which leaves no chance at all.
+    """
     for salt in range(8):
-        join = NgramJoin(docs, n, num, den, id_col, text_col, tile, salt)
+        join = NgramJoin(docs, n, num, den, id_col, text_col, tile, probes, salt)
         sets = cut(join.sets(), "ngram-sets")
         if sets.filter("n > 0").groupBy("lo").agg(F.min("hi").alias("a"), F.max("hi").alias("b")).filter("a <> b").isEmpty():
             break
