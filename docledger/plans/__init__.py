@@ -1,6 +1,11 @@
-"""Registered queries of the reference's own operators, with their DuckDB equivalents."""
+"""Registered queries of the reference's own operators, with their DuckDB equivalents.
+
+All read the given tables whole. Amounts are summed as decimals, so that a sum doesn't depend on its order.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import audits, catalogs, files, layouts, publishing, qualities, scalars, serving, streams  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
