@@ -32,9 +32,12 @@ def powers(base: int, n: int) -> np.ndarray:
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x + U((0x9E3779B97F4A7C15 * (salt + 1)) & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x ^= x >> U(30)
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
 def word_hashes(texts: list[bytes], salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +63,7 @@ def windows(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
         return mix((c[n:] - c[:-n]) * powers(INVERSE, m), salt)
 
 
-def blocks(texts: list[str | None], limit: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: list[str | None], limit: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts as UTF-8 of about `limit` bytes, and where each run starts. A longer text is a run of its own."""
     at, held, size = 0, [], 0
     for k, t in enumerate(texts):

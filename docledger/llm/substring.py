@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,28 +40,18 @@ from .hashing import U, blocks, mix, windows, word_hashes
 K = 5  # words of a minimizer
 
 
+@dataclass
 class Walk:
-    """The windows of one text: hashes, first occurrences inside the text, and the segments between minimizers."""
+    """The windows of one text: hashes, the segments between minimizers, and where these start and end."""
 
-    def __init__(self, h: np.ndarray, n: int, second: np.ndarray | None = None):
-        self.edge = windows(h, n)
-        self.count = len(self.edge)
-        if not self.count:
-            return
-        k = min(K, n)
-        mins = windows(h, k, 1)
-        w = n - k + 1
-        at = np.arange(self.count) + sliding_window_view(mins, w).argmin(axis=1)
-        self.first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        self.last = np.append(self.first[1:], self.count)
-        self.minimizer = mins[at[self.first]]
-        # a segment: its minimizer, where it starts relative to that, its edges in order
-        with np.errstate(over="ignore"):
-            sums = np.add.reduceat(mix(self.edge, 2) * (np.arange(self.count, dtype=U) - np.repeat(at[self.first], self.last - self.first).astype(U) << U(1) | U(1)), self.first)
-            self.segment = mix(sums + mix(self.minimizer, 3), 4)
-            if second is not None:
-                self.check = windows(second, n, 5)
-                self.segment_check = np.add.reduceat(mix(self.check, 6) * (self.edge | U(1)), self.first)
+    count: int
+    edge: np.ndarray
+    check: np.ndarray | None
+    first: np.ndarray
+    last: np.ndarray
+    minimizer: np.ndarray
+    segment: np.ndarray
+    segment_check: np.ndarray | None
 
     def repeated(self) -> np.ndarray:
         """Windows that start earlier in this text."""
@@ -73,13 +64,48 @@ class Walk:
         return np.repeat(chosen, self.last - self.first)
 
 
+NO_WALK = Walk(0, *[np.zeros(0, U)] * 7)
+
+
 def walks(texts: list[str | None], n: int, second: bool = False) -> Iterator[tuple[bytes, Walk]]:
-    """Each text and its walk; second: with hashes from other hashes of the words, for verification."""
+    """Each text and its walk; second: with hashes from other hashes of the words, for verification.
+
+    Hashes are computed for a block of texts at once; windows that would reach over the end of a text are left out.
+    """
     for _, held in blocks(texts):
-        h, at = word_hashes(held)
-        other = word_hashes(held, 1)[0] if second else None
-        for text, a, b in zip(held, at[:-1], at[1:], strict=True):
-            yield text, Walk(h[a:b], n, other[a:b] if second else None)
+        h, bounds = word_hashes(held)
+        counts = np.maximum(0, np.diff(bounds) - n + 1)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        if not ends[-1]:
+            yield from ((text, NO_WALK) for text in held)
+            continue
+        k = min(K, n)
+        mins = windows(h, k, 1)
+        place = np.repeat(bounds[:-1] - ends[:-1], counts) + np.arange(ends[-1])
+        at = (np.arange(len(h) - n + 1) + sliding_window_view(mins, n - k + 1).argmin(axis=1))[place]
+        edge = windows(h, n)[place]
+        new = np.concatenate([[True], at[1:] != at[:-1]])
+        new[ends[:-1][counts > 0]] = True
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], ends[-1])
+        minimizer = mins[at[first]]
+        check = segment_check = None
+        with np.errstate(over="ignore"):
+            # a segment: its minimizer, where it starts relative to that, its edges in order
+            sums = np.add.reduceat(mix(edge, 2) * ((place - at).astype(U) << U(1) | U(1)), first)
+            segment = mix(sums + mix(minimizer, 3), 4)
+            if second:
+                check = windows(word_hashes(held, 1)[0], n, 5)[place]
+                segment_check = np.add.reduceat(mix(check, 6) * (edge | U(1)), first)
+        of = np.searchsorted(first, ends)
+        for j, text in enumerate(held):
+            a, b, x, y = ends[j], ends[j + 1], of[j], of[j + 1]
+            if a == b:
+                yield text, NO_WALK
+            else:
+                yield text, Walk(
+                    int(b - a), edge[a:b], check[a:b] if second else None, first[x:y] - a, last[x:y] - a, minimizer[x:y], segment[x:y], segment_check[x:y] if second else None
+                )
 
 
 def check32(x: np.ndarray) -> pa.Array:
