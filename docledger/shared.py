@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -24,7 +25,15 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read back."""
-    path = new_path(df.sparkSession, name)
+    """df, written to the shared folder and read back.
+
+    Spark removes shuffle files when the driver collects the plan that made them. The plan that was just written isn't
+    needed any more, so the driver is asked to collect now, which keeps the disks of a long job from filling up.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = new_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
