@@ -80,9 +80,10 @@ def ngram_sets(texts: list[str | None], n: int, salt: int) -> Iterator[np.ndarra
     """The sorted distinct n-gram hashes of each text, with A-Z in lower case."""
     for _, held in blocks(texts):
         h, at = word_hashes([t.translate(LOWER) for t in held], salt)
+        grams = windows(h, n, 100 * salt + n)
         for a, b in zip(at[:-1], at[1:], strict=True):
             m = int(b - a)
-            yield np.unique(windows(h[a:b], n if m >= n else m, 100 * salt + min(m, n))) if m else np.zeros(0, U)
+            yield np.unique(grams[a : b - n + 1]) if m >= n else windows(h[a:b], m, 100 * salt + m) if m else np.zeros(0, U)
 
 
 def segments(x: np.ndarray, levels: Levels, salt: int) -> tuple[np.ndarray, bool]:
