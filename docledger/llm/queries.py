@@ -79,7 +79,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_extract import extract
 
-    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumnRenamed("id", "page_id")
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumnRenamed("id", "page_id").drop("n_shared")
 
 
 def op8_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,42 @@ QUERIES: dict[str, Query] = {
     "op8_webp": op8_webp,
 }
 
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex({text}, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '')"
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Plain forms of the contracts; brute force in SQL, for small tables.
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
+             x AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+             g AS (SELECT *, IF(i + 19 <= n, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)), NULL) AS gram FROM x),
+             r AS (SELECT *, gram IS NOT NULL AND row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) > 1 AS again FROM g),
+             c AS (SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM r),
+             k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY 1)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+    """,
+    "op5_ngram_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_words(_LOWER)} AS w FROM documents),
+             x AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+             g AS (SELECT doc_id, n, i, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS s FROM x),
+             s AS (SELECT DISTINCT doc_id, s FROM g WHERE i + 2 <= n OR (n < 3 AND i = 1)),
+             z AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, '|' ORDER BY s)) AS h FROM s GROUP BY 1),
+             p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+             l AS (SELECT a, b, x.h AS ha, y.h AS hb FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * p.i >= 90 * (x.n + y.n - p.i)),
+             t(a, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.a, t.c FROM t JOIN l ON l.b = t.a WHERE t.c < l.a),
+             m AS (SELECT a AS doc_id, min(c) AS component_id FROM t GROUP BY 1),
+             k AS (SELECT a AS doc_id, count(DISTINCT hb) AS n_links FROM l WHERE ha <> hb GROUP BY 1)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM m LEFT JOIN z USING (doc_id) LEFT JOIN k USING (doc_id)
+    """,
+    "op6_html_extract": r"""
+        WITH b AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1)\b[^>]*>') AS b FROM pages),
+             c AS (SELECT page_id, url, list_transform(b, lambda x: regexp_replace(regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'), '&quot;', '"', 'g')) AS b FROM b),
+             e AS (SELECT page_id, url, list_filter(list_transform(b, lambda x: trim(regexp_replace(regexp_replace(x, '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS b FROM c)
+        SELECT page_id, url, array_to_string(b, chr(10)) AS text, CAST(length(array_to_string(b, chr(10))) AS BIGINT) AS n_chars FROM e
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
