@@ -101,7 +101,7 @@ def posts(rows: DataFrame, page: str = "page_id") -> DataFrame:
     from ..functions.text import link_id
     from ..operators.catalog import first_per
 
-    linked = rows.withColumn("at", F.filter("cells", lambda c: link_id(c["href"]).isNotNull())[0]).filter("at IS NOT NULL")
+    linked = rows.withColumn("at", F.get(F.filter("cells", lambda c: link_id(c["href"]).isNotNull()), 0)).filter("at IS NOT NULL")
     dated = F.transform("cells", lambda c: loose_date(c["text"]).isNotNull())
     where = F.array_position(dated, True)
     out = linked.select(
@@ -118,7 +118,7 @@ def posts(rows: DataFrame, page: str = "page_id") -> DataFrame:
 
 def directory(rows: DataFrame, page: str = "page_id") -> DataFrame:
     """Directory tables: a th with the name and at least three td, whose texts hold postal code and phone."""
-    name = F.filter("cells", lambda c: c["tag"] == "th")[0]["text"]
+    name = F.get(F.filter("cells", lambda c: c["tag"] == "th"), 0)["text"]
     cells = F.filter("cells", lambda c: c["tag"] == "td")
     text = F.array_join(F.transform(cells, lambda c: c["text"]), " ")
     out = rows.filter((F.size(F.filter("cells", lambda c: c["tag"] == "th")) > 0) & (F.size(F.filter("cells", lambda c: c["tag"] == "td")) >= 3))
@@ -130,5 +130,5 @@ def directory(rows: DataFrame, page: str = "page_id") -> DataFrame:
 def marker(html: Column) -> Column:
     """struct(lat, lon) of `new ...LatLng(a, b)`, if a page names exactly one distinct pair."""
     found = F.array_distinct(F.regexp_extract_all(html, F.lit(r"new\s+[\w.]*LatLng\(\s*(-?[\d.]+\s*,\s*-?[\d.]+)\s*\)"), F.lit(1)))
-    parts = F.split(found[0], r"\s*,\s*")
-    return F.when(F.size(found) == 1, F.struct(parts[0].try_cast("double").alias("lat"), parts[1].try_cast("double").alias("lon")))
+    parts = F.split(F.get(found, 0), r"\s*,\s*")
+    return F.when(F.size(found) == 1, F.struct(F.get(parts, 0).try_cast("double").alias("lat"), F.get(parts, 1).try_cast("double").alias("lon")))
