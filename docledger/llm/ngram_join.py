@@ -165,7 +165,8 @@ class NgramJoin:
         """u, v, n: links of a spanning forest (n null), and numbers of links in a tile (v null). groups: node, root."""
         n, salt, num, den, tile = self.n, self.salt, self.num, self.den, self.tile
         one = sets.groupBy("lo").agg(F.min("id").alias("id"))
-        many = groups.groupBy("root").agg(F.count(F.lit(1)).alias("k"))
+        # written, so that joins can split a large group on the side of its members
+        many = cut(groups.groupBy("root").agg(F.count(F.lit(1)).alias("k")), "group-sizes")
         # parts: each set's part of its group, of at most about `tile` sets
         members = (
             groups.join(many, "root")
@@ -176,10 +177,17 @@ class NgramJoin:
 
         def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches):
-                x = [s.astype("<u8").tobytes() for s in ngram_sets(b.column("text").to_pylist(), n, salt)]
-                yield pa.RecordBatch.from_arrays([b.column("v"), b.column("c"), b.column("part"), b.column("parts"), pa.array(x, pa.binary())], ["v", "c", "part", "parts", "x"])
-
-        texts = self.source.join(members, "id").select("v", "c", "part", "parts", "text")
+                sets = list(ngram_sets(b.column("text").to_pylist(), n, salt))
+                with np.errstate(over="ignore"):
+                    own = [_signed(int(mix(x, 1).sum(dtype=U))) for x in sets]
+                # rows may share an id (or have none) with other texts: the set's hash tells which one is meant
+                good = pa.array([v == w for v, w in zip(b.column("v").to_pylist(), own, strict=True)], pa.bool_())
+                x = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("v"), b.column("c"), b.column("part"), b.column("parts"), x], ["v", "c", "part", "parts", "x"]).filter(good)
+
+        # one plan for all sizes: whether the members would fit a broadcast depends on the data
+        chosen = members.hint("merge").withColumnRenamed("id", "member")
+        texts = self.source.join(chosen, self.source["id"].eqNullSafe(chosen["member"])).select("v", "c", "part", "parts", "text")
         loaded = texts.mapInArrow(load, "v bigint, c bigint, part int, parts int, x binary")
         tiles = (
             loaded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -297,7 +305,7 @@ def ngram_join(
     roots = components(edges)
     classes = sets.filter("n > 0").groupBy("lo").agg(F.min("id").alias("least"))
     placed = classes.join(roots, classes["lo"] == roots["node"], "left").select("lo", "least", F.coalesce("root", "lo").alias("root"))
-    lowest = placed.groupBy("root").agg(F.min("least").alias("component"))
+    lowest = cut(placed.groupBy("root").agg(F.min("least").alias("component")), "ngram-lowest")
     counts = found.filter("v IS NULL").groupBy(F.col("u").alias("lo")).agg(F.sum("n").alias("n_links"))
     table = cut(placed.join(lowest, "root").join(counts, "lo", "left").select(F.col("lo").alias("key"), "component", "n_links"), "ngram-components")
     keyed = sets.withColumn("key", F.when(F.col("n") > 0, F.col("lo")))
