@@ -148,6 +148,16 @@ def test_ngram_join(spark, n, num, probes, tile):
     assert len({c for _, c, _ in want.values()}) < len(rows) - 20 and max(k for *_, k in want.values()) > 1
 
 
+def test_ngram_rows_without_or_with_equal_ids(spark):
+    """Links of rows whose ids are null or stand for several texts aren't lost."""
+    base = [f"w{k}" for k in range(60)]
+    other = [f"v{k}" for k in range(60)]
+    rows = [(None, " ".join(base)), (None, " ".join(other)), (5, " ".join(base[:59])), (5, " ".join(other[:59])), (7, " ".join(base[1:]))]
+    got = N.ngram_join(table(spark, rows), 3, 90).collect()
+    assert sorted((r["n_grams"], r["n_links"]) for r in got) == [(57, 1), (57, 2), (57, 2), (58, 1), (58, 2)]
+    assert {r["component"] for r in got} == {5}
+
+
 def test_ngram_odd_rows(odd, none):
     got = N.ngram_join(odd, 3, 90).collect()
     assert len(got) == len(ODD)
