@@ -121,6 +121,21 @@ def compile_template(text: str) -> Automaton:
     return out
 
 
+def as_regex(template: str) -> str:
+    """The template as a regular expression over words with a space before and behind each."""
+    out = []
+    for part in MARK.split(template):
+        if part == "[[":
+            out.append("(?:")
+        elif part == "]]":
+            out.append(")?")
+        elif part.startswith("{{"):
+            out.append("(?: [^ ]+ ){%s}" % part[2:-2].rpartition(":")[2])
+        else:
+            out += [f" {w} " for w in part.encode().translate(TO_WORDS).decode().split()]
+    return "".join(out)
+
+
 def anchor(template: str) -> bytes:
     """Mandatory words that stand together: the longest such run of the template."""
     depth, runs = 0, []

@@ -107,6 +107,27 @@ def _words(text: str) -> str:
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _licenses_sql() -> str:
+    from .licenses import TEMPLATES, as_regex
+
+    rules = [(label, as_regex(t)) for label, t in TEMPLATES.items()]
+    labels = ", ".join(f"CASE WHEN regexp_matches(s, '{r}') THEN '{label}' END" for label, r in rules)
+    covered = " + ".join(f"coalesce(list_sum(list_transform(regexp_extract_all(s, '{r}'), lambda z: len(string_split(trim(z), '  ')))), 0)" for _, r in rules)
+    return rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+             x AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS i FROM d),
+             y AS (SELECT *, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c, lead(a, 3) OVER o AS e FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+             m AS (SELECT doc_id, i, CASE WHEN a = 'gnu' AND b = 'general' AND c = 'public' AND e = 'license' THEN 'gpl' WHEN a = 'apache' AND b = 'license' THEN 'apache'
+                   WHEN a = 'cc' AND b = 'by' THEN 'cc-by' WHEN a = 'mit' AND b = 'license' THEN 'mit' END AS label FROM y),
+             n AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS base FROM m WHERE label IS NOT NULL GROUP BY 1),
+             l AS (SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, '  ') || ' ' AS s FROM d),
+             t AS (SELECT doc_id, n_words, list_filter([{labels}], lambda z: z IS NOT NULL) AS own, CAST({covered} AS DOUBLE) AS covered FROM l)
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), own))), ',') AS labels, IF(n_words > 0, least(1.0, covered / n_words), 0.0)::DOUBLE AS score
+        FROM t LEFT JOIN n USING (doc_id)
+    """
+
+
 #: Plain forms of the contracts; brute force in SQL, for small tables.
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": f"""
@@ -137,6 +158,7 @@ ORACLES: dict[str, str] = {
              e AS (SELECT page_id, url, list_filter(list_transform(b, lambda x: trim(regexp_replace(regexp_replace(x, '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS b FROM c)
         SELECT page_id, url, array_to_string(b, chr(10)) AS text, CAST(length(array_to_string(b, chr(10))) AS BIGINT) AS n_chars FROM e
     """,
+    "op10_licenses": _licenses_sql(),
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
