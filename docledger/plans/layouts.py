@@ -149,7 +149,10 @@ def grid_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("document_id", F.col("day").cast("string").alias("day"), "meal", F.size("items").alias("n_items"))
 
 
-@query()
+@query(f"""
+    WITH {WORDS}, t AS (SELECT conv_id, unnest(string_split_regex(array_to_string(x, '/'), '[/,]')) AS item FROM c)
+    SELECT CAST(conv_id AS VARCHAR) AS document_id, count(*) AS n_a, count(*) AS n_b, count(*) AS n_both FROM t WHERE item <> '' GROUP BY conv_id
+""")
 def grid_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of the meal cells against items of the records: surplus on either side (none, if extraction is complete)."""
     from ..functions.text import split_items
