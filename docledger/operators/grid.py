@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_in_text, made_date, weekday_dates
 from ..functions.text import contains_label, split_items, squeeze
+from ..shared import cut
 from . import layout as L
 
 SHEET = ["document_id", "sheet"]
@@ -95,7 +96,7 @@ def _records(cells: DataFrame, blocks: DataFrame, sheets: DataFrame) -> DataFram
 
 def date_rows(cells: DataFrame, year: Column, month: Column) -> DataFrame:
     """Records of sheets with a day per row. The day column is the one with most day numbers, the leftmost on a tie."""
-    sheets = layout(cells).filter("family = 'date_rows_meal_columns'")
+    sheets = cut(layout(cells).filter("family = 'date_rows_meal_columns'"), "sheets")  # a row per sheet, used several times
     left = cells.join(sheets, SHEET).filter("row > header_row").filter(F.col("column") < F.least(*[F.col(f"columns.{m}") for m in MEALS]))
     days = left.withColumn("days", days_in_text(F.col("text"))).filter("size(days) > 0")
     per = days.groupBy(*SHEET, "column").agg(F.count(F.lit(1)).alias("n"))
@@ -107,7 +108,7 @@ def date_rows(cells: DataFrame, year: Column, month: Column) -> DataFrame:
 
 def weekday_blocks(cells: DataFrame, year: Column, month: Column) -> DataFrame:
     """Records of sheets with a block of rows per weekday: its day numbers, or else every such weekday of the month."""
-    sheets = layout(cells).filter("family = 'weekday_blocks_meal_columns'")
+    sheets = cut(layout(cells).filter("family = 'weekday_blocks_meal_columns'"), "sheets")
     joined = cells.join(sheets, SHEET)
     left = joined.filter("row > header_row").filter(F.col("column") < F.least(*[F.col(f"columns.{m}") for m in MEALS])).withColumn("weekday", weekday_of(F.col("text")))
     anchors = left.filter("weekday IS NOT NULL").groupBy(*SHEET, "row").agg(F.min_by("weekday", "column").alias("weekday"))
