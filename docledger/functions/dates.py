@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns of periods and dates in Korean and plain texts.
+YEAR_MONTH = r"(?:(20\d{2}|\d{2})\s*[년.\-/]\s*)?(1[0-2]|0?[1-9])\s*월"
+YEAR_MONTH_DAY = r"(\d{4})[-./년]\s*(\d{1,2})[-./월]\s*(\d{1,2})"
+MONTH_DAY = r"(\d{1,2})[-./월]\s*(\d{1,2})"
+
 
 def made_date(y: Column, m: Column, d: Column) -> Column:
     """A date from its parts, or null."""
@@ -13,16 +18,14 @@ def made_date(y: Column, m: Column, d: Column) -> Column:
 
 def year_month(c: Column, fallback_year: Column | None = None) -> Column:
     """struct(year, month) from free text; two-digit years are of this century; no month: both null."""
-    pattern = r"(?:(20\d{2}|\d{2})\s*[년.\-/]\s*)?(1[0-2]|0?[1-9])\s*월"
-    month = F.regexp_extract(c, pattern, 2).try_cast("int")
-    year = F.coalesce(F.regexp_extract(c, pattern, 1).try_cast("int"), fallback_year if fallback_year is not None else F.lit(None).cast("int"))
+    month = F.regexp_extract(c, YEAR_MONTH, 2).try_cast("int")
+    year = F.coalesce(F.regexp_extract(c, YEAR_MONTH, 1).try_cast("int"), fallback_year if fallback_year is not None else F.lit(None).cast("int"))
     return F.struct(F.when(month.isNotNull(), F.when(year < 100, year + 2000).otherwise(year)).alias("year"), month.alias("month"))
 
 
 def loose_date(c: Column) -> Column:
     """First y-m-d in a text, whatever separates the parts."""
-    pattern = r"(\d{4})[-./년]\s*(\d{1,2})[-./월]\s*(\d{1,2})"
-    parts = [F.regexp_extract(c, pattern, k).try_cast("int") for k in (1, 2, 3)]
+    parts = [F.regexp_extract(c, YEAR_MONTH_DAY, k).try_cast("int") for k in (1, 2, 3)]
     return F.when(parts[0].isNotNull(), made_date(*parts))
 
 
@@ -41,9 +44,9 @@ def serial_date(n: Column, year: Column, month: Column) -> Column:
 
 def cell_date(text: Column, year: Column, month: Column) -> Column:
     """Date of a cell's text: y-m-d, else m-d of the year, else a single day number of the month."""
-    md = [F.regexp_extract(text, r"(\d{1,2})[-./월]\s*(\d{1,2})", k).try_cast("int") for k in (1, 2)]
+    md = [F.regexp_extract(text, MONTH_DAY, k).try_cast("int") for k in (1, 2)]
     days = days_in_text(text)
-    return F.when(text.rlike(r"\d{4}[-./년]\s*\d{1,2}[-./월]\s*\d{1,2}"), loose_date(text)).when(md[0].isNotNull(), made_date(year, md[0], md[1])).when(
+    return F.when(text.rlike(YEAR_MONTH_DAY), loose_date(text)).when(md[0].isNotNull(), made_date(year, md[0], md[1])).when(
         F.size(days) == 1, made_date(year, month, F.get(days, 0))
     )
 

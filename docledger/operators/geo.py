@@ -15,6 +15,11 @@ PROVINCES = {
     "광주": ("광주광역시", "광주시", "광주"), "제주": ("제주특별자치도", "제주도", "제주"), "세종": ("세종특별자치시", "세종시", "세종"),
 }
 
+# Patterns of road addresses, postal prefixes and asides.
+ROAD = r"([가-힣0-9]+(?:대로|로|길))\s*(\d+(?:-\d+)?)"
+POSTAL = r"^\s*(?:우\s*)?\d{5}\s+|^\s*우\s*\d{5}\s*"
+ASIDES = (r"\([^)]*\)", r"\[우편번호[^\]]*\]")
+
 
 def finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
@@ -55,9 +60,9 @@ def withhold_shared(df: DataFrame, lat: str, lon: str, row_id: str, address: str
 
 def physical_address(c: Column) -> Column:
     """An address through its road and number: no parentheses, postal codes or mail boxes."""
-    x = F.regexp_replace(F.regexp_replace(c, r"\([^)]*\)", " "), r"\[우편번호[^\]]*\]", " ")
+    x = F.regexp_replace(F.regexp_replace(c, ASIDES[0], " "), ASIDES[1], " ")
     x = F.regexp_replace(x, r"(로|대로)\s+(\d+(?:번)?길)", "$1$2")
-    x = F.regexp_replace(x, r"^\s*(?:우\s*)?\d{5}\s+|^\s*우\s*\d{5}\s*", "")
+    x = F.regexp_replace(x, POSTAL, "")
     road = F.regexp_extract(x, r"(?s)^(.*?(?:[가-힣0-9]+(?:대로|로|길))\s*\d+(?:-\d+)?)", 1)
     return F.trim(F.regexp_replace(F.when(road != "", road).otherwise(x), r"\s+", " "))
 
@@ -74,6 +79,5 @@ def province(c: Column) -> Column:
 def road(c: Column) -> Column:
     """Road and number of a physical address without spaces, or null."""
     x = physical_address(c)
-    name = F.regexp_extract(x, r"([가-힣0-9]+(?:대로|로|길))\s*(\d+(?:-\d+)?)", 1)
-    number = F.regexp_extract(x, r"([가-힣0-9]+(?:대로|로|길))\s*(\d+(?:-\d+)?)", 2)
+    name, number = F.regexp_extract(x, ROAD, 1), F.regexp_extract(x, ROAD, 2)
     return F.when(name != "", F.concat(name, F.lit(" "), number))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.text import split_items
 from ..operators import quality as Q
 from ..session import table
 from .registry import query
