@@ -40,7 +40,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).withColumnRenamed("id", "doc_id")
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -137,10 +138,48 @@ class Codec:
         return self.decode_tree(ids[:mid]) + self.decode_tree(ids[mid:])
 
 
+class JsonCodec(Codec):
+    """The codec of a byte-level BPE's JSON file as the tokenizers library reads it: added tokens are found in any text.
+
+    They are no part of a chunk's merges and hold no white space, so no stable cut stands inside one.
+    """
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, added, split = file["model"], file["added_tokens"], file["pre_tokenizer"]
+        if any(x["lstrip"] or x["rstrip"] or x["single_word"] or re.search(r"\s", x["content"]) for x in added):
+            raise ValueError(f"{path}: added tokens that reach over white space or depend on words")
+        if file["normalizer"] or (split["type"], split["add_prefix_space"], split["use_regex"]) != ("ByteLevel", False, True) or model["ignore_merges"]:
+            raise ValueError(f"{path}: not a plain byte-level BPE")
+        pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+        order = [model["vocab"]["".join(x)] for x in pairs]
+        if any(x >= y for x, y in zip(order, order[1:], strict=False)):
+            raise ValueError(f"{path}: ids don't follow the order of merges")
+        # the byte-level alphabet: bytes without a letter of their own follow from 256
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letters = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
+        ranks = {bytes(map(letters.__getitem__, token)): i for token, i in model["vocab"].items()}
+        self.added = {x["content"]: x["id"] for x in added}
+        self.encoding = tiktoken.Encoding("json", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
+        self.tokens = [b""] * (max([*ranks.values(), *self.added.values()]) + 1)
+        for token, i in [*ranks.items(), *((x.encode(), i) for x, i in self.added.items())]:
+            self.tokens[i] = token
+        self.chunks = _Chunks(self)
+
+    def raw(self, text: str) -> bytes:
+        if any(x in text for x in self.added):
+            return np.array(self.encoding.encode(text, allowed_special="all"), dtype="<u4").tobytes()
+        return super().raw(text)
+
+
 def codec(path: str) -> Codec:
-    """The codec of a rank file, one for each Python worker."""
+    """The codec of a rank file or a tokenizer's JSON file, one for each Python worker."""
     if path not in _CODECS:
-        _CODECS[path] = Codec(path)
+        _CODECS[path] = (JsonCodec if path.endswith(".json") else Codec)(path)
     return _CODECS[path]
 
 

@@ -10,7 +10,7 @@ Sequence ids are unique: the number of the input partition and a count inside it
 ids. Nothing is shuffled.
 
 Defined results: a null text is the empty text, one piece with the end id. Repeated rows are packed once each. Extra
-columns are ignored.
+columns are ignored. With a tokenizer's JSON file, its added tokens are found in any text, as the tokenizers library does.
 """
 
 from __future__ import annotations

@@ -43,7 +43,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .packing import pack
 
-    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")).withColumnRenamed("id", "doc_id")
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

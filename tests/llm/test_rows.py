@@ -93,6 +93,26 @@ def test_packing(spark, odd, none, block):
     assert K.pack(none, PLAIN).collect() == []
 
 
+def test_packing_finds_added_tokens(spark, tmp_path):
+    """The registered query gives the ids of the tokenizers library, <|endoftext|> as one id wherever it stands."""
+    from tokenizers import Tokenizer
+
+    from docledger.llm.queries import op7_packing
+
+    tokenizer, end = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), "<|endoftext|>"
+    texts = [f"a {end} b", f"a{end}b", end, end * 3, f" {end}\n{end}  x ", f"one two{end} three {end[:-1]} four", "no token here", f"{'sea wind ' * 30}{end} {'x' * 60}"]
+    random.seed(4)
+    texts += ["".join(random.choice([end, end[:5], " ", " ", "\n", "a", "sea", "'ll", "é", "日本", "1"]) for _ in range(40)) for _ in range(200)]
+    table(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op7_packing(spark, str(tmp_path)).filter("start = 0").collect()}
+    codec = B.codec(public_tokenizers.path("byte_bpe_50k.json"))
+    for k, text in enumerate(texts):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        assert got[k]["doc_tokens"] == len(ids)
+        assert got[k]["ids_crc32"] == zlib.crc32(np.array(ids[: got[k]["length"]], "<u4").tobytes())
+        assert codec.decode_tree(np.array(ids[:-1], "<u4")) == text.encode()
+
+
 def test_pack_block_balances_cost():
     random.seed(1)
     lengths = [(k, 0, random.randint(1, 2047)) for k in range(500)]
