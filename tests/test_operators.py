@@ -227,3 +227,14 @@ def test_covered_cells(spark):
     merges = spark.createDataFrame([("d", "s", 1, 2, 1, 1, "A1")], "document_id string, sheet string, top int, bottom int, left int, right int, parent string")
     got = {(r["row"], r["column"]): r["parent"] for r in R.covered_by(cells, merges).collect()}
     assert got == {(1, 1): "A1", (2, 1): "A1", (1, 2): None, (2, 2): None}
+
+
+def test_directory_of_suppliers_with_large_keys(spark, tmp_path):
+    from docledger.plans.files import html_directory
+
+    keys = [1, 999, 9_999, 10_000, 14_286, 123_456, 98_770_000, 5_000_000_000]
+    spark.createDataFrame([(k, f"s{k}") for k in keys], "s_suppkey bigint, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = {r["s_suppkey"]: r for r in html_directory(spark, str(tmp_path)).collect()}
+    assert sorted(got) == keys and all(got[k]["name"] == f"s{k}" and got[k]["postal_code"] == str(k * 7).rjust(5, "0")[:5] for k in keys)
+    assert [got[k]["phone"] for k in keys[:6]] == ["02-123-0001", "01-123-0999", "01-123-9999", "02-124-0000", "04-124-4286", "04-135-3456"]
+    assert all(len(got[k]["phone"].split("-")[2]) == 4 for k in keys)
