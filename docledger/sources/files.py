@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+#: Stores whose paths pyarrow opens as Spark names them, and bytes read at once.
+CHUNKED = ("file", "hdfs")
+CHUNK = 4 << 20
 
 
 class BadRows(ValueError):
@@ -63,10 +73,41 @@ def detected_format(content: Column) -> Column:
     )
 
 
+def digests(spark: SparkSession, path: str, glob: str = "*", large: int = 64 << 20) -> DataFrame:
+    """path, length, head (the first eight bytes) and digest of every file.
+
+    Sizes come from the listing. Contents below `large` are Spark's; larger files are read in chunks by the task that has
+    their row, from stores that pyarrow opens, so that no row holds a large content. In other stores Spark reads all.
+    """
+    files = read_binary(spark, path, glob)
+    row = ["path", "length", F.substring("content", 1, 8).alias("head"), F.sha2("content", 256).alias("digest")]
+    first = files.select("path").first()
+    if first is None or first["path"].partition(":")[0] not in CHUNKED:
+        return files.select(*row)
+    listed = files.filter(F.col("length") >= large).select("path", "length")
+    return files.filter(F.col("length") < large).select(*row).unionByName(listed.mapInArrow(_chunk_digests, "path string, length bigint, head binary, digest string"))
+
+
+def _chunk_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        heads, found = [], []
+        for path in b.column(0).to_pylist():
+            store, at = pa_fs.FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", path), safe="/:"))
+            sha, head = hashlib.sha256(), b""
+            with store.open_input_stream(at) as f:
+                while chunk := f.read(CHUNK):
+                    head = head or chunk[:8]
+                    sha.update(chunk)
+            heads.append(head)
+            found.append(sha.hexdigest())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(heads, pa.binary()), pa.array(found, pa.string())], ["path", "length", "head", "digest"])
+
+
 def verified(files: DataFrame, manifest: DataFrame, name: str = "name") -> DataFrame:
-    """Files whose size (where the manifest has one) and digest are those of the manifest."""
+    """Files (of read_binary or digests) whose size (where the manifest has one) and digest are those of the manifest."""
+    digest = F.col("digest") if "digest" in files.columns else F.sha2("content", 256)
     joined = files.withColumn(name, F.element_at(F.split("path", "/"), -1)).join(manifest, name)
-    return joined.filter((F.col("file_size").isNull() | (F.col("length") == F.col("file_size"))) & (F.sha2("content", 256) == F.col("sha256")))
+    return joined.filter((F.col("file_size").isNull() | (F.col("length") == F.col("file_size"))) & (digest == F.col("sha256")))
 
 
 def write_routes(df: DataFrame, path: str, route: str = "route") -> None:

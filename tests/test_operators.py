@@ -1,6 +1,8 @@
 """Operators on small literal tables."""
 
+import hashlib
 import io
+import random
 import zipfile
 
 import pytest
@@ -238,3 +240,22 @@ def test_directory_of_suppliers_with_large_keys(spark, tmp_path):
     assert sorted(got) == keys and all(got[k]["name"] == f"s{k}" and got[k]["postal_code"] == str(k * 7).rjust(5, "0")[:5] for k in keys)
     assert [got[k]["phone"] for k in keys[:6]] == ["02-123-0001", "01-123-0999", "01-123-9999", "02-124-0000", "04-124-4286", "04-135-3456"]
     assert all(len(got[k]["phone"].split("-")[2]) == 4 for k in keys)
+
+
+def test_integrity_of_all_files(spark, tmp_path):
+    """Files of 4 MB and more count, wrong digests fail, and chunks give the digest of the whole."""
+    from docledger.plans.files import file_integrity
+
+    sizes = {"a.parquet": 100, "b.parquet": (4 << 20) + 1, "c d.parquet": (9 << 20) + 5}
+    want = {}
+    for name, n in sizes.items():
+        data = b"PAR1" + random.Random(n).randbytes(n - 4)
+        (tmp_path / name).write_bytes(data)
+        want[name] = (n, hashlib.sha256(data).hexdigest())
+    assert rows(file_integrity(spark, str(tmp_path)), "name") == [(k, "parquet", n) for k, n in sorted(sizes.items())]
+    for large in (1000, 1 << 40):
+        f = S.digests(spark, f"{tmp_path}/*.parquet", "*.parquet", large)
+        found = {r["path"].rpartition("/")[2]: (r["length"], r["digest"]) for r in f.collect()}
+        assert found == want and {bytes(r["head"][:4]) for r in f.collect()} == {b"PAR1"}
+    bad = spark.createDataFrame([(k, n, d if k != "b.parquet" else "0" * 64) for k, (n, d) in want.items()], "name string, file_size bigint, sha256 string")
+    assert [x for (x,) in rows(S.verified(f, bad).select("name"), "name")] == ["a.parquet", "c d.parquet"]
