@@ -162,7 +162,8 @@ def record_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues = R.codes(
         {"INVALID_LANG": F.col("lang").isNull(), "BLANK": n < 20, "LENGTH_MISMATCH": n != F.length("text"), "DUPLICATE": F.col("copies") > 1, "LONG": n > 10000}
     )
-    out = d.join(many, "digest").select("doc_id", issues.alias("c"))
+    # null texts have a null digest and are each other's duplicates
+    out = d.join(many.withColumnRenamed("digest", "of"), F.col("digest").eqNullSafe(F.col("of"))).select("doc_id", issues.alias("c"))
     status = F.when(F.exists("c", lambda x: x != "LONG"), "invalid").when(F.size("c") > 0, "warning").otherwise("valid")
     return out.select("doc_id", F.array_join("c", ",").alias("issues"), status.alias("status"))
 

@@ -259,3 +259,17 @@ def test_integrity_of_all_files(spark, tmp_path):
         assert found == want and {bytes(r["head"][:4]) for r in f.collect()} == {b"PAR1"}
     bad = spark.createDataFrame([(k, n, d if k != "b.parquet" else "0" * 64) for k, (n, d) in want.items()], "name string, file_size bigint, sha256 string")
     assert [x for (x,) in rows(S.verified(f, bad).select("name"), "name")] == ["a.parquet", "c d.parquet"]
+
+
+def test_record_validate_keeps_null_texts(spark, tmp_path):
+    import duckdb
+
+    from docledger.plans import ORACLES, QUERIES
+
+    docs = [(1, None, "en", None), (2, None, None, 5), (3, "a text of twenty characters", "en", 27), (4, "a text of twenty characters", "en", 9), (5, "", "en", 0)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(con.sql(f"select doc_id, issues, status from ({ORACLES['record_validate']})").fetchall())
+    got = rows(QUERIES["record_validate"](spark, str(tmp_path)).select("doc_id", "issues", "status"), "doc_id")
+    assert got == want and len(got) == 5 and got[0] == (1, "DUPLICATE", "invalid")
