@@ -7,8 +7,10 @@ are aligned by longest common subsequence, and lines that both have are template
 Differencing alone fails in two ways: adverts and footers that differ between neighbours survive it, and neighbours
 that are copies lose their articles. So markup has the first word: what stands in elements or classes for menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and comments goes; where a page marks its main region
-(article, main or their roles), lines outside go and lines inside stay, shared or not. On other pages the shared lines go,
-unless the two pages have the same lines throughout.
+(article, main or their roles), lines outside go and lines inside stay, shared or not. On other pages a shared line goes if it is
+also a template line of its host: it stands on two pages or more that differ in their bodies. Those are pages with two lines or
+more, and a quarter of their text, that no other page of the host has; copies and near copies (another date, another
+advert) have not, so their articles stay.
 
 A line is the text of one block element: character references decoded, white space turned into one space, trimmed.
 
@@ -44,6 +46,8 @@ OUT_WORDS = frozenset(
 #: Only outside a main region: a heading block inside an article is part of it.
 HEADER_WORDS = frozenset(("header", "masthead", "topbar", "banner"))
 WORD = re.compile(r"[a-z]+")
+#: A page with a body of its own has so many lines, and one part in so many of its text, that no other page of its host has.
+OWN_LINES, OWN_PART = 2, 4
 
 
 @dataclass
@@ -161,15 +165,29 @@ def common(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
-def main_text(own: list[Line], marked: bool, other: list[Line] | None) -> tuple[str, int]:
-    """Text of a page beside its neighbour, and the number of lines that both have."""
+def main_text(own: list[Line], marked: bool, other: list[Line] | None) -> tuple[str, list[bool]]:
+    """Text of a page by markup alone, and which of its lines the neighbour has too."""
     texts = [x.text for x in own]
     shared = common(texts, [x.text for x in other]) if other else set()
-    if marked:
-        return "\n".join(x.text for x in own if x.main), len(shared)
-    if len(shared) == len(own):
-        return "\n".join(texts), len(shared)
-    return "\n".join(t for k, t in enumerate(texts) if k not in shared), len(shared)
+    return "\n".join(x.text for x in own if x.main or not marked), [k in shared for k in range(len(own))]
+
+
+def template_lines(pages: DataFrame) -> DataFrame:
+    """host, page (hash of all lines) and gone (hashes of template lines), from host and lines of each page.
+
+    Copies count as one page. A line votes once for each page that has lines of its own, as described above.
+    """
+    lines = pages.select("host", F.xxhash64("lines").alias("page"), F.explode(F.array_distinct("lines")).alias("x"))
+    rows = lines.select("host", "page", F.xxhash64("x").alias("line"), F.length("x").alias("n")).distinct()
+    lone = rows.groupBy("host", "line").agg(F.count(F.lit(1)).alias("k"), F.min("page").alias("page"), F.min("n").alias("n")).filter("k = 1")
+    own = lone.groupBy("host", "page").agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("k")).filter(F.col("k") >= OWN_LINES)
+    whole = rows.groupBy("host", "page").agg(F.sum("n").alias("whole"))
+    voters = own.join(whole, ["host", "page"]).filter(F.col("own") * OWN_PART >= F.col("whole")).select("host", "page")
+    template = rows.join(voters, ["host", "page"]).groupBy("host", "line").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    # the lines of a template stand on very many pages, so they meet them in 16 parts
+    parts = template.select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("part"))
+    salted = rows.withColumn("part", F.pmod("page", F.lit(16)).cast("int"))
+    return salted.join(parts, ["host", "line", "part"]).groupBy("host", "page").agg(F.collect_list("line").alias("gone"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", partitions: int | None = None) -> DataFrame:
@@ -184,7 +202,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     )
     keys = ("host", "path", "id")
     ranges = (source.repartitionByRange(partitions, *keys) if partitions else source.repartitionByRange(*keys)).sortWithinPartitions(*keys)
-    names = ["id", "url", "text", "n_chars", "n_shared"]
+    names = ["id", "url", "host", "text", "lines", "shared"]
+    kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()))
+
+    def unmarked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            found = [(host, [x.text for x in own]) for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for own, marked in [lines_of(page or "")] if not marked]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], kinds[3])], ["host", "lines"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a page waits for the next one: that is its neighbour if the host is the same, else the one before is
@@ -194,12 +218,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
         def done(page: tuple, after: tuple | None) -> tuple:
             near = after[3] if after and after[2] == page[2] else before[1] if before and before[0] == page[2] else None
-            text, n = main_text(page[3], page[4], near)
-            return page[0], page[1], text, len(text), n
+            text, shared = main_text(page[3], page[4], near)
+            return page[0], page[1], page[2], text, None if page[4] else [x.text for x in page[3]], shared
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*rows, strict=True)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (kind, pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], names)
+            cols = list(zip(*rows, strict=True)) or [()] * 6
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (kind, *kinds), strict=True)], names)
 
         for b in slices(batches):
             kind, rows = b.column(0).type, []
@@ -213,4 +237,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         if wait:
             yield batch([done(wait, None)])
 
-    return ranges.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, url string, text string, n_chars bigint, n_shared bigint")
+    found = ranges.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, url string, host string, text string, lines array<string>, shared array<boolean>")
+    gone = template_lines(source.select("host", "html").mapInArrow(unmarked, "host string, lines array<string>"))
+    judged = found.filter("lines IS NOT NULL").withColumn("page", F.xxhash64("lines")).join(gone, ["host", "page"], "left")
+    stay = F.filter("lines", lambda x, k: ~(F.get("shared", k) & F.array_contains(F.coalesce("gone", F.array().cast("array<bigint>")), F.xxhash64(x))))
+    out = found.filter("lines IS NULL").select("id", "url", "text", "shared").unionByName(judged.select("id", "url", F.array_join(stay, "\n").alias("text"), "shared"))
+    n_shared = F.size(F.filter("shared", lambda x: x)).cast("long")
+    return out.select("id", "url", "text", F.length("text").cast("long").alias("n_chars"), n_shared.alias("n_shared"))

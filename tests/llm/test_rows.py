@@ -198,6 +198,23 @@ def test_html_differencing(spark):
     assert got[9] == whole.format(k=9) and got[10] == got[11] == "" and got[20] == got[21] == whole.format(k=0)
 
 
+def test_html_near_copies(spark):
+    """Neighbours without a marked region that differ in a date or an advert keep their articles; template lines go."""
+    page = "<body><div>Top menu</div><h1>Title {a}</h1>{body}<p>{date}</p><div>The end</div></body>"
+    body = {a: [f"Sentence {k} of story {a}." for k in range(8)] for a in range(6)}
+    rows, want = [], {}
+    for a in range(6):
+        for v in range(3 if a < 2 else 1):
+            date = f"Story {a} in version {v}, " + "advert " * (60 if a == 1 else 1)
+            rows.append((10 * a + v, f"http://h.org/{a}/{v}", page.format(a=a, date=date, body="".join(f"<p>{x}</p>" for x in body[a]))))
+            want[10 * a + v] = "\n".join([f"Title {a}", *body[a], date.strip()])
+    lone = "<body><p>All one</p><p>All two</p><p>All three</p><p>{date}</p></body>"
+    rows += [(100 + k, f"http://two.org/{k}", lone.format(date=f"Day {k}")) for k in range(2)]
+    want |= {100 + k: f"All one\nAll two\nAll three\nDay {k}" for k in range(2)}
+    got = {r["id"]: r["text"] for r in X.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"), partitions=1).collect()}
+    assert got == want
+
+
 def test_lcs():
     random.seed(2)
 
