@@ -65,7 +65,6 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three deliveries of document versions, each classified against the state that the ones before left."""
     docs = table(spark, sf_dir, "documents")
     rows = docs.select(F.floor(F.col("doc_id") / 3).alias("document"), (F.col("doc_id") % 3).cast("int").alias("version"), F.sha2(F.substring(F.coalesce("text", F.lit("")), 1, 2), 256).alias("digest"))
-    stream = S.staged_stream(spark, [rows.filter(F.col("version") == k) for k in range(3)], "deliveries")
     state = VersionedTable(spark, "known", rows.schema)
     path = new_path(spark, "changes")
 
@@ -74,7 +73,7 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         C.change_class(batch.withColumn("post", F.col("document")), known, "document", "post", "digest").drop("post").write.mode("overwrite").parquet(f"{path}/{k}")
         state.merge(batch, k, lambda old, new: C.later_wins([old, new], ["document"]))
 
-    S.run(stream, each, name="changes")
+    S.run_deliveries(spark, [rows.filter(F.col("version") == k) for k in range(3)], each, "deliveries")
     return spark.read.parquet(f"{path}/*").select("document", "version", "change_type")
 
 
@@ -85,7 +84,7 @@ def stream_month_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.month("o_orderdate") > 6
     src = table(spark, sf_dir, "orders").select("o_orderkey", late.alias("late"))
     both = o.join(src, "o_orderkey")
-    stream = S.staged_stream(spark, [both.filter(~F.col("late") | (F.col("o_orderkey") % 2 == 0)).drop("late"), both.filter(F.col("late") & (F.col("o_orderkey") % 2 == 1)).drop("late")], "orders")
+    deliveries = [both.filter(~F.col("late") | (F.col("o_orderkey") % 2 == 0)).drop("late"), both.filter(F.col("late") & (F.col("o_orderkey") % 2 == 1)).drop("late")]
     months = VersionedTable(spark, "months", "month string, n bigint, total decimal(38,2)")
 
     def project(old: DataFrame, batch: DataFrame) -> DataFrame:
@@ -94,7 +93,7 @@ def stream_month_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         again = old.join(new.select("month"), "month", "left_semi").unionByName(new).groupBy("month").agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(38,2)").alias("total"))
         return untouched.unionByName(again)
 
-    S.run(stream, lambda df, k: months.merge(df, k, project), name="months")
+    S.run_deliveries(spark, deliveries, lambda df, k: months.merge(df, k, project), "orders")
     return months.at(months.last).select("month", "n", F.col("total").cast("double").alias("total"))
 
 
@@ -106,7 +105,6 @@ def stream_no_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey")
     first = o.select("o_orderkey", F.lit(1).alias("version"), F.lit(True).alias("valid"))
     second = o.filter("o_orderkey % 3 = 0").select("o_orderkey", F.lit(2).alias("version"), (F.col("o_orderkey") % 2 == 0).alias("valid"))
-    stream = S.staged_stream(spark, [first, second], "sources")
     published = VersionedTable(spark, "published", "o_orderkey bigint, version int, flagged boolean")
 
     def publish(old: DataFrame, batch: DataFrame) -> DataFrame:
@@ -117,5 +115,5 @@ def stream_no_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderkey", F.when(good, F.col("__version")).otherwise(F.col("version")).alias("version"), (F.coalesce("flagged", F.lit(False)) & ~good | F.coalesce(~F.col("valid"), F.lit(False))).alias("flagged")
         ).filter("version IS NOT NULL")
 
-    S.run(stream, lambda df, k: published.merge(df, k, publish), name="published")
+    S.run_deliveries(spark, [first, second], lambda df, k: published.merge(df, k, publish), "sources")
     return published.at(published.last)

@@ -17,20 +17,26 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}*")
 
 
-def staged_stream(spark: SparkSession, batches: list[DataFrame], name: str) -> DataFrame:
-    """A stream that sees the given DataFrames one after the other, each as one micro-batch at least."""
-    path = new_path(spark, name)
-    for k, df in enumerate(batches):
-        df.coalesce(1).write.parquet(f"{path}/{k:04d}")
-    return spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", "1").parquet(f"{path}/*")
+def run(stream: DataFrame, each: Callable[[DataFrame, int], None], mode: str = "append", name: str = "stream", log: str | None = None) -> None:
+    """each(batch, id) for every micro-batch until the input is used up. Batches may come again after a failure, with their id.
 
-
-def run(stream: DataFrame, each: Callable[[DataFrame, int], None], mode: str = "append", name: str = "stream") -> None:
-    """each(batch, id) for every micro-batch until the input is used up. Batches may come again after a failure, with their id."""
-    query = stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", new_path(stream.sparkSession, f"{name}-log")).trigger(availableNow=True).start()
+    log: the checkpoint of a stream that goes on from an earlier run.
+    """
+    query = stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", log or new_path(stream.sparkSession, f"{name}-log")).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def run_deliveries(spark: SparkSession, deliveries: list[DataFrame], each: Callable[[DataFrame, int], None], name: str) -> None:
+    """each(batch, k) for the given DataFrames one after the other, delivery k as one micro-batch.
+
+    A delivery is a folder of as many files as it has partitions; the stream goes on from its checkpoint when one has come.
+    """
+    path, log = new_path(spark, name), new_path(spark, f"{name}-log")
+    for k, df in enumerate(deliveries):
+        df.write.parquet(f"{path}/{k:04d}")
+        run(spark.readStream.schema(deliveries[0].schema).parquet(f"{path}/*"), each, log=log)
+
+
 def collect_append(stream: DataFrame, name: str) -> DataFrame:
     """All rows that a stream appends, as a written table."""
     path = new_path(stream.sparkSession, name)

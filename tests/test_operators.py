@@ -273,3 +273,18 @@ def test_record_validate_keeps_null_texts(spark, tmp_path):
     want = sorted(con.sql(f"select doc_id, issues, status from ({ORACLES['record_validate']})").fetchall())
     got = rows(QUERIES["record_validate"](spark, str(tmp_path)).select("doc_id", "issues", "status"), "doc_id")
     assert got == want and len(got) == 5 and got[0] == (1, "DUPLICATE", "invalid")
+
+
+def test_deliveries_keep_their_partitions(spark):
+    """One micro-batch for each delivery, an empty one too, over as many files as it has partitions."""
+    from docledger.streaming import core
+
+    seen = []
+
+    def each(batch, k):
+        files = batch.select(F.input_file_name().alias("f")).distinct().count()
+        seen.append((k, batch.count(), batch.agg(F.sum("id")).first()[0], files))
+
+    a = spark.range(0, 3000, 1, 3)
+    core.run_deliveries(spark, [a, a.filter("id < 0"), spark.range(3000, 5000, 1, 5)], each, "t")
+    assert seen == [(0, 3000, sum(range(3000)), 3), (1, 0, None, 0), (2, 2000, sum(range(3000, 5000)), 5)]
