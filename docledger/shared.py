@@ -5,18 +5,23 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-docledger-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one where it is unset and the session is local."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-docledger-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _local_folder()
     return found.rstrip("/")
 
 
@@ -25,7 +30,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read back.
+    """df, written to the shared folder and read back; release() removes it.
 
     Spark removes shuffle files when the driver collects the plan that made them. The plan that was just written isn't
     needed any more, so the driver is asked to collect now, which keeps the disks of a long job from filling up.
@@ -36,4 +41,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes tables that cut() wrote and that no plan reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.cut_path)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
