@@ -1,5 +1,5 @@
 """What the operators of this subpackage share."""
 
-from ..shared import cut, new_path, shared_dir
+from ..shared import cut, new_path, release, shared_dir
 
-__all__ = ["cut", "new_path", "shared_dir"]
+__all__ = ["cut", "new_path", "release", "shared_dir"]

@@ -139,10 +139,10 @@ def near_copies(seed, n=140):
     return rows
 
 
-@pytest.mark.parametrize(("n", "num", "probes", "tile"), [(3, 90, None, 512), (5, 80, None, 4), (2, 80, 64, 3)])
-def test_ngram_join(spark, n, num, probes, tile):
+@pytest.mark.parametrize(("n", "num", "tile"), [(3, 90, 512), (5, 80, 4), (2, 80, 3)])
+def test_ngram_join(spark, n, num, tile):
     rows = near_copies(n)
-    got = {r["id"]: (r["n_grams"], r["component"], r["n_links"]) for r in N.ngram_join(table(spark, rows), n, num, 100, tile=tile, probes=probes).collect()}
+    got = {r["id"]: (r["n_grams"], r["component"], r["n_links"]) for r in N.ngram_join(table(spark, rows), n, num, 100, tile=tile).collect()}
     want = brute_join(rows, n, num, 100)
     assert got == want
     assert len({c for _, c, _ in want.values()}) < len(rows) - 20 and max(k for *_, k in want.values()) > 1
