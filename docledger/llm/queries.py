@@ -79,7 +79,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_extract import extract
 
-    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumnRenamed("id", "page_id").drop("n_shared")
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumnRenamed("id", "page_id").drop("n_deleted")
 
 
 def op8_webp(spark: SparkSession, sf_dir: str) -> DataFrame:

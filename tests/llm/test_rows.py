@@ -5,6 +5,7 @@ import html
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -215,22 +216,85 @@ def test_html_near_copies(spark):
     assert got == want
 
 
-def test_lcs():
-    random.seed(2)
+@pytest.mark.parametrize(("text", "want"), [
+    ('<ul><li class="ad"><div>Buy now</div></li><li>Real item</li></ul>', ["Real item"]),
+    ('<ul><li class="ad">Buy <ul><li>this</li></ul> now</li><li>Real</ul>', ["Real"]),
+    ('<p>One <span class="advert">Buy <b>now</b></span> two</p>', ["One two"]),
+    ('<p>One <span class="ad">Buy</p><p>Two</p>', ["One", "Two"]),
+    ('<article><div class="share-price">Up 3%</div><section id="search-engines"><p>Index</p></section></article>', ["Up 3%", "Index"]),
+    ('<div class="ad-slot box"><p>Buy</p></b> more</div><p title=5">Kept</p><p title="a>b">Also</p>', ["Kept", "Also"]),
+    ("1 < 2 <p>and</p> <b", ["1 < 2", "and", "<b"]), ('<div class=cookie-notice>C</div>x<p class="ad">Spam<p>Third', ["x", "Third"]),
+])
+def test_html_markup(text, want):
+    assert X.page_lines(text)[0] == want
+
+
+def test_html_broken_pages_take_linear_time():
+    for page in ("<a " + '"' * 200_000, '<a ">" ' * 50_000, "<a " * 100_000, '<a title="' * 50_000 + ">", "<script>" * 50_000 + "</script " * 50_000, "<div class=ad>" * 100_000, "<!-- " * 100_000):
+        began = time.time()
+        X.page_lines(page)
+        assert time.time() - began < 5
+
+
+def lcs(a, b):
+    d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            d[i + 1][j + 1] = d[i][j] + 1 if x == y else max(d[i][j + 1], d[i + 1][j])
+    return d[-1][-1]
+
+
+def test_html_unmarked_pages_against_brute_force(spark):
+    """Pages without a main region: lines in a longest common subsequence with the page of longest common path go, if they are template lines."""
+    random.seed(8)
+    rows, lines = [], {}
+    for k in range(60):
+        path = f"/{random.choice('ab')}/{random.choice('xyz')}{k:02d}"
+        own = [f"own {k} {j} " + "w " * 20 for j in range(random.randint(2, 6))]
+        body = [f"top {j}" for j in range(random.randint(0, 4))] + own[:2] + random.sample([f"mid {j}" for j in range(5)], 3) + own[2:] + ["end"]
+        lines[path] = body
+        rows.append((k, f"https://h.org{path}", "".join(f"<p>{x}</p>" for x in body)))
+    texts = {path: [" ".join(x.split()) for x in body] for path, body in lines.items()}
+    pages = Counter(x for body in texts.values() for x in set(body))  # every page has a body of its own
+    got = {r["url"][13:]: r for r in X.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"), partitions=5).collect()}
+    deleted = 0
+    for path, body in texts.items():
+        near = max(len(os.path.commonprefix([path, p])) for p in texts if p != path)
+        found = got[path]["text"].split("\n")
+        gone = [x for x in body if x not in found]
+        nearest = [texts[p] for p in texts if p != path and len(os.path.commonprefix([path, p])) == near]
+        # the deleted lines are the template lines of a longest common subsequence with a nearest page
+        assert [x for x in body if x not in gone] == found and all(pages[x] > 1 for x in gone)
+        assert any(len(gone) == lcs([x for x in body if pages[x] > 1], [x for x in other if pages[x] > 1]) for other in nearest)
+        deleted += len(gone)
+        assert got[path]["n_deleted"] == len(gone)
+    assert deleted > 150
+
+
+def test_html_odd_tables(spark):
+    kinds = "page_id bigint, url string, html string, id string, key string, host int, lines int, text string"
+    page = "<p>Own {k} one</p><p>Own {k} two</p><p>Same</p>"
+    rows = [(k, f"http://h.org/{k}", page.format(k=k), "i", "k", 1, 2, "t") for k in range(3)] * 2 + [(None, None, None, *[None] * 5)] * 2
+    got = X.extract(spark.createDataFrame(rows, kinds)).collect()
+    want = Counter({(k, f"Own {k} one\nOwn {k} two"): 2 for k in range(3)}) + Counter({(None, ""): 2})
+    assert Counter((r["id"], r["text"]) for r in got) == want
+    assert X.extract(spark.createDataFrame([], kinds)).collect() == []
 
-    def lcs(a, b):
-        d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                d[i + 1][j + 1] = d[i][j] + 1 if x == y else max(d[i][j + 1], d[i + 1][j])
-        return d[-1][-1]
 
+def test_lcs():
+    random.seed(2)
     for _ in range(500):
         a, b = ([random.choice("abcd") for _ in range(random.randint(0, 12))] for _ in range(2))
         c = sorted(X.common(a, b))
         assert len(c) == lcs(a, b)
         rest = iter(b)
         assert all(a[k] in rest for k in c)
+    a, b = ([random.randrange(60) for _ in range(300)] for _ in range(2))
+    assert len(X.common(a, b)) == lcs(a, b)
+    a = list(range(200_000))
+    b = [x if x % 7 else -x - 1 for x in a]
+    assert len(X.common(a, b)) == sum(x % 7 > 0 for x in a)
+    assert X.common([1] * 100_000, [1] * 200_000) == set(range(100_000))
 
 
 def test_html_against_plain_rule():
@@ -242,7 +306,7 @@ def test_html_against_plain_rule():
     for (page,) in duckdb.sql(f"select html from '{path}'").fetchall():
         article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", article)]
-        assert X.main_text(*X.lines_of(page), None)[0] == "\n".join(x for x in blocks if x)
+        assert X.page_lines(page) == ([x for x in blocks if x], True)
 
 
 def test_webp_round_trips():
