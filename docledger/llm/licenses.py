@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,24 @@ TEMPLATES = {
     "cc-by-nc-4.0": "licensed under [[a]] cc by nc [[international]] 4 0 [[international]]",
     "cc-by-4.0": "licensed under [[a]] cc by 4 0 [[international]]",
     "bsd-redistribution": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+    "bsd-disclaimer": "this software is provided by {{holder:1,8}} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness "
+    "for a particular purpose are disclaimed in no event shall {{holder:1,8}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to "
+    "procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort "
+    "including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "bsd-endorsement": "neither the name of {{holder:1,10}} nor the names of [[its]] [[the]] contributors may be used to endorse or promote products derived from this software without specific prior "
+    "written permission",
+    "mit-conditions": "the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software",
+    "mit-disclaimer": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and "
+    "noninfringement in no event shall the {{holder:1,8}} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection "
+    "with the software or the use or other dealings in the software",
+    "isc": "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice "
+    "appear in all copies",
+    "zlib": "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is "
+    "granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+    "as a compiled binary for any purpose commercial or non commercial and by any means",
+    "apache-header": "you may not use this {{file:1,3}} except in compliance with the license [[you may obtain a copy of the license at {{address:1,8}}]] [[unless required by applicable law or agreed "
+    "to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied]]",
     "copyright-notice": "copyright [[c]] {{year:1,2}} {{holder:1,8}} all rights reserved",
 }
 
@@ -166,12 +185,20 @@ class Scanner:
         words = text.encode().translate(TO_WORDS).split()
         line = b" %s " % b" ".join(words)
         hits = [(at, label) for phrase, label in self.phrases for at in self._places(line, phrase)]
-        starts = [line.count(b" ", 0, at + 1) - 1 for at in (min(hits)[0], max(hits)[0])] if hits else [None, None]
+        gaps = None  # byte positions of the spaces, made once if a place is asked for
+
+        def word_at(place: int) -> int:
+            nonlocal gaps
+            if gaps is None:
+                gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+            return int(np.searchsorted(gaps, place))
+
+        starts = [word_at(at) for at in (min(hits)[0], max(hits)[0])] if hits else [None, None]
         base, labels, spans = {label for _, label in hits}, set(), []
         for label, (mandatory, automaton) in self.templates.items():
             for at in self._places(line, mandatory):
                 # the anchor may stand behind optional or replaceable wording: try each start in reach, the first wins
-                stands = line.count(b" ", 0, at + 1) - 1
+                stands = word_at(at)
                 for start in range(max(0, stands - len(automaton.word)), stands + 1):
                     if (end := automaton.longest(words, start)) >= stands + mandatory.count(b" ") - 1:
                         labels.add(label)

@@ -371,6 +371,39 @@ def test_licenses(spark, odd, none):
     assert C.scan_licenses(none).collect() == []
 
 
+MIT = """MIT License  Copyright (c) 2020 Jane Doe  Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to
+do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_license_texts():
+    scanner = C.Scanner(C.TEMPLATES, C.BASE)
+    *_, labels, score = scanner.scan(MIT)
+    assert labels == ["mit", "mit-conditions", "mit-disclaimer"] and score > 0.5
+    assert "mit-disclaimer" not in scanner.scan(MIT.replace("FITNESS", "SHAPE"))[5]
+
+
+def test_license_scan_takes_linear_time():
+    notice, took = "Licensed under the Apache License, Version 2.0. This is free text under the MIT license. ", []
+    for n in (2_000, 20_000):
+        began = time.time()
+        found = C.Scanner(C.TEMPLATES, C.BASE).scan(notice * n)
+        took.append(time.time() - began)
+        assert found[1] == 2 * n and found[0] == 16 * n and found[2:4] == (3, 16 * n - 2)
+    assert took[1] < 40 * took[0]
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(None, f"ka lo {k % 50}", "aa") for k in range(400)] + [(1, "x" * (L.LONGEST + 1), "bb")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(L.sample_rows(docs, 40, "doc_id", "text", "lang")) <= 40
+    assert {label for _, label in L.sample_rows(docs, 1000, "doc_id", "text", "lang")} == {"aa"}
+
+
 def test_template_automaton():
     a = C.compile_template("[[this {{w:1,3}} is]] under {{who:0,2}} the license [[or [[any]] later]]")
     run = lambda s: a.longest(s.encode().split(), 0)
