@@ -128,16 +128,21 @@ def train(
     return Model(classes, table.astype(np.float32), bias, float(heat), floor, bits)
 
 
+#: Longest text that is learnt from, in characters; with `sample` it bounds what the driver gets.
+LONGEST = 100_000
+
+
 def sample_rows(docs: DataFrame, sample: int, id_col: str, text_col: str, label_col: str) -> list[tuple[str, str]]:
-    """About `sample` labelled rows (all, if there are fewer): those whose id's hash is below the fitting quantile.
+    """At most `sample` labelled rows (all, if there are fewer): those with the smallest hashes of id and text.
 
-    The tasks filter by the hash, so that only rows of the sample leave them, whatever the number of partitions.
+    Texts of more than LONGEST characters aren't learnt from. The tasks filter by the hash first, so that few rows more
+    than the sample leave them, whatever the number of partitions; equal rows can't push others out.
     """
-    labelled = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    share = min(1.0, sample / max(1, labelled.count()))
-    h = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40))
+    labelled = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= LONGEST))
+    share = min(1.0, 1.1 * sample / max(1, labelled.count()))
+    h = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(1 << 40))
     few = labelled.filter(h < int(share * (1 << 40))).select(h.alias("h"), F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
-    return [(r["text"], r["label"]) for r in sorted(few.collect())]
+    return [(r["text"], r["label"]) for r in sorted(few.orderBy("h", "label").limit(sample).collect())]
 
 
 def fit(docs: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", **options) -> Model:

@@ -59,7 +59,7 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     model = fit(docs.filter(~held))
     found = identify(docs, model).withColumnRenamed("id", "doc_id")
-    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
