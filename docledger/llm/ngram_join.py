@@ -289,7 +289,7 @@ class NgramJoin:
         whole = found.groupBy("g").agg(*ways, F.count(F.lit(1)).alias("k"))
         once = cut(whole.groupBy("x1", "x2").agg(F.min("g").alias("g"), F.max("k").alias("k")).select("g", "k"), "ngram-groups")
         member = found.join(once.hint("merge"), "g").join(classes.select(F.col("lo").alias("v"), "n", "bits"), "v")
-        block = F.least(F.lit(4096.0), F.pow(F.lit(2.0), 28 - F.col("c").bitwiseAND(63)))  # of 32 MiB of parities at most
+        block = F.least(F.lit(512.0), F.pow(F.lit(2.0), 28 - F.col("c").bitwiseAND(63)))  # of 32 MiB of parities at most
         tiled = tiles(member.withColumnRenamed("g", "c"), F.col("k") / F.greatest(block, F.lit(16.0)), "n", "bits")
         out = cut(self.near(tiled), "ngram-near")
         release(shared, found, once)
