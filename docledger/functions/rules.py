@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import squeeze
+from .text import split_items, squeeze
 
 # Spreadsheet error tokens, exact labels and anchored patterns of tokens that are no menu items.
 EXCEL_ERRORS = (
@@ -59,12 +59,13 @@ def first_match(rules: list[tuple[Column, Column]], otherwise: Column) -> Column
     return out
 
 
-def token_category(token: Column) -> Column:
+def token_category(token: Column, squeezed: Column | None = None) -> Column:
     """What a token is, if no item: the first of seven categories that matches it whole; null for items.
 
-    token should be NFKC-normalised where it may hold compatibility characters.
+    token should be NFKC-normalised where it may hold compatibility characters. squeezed: its comparison form as a
+    column, where many tokens are told apart; else it is made in each test.
     """
-    t = squeeze(token)
+    t = squeeze(token) if squeezed is None else squeezed
     label = lambda x: F.lit(x)
     cost = t.isin(*COST_LABELS)
     for p in COST_PATTERNS:
@@ -83,6 +84,12 @@ def token_category(token: Column) -> Column:
     )
 
 
+def menu_tokens(text: Column) -> Column:
+    """Tokens of a cell's text: one for a single line that is an artifact as a whole, else its items."""
+    single = ~text.rlike(r"[\n\r]") & token_category(F.trim(text)).isNotNull()
+    return F.when(single, F.array(F.trim(text))).otherwise(split_items(text))
+
+
 def split_artifacts(items: Column) -> Column:
     """struct(clean, artifacts, unsafe) of an ordered item array.
 

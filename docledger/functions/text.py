@@ -124,6 +124,15 @@ def a1_column(c: Column) -> Column:
     return F.aggregate(F.filter(letters, lambda x: x != ""), F.lit(0), lambda a, x: a * 26 + F.ascii(x) - 64)
 
 
+def a1(row: Column, column: Column) -> Column:
+    """A1 coordinate of a cell; columns up to ZZZ."""
+    n = column.cast("int") - 1
+    letter = lambda k: F.char(F.lit(65) + F.pmod(k, F.lit(26)).cast("int"))
+    two, three = F.floor(n / 26) - 1, F.floor((F.floor(n / 26) - 1) / 26) - 1
+    head = F.concat(F.when(three >= 0, letter(three)).otherwise(F.lit("")), F.when(two >= 0, letter(two)).otherwise(F.lit("")))
+    return F.concat(head, letter(n), row.cast("string"))
+
+
 def split_items(c: Column) -> Column:
     """Items of a list text: split on separators outside brackets, trimmed, empty ones dropped.
 
