@@ -103,15 +103,6 @@ def best_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.groupBy("user_id").agg(F.min_by("event_type", F.struct((-F.col("n")).alias("a"), "event_type")).alias("best_column"), F.max("n").alias("n"))
 
 
-@query("""
-    SELECT source, arg_min(doc_id, (CASE WHEN lang = 'fr' AND n_chars > 500 THEN 0 WHEN lang <> 'de' THEN 1 ELSE 2 END, doc_id)) AS chosen FROM documents GROUP BY 1
-""")
-def sheet_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First sheet of the best tier: here, per source, a long French document, else one that isn't German, else any."""
-    tier = F.when((F.col("lang") == "fr") & (F.col("n_chars") > 500), 0).when(F.col("lang") != "de", 1).otherwise(2)
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.min_by("doc_id", F.struct(tier.alias("t"), "doc_id")).alias("chosen"))
-
-
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as menu sheets: a header row, a row per turn with a day number, three meal columns."""
     c = table(spark, sf_dir, "conversations")

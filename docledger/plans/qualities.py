@@ -230,17 +230,6 @@ def row_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("conv_id", F.array_join(issues, ",").alias("issues"))
 
 
-@query("""
-    SELECT source, CAST(sum((n_chars < 20)::INT) AS BIGINT) AS invalid, CAST(sum((n_chars BETWEEN 20 AND 200)::INT) AS BIGINT) AS warnings,
-      CASE WHEN sum((n_chars < 20)::INT) > 0 THEN 'FAIL' WHEN sum((n_chars BETWEEN 20 AND 200)::INT) > 0 THEN 'PARTIAL' ELSE 'PASS' END AS status FROM documents GROUP BY 1
-""")
-def doc_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad, warn = F.count_if(F.col("n_chars") < 20), F.count_if(F.col("n_chars").between(20, 200))
-    return table(spark, sf_dir, "documents").groupBy("source").agg(
-        bad.alias("invalid"), warn.alias("warnings"), F.when(bad > 0, "FAIL").when(warn > 0, "PARTIAL").otherwise("PASS").alias("status")
-    )
-
-
 @query("""
     WITH s AS (SELECT source, bool_or(lang = 'de') AS de FROM documents GROUP BY 1)
     SELECT doc_id, CASE WHEN lang = 'fr' AND n_chars > 2000 THEN 'mixed' WHEN lang = 'fr' THEN 'staff' WHEN de AND n_chars < 300 THEN 'ambiguous' ELSE 'unknown' END AS role FROM documents JOIN s USING (source)
