@@ -110,6 +110,17 @@ def link_id(c: Column, keys: tuple[str, ...] = ("id", "no", "seq")) -> Column:
     return F.coalesce(*[F.nullif(w, F.lit("")) for w in ways])
 
 
+# How links, scripts and queries of the site name a post.
+POST_CALL, POST_PATH, POST_KEYS = r"jf_viewArtcl\(\s*['\"][^'\"]+['\"]\s*,\s*['\"](\d+)['\"]\s*\)", r"/(\d+)/artclView\.do", ("artclSeq", "articleNo", "nttId")
+
+
+def post_id(c: Column) -> Column:
+    """Id of a post in a link or script: the call's, else the path's, else a query key's, else a key's with any separator."""
+    ways = [F.regexp_extract(c, POST_CALL, 1), F.regexp_extract(c, POST_PATH, 1), *[F.regexp_extract(c, rf"[?&]{k}=([^&#]+)", 1) for k in POST_KEYS]]
+    ways.append(F.regexp_extract(c, rf"(?:{'|'.join(POST_KEYS)})[=,'\"\s]+(\d+)", 1))
+    return F.coalesce(*[F.nullif(w, F.lit("")) for w in ways])
+
+
 def short_id(c: Column, n: int = 24) -> Column:
     return F.substring(F.sha2(c, 256), 1, n)
 
@@ -167,6 +178,41 @@ def ends_label(c: Column, rules: dict[str, str], default: str = "other") -> Colu
     return out
 
 
+# Suffixes of institution names with their types and letters, a name with a type of its own, places of branches.
+NAME_TYPES = {"지소": "branch", "구치소": "detention_center", "교도소": "prison"}
+NAME_LETTERS = {"교도소": "교", "구치소": "구"}
+OWN_TYPES, BRANCHES, BRANCH = {"소망교도소": "private_prison"}, ("평택", "서산", "논산"), "지소"
+
+
+def name_type(name: Column) -> Column:
+    """Type that an institution's name tells by its end."""
+    out = ends_label(name, NAME_TYPES)
+    for own, kind in OWN_TYPES.items():
+        out = F.when(name == own, F.lit(kind)).otherwise(out)
+    return out
+
+
+def short_name(name: Column) -> Column:
+    """A branch by its place; else the last word of the name becomes its letter."""
+    out = name
+    for suffix, letter in NAME_LETTERS.items():
+        out = F.when(name.endswith(suffix), F.concat(F.regexp_replace(name, f"{suffix}$", ""), F.lit(letter))).otherwise(out)
+    for place in reversed(BRANCHES):
+        out = F.when(name.endswith(BRANCH) & name.contains(place), F.lit(place + BRANCH)).otherwise(out)
+    return out
+
+
+def name_aliases(name: Column, raw: Column, more: Column | None = None) -> Column:
+    """Sorted names under which an institution is known."""
+    ways = [name, raw, F.replace(name, F.lit(" "), F.lit(""))]
+    for suffix, letter in NAME_LETTERS.items():
+        base = F.regexp_replace(name, f"{suffix}$", "")
+        ways += [F.when(name.endswith(suffix), F.concat(base, F.lit(x))) for x in (letter, f"({letter})")]
+    found = F.array_compact(F.array(*ways))
+    found = F.concat(found, F.coalesce(more, F.array().cast("array<string>"))) if more is not None else found
+    return F.array_sort(F.array_distinct(F.filter(found, lambda x: x != "")))
+
+
 def contains_label(c: Column, rules: dict[str, tuple[str, ...]]) -> Column:
     """Label of the first rule with a word that the text contains; null if none."""
     out = F.lit(None).cast("string")

@@ -128,3 +128,26 @@ def refresh(df: DataFrame, existing: Column, position: str, n: int) -> DataFrame
     """All new rows, and the n first existing ones: new rows don't use the budget."""
     old = df.filter(existing).orderBy(position).limit(n)
     return df.filter(~existing).unionByName(old)
+
+
+def merge_attachments(old: DataFrame, new: DataFrame, refreshed: DataFrame, key: list[str]) -> DataFrame:
+    """Attachments after a refresh of posts. Both sides: key, sha256, status and more; refreshed: keys of posts that came again.
+
+    The old row stays if its refresh failed, or if that found the same content and calls it a duplicate of what is there;
+    else the new row counts. Old rows of refreshed posts that came without them are dropped, all others stay.
+    """
+    names = [c for c in old.columns if c not in key]
+    a, b = (df.select(*key, F.struct(*names).alias(side)) for df, side in ((old, "a"), (new, "b")))
+    gone = refreshed.select(*key).distinct().withColumn("__came", F.lit(True))
+    both = a.join(b, key, "full_outer").join(gone, key, "left")
+    had = F.col("a.sha256").isNotNull()
+    failed = had & (F.col("b.status") == "failed")
+    again = had & (F.col("a.sha256") == F.col("b.sha256")) & (F.col("a.status") == "downloaded") & (F.col("b.status") == "duplicate")
+    keep = F.col("b").isNull() | F.coalesce(F.col("a").isNotNull() & (failed | again), F.lit(False))
+    out = both.filter(F.col("b").isNotNull() | F.col("__came").isNull()).withColumn("x", F.when(keep, F.col("a")).otherwise(F.col("b")))
+    return out.select(*key, "x.*")
+
+
+def unprocessed(df: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
+    """Rows that were not processed with this content yet."""
+    return df.join(done.select(*key).distinct(), key, "left_anti")

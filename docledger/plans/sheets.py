@@ -213,9 +213,9 @@ def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query(f"""
     WITH {EXPECTED}, p AS (
-        SELECT document_id, day, meal, unresolved, day(day) AS d, meal = 'lunch' AS l, 0 AS extra FROM q UNION ALL SELECT document_id, day, meal, unresolved, 6, TRUE, 1 FROM q WHERE day(day) = 6 AND meal = 'lunch'
-        UNION ALL SELECT document_id, day + 28, meal, unresolved, 7, TRUE, 2 FROM q WHERE day(day) = 7 AND meal = 'lunch' UNION ALL SELECT document_id, NULL, meal, unresolved, 8, TRUE, 3 FROM q WHERE day(day) = 8 AND meal = 'lunch'),
-    z AS (SELECT *, list_filter([IF(l AND d = 5 AND extra = 0, 'BLANK_MEAL', NULL), IF(extra = 2, 'DATE_OUTSIDE_MEAL_MONTH', NULL), IF(l AND d = 6, 'DUPLICATE_DATE_MEAL', NULL), IF(extra = 3, 'INVALID_DATE', NULL),
+        SELECT document_id, day, meal, unresolved, day(day) AS d, meal = 'lunch' AS l, 0 AS extra, len(clean) = 0 AS e FROM q UNION ALL SELECT document_id, day, meal, unresolved, 6, TRUE, 1, FALSE FROM q WHERE day(day) = 6 AND meal = 'lunch'
+        UNION ALL SELECT document_id, day + 28, meal, unresolved, 7, TRUE, 2, FALSE FROM q WHERE day(day) = 7 AND meal = 'lunch' UNION ALL SELECT document_id, NULL, meal, unresolved, 8, TRUE, 3, FALSE FROM q WHERE day(day) = 8 AND meal = 'lunch'),
+    z AS (SELECT *, list_filter([IF(e OR (l AND d = 5 AND extra = 0), 'BLANK_MEAL', NULL), IF(extra = 2, 'DATE_OUTSIDE_MEAL_MONTH', NULL), IF(l AND d = 6, 'DUPLICATE_DATE_MEAL', NULL), IF(extra = 3, 'INVALID_DATE', NULL),
           IF(l AND d = 3, 'INVALID_SOURCE_CELL', NULL), IF(l AND d = 2, 'MISSING_INPUT_LINK', NULL), IF(unresolved, 'UNRESOLVED_MENU_SLOT', NULL), IF(l AND d = 4, 'WEEKDAY_MISMATCH', NULL)], lambda x: x IS NOT NULL) AS i FROM p)
     SELECT document_id, day::VARCHAR AS day, meal, array_to_string(i, ',') AS issues, CASE WHEN len(i) = 0 THEN 'valid' WHEN i = ['DATE_OUTSIDE_MEAL_MONTH'] THEN 'warning' ELSE 'invalid' END AS status FROM z
 """)

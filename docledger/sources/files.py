@@ -57,17 +57,38 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
     return rows.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("stem"))
 
 
+def write_json_documents(rows: DataFrame, path: str) -> None:
+    """rows: stem and value (JSON text); the tasks write a file <stem>.json each into a folder of a store that pyarrow opens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = pa_fs.FileSystem.from_uri(path)
+        store.create_dir(folder)
+        for b in batches:
+            for stem, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                with store.open_output_stream(f"{folder}/{stem}.json") as out:
+                    out.write(value.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    rows.select("stem", "value").mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
+
+
 def read_binary(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
 
 
+def _package(content: Column) -> Column:
+    """Kind of a zip package by the name of its first members: the local headers near its start hold them."""
+    start = F.decode(F.substring(content, 1, 4096), "ISO-8859-1")
+    return F.when(start.contains("mimetypeapplication/hwp+zip"), "hwpx").when(start.contains("[Content_Types].xml") | start.contains("xl/workbook.xml"), "ooxml").otherwise("zip")
+
+
 def detected_format(content: Column) -> Column:
-    """Format by signature, whatever the name says."""
+    """Format by signature and first members, whatever the name says. Four kilobytes of the content are enough."""
     head = F.hex(F.substring(content, 1, 8))
     return (
         F.when(head.startswith("25504446"), "pdf")
         .when(head.startswith("D0CF11E0A1B11AE1"), "ole")
-        .when(head.startswith("504B0304"), "zip")
+        .when(head.startswith("504B0304"), _package(content))
         .when(head.startswith("50415231"), "parquet")
         .otherwise("unknown")
     )

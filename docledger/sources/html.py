@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import collapse
+
 
 class _Rows(HTMLParser):
     """Cells of table rows (text, tag, first link) and all anchors (href, text), in page order."""
@@ -127,8 +129,58 @@ def directory(rows: DataFrame, page: str = "page_id") -> DataFrame:
     )
 
 
+def labelled(rows: DataFrame, label: str, page: str = "page_id") -> DataFrame:
+    """page, value: text of the first cell behind one that holds just the label, in page order; empty values don't count."""
+    at = F.array_position(F.transform("cells", lambda c: collapse(c["text"]) == label), True)
+    value = F.when(at > 0, collapse(F.get("cells", at.cast("int"))["text"]))
+    found = rows.select(page, "row", value.alias("value")).filter("value <> ''")
+    return found.groupBy(page).agg(F.min_by("value", "row").alias("value"))
+
+
+# Paths, query keys and the closing label of attachment links.
+DOWNLOAD, ATTACHMENT = r"(?:download|atchFileDownload)\.do", r"/(\d+)/(?:download|atchFileDownload)\.do"
+ATTACHMENT_KEYS, VIEW_LABEL = ("fileSeq", "atchFileId", "fileId"), r"\s*바로보기\s*$"
+
+
+def attachments(anchors: DataFrame, base: Column, page: str = "page_id") -> DataFrame:
+    """page, attachment_id, filename, url: links to files, each id once (its first link), without the label for viewing.
+
+    anchors: page, pos, href, text and what `base` needs. The id is a part of the path or of the query, else the URL.
+    """
+    from ..functions.text import absolute_url
+    from ..operators.catalog import first_per
+
+    url = absolute_url(F.col("href"), base)
+    ways = [F.regexp_extract("href", ATTACHMENT, 1), *[F.regexp_extract("href", rf"[?&]{k}=([^&#]+)", 1) for k in ATTACHMENT_KEYS]]
+    ident = F.coalesce(*[F.nullif(w, F.lit("")) for w in ways], url)
+    rows = anchors.filter(F.col("href").rlike(DOWNLOAD)).select(page, "pos", ident.alias("attachment_id"), url.alias("url"), F.trim(F.regexp_replace(collapse(F.col("text")), VIEW_LABEL, "")).alias("name"))
+    named = F.coalesce(F.nullif("name", F.lit("")), F.concat(F.lit("attachment-"), "attachment_id"))
+    return first_per(rows, [page, "attachment_id"], [F.col("pos")]).select(page, "attachment_id", named.alias("filename"), "url")
+
+
+def named_links(anchors: DataFrame, names: DataFrame, name: str, page: str = "page_id") -> DataFrame:
+    """page, name, href: the first link whose text is a name, or begins with it and a parenthesis; spaces don't count."""
+    key = F.regexp_extract(F.replace("text", F.lit(" "), F.lit("")), r"^([^(]*)", 1)
+    keyed = anchors.select(page, "pos", "href", key.alias(name)).join(names.select(name).distinct(), name)
+    return keyed.groupBy(page, name).agg(F.min_by("href", "pos").alias("href"))
+
+
+def own_host_link(anchors: DataFrame, base: Column, wanted: Column, page: str = "page_id") -> DataFrame:
+    """page, target: the first link with the wanted text whose host is the page's own; hosts that can't be told never agree."""
+    from ..functions.text import absolute_url
+
+    host = lambda u: F.nullif(F.lower(F.regexp_extract(u, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1)), F.lit(""))
+    target = absolute_url(F.col("href"), base)
+    rows = anchors.filter(wanted).select(page, "pos", target.alias("target"), (host(target) == host(base)).alias("same"))
+    return rows.filter("same").groupBy(page).agg(F.min_by("target", "pos").alias("target"), F.count(F.lit(1)).alias("n"))
+
+
+# How a page's script sets its marker.
+MARKER = r"position\s*=\s*new\s+(?:kakao|daum)\.maps\.LatLng\(\s*([+-]?\d+(?:\.\d+)?)\s*,\s*([+-]?\d+(?:\.\d+)?)\s*\)"
+
+
 def marker(html: Column) -> Column:
-    """struct(lat, lon) of `new ...LatLng(a, b)`, if a page names exactly one distinct pair."""
-    found = F.array_distinct(F.regexp_extract_all(html, F.lit(r"new\s+[\w.]*LatLng\(\s*(-?[\d.]+\s*,\s*-?[\d.]+)\s*\)"), F.lit(1)))
-    parts = F.split(F.get(found, 0), r"\s*,\s*")
-    return F.when(F.size(found) == 1, F.struct(F.get(parts, 0).try_cast("double").alias("lat"), F.get(parts, 1).try_cast("double").alias("lon")))
+    """struct(lat, lon) of the marker that a page's script sets, if it is exactly one distinct point."""
+    parts = [F.transform(F.regexp_extract_all(html, F.lit(MARKER), F.lit(k)), lambda x: x.cast("double")) for k in (1, 2)]
+    found = F.array_distinct(F.zip_with(*parts, lambda a, b: F.struct(a.alias("lat"), b.alias("lon"))))
+    return F.when(F.size(found) == 1, F.get(found, 0))
