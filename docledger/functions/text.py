@@ -167,7 +167,10 @@ def split_items(c: Column) -> Column:
         return F.transform(F.filter(trimmed, lambda x: x != ""), lambda x: F.replace(x, F.lit("\ue000"), F.lit("/")))
 
     parts = F.aggregate(F.filter(F.split(masked, ""), lambda x: x != ""), zero, step, finish)
-    return F.when(masked.startswith("="), F.array(F.trim(c))).otherwise(parts)
+    flat = F.transform(F.split(masked, f"[{''.join(SEPARATORS)}]"), lambda x: F.btrim(x, F.lit(TRIMMED)))
+    flat = F.transform(F.filter(flat, lambda x: x != ""), lambda x: F.replace(x, F.lit("\ue000"), F.lit("/")))
+    # without an opening bracket every separator splits
+    return F.when(masked.startswith("="), F.array(F.trim(c))).when(~masked.rlike(r"[(\[（]"), flat).otherwise(parts)
 
 
 def ends_label(c: Column, rules: dict[str, str], default: str = "other") -> Column:

@@ -53,3 +53,30 @@ def prefix_rollup(df: DataFrame, path: Column, size: Column, depth: int = 2) ->
 
 def tag_profile(html: Column, tags: tuple[str, ...]) -> list[Column]:
     return [F.regexp_count(html, F.lit(rf"(?i)<{t}[\s>]")).alias(f"n_{t}") for t in tags]
+
+
+def compare_versions(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, before_n, after_n, added: counts of two versions side by side."""
+    count = lambda df, x: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(x))
+    both = count(new, "after_n").join(count(old, "before_n"), keys, "full_outer").fillna(0, ["before_n", "after_n"])
+    return both.select(*keys, "before_n", "after_n", (F.col("after_n") - F.col("before_n")).alias("added"))
+
+
+def sheet_profile(cells: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
+    """Per document and sheet: cells with text, used range, formulas, numbers, keywords found."""
+    from .grid import SHEET, complete, used_range
+
+    c = complete(cells).filter("text <> ''")
+    number = F.regexp_replace("text", ",", "").try_cast("double").isNotNull() & F.col("text").rlike(r"[\d.]\s*$")
+    found = F.lit(0)
+    for w in keywords:
+        found = found + F.max(F.col("text").contains(w).cast("int"))
+    per = c.groupBy(*SHEET).agg(F.count(F.lit(1)).alias("n_cells"), F.count_if("formula").alias("n_formulas"), F.count_if(number).alias("n_numbers"), found.cast("long").alias("n_keywords"))
+    return used_range(cells).join(per, SHEET)
+
+
+def top_values(df: DataFrame, keys: list[str], value: str, n: int = 12) -> DataFrame:
+    """keys, value, count, rank: the n most frequent values of each key, by count and then by value."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("count"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("count"), value))
+    return counts.withColumn("rank", rank).filter(F.col("rank") <= n)

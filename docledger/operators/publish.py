@@ -71,6 +71,24 @@ def fingerprints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(part(k)).alias(f"digest_{k}") for k in range(4)])
 
 
+def ordered_versions(df: DataFrame, keys: list[str], row_id: str, digest: str, block: int = 1000, n: int = 24) -> DataFrame:
+    """version, keys, n: a digest of ids and digests in order of ids, in two levels, so that no row holds more than a block of ids or
+    one digest a block."""
+    line = F.concat_ws(":", row_id, digest)
+    blocks = df.select(*keys, F.floor(F.col(row_id) / block).alias("block"), F.struct(F.col(row_id).alias("i"), line.alias("x")).alias("s")).groupBy(*keys, "block")
+    one = blocks.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("s"))["x"], ","), 256).alias("d"), F.count(F.lit(1)).alias("n"))
+    per = one.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block", F.concat_ws(":", "block", "d").alias("x")))).alias("s"), F.sum("n").alias("n"))
+    return per.select(F.substring(F.sha2(F.array_join(F.col("s.x"), ","), 256), 1, n).alias("version"), *keys, "n")
+
+
+def months_changed(before: DataFrame, after: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+    """keys, state of each partition after a delivery: added, updated (rows came or went), same."""
+    count = lambda df, x: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{x}_n"), F.sum(F.xxhash64(row_id).cast("decimal(38,0)")).alias(f"{x}_h"))
+    both = count(after, "a").join(count(before, "b"), keys, "left")
+    same = (F.col("a_n") == F.col("b_n")) & (F.col("a_h") == F.col("b_h"))
+    return both.select(*keys, F.when(F.col("b_n").isNull(), "added").when(same, "same").otherwise("updated").alias("state"))
+
+
 def changed_partitions(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Partitions that were added, dropped or whose content differs."""
     a, b = fingerprints(old, keys, columns), fingerprints(new, keys, columns)

@@ -90,13 +90,13 @@ def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT source, count(*) AS n, array_to_string(list_sort(list(doc_id)), ',') AS ids FROM documents ANTI JOIN labels USING (doc_id) GROUP BY 1
+    WITH l AS (SELECT source, doc_id FROM documents ANTI JOIN labels USING (doc_id)) SELECT source, doc_id, count(*) OVER (PARTITION BY source) AS n FROM l
 """)
 def unresolved_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without a label, by source: the report is a list of ids."""
+    """Documents without a label, a row each, with how many their source has: no list of a source's ids is gathered."""
     lone = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti")
-    out = lone.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("doc_id")).alias("ids"))
-    return out.withColumn("ids", F.array_join(F.transform("ids", lambda x: x.cast("string")), ","))
+    counts = lone.groupBy(F.col("source").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    return lone.join(counts, F.col("source").eqNullSafe(F.col("of"))).select("source", "doc_id", "n")
 
 
 @query("SELECT doc_id, lang, source FROM documents WHERE lang IS NULL OR lang NOT IN ('en', 'fr')")
@@ -139,14 +139,8 @@ def item_count_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH s AS (SELECT conv_id, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(regexp_extract_all(text, '[0-9]'))) AS BIGINT) AS digits, bool_or(regexp_matches(text, '(?i)total')) AS keyword FROM conversations GROUP BY 1)
-    SELECT conv_id, n, chars, digits, keyword FROM s
+    WITH c AS (SELECT source, lang, count(*) AS count FROM documents GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY count DESC, lang) AS INT) AS rank FROM c QUALIFY rank <= 2
 """)
-def cell_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structural profile per conversation, as a sheet's: rows, characters, digits, a keyword."""
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.length("text")).cast("long").alias("chars"),
-        F.sum(F.regexp_count("text", F.lit("[0-9]"))).cast("long").alias("digits"),
-        F.bool_or(F.col("text").rlike("(?i)total")).alias("keyword"),
-    )
+def top_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two most frequent languages of each source, as a sheet's most frequent number formats."""
+    return A.top_values(table(spark, sf_dir, "documents").select("source", "lang"), ["source"], "lang", 2)

@@ -61,11 +61,12 @@ def catalog_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.upsert(base.withColumn("failed", F.lit(False)), new, ["k"], F.col("new_failed"), ["d", "v", "failed"]).drop("failed")
 
 
-@query(f"WITH {OLD_NEW} SELECT b.k, b.d AS old_digest, i.d AS new_digest FROM b JOIN i ON b.k = i.k WHERE b.d <> i.d AND NOT i.failed")
+@query(f"WITH {OLD_NEW} SELECT b.k, b.d AS old_digest, i.d AS new_digest FROM b JOIN i ON b.k = i.k WHERE b.d <> i.d AND NOT i.failed AND b.k % 8 <> 0")
 def change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, new = _old_new(spark, sf_dir)
     events = C.change_events(base, new, ["k"], "d", F.col("failed"))
-    return C.append_new(events.limit(0), events, ["k", "old_digest", "new_digest"])
+    history = events.filter("k % 8 = 0")  # recorded by an earlier run
+    return C.append_new(history, events.unionByName(events.filter("k % 3 = 0")), ["k", "old_digest", "new_digest"])
 
 
 @query("""

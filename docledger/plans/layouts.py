@@ -56,16 +56,6 @@ def period_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.mode_first_seen(table(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
 
 
-@query("""
-    SELECT conv_id, coalesce(min(IF(role = 'system' OR length(text) < 40, turn, NULL)) - 1, max(turn)) AS body_end FROM conversations WHERE turn > 0 GROUP BY 1
-""")
-def footer_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last row of a body: before the first footer-like row below the header, else the last row."""
-    c = table(spark, sf_dir, "conversations").filter("turn > 0")
-    footer = F.when((F.col("role") == "system") | (F.length("text") < 40), F.col("turn"))
-    return c.groupBy("conv_id").agg(F.coalesce(F.min(footer) - 1, F.max("turn")).alias("body_end"))
-
-
 @query("""
     SELECT conv_id, turn, last_value(IF(role = 'user', turn, NULL) IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nearest FROM conversations
 """)
@@ -85,24 +75,6 @@ def inherit_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.effective_text(cells, ["conv_id"], "turn", "text", "parent").select("conv_id", "turn", "effective")
 
 
-@query("""
-    WITH r AS (SELECT conv_id, turn FROM conversations WHERE length(text) > 100), p AS (SELECT conv_id, min(turn) AS header FROM r GROUP BY 1)
-    SELECT conv_id, header FROM p
-""")
-def header_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").filter(F.length("text") > 100).groupBy("conv_id").agg(F.min("turn").alias("header"))
-
-
-@query("""
-    WITH n AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE value > 5 GROUP BY ALL)
-    SELECT user_id, arg_min(event_type, (-n, event_type)) AS best_column, max(n) AS n FROM n GROUP BY 1
-""")
-def best_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user, the column (event type) with most qualifying cells; ties to the first name."""
-    n = table(spark, sf_dir, "events").filter("value > 5").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    return n.groupBy("user_id").agg(F.min_by("event_type", F.struct((-F.col("n")).alias("a"), "event_type")).alias("best_column"), F.max("n").alias("n"))
-
-
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as menu sheets: a header row, a row per turn with a day number, three meal columns."""
     c = table(spark, sf_dir, "conversations")
@@ -110,7 +82,7 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = c.select("conv_id", (F.col("turn") + 2).cast("int").alias("row"), F.lit(1).alias("col"), (F.col("turn") + 1).cast("string").alias("text"))
     words = F.filter(F.split("text", r"\s+"), lambda x: x != "")
     meals = c.select("conv_id", (F.col("turn") + 2).cast("int").alias("row"), F.explode(F.sequence(F.lit(2), F.lit(4))).alias("col"), words.alias("w"))
-    food = meals.select("conv_id", "row", "col", F.concat_ws("/", F.slice("w", F.col("col") * 2 - 3, 2)).alias("text")).filter("text <> ''")
+    food = meals.select("conv_id", "row", "col", F.concat_ws("/", F.filter("w", lambda x, i: i % 3 == F.col("col") - 2)).alias("text")).filter("text <> ''")
     cells = heads.unionByName(days).unionByName(food)
     return cells.select(F.col("conv_id").cast("string").alias("document_id"), F.lit("s").alias("sheet"), "row", F.col("col").alias("column"), "text")
 
@@ -125,7 +97,7 @@ def grid_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 WORDS = """
     w AS (SELECT conv_id, turn, list_filter(string_split_regex(text, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w FROM conversations),
     m AS (SELECT conv_id, turn, unnest([1, 2, 3]) AS k, w FROM w),
-    c AS (SELECT conv_id, turn, k, w[k * 2 - 1 : k * 2] AS x FROM m WHERE len(w) >= k * 2 - 1 AND conv_id IN (SELECT conv_id FROM conversations GROUP BY 1 HAVING count(*) >= 5))
+    c AS (SELECT conv_id, turn, k, list_filter(w, lambda x, i: (i - 1) % 3 = k - 1) AS x FROM m WHERE len(w) >= k AND conv_id IN (SELECT conv_id FROM conversations GROUP BY 1 HAVING count(*) >= 5))
 """
 
 

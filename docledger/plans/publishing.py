@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import short_id
 from ..operators import publish as P
 from ..session import table
 from ..shared import cut
@@ -48,7 +47,21 @@ def dedup_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("documents", F.array_join(F.transform("documents", lambda d: d.cast("string")), ","))
 
 
-@query()
+def _merge_sql(rounds: int = 10) -> str:
+    """Rounds of rejection one after the other, more than any of the given tables needs."""
+    steps = ["b AS (SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem WHERE l_orderkey % 2 = 0)",
+             "i AS (SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, IF(l_orderkey % 2 = 0, 'X', l_linestatus) AS l_linestatus FROM lineitem WHERE l_orderkey % 2 = 1 OR l_orderkey % 10 = 0)",
+             "a0 AS (SELECT DISTINCT l_orderkey FROM i)"]
+    for k in range(rounds):
+        steps += [
+            f"n{k} AS MATERIALIZED (SELECT * FROM b ANTI JOIN a{k} USING (l_orderkey) UNION ALL SELECT * FROM i SEMI JOIN a{k} USING (l_orderkey))",
+            f"s{k} AS (SELECT l_partkey, l_suppkey FROM n{k} GROUP BY ALL HAVING count(DISTINCT (l_returnflag, l_linestatus)) > 1)",
+            f"a{k + 1} AS MATERIALIZED (SELECT l_orderkey FROM a{k} ANTI JOIN (SELECT DISTINCT l_orderkey FROM n{k} SEMI JOIN s{k} USING (l_partkey, l_suppkey)) USING (l_orderkey))",
+        ]
+    return f"WITH {', '.join(steps)} SELECT l_orderkey, IF(l_orderkey IN (SELECT l_orderkey FROM a{rounds}), 'accepted', 'rejected') AS outcome FROM a0"
+
+
+@query(_merge_sql())
 def merge_fixpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base: even orders; incoming: odd orders, and new versions of every tenth even order. Result: incoming documents and outcome."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
@@ -161,24 +174,13 @@ def month_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT substr(sha256(string_agg(doc_id || ':' || sha256(coalesce(text, '')), ',' ORDER BY source, doc_id)), 1, 24) AS version, source, count(*) AS n
-    FROM documents GROUP BY source
+    WITH b AS (SELECT source, doc_id // 1000 AS block, sha256(string_agg(doc_id || ':' || sha256(coalesce(text, '')), ',' ORDER BY doc_id)) AS d, count(*) AS n FROM documents GROUP BY ALL)
+    SELECT substr(sha256(string_agg(block || ':' || d, ',' ORDER BY block)), 1, 24) AS version, source, CAST(sum(n) AS BIGINT) AS n FROM b GROUP BY source
 """)
 def corpus_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Version per source: a digest over ids and content digests in order."""
-    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.concat_ws(":", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256)).alias("x"))
-    per = rows.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "x"))).alias("xs"), F.count(F.lit(1)).alias("n"))
-    return per.select(short_id(F.array_join(F.col("xs.x"), ",")).alias("version"), "source", "n")
-
-
-@query("""
-    WITH a AS (SELECT o_orderpriority AS k, count(*) AS n FROM orders WHERE o_orderdate < '1998-01-01' GROUP BY 1), b AS (SELECT o_orderpriority AS k, count(*) AS n FROM orders GROUP BY 1)
-    SELECT k, coalesce(a.n, 0) AS before_n, b.n AS after_n, b.n - coalesce(a.n, 0) AS added FROM b LEFT JOIN a USING (k)
-""")
-def version_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("k"))
-    out = per.agg(F.count_if(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).alias("before_n"), F.count(F.lit(1)).alias("after_n"))
-    return out.withColumn("added", F.col("after_n") - F.col("before_n"))
+    """Version per source: a digest over blocks of a thousand ids with their contents' digests, and one over the blocks, both in order."""
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    return P.ordered_versions(rows, ["source"], "doc_id", "sha256")
 
 
 @query("""
@@ -186,9 +188,10 @@ def version_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders GROUP BY 1
 """)
 def months_added(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cutoff = F.lit("2000-06-01").cast("timestamp_ntz")
-    per = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
-    return per.select("month", F.when(F.col("a") >= cutoff, "added").when(F.col("b") >= cutoff, "updated").otherwise("same").alias("state"))
+    """Months that a delivery from June 2000 on adds or updates."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    early = o.filter(F.col("o_orderdate") < F.lit("2000-06-01").cast("timestamp_ntz"))
+    return P.months_changed(early, o, ["month"], "o_orderkey")
 
 
 @query("""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions.text import squeeze
 from ..operators import quality as Q
 from ..session import table
 from .registry import query
@@ -144,11 +145,6 @@ def gate_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gated(spark, sf_dir).select("doc_id", "route")
 
 
-@query(f"WITH {DERIVED} SELECT route, coalesce(lang, 'undetected') AS layout, count(*) AS n FROM r GROUP BY ALL")
-def issue_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gated(spark, sf_dir).groupBy("route", F.coalesce("lang", F.lit("undetected")).alias("layout")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("""
     WITH i AS (SELECT doc_id, list_filter([CASE WHEN lang IS NULL THEN 'INVALID_LANG' END, CASE WHEN n_chars < 20 THEN 'BLANK' END, CASE WHEN n_chars <> length(text) THEN 'LENGTH_MISMATCH' END,
         CASE WHEN count(*) OVER (PARTITION BY sha256(text)) > 1 THEN 'DUPLICATE' END, CASE WHEN n_chars > 10000 THEN 'LONG' END], lambda x: x IS NOT NULL) AS c FROM documents)
@@ -182,18 +178,25 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", hits.alias("hits")).filter("hits <> ''")
 
 
+PLANTED = ("=SUM(A1)", "# REF!", "소 계", "1200원", "-", "부식물 단가", "※물량공급이어려울시 동일식군내대체가능.")
+KINDS_OF = ("formula_literal", "excel_error", "subtotal", "price", "placeholder", "cost_metadata", "instruction_note")
+
+
 @query("""
-    WITH t AS (SELECT doc_id, unnest(string_split_regex(text, '[\\n\\r/,]')) AS token FROM documents), c AS (SELECT doc_id, trim(token, ' ·•' || chr(9)) AS token FROM t)
+    WITH p AS (SELECT doc_id, text || '/' || coalesce([""" + ", ".join(f"'{x}'" for x in PLANTED) + """][doc_id % 9 + 1], 'x') AS text FROM documents),
+         t AS (SELECT doc_id, unnest(string_split_regex(text, '[\n\r/,]')) AS token FROM p), c AS (SELECT doc_id, trim(token, ' ·•' || chr(9)) AS token FROM t)
     SELECT category, count(*) AS n, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, CASE
-      WHEN ltrim(token) LIKE '=%' THEN 'formula_literal' WHEN regexp_full_match(regexp_replace(token, '\\s', '', 'g'), '0+(?:\\.0+)?|-') THEN 'placeholder' ELSE 'item' END AS category
+      WHEN ltrim(token) LIKE '=%' THEN 'formula_literal' """ + " ".join(f"WHEN token = '{x}' THEN '{k}'" for x, k in zip(PLANTED[1:4] + PLANTED[5:], KINDS_OF[1:4] + KINDS_OF[5:], strict=True)) + r"""
+      WHEN regexp_full_match(regexp_replace(token, '\s', '', 'g'), '0+(?:\.0+)?|-') THEN 'placeholder' ELSE 'item' END AS category
       FROM c WHERE token <> '') GROUP BY 1
 """)
 def token_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of all texts by category. Brackets don't occur around separators here, so a plain split is the oracle."""
-    text = F.regexp_replace("text", r"[()\[\]（）]", "")
+    """Tokens of all texts by category, with one of all seven planted. Brackets don't occur around separators here, so a plain split is the oracle."""
+    planted = F.coalesce(F.get(F.array(*map(F.lit, PLANTED)), (F.col("doc_id") % 9).cast("int")), F.lit("x"))
+    text = F.regexp_replace(F.concat("text", F.lit("/"), planted), r"[\[\]（）]", "")
     rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(text, r"[\n\r/,]")).alias("raw"))
-    tokens = rows.select("doc_id", F.btrim("raw", F.lit(" ·•\t")).alias("token")).filter("token <> ''")
-    kind = F.coalesce(R.token_category(F.col("token")), F.lit("item"))
+    tokens = rows.select("doc_id", F.btrim("raw", F.lit(" ·•\t")).alias("token")).filter("token <> ''").withColumn("squeezed", squeeze(F.col("token")))
+    kind = F.coalesce(R.token_category(F.col("token"), F.col("squeezed")), F.lit("item"))
     return tokens.groupBy(kind.alias("category")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("documents"))
 
 

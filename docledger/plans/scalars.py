@@ -9,6 +9,7 @@ from ..functions import dates as D
 from ..functions import rules as R
 from ..functions import text as T
 from ..session import table
+from ..sources import html as H
 from .registry import query
 
 
@@ -40,17 +41,17 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "pos", T.absolute_url(F.col("link"), F.col("url")).alias("target"))
 
 
-@query("""
-    WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)"', 1)) AS href FROM pages) SELECT page_id, min(href) AS first_link, count(*) AS n FROM l WHERE href LIKE '/t%' GROUP BY 1
+@query(r"""
+    WITH l AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS root, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages),
+         e AS (SELECT page_id, root, unnest(h) AS href, unnest(t) AS text, generate_subscripts(h, 1) AS pos FROM l)
+    SELECT page_id, arg_min(root || href, pos) AS first_link, count(*) AS n FROM e WHERE text LIKE 't%' AND href LIKE '/%' GROUP BY 1
 """)
 def link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of a page on its own host whose text starts with a prefix."""
-    rows = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)"'), F.lit(1))).alias("href"))
-    target = T.absolute_url(F.col("href"), F.col("url"))
-    same = F.try_parse_url(target, F.lit("HOST")) == F.try_parse_url("url", F.lit("HOST"))
-    # hosts are compared where both parse: words may hold characters that no URL has
-    out = rows.filter(F.coalesce(same, F.lit(True)) & F.col("href").startswith("/t"))
-    return out.groupBy("page_id").agg(F.min("href").alias("first_link"), F.count(F.lit(1)).alias("n"))
+    """First link of a page on its own host whose text starts with a letter. Links to other hosts and to none are planted before."""
+    foreign = F.lit('<a href="https://elsewhere.org/t">too far</a><a href="http://">to nowhere</a><a href="mailto:t@h.org">to someone</a>')
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.concat(foreign, "html").alias("html"))
+    anchors = H.links(pages).join(pages.select("page_id", "url"), "page_id")
+    return H.own_host_link(anchors, F.col("url"), F.col("text").startswith("t")).select("page_id", F.col("target").alias("first_link"), "n")
 
 
 @query("""
@@ -134,12 +135,15 @@ def weekday_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT page_id, array_to_string(list_transform(list_filter(string_split_regex(url, '[^0-9]+'), lambda x: try_cast(x AS BIGINT) BETWEEN 1 AND 31), lambda x: x::INT::VARCHAR), ',') AS days
-    FROM pages WHERE NOT regexp_matches(url, '[0-9]{3}')
+    SELECT page_id, IF(regexp_matches(t, '[0-9]{3}'), '', array_to_string(list_transform(list_filter(string_split_regex(t, '[^0-9]+'), lambda x: try_cast(x AS BIGINT) BETWEEN 1 AND 31), lambda x: x::INT::VARCHAR), ',')) AS days
+    FROM (SELECT page_id, IF(page_id % 2 = 0, url, page_id % 40 || '일, ' || page_id % 29 || '/' || page_id % 7) AS t FROM pages)
 """)
 def days_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").filter(~F.col("url").rlike("[0-9]{3}"))
-    return p.select("page_id", F.array_join(F.transform(D.days_in_text(F.col("url")), lambda d: d.cast("string")), ",").alias("days"))
+    """Day numbers of URLs, where three digits in a row leave none, and of lists of days."""
+    k = F.col("page_id")
+    listed = F.concat((k % 40).cast("string"), F.lit("일, "), (k % 29).cast("string"), F.lit("/"), (k % 7).cast("string"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.when(k % 2 == 0, F.col("url")).otherwise(listed).alias("t"))
+    return p.select("page_id", F.array_join(F.transform(D.days_in_text(F.col("t")), lambda d: d.cast("string")), ",").alias("days"))
 
 
 @query("""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import document_role
+from ..operators import audit as A
 from ..operators import grid as G
 from ..operators import periods as P
 from ..operators import quality as Q
@@ -360,3 +361,66 @@ def source_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = records.select(*keys, F.explode(F.when(short, F.slice("items", 1, 2)).otherwise(F.col("items"))).alias("item"))
     per = Q.multiset_overlap(source, found, keys, "item")
     return per.groupBy("document_id").agg(*[F.sum(x).alias(x) for x in ("n_a", "n_b", "n_both")])
+
+
+@query("""
+    SELECT s_suppkey::VARCHAR AS document_id, IF(s_suppkey % 4 = 0, 2, 1) AS header_row, IF(s_suppkey % 4 = 0, 3, 2) AS breakfast, IF(s_suppkey % 4 = 0, 4, 3) AS lunch, IF(s_suppkey % 4 = 0, 5, 4) AS dinner FROM supplier WHERE s_suppkey % 4 < 2
+""")
+def header_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First row of each sheet that names all meals, with their columns."""
+    return G.headers(_cells(spark, sf_dir)).select("document_id", "header_row", "columns.*")
+
+
+@query("SELECT s_suppkey::VARCHAR AS document_id, IF(s_suppkey % 4 = 0, 22, 16) AS body_end FROM supplier WHERE s_suppkey % 4 < 2")
+def footer_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last row of each table: before a merge from the labels into the meals, or before a note."""
+    cells = _cells(spark, sf_dir)
+    starts = G.headers(cells).select("document_id", "sheet", F.col("header_row").alias("start"), F.least("columns.breakfast", "columns.lunch", "columns.dinner").alias("first_meal"))
+    return G.body_ends(cells, starts, notes=True).select("document_id", "body_end")
+
+
+@query(f"""
+    WITH {EXPECTED}, g AS (SELECT document_id, any_value(family) AS layout, bool_or(unresolved) AS bad FROM q GROUP BY 1)
+    SELECT IF(bad, 'review', 'ready') AS route, layout, count(*) AS n FROM g GROUP BY ALL UNION ALL SELECT 'review', 'undetected', count(*) FROM supplier WHERE s_suppkey % 4 = 3
+""")
+def route_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes against layouts; documents without a layout count as undetected."""
+    cells, records = _records(spark, sf_dir)
+    judged = R.menu_quality(records, cells).groupBy("document_id").agg(F.collect_set("family").alias("families"), F.bool_or("unresolved").alias("bad"))
+    rows = _documents(spark, sf_dir).select("document_id").join(judged, "document_id", "left").withColumn("layout", F.explode(F.coalesce("families", F.array(F.lit("undetected")))))
+    return rows.groupBy(F.when(F.coalesce("bad", F.lit(True)), "review").otherwise("ready").alias("route"), "layout").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""
+    WITH {EXPECTED}, p AS (SELECT document_id, day(day) AS d, meal = 'lunch' AS l, len(clean) = 0 AS e, unresolved FROM q),
+    x AS (SELECT 'BLANK_MEAL' AS code, count(*) AS n FROM p WHERE e OR (l AND d = 5) UNION ALL SELECT 'DATE_OUTSIDE_MEAL_MONTH', count(*) FROM p WHERE l AND d = 7 UNION ALL SELECT 'DUPLICATE_DATE_MEAL', 2 * count(*) FROM p WHERE l AND d = 6
+      UNION ALL SELECT 'INVALID_DATE', count(*) FROM p WHERE l AND d = 8 UNION ALL SELECT 'INVALID_SOURCE_CELL', count(*) FROM p WHERE l AND d = 3 UNION ALL SELECT 'MISSING_INPUT_LINK', count(*) FROM p WHERE l AND d = 2
+      UNION ALL SELECT 'UNRESOLVED_MENU_SLOT', count(*) FROM p WHERE unresolved UNION ALL SELECT 'WEEKDAY_MISMATCH', count(*) FROM p WHERE l AND d = 4) SELECT * FROM x WHERE n > 0
+""")
+def issue_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each issue code stands in the records' arrays."""
+    cells, rows = _judged(spark, sf_dir)
+    issues = R.validate(rows, cells, F.lit(YEAR), F.lit(MONTH)).select(F.explode("issues").alias("code"))
+    return issues.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""
+    WITH {EXPECTED}, x AS (SELECT document_id, k, day(day) AS d, unnest(list_filter(i, lambda x: x IN ('#REF!', '-', '1,200원'))) AS t FROM r),
+    y AS (SELECT IF(t = '1,200원', 'excluded_from_menu', 'quarantined') AS action, CASE t WHEN '#REF!' THEN 'excel_error' WHEN '-' THEN 'placeholder' ELSE 'price' END AS category, k FROM x)
+    SELECT action, category, count(*) FILTER (k % 8 = 0) AS before_n, count(*) AS after_n, count(*) FILTER (k % 8 <> 0) AS added FROM y GROUP BY ALL
+""")
+def version_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artifacts by action and category in two versions; the first holds every other document of the shape."""
+    cells, records = _records(spark, sf_dir)
+    found = R.menu_quality(records, cells).select(F.col("document_id").cast("int").alias("k"), F.explode("artifacts").alias("x")).select("k", "x.action", F.col("x.classification").alias("category"))
+    return A.compare_versions(found.filter("k % 8 = 0"), found, ["action", "category"])
+
+
+@query("""
+    SELECT s_suppkey::VARCHAR AS document_id, [80, 41 + IF(s_suppkey % 8 = 1, 7, 0), 55, 3][k] AS n_cells, [24, 17, 9, 6][k] AS max_row, [1, 0, 0, 0][k]::BIGINT AS n_formulas, [21, 0, 0, 0][k]::BIGINT AS n_numbers, [3, 3, 3, 1][k]::BIGINT AS n_keywords
+    FROM (SELECT s_suppkey, s_suppkey % 4 + 1 AS k FROM supplier)
+""")
+def cell_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structure of sheets: cells with text, used rows, formulas, numbers, meals named."""
+    p = A.sheet_profile(_cells(spark, sf_dir), tuple(x for names in G.MEALS.values() for x in names))
+    return p.select("document_id", F.col("n_cells").cast("int").alias("n_cells"), "max_row", "n_formulas", "n_numbers", "n_keywords")

@@ -57,14 +57,19 @@ def stream_review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH v AS (SELECT doc_id // 3 AS document, CAST(doc_id % 3 AS INT) AS version, sha256(left(coalesce(text, ''), 2)) AS d FROM documents),
-         w AS (SELECT document, version, d, lag(d) OVER (PARTITION BY document ORDER BY version) AS p FROM v)
+    WITH v AS (SELECT doc_id // 3 AS document, CAST(doc_id % 3 AS INT) AS version, coalesce(text, '') AS t FROM documents),
+         x AS (SELECT v.document, v.version, sha256(IF(v.document % 3 = 0 AND v.version = 1, coalesce(f.t, v.t), v.t)) AS d FROM v LEFT JOIN v f ON f.document = v.document AND f.version = 0),
+         w AS (SELECT document, version, d, lag(d) OVER (PARTITION BY document ORDER BY version) AS p FROM x)
     SELECT document, version, CASE WHEN p IS NULL THEN 'NEW_POST' WHEN p = d THEN 'UNCHANGED' ELSE 'ATTACHMENT_CHANGED' END AS change_type FROM w
 """)
 def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three deliveries of document versions, each classified against the state that the ones before left."""
+    """Three deliveries of document versions, each classified against the state that the ones before left; every third document's
+    second version is its first one again."""
     docs = table(spark, sf_dir, "documents")
-    rows = docs.select(F.floor(F.col("doc_id") / 3).alias("document"), (F.col("doc_id") % 3).cast("int").alias("version"), F.sha2(F.substring(F.coalesce("text", F.lit("")), 1, 2), 256).alias("digest"))
+    rows = docs.select(F.floor(F.col("doc_id") / 3).alias("document"), (F.col("doc_id") % 3).cast("int").alias("version"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    first = rows.filter("version = 0").select("document", F.col("digest").alias("first"))
+    again = (F.col("document") % 3 == 0) & (F.col("version") == 1) & F.col("first").isNotNull()
+    rows = rows.join(first, "document", "left").withColumn("digest", F.when(again, F.col("first")).otherwise(F.col("digest"))).drop("first")
     state = VersionedTable(spark, "known", rows.schema)
     path = new_path(spark, "changes")
 
