@@ -5,7 +5,7 @@ Compaction merges the runs of level 0 and the run of level 1, if there is one, i
 digest and sorted: for each digest it keeps the smallest and the largest identifier and the number of rows, combined inside
 each run before anything is shuffled, so a text that a third of all rows share sends one row per task.
 
-A filter is a bit set of digest hashes of fixed size (2 ** FILTER_BITS bits, 8 MiB), so that it may be broadcast whatever
+A filter is a bit set of digest hashes of fixed size (2 ** FILTER_BITS bits, 2 MiB), so that it may be broadcast whatever
 the size of the index. It is consulted before a run is read: digests that aren't in it are new, and neither their rows nor their
 texts are shuffled. Where an index holds more digests than an eighth of the bits, more rows pass it than need to; results stay the same.
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, new_path, release
 
-FILTER_BITS = 26
+FILTER_BITS = 24
 
 
 class DigestIndex:
