@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import cut
+from .common import cut, release
 from .hashing import U, blocks, mix, windows, word_hashes
 
 K = 5  # words of a minimizer
@@ -188,7 +188,8 @@ class SubstringDedup:
         marks = self.marks()
         rows = cut(self.edges(marks), "substring-edges")
         firsts = rows.groupBy("e", "c").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("e", "c", "a")
-        later = rows.join(firsts, ["e", "c"]).filter("id > a").groupBy("id").agg(F.collect_list("e").alias("edges"))
+        later = cut(rows.join(firsts, ["e", "c"]).filter("id > a").groupBy("id").agg(F.collect_list("e").alias("edges")), "substring-later")
+        release(rows)
         return marks.select("id", "whole").join(later, "id", "left").filter("size(whole) > 0 OR edges IS NOT NULL")
 
 
