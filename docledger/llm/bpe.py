@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SYNC = re.compile(r"(?<=\S) (?=\S)")
-LEAF_CHARS = 4096
-LEAF_IDS = 8192
+LEAF_CHARS = 512
+LEAF_IDS = 256
 CACHED = 300_000
 _CODECS: dict[str, Codec] = {}
 
