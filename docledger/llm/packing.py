@@ -4,7 +4,9 @@ A document is its ids and an end id. Runs of `length` tokens become sequences of
 is packed. A task gathers remainders into blocks of about `block_tokens` tokens (its memory is bounded by that and the
 longest document), opens the sequences that the block's tokens fill exactly (the last few shorter, at powers of two),
 and deals the remainders by falling estimated attention cost (linear * n + quadratic * n * n) to the sequence of lowest
-cost that still has room for them. A remainder that fits nowhere whole is cut over the sequences with most room.
+cost that still has room for them. A remainder that fits nowhere whole when its turn comes is cut over the sequences with
+most room, which then are nearly as large as it is, so that it becomes few pieces. As every sequence is full, a block
+has about one cut a sequence, whoever bears it.
 
 Sequence ids are unique: the number of the input partition and a count inside it; a task that runs again gives the same
 ids. Nothing is shuffled.
@@ -49,15 +51,12 @@ def pack_block(lengths: list[tuple[int, int, int]], capacity: int) -> list[Piece
         room[b] -= n
         spent[b] += cost(n)
 
-    late = []
     for doc, start, n in sorted(lengths, key=lambda x: (-x[2], x[0], x[1])):
         b = int(np.where(room >= n, spent, np.inf).argmin())
         if room[b] >= n:
             put(doc, start, n, b)
-        else:
-            late.append((doc, start, n))
-    for doc, start, n in late:  # fits nowhere whole: cut over the bins with most room
-        while n:
+            continue
+        while n:  # fits nowhere whole: cut over the bins with most room, while these are still large
             b = int(room.argmax())
             take = min(n, int(room[b]))
             put(doc, start, take, b)

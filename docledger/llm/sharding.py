@@ -18,7 +18,7 @@ gives an empty result.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from random import Random
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,16 +27,60 @@ from .common import cut
 from .exact_dedup import body
 
 
+class RoomTree:
+    """Bins ordered by remaining capacity, then by number, in a tree that random priorities keep balanced."""
+
+    def __init__(self, seed: int = 1):
+        self.root: list | None = None  # [key, priority, left, right]
+        self.random = Random(seed)
+
+    def add(self, room: int, number: int) -> None:
+        low, high = self._split(self.root, (room, number))
+        self.root = self._join(self._join(low, [(room, number), self.random.random(), None, None]), high)
+
+    def take(self, least: int) -> tuple[int, int] | None:
+        """Removes and returns the tightest bin with at least so much room, of equal ones the first; None if there is none."""
+        low, high = self._split(self.root, (least, -1))
+        if high is None:
+            self.root = low
+            return None
+        node = high
+        while node[2]:
+            node = node[2]
+        _, rest = self._split(high, (node[0][0], node[0][1] + 1))
+        self.root = self._join(low, rest)
+        return node[0]
+
+    def _split(self, node: list | None, key: tuple) -> tuple[list | None, list | None]:
+        """Trees of the keys below `key` and of the others."""
+        if node is None:
+            return None, None
+        if node[0] < key:
+            low, high = self._split(node[3], key)
+            return [*node[:3], low], high
+        low, high = self._split(node[2], key)
+        return low, [*node[:2], high, node[3]]
+
+    def _join(self, a: list | None, b: list | None) -> list | None:
+        """One tree of two; all keys of the first are smaller."""
+        if not a or not b:
+            return a or b
+        if a[1] > b[1]:
+            return [*a[:3], self._join(a[3], b)]
+        return [*b[:2], self._join(a, b[2]), b[3]]
+
+
 def best_fit(sizes: list[int], bins: int, capacity: int) -> list[int] | None:
-    """Bin of each item (sizes fall), or None where `bins` bins don't suffice. `room` is ordered by remaining capacity."""
-    room, out = sorted((capacity, -b) for b in range(bins)), []
+    """Bin of each item (sizes fall), or None where `bins` bins don't suffice."""
+    tree, out = RoomTree(), []
+    for b in range(bins):
+        tree.add(capacity, b)
     for size in sizes:
-        at = bisect_left(room, (size, -bins))
-        if at == len(room):
+        found = tree.take(size)
+        if found is None:
             return None
-        left, b = room.pop(at)
-        out.append(-b)
-        insort(room, (left - size, b))
+        out.append(found[1])
+        tree.add(found[0] - size, found[1])
     return out
 
 

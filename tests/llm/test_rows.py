@@ -124,6 +124,64 @@ def test_pack_block_balances_cost():
     assert max(full) <= 1.6 * full[len(full) // 2]
 
 
+def test_pack_block_against_the_rule():
+    """Each document goes to the cheapest sequence with room; one that fits nowhere is cut over the roomiest ones; few pieces."""
+    random.seed(7)
+    for _ in range(60):
+        lengths = [(k, 0, random.randint(1, 60)) for k in range(random.randint(1, 40))]
+        total = sum(n for _, _, n in lengths)
+        size = [64] * (total // 64) + [p for p in (64, 32, 16, 8, 4, 2, 1) if total % 64 & p]
+        room, spent, want = list(size), [0.0] * len(size), []
+        for doc, start, n in sorted(lengths, key=lambda x: (-x[2], x[0])):
+            fits = [b for b in range(len(size)) if room[b] >= n]
+            while n:
+                b = min(fits, key=lambda b: spent[b]) if fits else max(range(len(size)), key=lambda b: room[b])
+                m = min(n, room[b])
+                want.append((doc, start, m, b, size[b] - room[b]))
+                room[b] -= m
+                spent[b] += K.cost(m)
+                start, n = start + m, n - m
+        got = K.pack_block(lengths, 64)
+        assert got == want
+        assert sum(x[2] for x in got) == total and not any(room)
+    pieces = Counter(x[0] for x in K.pack_block([(k, 0, random.randint(1, 2047)) for k in range(1000)], 2048))
+    assert max(pieces.values()) <= 10
+
+
+def brute_best_fit(sizes, bins, capacity):
+    room, out = [capacity] * bins, []
+    for s in sizes:
+        fits = [b for b in range(bins) if room[b] >= s]
+        if not fits:
+            return None
+        b = min(fits, key=lambda b: (room[b], b))
+        room[b] -= s
+        out.append(b)
+    return out
+
+
+def test_best_fit_against_brute_force():
+    random.seed(5)
+    for _ in range(300):
+        sizes = sorted((random.randint(1, 30) for _ in range(random.randint(0, 25))), reverse=True)
+        bins, capacity = random.randint(1, 8), random.randint(20, 90)
+        assert D.best_fit(sizes, bins, capacity) == brute_best_fit(sizes, bins, capacity)
+
+
+def test_sharding_query(spark, tmp_path):
+    """The registered query: all rows in shards 0 to 39, sizes near equal, equal texts together."""
+    from docledger.llm.queries import op3_sharding
+
+    random.seed(6)
+    texts = [random.choice(WORDS) * random.randrange(1, 40) + str(k % 3000) for k in range(4000)] + [None, ""]
+    table(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    got, sizes, where = op3_sharding(spark, str(tmp_path)).collect(), Counter(), {}
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        assert where.setdefault(texts[r["doc_id"]] or "", r["shard"]) == r["shard"] and r["law"] == "bytes" and r["grown_shard"] is None
+    assert len(got) == len(texts) and set(sizes) == set(range(40)) and max(sizes.values()) <= 1.02 * min(sizes.values())
+
+
 def test_best_fit():
     a, b, *rest = D.best_fit([6, 5, 4, 3, 2], 2, 10)
     assert a != b and rest == [a, b, b]
