@@ -5,8 +5,9 @@ the transforms: predictor, cross-colour, subtract-green and palette (with bundle
 in one channel only, code words are looked up at all bit positions at once and the chain of starts is followed; any
 other stream is decoded symbol by symbol.
 
-Writing uses literals with prefix codes made for the image, and on request back-references, a colour cache or any of
-the transforms, so that every part of the reader can be tested by round trips.
+Writing media columns picks, image by image and by estimated size, literals, a palette with bundled pixels, prediction from
+the top or the left, or back-references. A colour cache and cross-colour never make images of one channel smaller; encode()
+writes these too on request, and prediction by any mode, so that every part of the reader is tested by round trips.
 
 As a media column, a text's UTF-8 bytes, zero-filled to a positive multiple of 64, become the green samples of images 64
 pixels wide (of at most 16,384 rows; a longer payload becomes several images, one behind the other).
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from .bpe import slices
 
 WIDTH, ROWS = 64, 16384
+PAYS = 16
 # Fixed values of the format: order of code-length code lengths; alphabet sizes beside the colour cache.
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 GREEN, CHANNEL, DISTANCE = 256 + 24, 256, 40
@@ -272,9 +274,11 @@ def read_pixels(r: Reader, width: int, height: int, main: bool) -> np.ndarray:
     codes = [[read_code(r, n) for n in (GREEN + cache_size, CHANNEL, CHANNEL, CHANNEL, DISTANCE)] for _ in range(groups)]
     total = width * height
     green, red, blue, alpha, _ = codes[0]
-    if groups == 1 and red.single is not None and blue.single is not None and alpha.single is not None and (not len(green.used) or green.used[-1] < 256):
+    if groups == 1 and not cache_size and red.single is not None and blue.single is not None and alpha.single is not None:
         rest = np.uint32(alpha.single << 24 | red.single << 16 | blue.single)
-        return literals(r, green, total).astype(np.uint32) << np.uint32(8) | rest
+        plain = not len(green.used) or green.used[-1] < 256
+        found = literals(r, green, total) if plain else one_channel(r, green, codes[0][4], total, width)
+        return found.astype(np.uint32) << np.uint32(8) | rest
     out = np.zeros(total, np.uint32)
     cache = [0] * cache_size
     shift, k = 32 - cache_bits, 0
@@ -340,6 +344,48 @@ def literals(r: Reader, code: Code, n: int) -> np.ndarray:
     return code.symbol[window[at]]
 
 
+def one_channel(r: Reader, code: Code, distances: Code, total: int, width: int) -> np.ndarray:
+    """Values of an image with one channel and back-references: runs of literals are followed by jumps, as in literals()."""
+    out, k, base = np.zeros(total, np.int32), 0, r.pos & ~7
+    b = np.frombuffer(r.data[base >> 3 :] + b"\0\0\0", np.uint8).astype(np.uint32)
+    words = b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)
+    if code.single is None:
+        window = ((words[:, None] >> np.arange(8, dtype=np.uint32)) & np.uint32((1 << code.bits) - 1)).ravel()
+        symbol, length = code.symbol[window], code.length[window]
+    else:
+        symbol, length = np.full(8 * len(words), code.single, np.int32), np.zeros(8 * len(words), np.int32)
+    stop, last = symbol >= 256, np.int32(len(symbol) - 1)
+    here = np.arange(len(symbol), dtype=np.int32)
+    jump = [np.where(stop, here, np.minimum(here + length, last))]
+    for _ in range(4):
+        jump.append(jump[-1][jump[-1]])
+    while k < total:
+        at = [r.pos - base]
+        while not stop[at[-1]] and 16 * len(at) < total - k and (far := int(jump[4][at[-1]])) != at[-1]:
+            at.append(far)
+        at = np.array(at)
+        for step in reversed(jump[:4]):
+            at = np.stack([at, step[at]], 1).ravel()
+        n = int(stop[at].argmax()) if stop[at].any() else len(at)
+        n = min(n, total - k)
+        out[k : k + n] = symbol[at[:n]]
+        k += n
+        if n:
+            r.pos = base + int(at[n - 1] + length[at[n - 1]])
+        if k < total and stop[r.pos - base]:
+            s = code.read(r)
+            n = min(prefix_value(r, s - 256), total - k)
+            d = prefix_value(r, distances.read(r))
+            if d > 120:
+                d -= 120
+            else:
+                x, y = NEAR[d - 1]
+                d = max(1, y * width + x)
+            out[k : k + n] = out[k - d : k - d + n] if d >= n else np.resize(out[k - d : k], n)
+            k += n
+    return out
+
+
 def write_pixels(w: Writer, argb: np.ndarray, width: int, main: bool, cache_bits: int = 0, back: bool = False) -> None:
     """An image: literals, with back-references and colour-cache hits on request."""
     w.put(1 if cache_bits else 0, 1)
@@ -441,6 +487,8 @@ def predict(mode: int, left: list[int], top: list[int], right: list[int], corner
 
 def predictor(argb: np.ndarray, width: int, modes: np.ndarray, bits: int, inverse: bool) -> np.ndarray:
     """Residuals of an image, or the image of residuals."""
+    if len(set(modes.tolist())) == 1 and int(modes[0]) in (1, 2):
+        return uniform(argb, width, int(modes[0]), inverse)
     src = split(argb).reshape(-1, width, 4).astype(int).tolist()
     out = [[None] * width for _ in src]
     known = out if inverse else src
@@ -460,6 +508,27 @@ def predictor(argb: np.ndarray, width: int, modes: np.ndarray, bits: int, invers
     return merged(np.array(out, np.uint8)).ravel()
 
 
+def uniform(argb: np.ndarray, width: int, mode: int, inverse: bool) -> np.ndarray:
+    """predictor() where all blocks predict from the left (1) or from the top (2)."""
+    c = split(argb).reshape(-1, width, 4)
+    down = slice(0, 1) if mode == 1 else slice(None)  # columns that are predicted from the top
+    if inverse:
+        out = c.copy()
+        out[0, 0, 3] = (int(out[0, 0, 3]) + 255) & 255
+        if mode == 1:
+            out[:, 0] = np.cumsum(out[:, 0], axis=0, dtype=np.uint8)
+            out = np.cumsum(out, axis=1, dtype=np.uint8)
+        else:
+            out[0] = np.cumsum(out[0], axis=0, dtype=np.uint8)
+            out = np.cumsum(out, axis=0, dtype=np.uint8)
+        return merged(out).ravel()
+    out = c.copy()
+    out[:, 1:] -= c[:, :-1]
+    out[1:, down] = c[1:, down] - c[:-1, down]
+    out[0, 0, 3] = (int(out[0, 0, 3]) - 255) & 255
+    return merged(out).ravel()
+
+
 def cross_colour(argb: np.ndarray, width: int, elements: np.ndarray, bits: int, inverse: bool) -> np.ndarray:
     """elements: per block the factors green to red, green to blue, red to blue in blue, green, red."""
     c = split(argb).reshape(-1, width, 4)
@@ -489,8 +558,8 @@ def bundle_bits(colours: int) -> int:
 # --- files -------------------------------------------------------------------------------------------------------
 
 
-def encode(argb: np.ndarray, width: int, transforms: tuple[int, ...] = (), cache_bits: int = 0, back: bool = False, block: int = 3, seed: int = 0) -> bytes:
-    """A lossless WebP file. transforms are applied in the given order; seed picks predictor modes and colour factors."""
+def encode(argb: np.ndarray, width: int, transforms: tuple[int, ...] = (), cache_bits: int = 0, back: bool = False, block: int = 3, seed: int = 0, mode: int | None = None) -> bytes:
+    """A lossless WebP file. transforms are applied in the given order; seed picks predictor modes (if no mode is given) and colour factors."""
     w = Writer()
     height = len(argb) // width
     w.put(width - 1, 14)
@@ -521,7 +590,7 @@ def encode(argb: np.ndarray, width: int, transforms: tuple[int, ...] = (), cache
             cells = across * (height + (1 << block) - 1 >> block)
             w.put(block - 2, 3)
             if kind == PREDICTOR:
-                modes = rng.integers(0, 14, cells)
+                modes = rng.integers(0, 14, cells) if mode is None else np.full(cells, mode)
                 write_pixels(w, (modes.astype(np.uint32) << np.uint32(8)) | np.uint32(0xFF000000), across, False)
                 argb = predictor(argb, width, modes, block, False)
             else:
@@ -530,11 +599,139 @@ def encode(argb: np.ndarray, width: int, transforms: tuple[int, ...] = (), cache
                 argb = cross_colour(argb, width, factors, block, False)
     w.put(0, 1)
     write_pixels(w, argb, width, True, cache_bits, back)
+    return wrapped(w)
+
+
+def wrapped(w: Writer) -> bytes:
+    """The file around an image's bits."""
     body = b"\x2f" + w.bytes()
     chunk = b"VP8L" + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) & 1)
     return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk
 
 
+def repeats(samples: np.ndarray, least: int = 32) -> list[tuple[int, int, int]]:
+    """Places, lengths and distances of stretches of `least` samples or more that stand earlier, in order, without overlaps.
+
+    Windows are told by their values in 64 bits each. Those with three zero bits are anchors, an eighth of all, and every 64th; one sort finds the last
+    place before with the same anchor, and the stretch is followed in both directions from there.
+    """
+    n = len(samples) - least + 1
+    if n < 2:
+        return []
+    x = samples.astype(np.uint64)
+    span = 1
+    with np.errstate(over="ignore"):
+        while span < least:
+            x = x[: len(x) - span] * np.uint64(0x9E3779B97F4A7C15) + (x[span:] ^ x[span:] >> np.uint64(29)) * np.uint64(span * 2 + 1)
+            span *= 2
+    anchor = x & np.uint64(7) == 0
+    anchor[::64] = True  # short periods may have no other
+    anchors = np.flatnonzero(anchor)
+    x = x[anchors]
+    order = np.argsort(x, kind="stable")
+    same = np.flatnonzero(x[order[1:]] == x[order[:-1]])
+    if not len(same):
+        return []
+    before = np.full(len(x), -1, np.int64)
+    before[order[same + 1]] = anchors[order[same]]
+    places, before = anchors[before >= 0], before[before >= 0]
+    out, k, done = [], 0, 0
+    while k < len(places):
+        at = int(places[k])
+        d = at - int(before[k])
+        back = min(256, at - done, at - d)
+        differ = samples[at - back : at] != samples[at - d - back : at - d]
+        at -= int(differ[::-1].argmax()) if differ.any() else back
+        most = min(4096, len(samples) - at)
+        differ = samples[at : at + most] != samples[at - d : at - d + most]
+        size = int(differ.argmax()) if differ.any() else most
+        if size >= least:
+            out.append((at, size, d))
+            done = at + size
+            k = int(np.searchsorted(places, done))
+        else:
+            k += 1
+    return out
+
+
+def encode_repeats(samples: np.ndarray, width: int, found: list[tuple[int, int, int]]) -> bytes:
+    """A file whose green samples are literals and back-references."""
+    w = Writer()
+    w.put(width - 1, 14)
+    w.put(len(samples) // width - 1, 14)
+    w.put(1, 1)
+    w.put(0, 3)
+    w.put(0, 1)  # no transform, no colour cache, one group of prefix codes
+    w.put(0, 1)
+    w.put(0, 1)
+    kept = np.ones(len(samples), bool)
+    for at, size, _ in found:
+        kept[at : at + size] = False
+    lengths, distances = [prefix_parts(n) for _, n, _ in found], [prefix_parts(d + 120) for _, _, d in found]
+    counts = np.bincount(samples[kept], minlength=GREEN)
+    np.add.at(counts, [256 + p[0] for p in lengths], 1)
+    green = code_lengths(counts)
+    far = code_lengths(np.bincount([p[0] for p in distances], minlength=DISTANCE))
+    alone = np.zeros(256, np.int64)
+    for code in (green, alone_at(alone, 0), alone_at(alone, 0), alone_at(alone, 255), far):
+        write_code(w, code)
+    words, far_words = canonical(green), canonical(far)
+    single = len(np.flatnonzero(far)) == 1
+    # each part of a back-reference is a symbol of its own behind the 256 literals, so that all bits come from one table
+    parts, at, more, sizes = [], 0, [], []
+    for place, n, _ in found:
+        parts += [samples[at:place], np.arange(256 + len(more), 260 + len(more))]
+        k = len(more) // 4
+        p, q = lengths[k], distances[k]
+        more += [int(words[256 + p[0]]), p[1], 0 if single else int(far_words[q[0]]), q[1]]
+        sizes += [int(green[256 + p[0]]), p[2], 0 if single else int(far[q[0]]), q[2]]
+        at = place + n
+    parts.append(samples[at:])
+    w.put_symbols(np.concatenate(parts).astype(np.int64), np.concatenate([words[:256], np.array(more, np.int64)]), np.concatenate([green[:256], np.array(sizes, np.int64)]))
+    return wrapped(w)
+
+
+def alone_at(lengths: np.ndarray, symbol: int) -> np.ndarray:
+    out = lengths.copy()
+    out[symbol] = 1
+    return out
+
+
+def bits_of(values: np.ndarray) -> float:
+    """Bits of values by their entropy; a prefix code takes a bit a value at least, unless they are all the same."""
+    counts = np.bincount(values)
+    counts = counts[counts > 0]
+    return max(float((counts * np.log2(len(values) / counts)).sum()), float(len(values) * (len(counts) > 1)))
+
+
+def encode_samples(samples: np.ndarray, width: int) -> bytes:
+    """The smallest, by estimate, of some lossless files of 8-bit samples: literals, a palette with bundled pixels, prediction from the
+    top or the left, or back-references to stretches that stand earlier. Literals are read fastest, so that the others
+    must save one bit in PAYS of theirs. Equal samples give equal files."""
+    argb = samples.astype(np.uint32) << np.uint32(8) | np.uint32(0xFF000000)
+    plain, rows = bits_of(samples), samples.reshape(-1, width)
+    ways: list[tuple[float, int]] = [(plain, 0)]
+    values = int(np.count_nonzero(np.bincount(samples, minlength=256)))
+    if 1 < values <= 16:
+        per, each = 1 << bundle_bits(values), 8 >> bundle_bits(values)
+        index = np.unique(samples, return_inverse=True)[1].reshape(-1, width // per, per)
+        ways.append((bits_of((index << (np.arange(per) * each)).sum(axis=2).ravel()) + 8 * values + 40, 1))
+    if values > 1 and len(rows) > 1:
+        ways.append((bits_of((rows[1:] - rows[:-1]).ravel()) + 8 * width + 60, 2))
+        ways.append((bits_of((rows[:, 1:] - rows[:, :-1]).ravel()) + 8 * len(rows) + 60, 3))
+    found = repeats(samples) if values > 1 else []
+    if found:
+        kept = len(samples) - sum(n for _, n, _ in found)
+        ways.append((plain * kept / len(samples) + 32.0 * len(found) + 120, 4))
+    best, way = min(ways)
+    way = way if best < plain - plain / PAYS else 0
+    if way == 4:
+        return encode_repeats(samples, width, found)
+    if way >= 2:
+        return encode(argb, width, (PREDICTOR,), block=9, mode=2 if way == 2 else 1)
+    return encode(argb, width, (PALETTE,) if way else ())
+
+
 def decode(data: bytes) -> tuple[np.ndarray, int, int]:
     """Pixels (height x width, ARGB in 32 bits) of the file at the start of data, its width, and the file's length."""
     if data[:4] != b"RIFF" or data[8:16] != b"WEBPVP8L" or data[20] != 0x2F:
@@ -586,8 +783,7 @@ def payload_of(text: str | None) -> bytes:
 def to_media(payload: bytes) -> bytes:
     out = []
     for at in range(0, len(payload), WIDTH * ROWS):
-        samples = np.frombuffer(payload[at : at + WIDTH * ROWS], np.uint8).astype(np.uint32)
-        out.append(encode(samples << np.uint32(8) | np.uint32(0xFF000000), WIDTH))
+        out.append(encode_samples(np.frombuffer(payload[at : at + WIDTH * ROWS], np.uint8), WIDTH))
     return b"".join(out)
 
 

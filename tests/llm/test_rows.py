@@ -383,6 +383,55 @@ def test_webp_round_trips():
         assert (out.ravel() == pixels).all() and width == w and size == len(data)
 
 
+def test_webp_samples_use_the_format(monkeypatch):
+    """Images of samples use palettes, prediction and back-references where these pay, and read back."""
+    rng, ways = np.random.default_rng(3), Counter()
+    real = W.encode
+    monkeypatch.setattr(W, "encode", lambda a, w, t=(), *r, **k: ways.update([t]) or real(a, w, t, *r, **k))
+    monkeypatch.setattr(W, "encode_repeats", lambda *a, f=W.encode_repeats: ways.update(["back"]) or f(*a))
+    line = rng.integers(0, 256, 64, dtype=np.uint8)
+    images = [rng.integers(32, 110, 64 * 40, dtype=np.uint8), (rng.random(64 * 50) < 0.08).astype(np.uint8) + 60, rng.integers(0, 9, 64 * 30, dtype=np.uint8), np.full(640, 7, np.uint8),
+              (line[None, :] + np.arange(60, dtype=np.uint8)[:, None]).ravel(), np.cumsum(rng.integers(0, 3, 64 * 64), dtype=np.uint8), np.tile(rng.integers(0, 256, 700, dtype=np.uint8), 40)[: 64 * 400],
+              np.frombuffer((b"word " * 3000)[: 64 * 200], np.uint8), np.frombuffer(W.payload_of("".join(random.Random(4).choices(WORDS, k=900)) * 2), np.uint8)]
+    images += [np.concatenate([rng.integers(60, 100, 64 * int(rng.integers(1, 9)), dtype=np.uint8), images[6][: 64 * int(rng.integers(1, 30))]]) for _ in range(40)]
+    for samples in images:
+        data = W.encode_samples(samples, 64)
+        out, width, size = W.decode(data)
+        assert ((out.ravel() >> 8 & 255) == samples).all() and width == 64 and size == len(data) and data == W.encode_samples(samples, 64)
+    assert {(), (W.PALETTE,), (W.PREDICTOR,), "back"} <= set(ways)
+    for k in (4, 6, 7):
+        literals = real(images[k].astype(np.uint32) << np.uint32(8) | np.uint32(0xFF000000), 64)
+        assert len(W.encode_samples(images[k], 64)) < len(literals) / 2
+
+
+def test_webp_by_hand():
+    """A file put together from the published format bit by bit: a palette of two colours, eight pixels a byte."""
+    bits = []
+    put = lambda value, n: bits.extend(value >> k & 1 for k in range(n))
+    put(7, 14), put(1, 14), put(0, 1), put(0, 3)  # 8 x 2, no alpha, version 0
+    put(1, 1), put(3, 2), put(1, 8)  # a palette of two colours, itself an image: no cache
+    put(0, 1)
+    for symbols in ((0x20, 0x30), (0x10,), (0x40,), (255, 0)):  # green, red, blue, alpha: simple codes
+        put(1, 1), put(len(symbols) - 1, 1), put(1, 1)
+        for s in sorted(symbols):
+            put(s, 8)
+    put(1, 1), put(0, 1), put(0, 1), put(0, 1)  # distances: one symbol of one bit
+    put(0, 1), put(1, 1)  # the first colour: green 0x20, red and blue take no bits, alpha 255
+    put(1, 1), put(0, 1)  # the second: green 0x20 + 0x30, red 0x10 + 0x10, blue 0x40 + 0x40, alpha 255 + 0
+    put(0, 1)  # no more transforms
+    put(0, 1), put(0, 1)  # no cache, one group of codes
+    put(1, 1), put(1, 1), put(1, 1), put(0b01010101, 8), put(0b11110000, 8)  # green: two bytes of eight pixels
+    for s in (0, 0, 255):
+        put(1, 1), put(0, 1), put(1, 1), put(s, 8)
+    put(1, 1), put(0, 1), put(0, 1), put(0, 1)
+    put(1, 1), put(0, 1)  # the second byte, then the first
+    body = b"\x2f" + np.packbits(bits, bitorder="little").tobytes()
+    chunk = b"VP8L" + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) & 1)
+    out, width, _ = W.decode(b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk)
+    a, b = 0xFF102040, 0xFF205080
+    assert width == 8 and out.tolist() == [[a] * 4 + [b] * 4, [b, a] * 4]
+
+
 def test_near_table():
     assert len(W.NEAR) == 120 and W.NEAR[:8] == [(0, 1), (1, 0), (1, 1), (-1, 1), (0, 2), (2, 0), (1, 2), (-1, 2)] and W.NEAR[-1] == (8, 7)
 
