@@ -151,3 +151,8 @@ def merge_attachments(old: DataFrame, new: DataFrame, refreshed: DataFrame, key:
 def unprocessed(df: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
     """Rows that were not processed with this content yet."""
     return df.join(done.select(*key).distinct(), key, "left_anti")
+
+
+def verified_rows(df: DataFrame, digest: str, stored: str) -> DataFrame:
+    """Rows whose stored content has the digest that they claim."""
+    return df.filter(F.coalesce(F.col(digest) == F.col(stored), F.lit(False)))

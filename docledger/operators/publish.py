@@ -115,3 +115,27 @@ def state_difference(a: DataFrame, b: DataFrame, ignore: tuple[str, ...] = ()) -
 def check(df: DataFrame, name: str, bad: Column) -> DataFrame:
     """One row: the name of a check and how many rows fail it."""
     return df.agg(F.count(F.when(F.coalesce(bad, F.lit(False)), 1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
+
+
+def reconcile_dataset(manifest: DataFrame, routes: DataFrame, public: DataFrame, key: str, report: dict[str, int]) -> DataFrame:
+    """check_name, failures: ids are unique, each has one route, ready ones are public and only those, the report counts as many."""
+    per = routes.groupBy(key).agg(F.countDistinct("route").alias("n"))
+    ready = routes.filter("route = 'ready'").select(key).distinct()
+    once = per.filter("n = 1")
+    sides = one_sided(ready.join(once.select(key), key, "left_semi"), public.join(once.select(key), key, "left_semi"), [key])
+    counts = routes.groupBy("route").agg(F.countDistinct(key).alias("n"))
+    wrong = F.lit(False)
+    for route, n in report.items():
+        wrong = wrong | ((F.col("route") == route) & (F.col("n") != n))
+    parts = [
+        check(manifest.groupBy(key).count(), "duplicate_id", F.col("count") > 1),
+        check(per, "routed_twice", F.col("n") > 1),
+        check(manifest.join(per, key, "left_anti"), "not_routed", F.lit(True)),
+        check(sides, "ready_not_public", F.col("side") == "left"),
+        check(sides, "public_not_ready", F.col("side") == "right"),
+        check(counts, "report_count", wrong),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

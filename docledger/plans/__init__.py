@@ -5,7 +5,7 @@ All read the given tables whole. Amounts are summed as decimals, so that a sum d
 
 from __future__ import annotations
 
-from . import audits, catalogs, files, front, layouts, publishing, qualities, releases, scalars, serving, sheets, streams  # noqa: F401
+from . import audits, catalogs, files, front, layouts, operations, publishing, qualities, releases, scalars, serving, sheets, streams  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -221,18 +221,6 @@ def lint_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.agg(F.count(F.lit(1)).alias("occurrences"), *[F.countDistinct(c).alias(a) for c, a in (("doc_id", "documents"), ("source", "sources"), ("lang", "languages"))])
 
 
-@query("""
-    WITH c AS (SELECT conv_id, count(*) AS turns, max(turn) + 1 AS declared, bool_or(text IS NULL OR text = '') AS blank, count(DISTINCT turn) AS d FROM conversations GROUP BY 1)
-    SELECT conv_id, array_to_string(list_filter([CASE WHEN blank THEN 'BLANK_TURN' END, CASE WHEN turns <> declared THEN 'COUNT_MISMATCH' END, CASE WHEN d <> turns THEN 'DUPLICATE_TURN' END], lambda x: x IS NOT NULL), ',') AS issues FROM c
-""")
-def row_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("turns"), (F.max("turn") + 1).alias("declared"), F.bool_or(F.col("text").isNull() | (F.col("text") == "")).alias("blank"), F.countDistinct("turn").alias("d")
-    )
-    issues = R.codes({"BLANK_TURN": F.col("blank"), "COUNT_MISMATCH": F.col("turns") != F.col("declared"), "DUPLICATE_TURN": F.col("d") != F.col("turns")})
-    return c.select("conv_id", F.array_join(issues, ",").alias("issues"))
-
-
 @query("""
     WITH s AS (SELECT source, bool_or(lang = 'de') AS de FROM documents GROUP BY 1)
     SELECT doc_id, CASE WHEN lang = 'fr' AND n_chars > 2000 THEN 'mixed' WHEN lang = 'fr' THEN 'staff' WHEN de AND n_chars < 300 THEN 'ambiguous' ELSE 'unknown' END AS role FROM documents JOIN s USING (source)

@@ -9,7 +9,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as pa_fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,8 +169,15 @@ class Published:
 
     def publish(self, df: DataFrame, version: str, partition_by: list[str], checks: dict) -> None:
         """checks: name -> function(written DataFrame) -> DataFrame of violations, which must be empty."""
+        self._publish(df, df.repartition(*partition_by).write.partitionBy(*partition_by), version, checks)
+
+    def publish_sorted(self, df: DataFrame, version: str, order: list[Column], checks: dict) -> None:
+        """As publish(), in files that hold ranges of an order, sorted."""
+        self._publish(df, df.orderBy(*order).write, version, checks)
+
+    def _publish(self, df: DataFrame, writer: DataFrameWriter, version: str, checks: dict) -> None:
         before = self.current()
-        df.repartition(*partition_by).write.partitionBy(*partition_by).parquet(f"{self.path}/runs/{version}")
+        writer.parquet(f"{self.path}/runs/{version}")
         written = self.spark.read.schema(df.schema).parquet(f"{self.path}/runs/{version}")
         if before and written.isEmpty():
             raise BadRows("an empty version may not replace a published one")
