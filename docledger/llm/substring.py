@@ -153,12 +153,14 @@ class SubstringDedup:
         One aggregate finds repeated segments with their first source and minimizers with more than one segment; one join
         brings both to the documents that hold them.
         """
-        shared = self.keys(True).groupBy("key", "c").agg(F.min("v").alias("a"), F.max("v").alias("b")).filter("a <> b").select("key", "c", "a")
+        shared = cut(self.keys(True).groupBy("key", "c").agg(F.min("v").alias("a"), F.max("v").alias("b")).filter("a <> b").select("key", "c", "a"), "substring-shared")
         found = self.keys(False).join(shared, ["key", "c"]).filter(f"c = {NO_CHECK} OR v > a").select(F.col("v").alias("id"), "key", (F.col("c") == NO_CHECK).alias("opens"))
         lists = found.groupBy("id").agg(
             F.collect_list(F.when(~F.col("opens"), F.col("key"))).alias("whole"), F.collect_list(F.when(F.col("opens"), F.col("key"))).alias("open")
         )
-        return cut(lists, "substring-marks")
+        out = cut(lists, "substring-marks")
+        release(shared)
+        return out
 
     def edges(self, marks: DataFrame) -> DataFrame:
         """e, c (second hash), id: edges of the opened segments that aren't found whole elsewhere."""
