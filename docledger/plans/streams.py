@@ -25,9 +25,10 @@ def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT DISTINCT user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) % 5 AS k FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each source once, however often it is observed."""
-    e = S.table_stream(spark, sf_dir, "events").select("user_id", "event_type", (F.get_json_object("props", "$.k").cast("bigint") % 5).alias("k"))
-    return S.collect_append(e.dropDuplicates(["user_id", "event_type", "k"]), "dedup")
+    """Each source once, however often it is observed within 90 days; what is older leaves the state."""
+    e = S.table_stream(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "90 days")
+    e = e.select("at", "user_id", "event_type", (F.get_json_object("props", "$.k").cast("bigint") % 5).alias("k"))
+    return S.collect_append(e.dropDuplicatesWithinWatermark(["user_id", "event_type", "k"]).drop("at"), "dedup")
 
 
 @query("SELECT event_type, count(DISTINCT (user_id, json_extract_string(props, '$.k'))) AS n FROM events GROUP BY 1")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,6 +24,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables. The path goes to Spark unchanged, so any store that Spark reads will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def in_tests() -> bool:
-    return "PYTEST_CURRENT_TEST" in os.environ

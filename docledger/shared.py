@@ -49,6 +49,10 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Removes tables that cut() wrote and that no plan reads any more."""
     for t in tables:
-        jvm = t.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(t.cut_path)
-        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(t.sparkSession, t.cut_path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of the shared store, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

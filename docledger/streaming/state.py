@@ -8,13 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..shared import new_path
+from ..shared import new_path, remove
 
 
 class VersionedTable:
     """A table in the shared folder with one folder per version. A version is complete before it is read.
 
     Version k + 1 is written from version k and batch k, so that a batch that runs again writes the same version again.
+    Versions before k are removed then: no batch can ask for them any more.
     """
 
     def __init__(self, spark: SparkSession, name: str, schema):
@@ -29,6 +30,8 @@ class VersionedTable:
         """Version k + 1 = f(version k, batch)."""
         f(self.at(k), batch).write.mode("overwrite").parquet(f"{self.path}/{k + 1}")
         self.last = k + 1
+        if k:
+            remove(self.spark, f"{self.path}/{k - 1}")
 
 
 def review_queue(observations: DataFrame, key: str) -> DataFrame:

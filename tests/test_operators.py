@@ -199,7 +199,7 @@ def test_workbook(spark):
     assert d1["A2"]["merged_parent"] == "A1" and d1["C1"]["merged_parent"] == "B1" and d1["A1"]["merged_parent"] is None and d1["A1"]["merged_range"] == "A1:A2"
     assert d1["A2"]["hidden_row"] and d1["C2"]["hidden_column"] and d1["C2"]["is_excel_error"] and d1["A3"]["raw_type"] == "date"
     assert "BadZipFile" in got[("d2", None)]["error"]
-    assert rows(df.select("document_id", S.detected_format(F.col("content"))), "document_id") == [("d1", "zip"), ("d2", "unknown")]
+    assert rows(df.select("document_id", S.detected_format(F.col("content"))), "document_id") == [("d1", "ooxml"), ("d2", "unknown")]
 
 
 def cells_of(spark, grid):
