@@ -135,6 +135,17 @@ def a1_column(c: Column) -> Column:
     return F.aggregate(F.filter(letters, lambda x: x != ""), F.lit(0), lambda a, x: a * 26 + F.ascii(x) - 64)
 
 
+def cell_text(value: Column, kind: str) -> Column:
+    """Text of a cell's value of a Spark type: nothing for null, ISO for dates and times, else the stripped text."""
+    if kind == "date":
+        out = value.cast("string")
+    elif kind.startswith("timestamp"):
+        out = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+    else:
+        out = F.regexp_replace(value.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.coalesce(out, F.lit(""))
+
+
 def a1(row: Column, column: Column) -> Column:
     """A1 coordinate of a cell; columns up to ZZZ."""
     n = column.cast("int") - 1

@@ -80,3 +80,31 @@ def top_values(df: DataFrame, keys: list[str], value: str, n: int = 12) -> DataF
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("count"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("count"), value))
     return counts.withColumn("rank", rank).filter(F.col("rank") <= n)
+
+
+def sheet_features(cells: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
+    """document_id, features: what sheets look like, as one text: number, names without digits, shapes, merges, keywords, in order of sheets."""
+    from ..functions.text import sheet_key
+    from .grid import SHEET, complete, used_range
+
+    c = complete(cells)
+    found = F.array_sort(F.array_compact(F.array(*[F.when(F.bool_or(F.col("text").contains(w)), F.lit(w)) for w in keywords])))
+    per = c.groupBy(*SHEET).agg(F.count_if(F.col("bottom").isNotNull()).alias("merges"), F.array_join(found, ",").alias("keywords"))
+    shaped = used_range(cells).join(per, SHEET)
+    one = F.concat_ws("|", sheet_key(F.col("sheet")), F.concat_ws("x", "rows", "columns"), F.concat(F.lit("m"), F.col("merges").cast("string")), "keywords")
+    sheets = shaped.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("sheet", one.alias("x")))).alias("s"))
+    return sheets.select("document_id", F.concat_ws(";", F.concat(F.lit("n"), F.size("s").cast("string")), F.array_join(F.col("s.x"), ";")).alias("features"))
+
+
+def page_features(blocks: Column, characters: Column, images: Column) -> Column:
+    """Features of a paged document, in buckets."""
+    from ..functions.rules import bucket
+
+    return F.concat_ws("|", bucket(blocks, (20, 60, 120, 240)), bucket(characters, (100, 500, 1000, 2500, 5000)), bucket(images, (0, 2, 6, 12)))
+
+
+def template_families(df: DataFrame, row_id: str, extension: str, features: str) -> DataFrame:
+    """extension, template (short hash of the features), n, example, family (rank by falling size, then by hash)."""
+    hashed = df.withColumn("template", F.substring(F.sha2(features, 256), 1, 12))
+    sized = hashed.groupBy(extension, "template").agg(F.count(F.lit(1)).alias("n"), F.min(row_id).alias("example"))
+    return sized.withColumn("family", F.row_number().over(Window.partitionBy(extension).orderBy(F.desc("n"), "template")))

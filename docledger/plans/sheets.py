@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions.rules import document_role
 from ..operators import audit as A
 from ..operators import grid as G
@@ -424,3 +425,28 @@ def cell_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structure of sheets: cells with text, used rows, formulas, numbers, meals named."""
     p = A.sheet_profile(_cells(spark, sf_dir), tuple(x for names in G.MEALS.values() for x in names))
     return p.select("document_id", F.col("n_cells").cast("int").alias("n_cells"), "max_row", "n_formulas", "n_numbers", "n_keywords")
+
+
+@query("""
+    WITH f AS (SELECT s_suppkey::VARCHAR AS id, 'xlsx' AS extension, 'n1;s|' || ['24x5|m11|석식,조식,중식', '17x4|m0|석식,점심,조식', '9x8|m0|석식,조식,중식', '5x3|m1|조식'][s_suppkey % 4 + 1] AS features FROM supplier
+      UNION ALL SELECT 'p' || page_id, 'pdf', CASE WHEN b <= 20 THEN '<= 20' WHEN b <= 60 THEN '<= 60' WHEN b <= 120 THEN '<= 120' WHEN b <= 240 THEN '<= 240' ELSE '> 240' END || '|' || CASE WHEN n <= 100 THEN '<= 100' WHEN n <= 500 THEN '<= 500' WHEN n <= 1000 THEN '<= 1000' WHEN n <= 2500 THEN '<= 2500'
+        WHEN n <= 5000 THEN '<= 5000' ELSE '> 5000' END || '|' || CASE WHEN i <= 0 THEN '<= 0' WHEN i <= 2 THEN '<= 2' WHEN i <= 6 THEN '<= 6' WHEN i <= 12 THEN '<= 12' ELSE '> 12' END FROM (SELECT page_id, length(html) // 40 AS b, length(html) AS n, page_id % 20 AS i FROM pages)),
+    g AS (SELECT extension, sha256(features)[1:12] AS template, count(*) AS n, min(id) AS example FROM f GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY extension ORDER BY n DESC, template) AS INT) AS family FROM g
+""")
+def document_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families of documents by their structure: sheets by shapes, merges and meals named, paged ones by buckets."""
+    words = tuple(x for names in G.MEALS.values() for x in names)
+    sheets = A.sheet_features(_cells(spark, sf_dir), words).select(F.col("document_id").alias("id"), F.lit("xlsx").alias("extension"), "features")
+    n = F.length("html")
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.lit("pdf").alias("extension"), A.page_features(F.floor(n / 40), n, F.col("page_id") % 20).alias("features"))
+    return A.template_families(sheets.unionByName(pages), "id", "extension", "features")
+
+
+@query("""
+    SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS day, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS moment, IF(o_orderkey % 3 = 0, '', o_orderstatus) AS text, o_orderkey::VARCHAR AS number FROM orders
+""")
+def cell_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of cells that hold dates, times, padded or missing texts, numbers."""
+    padded = F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit(" \t"), "o_orderstatus", F.lit("\u3000\n")))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_orderdate").alias("moment"), padded.alias("text"), F.col("o_orderkey").alias("number"))
+    return o.select("o_orderkey", *[T.cell_text(F.col(c), kind).alias(c) for c, kind in o.dtypes[1:]])
