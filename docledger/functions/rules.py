@@ -109,28 +109,39 @@ def secrets_in(c: Column, patterns: dict[str, str] | None = None) -> Column:
     return F.array_compact(F.array(*[F.when(c.rlike(p), F.lit(name)) for name, p in (patterns or SECRETS).items()]))
 
 
+# Role and confidence of each rule of document roles.
+ROLES = {
+    "filename_inmate_and_staff": ("mixed", 0.98), "filename_inmate_with_supplementary_term": ("inmate", 0.82), "filename_inmate_keyword": ("inmate", 0.97), "filename_staff_keyword": ("staff", 0.97),
+    "filename_supplementary_keyword": ("supplementary", 0.88), "filename_non_meal_admin_keyword": ("other", 0.95), "generic_meal_table_with_staff_sibling": ("unknown", 0.45),
+    "ambiguous_title_context_inmate_and_staff": ("unknown", 0.25), "ambiguous_title_context_inmate": ("unknown", 0.25), "ambiguous_title_context_staff": ("unknown", 0.25),
+    "generic_meal_table_without_subject": ("unknown", 0.15), "no_matching_rule": ("unknown", 0.0),
+}
+
+
 def document_role(name: Column, title: Column, siblings: Column) -> Column:
     """struct(role, confidence, rule): twelve ordered outcomes. siblings: file names of the same post, itself included."""
-    out = lambda role, confidence, rule: F.struct(F.lit(role).alias("role"), F.lit(confidence).alias("confidence"), F.lit(rule).alias("rule"))
     inmate, staff, more = name.rlike(INMATE), name.rlike(STAFF), name.rlike(SUPPLEMENTARY)
-    both = F.concat_ws(" ", name, title)
-    table = name.rlike(MEAL_TABLE)
-    return first_match(
-        [
-            (inmate & staff, out("mixed", 0.98, "filename_inmate_and_staff")),
-            (inmate & more, out("inmate", 0.82, "filename_inmate_with_supplementary_term")),
-            (inmate, out("inmate", 0.97, "filename_inmate_keyword")),
-            (staff, out("staff", 0.97, "filename_staff_keyword")),
-            (more, out("supplementary", 0.88, "filename_supplementary_keyword")),
-            (name.rlike(OTHER_ROLE), out("other", 0.95, "filename_non_meal_admin_keyword")),
-            (table & F.exists(siblings, lambda s: (s != name) & s.rlike(STAFF)), out("unknown", 0.45, "generic_meal_table_with_staff_sibling")),
-            (both.rlike(INMATE) & both.rlike(STAFF), out("unknown", 0.25, "ambiguous_title_context_inmate_and_staff")),
-            (both.rlike(INMATE), out("unknown", 0.25, "ambiguous_title_context_inmate")),
-            (both.rlike(STAFF), out("unknown", 0.25, "ambiguous_title_context_staff")),
-            (table, out("unknown", 0.15, "generic_meal_table_without_subject")),
-        ],
-        out("unknown", 0.0, "no_matching_rule"),
-    )
+    both, table = F.concat_ws(" ", name, title), name.rlike(MEAL_TABLE)
+    about_inmates, about_staff = both.rlike(INMATE), both.rlike(STAFF)
+    tests = {
+        "filename_inmate_and_staff": inmate & staff,
+        "filename_inmate_with_supplementary_term": inmate & more,
+        "filename_inmate_keyword": inmate,
+        "filename_staff_keyword": staff,
+        "filename_supplementary_keyword": more,
+        "filename_non_meal_admin_keyword": name.rlike(OTHER_ROLE),
+        "generic_meal_table_with_staff_sibling": table & F.exists(siblings, lambda s: (s != name) & s.rlike(STAFF)),
+        "ambiguous_title_context_inmate_and_staff": about_inmates & about_staff,
+        "ambiguous_title_context_inmate": about_inmates,
+        "ambiguous_title_context_staff": about_staff,
+        "generic_meal_table_without_subject": table,
+    }
+
+    def outcome(rule: str) -> Column:
+        role, confidence = ROLES[rule]
+        return F.struct(F.lit(role).alias("role"), F.lit(confidence).alias("confidence"), F.lit(rule).alias("rule"))
+
+    return first_match([(test, outcome(rule)) for rule, test in tests.items()], outcome("no_matching_rule"))
 
 
 def publication_gate(**c: Column) -> Column:
