@@ -183,6 +183,59 @@ def test_levels_cover_all_links():
                 assert d == 0 or any(levels.differ(min(a, levels.bounds[k + 1] - 1)) >= d and levels.differ(min(b, levels.bounds[k + 1] - 1)) >= d for k in shared), (a, b, d)
 
 
+def test_parities_and_segments_keep_links():
+    """Linked sets share a segment in some cut that one of them asks for, and their parities let them pass."""
+    rng = np.random.default_rng(5)
+    for num in (80, 90):
+        levels, turns, small = N.Levels(num, 100), 0, 0
+        for _ in range(1500):
+            n = int(rng.choice([4, 5, 7, 10, 14, 25, 60, 300]))
+            base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64))
+            lose, more = int(rng.integers(0, 1 + n // 8)), int(rng.integers(0, 1 + n // 8))
+            other = np.unique(np.concatenate([base[lose:], rng.integers(0, 1 << 63, more, dtype=np.int64).astype(np.uint64)]))
+            i = len(np.intersect1d(base, other))
+            if 100 * i < num * (len(base) + len(other) - i) or i == len(base) == len(other):
+                continue
+            asked = {c for x in (base, other) for c in N.cuts_wanted(x, levels)}
+            turns += bool(asked)
+            small += 1
+            shared = set(levels.of(len(base))) & set(levels.of(len(other)))
+            keys = [{int(k) for level in shared for t in (0, *[c % N.CUTS for c in asked if c // N.CUTS == level]) for k in N.segments(x, level, levels, t)[0]} for x in (base, other)]
+            assert keys[0] & keys[1]
+            bits = [N.parities(x, levels.width(levels.of(len(x))[-1])) for x in (base, other)]
+            assert N.near_forest(np.array([len(base), len(other)]), bits, num, 100) == [(0, 1)]
+        assert small > 200 and turns
+
+
+def test_overlaps_are_sums_of_fragments():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 400, int(rng.integers(0, 200))).astype(np.uint64) * np.uint64(1 << 55)) for _ in range(30)]
+    whole = N.overlaps(sets[:12], sets[12:])
+    cut = np.array([np.uint64(1 << 62), np.uint64(1 << 63)])
+    parts = [[np.split(x, np.searchsorted(x, cut))[k] for x in sets] for k in range(3)]
+    assert (whole == sum(N.overlaps(p[:12], p[12:]) for p in parts)).all()
+    assert whole.tolist() == [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
+    for counts in (whole, whole * 300, whole * 100_000):
+        assert (N.unpacked(N.packed(counts), counts.size) == counts.ravel()).all()
+
+
+def test_ngram_join_large_group_and_passages(spark):
+    """A group of near copies over several blocks, and texts that share a long passage only."""
+    random.seed(12)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(70):
+        words = list(base)
+        for _ in range(random.choice([0, 1, 1, 2])):
+            words[random.randrange(len(words))] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    passage = [f"p{k}" for k in range(60)]
+    rows += [(100 + i, " ".join(passage + [f"y{i}-{k}" for k in range(40)])) for i in range(40)]
+    got = {r["id"]: (r["n_grams"], r["component"], r["n_links"]) for r in N.ngram_join(table(spark, rows), 3, 90, 100, tile=16, fragments=3).collect()}
+    assert got == brute_join(rows, 3, 90, 100)
+    assert max(k for *_, k in got.values()) > 20 and all(got[100 + i][1] == 100 + i for i in range(40))
+
+
 def brute_substring(rows, n):
     seen, out = {}, {}
     order = sorted(rows, key=lambda r: r[0])

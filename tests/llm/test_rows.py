@@ -114,6 +114,28 @@ def test_packing_finds_added_tokens(spark, tmp_path):
         assert codec.decode_tree(np.array(ids[:-1], "<u4")) == text.encode()
 
 
+def test_packing_long_texts(spark, tmp_path):
+    """Pieces of long texts, with added tokens inside, have the library's ids."""
+    from tokenizers import Tokenizer
+
+    from docledger.llm.queries import op7_packing
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    random.seed(9)
+    texts = [" ".join(random.choice([*WORDS, "日本語", "<|endoftext|>", "\n\n", "it's"]) for _ in range(n)) for n in (3_000, 12_000, 40_000)]
+    table(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = defaultdict(list)
+    for r in op7_packing(spark, str(tmp_path)).collect():
+        pieces[r["doc_id"]].append(r)
+    for k, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for r in sorted(pieces[k], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids)
+
+
 def test_pack_block_balances_cost():
     random.seed(1)
     lengths = [(k, 0, random.randint(1, 2047)) for k in range(500)]
