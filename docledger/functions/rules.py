@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import split_items, squeeze
+from .text import bound, split_items, squeeze
 
 # Spreadsheet error tokens, exact labels and anchored patterns of tokens that are no menu items.
 EXCEL_ERRORS = (
@@ -63,9 +63,11 @@ def token_category(token: Column, squeezed: Column | None = None) -> Column:
     """What a token is, if no item: the first of seven categories that matches it whole; null for items.
 
     token should be NFKC-normalised where it may hold compatibility characters. squeezed: its comparison form as a
-    column, where many tokens are told apart; else it is made in each test.
+    column, where there is one; else it is made once a token, and bound to a name that all tests use.
     """
-    t = squeeze(token) if squeezed is None else squeezed
+    if squeezed is None:
+        return bound(squeeze(token), lambda t: token_category(token, t))
+    t = squeezed
     label = lambda x: F.lit(x)
     cost = t.isin(*COST_LABELS)
     for p in COST_PATTERNS:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -22,6 +23,11 @@ def nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with the value made once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def collapse(c: Column) -> Column:
     """White-space runs become one space; trimmed."""
     return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), r"^ | $", "")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_in_text, made_date, weekday_dates
 from ..functions.rules import menu_tokens, token_category
-from ..functions.text import a1, contains_label, squeeze
+from ..functions.text import a1, bound, contains_label, squeeze
 from ..shared import cut
 from . import layout as L
 
@@ -39,7 +39,7 @@ def complete(cells: DataFrame) -> DataFrame:
 
 
 def meal_of(text: Column) -> Column:
-    return contains_label(squeeze(text), MEALS)
+    return bound(squeeze(text), lambda t: contains_label(t, MEALS))
 
 
 def weekday_of(text: Column) -> Column:

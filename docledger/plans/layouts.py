@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import grid as G
 from ..operators import layout as L
 from ..session import table
+from ..shared import cut
 from .registry import query
 
 
@@ -84,7 +85,7 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     meals = c.select("conv_id", (F.col("turn") + 2).cast("int").alias("row"), F.explode(F.sequence(F.lit(2), F.lit(4))).alias("col"), words.alias("w"))
     food = meals.select("conv_id", "row", "col", F.concat_ws("/", F.filter("w", lambda x, i: i % 3 == F.col("col") - 2)).alias("text")).filter("text <> ''")
     cells = heads.unionByName(days).unionByName(food)
-    return cells.select(F.col("conv_id").cast("string").alias("document_id"), F.lit("s").alias("sheet"), "row", F.col("col").alias("column"), "text")
+    return cut(cells.select(F.col("conv_id").cast("string").alias("document_id"), F.lit("s").alias("sheet"), "row", F.col("col").alias("column"), "text"), "cells")
 
 
 @query("""
