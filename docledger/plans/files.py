@@ -92,3 +92,18 @@ def html_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.concat(F.lit("<table><tr><th>"), "s_name", F.lit("</th>"), cell(F.lit("addr &amp; more")), cell(F.lpad((k * 7).cast("string"), 5, "0")), cell(phone), F.lit("</tr></table>"))
     rows = H.table_rows(s.select(F.col("s_suppkey").alias("page_id"), row.alias("html")))
     return H.directory(rows).select(F.col("page_id").alias("s_suppkey"), "phone", "postal_code", "name")
+
+
+@query("""
+    SELECT 'f' || s_suppkey || '.json' AS name, length(s_name)::BIGINT + 2 AS length FROM supplier WHERE s_suppkey % 7 <> 1 AND s_suppkey % 11 <> 2
+""")
+def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as files against a manifest: some sizes aren't given, some are wrong, as are some digests; paths that leave the folder match nothing."""
+    k, path = F.col("s_suppkey"), new_path(spark, "manifest-files")
+    rows = table(spark, sf_dir, "supplier").select(k, F.concat(F.lit("f"), k.cast("string")).alias("stem"), F.concat(F.lit('"'), "s_name", F.lit('"')).alias("value"))
+    S.write_json_documents(rows, path)
+    size = F.when(k % 7 == 1, 1).when(k % 5 != 0, F.length("value")).cast("long")
+    digest = F.sha2("value", 256)
+    manifest = rows.select(F.concat("stem", F.lit(".json")).alias("name"), size.alias("file_size"), F.when(k % 11 == 2, F.reverse(digest)).otherwise(digest).alias("sha256"))
+    outside = manifest.withColumn("name", F.concat(F.lit("../"), "name"))
+    return S.verified(S.digests(spark, path, "*.json"), manifest.unionByName(outside)).select("name", "length")
