@@ -169,13 +169,22 @@ class Code:
         return int(self.symbol[w])
 
 
+@cache
+def single_code(symbol: int, size: int) -> Code:
+    lengths = np.zeros(size, np.int64)
+    lengths[symbol] = 1
+    return Code(lengths)
+
+
 def read_code(r: Reader, size: int) -> Code:
     lengths = np.zeros(size, np.int64)
     if r.read(1):
         two = r.read(1)
-        lengths[r.read(8 if r.read(1) else 1)] = 1
-        if two:
-            lengths[r.read(8)] = 1
+        first = r.read(8 if r.read(1) else 1)
+        if not two:
+            return single_code(first, size)
+        lengths[first] = 1
+        lengths[r.read(8)] = 1
         return Code(lengths)
     own = np.zeros(19, np.int64)
     for k in range(r.read(4) + 4):
@@ -198,6 +207,11 @@ def read_code(r: Reader, size: int) -> Code:
     return Code(lengths)
 
 
+def write_single(w: Writer, symbol: int) -> None:
+    """The code of one symbol below 256, which takes no bits."""
+    w.put(0b101 | symbol << 3, 11)
+
+
 def write_code(w: Writer, lengths: np.ndarray) -> None:
     used = np.flatnonzero(lengths).tolist()
     if len(used) <= 2 and all(s < 256 for s in used):
@@ -672,9 +686,10 @@ def encode_repeats(samples: np.ndarray, width: int, found: list[tuple[int, int,
     np.add.at(counts, [256 + p[0] for p in lengths], 1)
     green = code_lengths(counts)
     far = code_lengths(np.bincount([p[0] for p in distances], minlength=DISTANCE))
-    alone = np.zeros(256, np.int64)
-    for code in (green, alone_at(alone, 0), alone_at(alone, 0), alone_at(alone, 255), far):
-        write_code(w, code)
+    write_code(w, green)
+    for symbol in (0, 0, 255):
+        write_single(w, symbol)
+    write_code(w, far)
     words, far_words = canonical(green), canonical(far)
     single = len(np.flatnonzero(far)) == 1
     # each part of a back-reference is a symbol of its own behind the 256 literals, so that all bits come from one table
@@ -691,10 +706,21 @@ def encode_repeats(samples: np.ndarray, width: int, found: list[tuple[int, int,
     return wrapped(w)
 
 
-def alone_at(lengths: np.ndarray, symbol: int) -> np.ndarray:
-    out = lengths.copy()
-    out[symbol] = 1
-    return out
+def encode_literals(samples: np.ndarray, width: int) -> bytes:
+    """A file whose green samples are literals; as encode() writes it."""
+    w = Writer()
+    w.put(width - 1, 14)
+    w.put(len(samples) // width - 1, 14)
+    w.put(1, 1)
+    w.put(0, 3)
+    w.put(0, 3)  # no transform, no colour cache, one group of prefix codes
+    green = code_lengths(np.bincount(samples, minlength=GREEN))
+    write_code(w, green)
+    for symbol in (0, 0, 255, 0):
+        write_single(w, symbol)
+    if np.count_nonzero(green) > 1:
+        w.put_symbols(samples, canonical(green), green)
+    return wrapped(w)
 
 
 def bits_of(values: np.ndarray) -> float:
@@ -708,7 +734,6 @@ def encode_samples(samples: np.ndarray, width: int) -> bytes:
     """The smallest, by estimate, of some lossless files of 8-bit samples: literals, a palette with bundled pixels, prediction from the
     top or the left, or back-references to stretches that stand earlier. Literals are read fastest, so that the others
     must save one bit in PAYS of theirs. Equal samples give equal files."""
-    argb = samples.astype(np.uint32) << np.uint32(8) | np.uint32(0xFF000000)
     plain, rows = bits_of(samples), samples.reshape(-1, width)
     ways: list[tuple[float, int]] = [(plain, 0)]
     values = int(np.count_nonzero(np.bincount(samples, minlength=256)))
@@ -727,9 +752,12 @@ def encode_samples(samples: np.ndarray, width: int) -> bytes:
     way = way if best < plain - plain / PAYS else 0
     if way == 4:
         return encode_repeats(samples, width, found)
+    if not way:
+        return encode_literals(samples, width)
+    argb = samples.astype(np.uint32) << np.uint32(8) | np.uint32(0xFF000000)
     if way >= 2:
         return encode(argb, width, (PREDICTOR,), block=9, mode=2 if way == 2 else 1)
-    return encode(argb, width, (PALETTE,) if way else ())
+    return encode(argb, width, (PALETTE,))
 
 
 def decode(data: bytes) -> tuple[np.ndarray, int, int]:

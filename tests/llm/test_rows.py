@@ -411,6 +411,7 @@ def test_webp_samples_use_the_format(monkeypatch):
     real = W.encode
     monkeypatch.setattr(W, "encode", lambda a, w, t=(), *r, **k: ways.update([t]) or real(a, w, t, *r, **k))
     monkeypatch.setattr(W, "encode_repeats", lambda *a, f=W.encode_repeats: ways.update(["back"]) or f(*a))
+    monkeypatch.setattr(W, "encode_literals", lambda *a, f=W.encode_literals: ways.update([()]) or f(*a))
     line = rng.integers(0, 256, 64, dtype=np.uint8)
     images = [rng.integers(32, 110, 64 * 40, dtype=np.uint8), (rng.random(64 * 50) < 0.08).astype(np.uint8) + 60, rng.integers(0, 9, 64 * 30, dtype=np.uint8), np.full(640, 7, np.uint8),
               (line[None, :] + np.arange(60, dtype=np.uint8)[:, None]).ravel(), np.cumsum(rng.integers(0, 3, 64 * 64), dtype=np.uint8), np.tile(rng.integers(0, 256, 700, dtype=np.uint8), 40)[: 64 * 400],
@@ -419,6 +420,7 @@ def test_webp_samples_use_the_format(monkeypatch):
     for samples in images:
         data = W.encode_samples(samples, 64)
         out, width, size = W.decode(data)
+        assert W.encode_literals(samples, 64) == real(samples.astype(np.uint32) << np.uint32(8) | np.uint32(0xFF000000), 64)
         assert ((out.ravel() >> 8 & 255) == samples).all() and width == 64 and size == len(data) and data == W.encode_samples(samples, 64)
     assert {(), (W.PALETTE,), (W.PREDICTOR,), "back"} <= set(ways)
     for k in (4, 6, 7):
