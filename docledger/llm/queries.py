@@ -88,6 +88,12 @@ def op8_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_media(encode_media(documents(spark, sf_dir))).withColumnRenamed("id", "doc_id")
 
 
+def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_array import suffix_dedup
+
+    return suffix_dedup(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op6_html_extract": op6_html_extract,
     "op8_webp": op8_webp,
+    "op11_suffix_array": op11_suffix_array,
 }
 
 def _words(text: str) -> str:
