@@ -94,6 +94,14 @@ def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import branched, prefix_trie, sequences
+
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string").cast("binary")) % 4
+    return prefix_trie(branched(sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet")), conv - conv % 20, head))
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
@@ -106,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op6_html_extract": op6_html_extract,
     "op8_webp": op8_webp,
     "op11_suffix_array": op11_suffix_array,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 def _words(text: str) -> str:
@@ -166,6 +175,35 @@ ORACLES: dict[str, str] = {
         SELECT page_id, url, array_to_string(b, chr(10)) AS text, CAST(length(array_to_string(b, chr(10))) AS BIGINT) AS n_chars FROM e
     """,
     "op10_licenses": _licenses_sql(),
+    "op11_suffix_array": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+             x AS (SELECT doc_id, octet_length(b) AS n, b, unnest(range(1, octet_length(b) + 1)) AS i FROM d),
+             g AS (SELECT doc_id, i, b[i:i] AS c, IF(i + 99 <= n, md5(b[i:i + 99]), NULL) AS s FROM x),
+             r AS (SELECT doc_id, i, c, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS again FROM g),
+             m AS (SELECT doc_id, i, c, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM r),
+             z AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS was FROM m),
+             k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (gone AND NOT was) AS n_spans, string_agg(hex(c), '' ORDER BY i) FILTER (NOT gone) AS kept FROM z GROUP BY 1)
+        SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
+    "op12_prefix_trie": f"""
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+                   FROM conversations WHERE conv_id IS NOT NULL),
+             o AS (SELECT conv_id AS c, list({{'r': r, 'x': x, 'w': len({_words("x")})}} ORDER BY k) AS own FROM t GROUP BY 1),
+             h AS (SELECT c, own, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda z: ascii(z)::BIGINT)),
+                       lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda s, u: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295) % 4 AS h FROM o),
+             q AS (SELECT h.c, list_concat(coalesce(o.own[1:h.h], []), h.own[h.h + 1:]) AS s FROM h LEFT JOIN o ON o.c = h.c - h.c % 20),
+             p AS (SELECT c, len(s) AS n, s, unnest(range(0, len(s) + 1)) AS d FROM q),
+             e AS (SELECT c, d, n, md5(CAST(list_transform(s[1:d], lambda z: [z.r, z.x]) AS VARCHAR)) AS node, md5(CAST(list_transform(s[1:d - 1], lambda z: [z.r, z.x]) AS VARCHAR)) AS up,
+                          IF(d > 0, s[d].w, 0) AS w FROM p),
+             v AS (SELECT d, node, IF(d > 0, any_value(up), NULL) AS up, any_value(w) AS w, min(c) AS c, count(*) AS m, max(n) = d AS leaf,
+                          coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends FROM e GROUP BY 1, 2),
+             a AS (SELECT DISTINCT x.d, x.node, y.d AS low, y.node AS below FROM e x JOIN e y ON x.c = y.c AND y.d >= x.d),
+             u AS (SELECT a.d, a.node, count(*) FILTER (v.leaf) AS leaves, sum((v.m - 1) * v.w) AS saved FROM a JOIN v ON v.d = a.low AND v.node = a.below GROUP BY 1, 2)
+        SELECT v.c AS conv_id, v.d AS depth, y.c AS parent_conv_id, v.m AS n_convs, (SELECT count(*) FROM v k WHERE k.d = v.d + 1 AND k.up = v.node) AS n_children,
+               u.leaves AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+        FROM v JOIN u ON u.d = v.d AND u.node = v.node LEFT JOIN v y ON y.d = v.d - 1 AND y.node = v.up
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256

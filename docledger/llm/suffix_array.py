@@ -12,6 +12,8 @@ A string of `length` bytes that also starts earlier (smaller document id, or sam
    STEP * 3 ** j bytes, so the sample of level L is the places whose lowest L digits to base 3 aren't 0. Sampled triples are
    sorted and named, and the names are the string of the next level (`name`). Only prefixes of `length` bytes are compared in
    the end, so the recursion ends when a name spans them.
+   Two equal strings have sampled places at equal distances, so a string whose sampled triples stand once each is unique. Such
+   strings are settled before the last naming and take no part from there on (`living`).
 3. On the way back the remaining suffixes (digit 0) are ordered by (character, rank of the next suffix) and merged with the
    sample: with digit 1 by the same pair, with digit 2 by two characters and a rank (`merge`).
 4. In the order of all suffixes adjacent prefixes of `length` bytes are compared, by a 64-bit hash of the prefix: as many
@@ -233,10 +235,11 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 class Shard:
     """One shard's text, and values by place."""
 
-    def __init__(self, text: bytes, length: int, sizes: bytes):
+    def __init__(self, text: bytes, length: int, sizes: bytes, alive: bytes | None = None):
         self.n, self.length, self.width = len(text), length, min(PREFIX, length)
         self.data = np.frombuffer(text + bytes(PREFIX + 8), np.uint8)
         self.sizes = _longs(sizes)
+        self.alive = None if alive is None else np.unpackbits(np.frombuffer(alive, np.uint8), count=self.n).astype(bool)
 
     def cover(self, level: int) -> np.ndarray:
         """The sample's places: the lowest `level` digits of the character's number aren't 0."""
@@ -247,15 +250,34 @@ class Shard:
             digits //= 3
         return np.flatnonzero(keep)
 
-    def needed(self, level: int) -> np.ndarray:
-        """Places of the sample whose ranks decide the order of strings: their starts, and what stands within the reach of the merges below."""
+    def strings(self) -> np.ndarray:
+        """Which places start a string that is compared."""
         ends = np.cumsum(self.sizes)
-        starts = ends - self.sizes
         step = np.zeros(self.n + 1, np.int64)
-        np.add.at(step, starts, 1)
-        np.add.at(step, ends - self.length + 1 + STEP * (3**level - 1), -1)
-        at = self.cover(level)
-        return at[np.cumsum(step[:-1])[at] > 0]
+        np.add.at(step, ends - self.sizes, 1)
+        np.add.at(step, ends - self.length + 1, -1)
+        return np.cumsum(step[:-1]) > 0
+
+    def needed(self, level: int) -> np.ndarray:
+        """Places of the sample whose ranks decide the order of living strings: their starts, and what stands within the reach of the merges below."""
+        at, reach = self.cover(level), STEP * (3**level - 1)
+        count = np.concatenate([[0], np.cumsum(self.strings() if self.alive is None else self.alive)])
+        return at[count[at + 1] > count[np.maximum(at - reach, 0)]]
+
+    def living(self, level: int, names: np.ndarray) -> np.ndarray:
+        """Strings that may repeat: behind one of their first places, all names of the level up to their end stand several times.
+
+        Two equal strings have a place at the same distance that both sample, and so equal names from there on.
+        """
+        width, reach = STEP * 3**level, STEP * (3**level - 1)
+        several = np.zeros(self.n, bool)
+        several[self.cover(level)] = names & 1 == 0
+        chain = several.copy()
+        for k in range(1, (self.length - reach) // width):
+            chain &= shifted(several, k * width)
+        count = np.concatenate([[0], np.cumsum(chain)])
+        starts = np.arange(self.n)
+        return self.strings() & (count[np.minimum(starts + reach + 1, self.n)] > count[starts])
 
     def packed(self, width: int) -> np.ndarray:
         """`width` bytes from each place on as one number, in order; 0 is left for what lies behind the end."""
@@ -290,9 +312,9 @@ def shifted(x: np.ndarray, by: int) -> np.ndarray:
     return np.concatenate([x[by:], np.zeros(min(by, len(x)), x.dtype)])
 
 
-def triples(shard: Shard, level: int, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """For the sample of level + 1: its order by triples, which of them are new in this order, and the triples."""
-    at, step = shard.cover(level + 1), STEP * 3**level
+def triples(shard: Shard, at: np.ndarray, level: int, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """For places of the sample of level + 1: their order by triples, which of them are new in this order, and the triples."""
+    step = STEP * 3**level
     own = [chars[at], shifted(chars, step)[at], shifted(chars, 2 * step)[at]]
     order = np.lexsort(own[::-1])
     new = np.ones(len(at), bool)
@@ -330,9 +352,12 @@ class Sorter:
     def __init__(self, shards: DataFrame, length: int):
         self.shards, self.length = shards, length
         self.names: dict[int, DataFrame] = {}
+        self.own: list[DataFrame] = []
         self.top = 1
         while STEP * 3**self.top < length:
             self.top += 1
+        #: The last level of which a sampled triple stands in any string, wherever it starts.
+        self.settled = max((k for k in range(2, self.top) if STEP * (2 * 3**k - 1) <= length), default=0)
         self.bounds = self.splitters()
 
     def splitters(self) -> np.ndarray:
@@ -357,18 +382,26 @@ class Sorter:
     def name(self, level: int) -> None:
         """Sorts and names the sampled triples of a level: its names are the characters of the next one."""
         length, bounds = self.length, self.bounds
-        rows = self.with_names(level)
+        rows, last = self.with_names(level), level + 1 == self.top
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, 1):
                 x = b.to_pylist()[0]
-                s = Shard(x["text"], length, x["sizes"])
-                order, new, own = triples(s, level, s.characters(level, x["names"]))
+                s = Shard(x["text"], length, x["sizes"], x["alive"])
+                at = s.needed(level + 1) if last else s.cover(level + 1)
+                if not len(at):
+                    continue
+                order, new, own = triples(s, at, level, s.characters(level, x["names"]))
                 first = order[new]
-                cuts = np.concatenate([[0], np.searchsorted(s.prefixes(s.cover(level + 1)[first]), bounds), [len(first)]])
+                many = (np.diff(np.append(np.flatnonzero(new), len(new))) > 1).astype(np.int8)
+                cuts = np.concatenate([[0], np.searchsorted(s.prefixes(at[first]), bounds), [len(first)]])
                 full = np.flatnonzero(cuts[1:] > cuts[:-1])
-                blocks = [np.concatenate([t[first[cuts[k] : cuts[k + 1]]] for t in own]).tobytes() for k in full]
-                yield pa.RecordBatch.from_arrays([pa.array(full), pa.array([x["shard"]] * len(full), pa.int64()), pa.array(cuts[:-1][full]), pa.array(blocks, pa.binary())], ["range", "shard", "start", "block"])
+                spans = [slice(cuts[k], cuts[k + 1]) for k in full]
+                blocks = [np.concatenate([t[first[z]] for t in own]).tobytes() for z in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full), pa.array([x["shard"]] * len(full), pa.int64()), pa.array(cuts[:-1][full]), pa.array([many[z].tobytes() for z in spans], pa.binary()), pa.array(blocks, pa.binary())],
+                    ["range", "shard", "start", "many", "block"],
+                )
 
         def named(key: tuple, t: pa.Table) -> pa.Table:
             blocks = [_longs(x).reshape(3, -1) for x in t.column("block").to_pylist()]
@@ -376,61 +409,78 @@ class Sorter:
             order = np.lexsort(own[::-1])
             new = np.ones(len(order), bool)
             new[1:] = (own[:, order[1:]] != own[:, order[:-1]]).any(axis=0)
+            first = np.flatnonzero(new)
+            count = np.diff(np.append(first, len(new))) + np.add.reduceat(np.frombuffer(b"".join(t.column("many").to_pylist()), np.int8)[order].astype(np.int64), first)
+            place = np.cumsum(new)
             names = np.empty(len(order), np.int64)
-            names[order] = np.cumsum(new) + (key[0].as_py() << PLACE)
+            names[order] = (place + (key[0].as_py() << PLACE)) << 1 | (count == 1)[place - 1]
             back = np.split(names, np.cumsum([x.shape[1] for x in blocks])[:-1])
             return pa.table([t.column("shard"), t.column("start"), pa.array([x.tobytes() for x in back], pa.binary())], ["shard", "start", "block"])
 
-        dealt = rows.select("shard", "text", "sizes", "names").mapInArrow(deal, "range bigint, shard bigint, start bigint, block binary")
+        dealt = rows.select("shard", "text", "sizes", "alive", "names").mapInArrow(deal, "range bigint, shard bigint, start bigint, many binary, block binary")
         found = dealt.groupBy("range").applyInArrow(named, "shard bigint, start bigint, block binary")
         by_shard = found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("start", "block"))).alias("found"))
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, 1):
                 x = b.to_pylist()[0]
-                s = Shard(x["text"], length, x["sizes"])
-                order, new, _ = triples(s, level, s.characters(level, x["names"]))
+                s = Shard(x["text"], length, x["sizes"], x["alive"])
+                order, new, _ = triples(s, s.needed(level + 1) if last else s.cover(level + 1), level, s.characters(level, x["names"]))
                 out = np.empty(len(order), np.int64)
                 out[order] = np.concatenate([_longs(y["block"]) for y in x["found"]])[np.cumsum(new) - 1]
                 yield pa.RecordBatch.from_arrays([b.column("shard"), pa.array([out.tobytes()], pa.binary())], ["shard", "names"])
 
-        joined = rows.join(by_shard, "shard").select("shard", "text", "sizes", "names", "found")
+        joined = rows.join(by_shard, "shard").select("shard", "text", "sizes", "alive", "names", "found")
         self.names[level + 1] = cut(joined.mapInArrow(placed, "shard bigint, names binary"), f"suffix-names{level + 1}")
 
+    def settle(self) -> None:
+        """Takes strings that can't repeat out of the shards."""
+        length, level = self.length, self.settled
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, 1):
+                s = Shard(b.column("text")[0].as_py(), length, b.column("sizes")[0].as_py())
+                alive = s.living(level, _longs(b.column("names")[0].as_py()))
+                if alive.any():
+                    yield pa.RecordBatch.from_arrays([b.column("shard"), pa.array([np.packbits(alive).tobytes()], pa.binary())], ["shard", "alive"])
+
+        found = self.with_names(level).select("shard", "text", "sizes", "names").mapInArrow(run, "shard bigint, alive binary")
+        self.shards = cut(self.shards.drop("alive").join(found, "shard"), "suffix-living")
+        self.own.append(self.shards)
+
     def merge(self, level: int, ranks: DataFrame | None) -> DataFrame:
         """Merges the remaining suffixes of a level with the sample, whose ranks are those of the level above (None: its names).
 
         shard, ranks: by the needed places of this level. Level 0 gives doc, tag, at instead: strings that also start earlier.
         """
-        length, bounds, top = self.length, self.bounds, level + 1 == self.top
-        rows = self.with_names(level)
-        if top:
-            above = self.names[self.top].withColumnRenamed("names", "above") if self.top > 1 else None
-        else:
-            above = ranks.withColumnRenamed("ranks", "above")
-        rows = rows.join(above, "shard") if above is not None else rows.withColumn("above", F.lit(None).cast("binary"))
-        longs = 4 if level else 8
+        length, bounds = self.length, self.bounds
+        rows, above = self.with_names(level), self.names.get(self.top) if ranks is None else ranks
+        rows = rows.join(above.toDF("shard", "above"), "shard") if above is not None else rows.withColumn("above", F.lit(None).cast("binary"))
+        longs = 4 if level else 6
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, 1):
                 x = b.to_pylist()[0]
-                s = Shard(x["text"], length, x["sizes"])
+                s = Shard(x["text"], length, x["sizes"], x["alive"])
                 chars = s.characters(level, x["names"])
                 if x["above"] is None:
                     rank = s.dense(s.cover(1), s.characters(1, None)[s.cover(1)])
                 else:
-                    rank = s.dense(s.cover(level + 1) if top else s.needed(level + 1), _longs(x["above"]))
+                    rank = s.dense(s.needed(level + 1), _longs(x["above"]))
                 step, at = STEP * 3**level, s.needed(level)
                 if not len(at):
                     continue
                 digit = at // step % 3
                 one, two = shifted(rank, step)[at], shifted(rank, 2 * step)[at]
-                columns = [chars[at], shifted(chars, step)[at], np.where(digit == 0, one, rank[at]), np.where(digit == 1, one, two)]
-                if not level:
+                ranks = [np.where(digit == 0, one, rank[at]), np.where(digit == 1, one, two)]
+                first, second = chars[at], shifted(chars, step)[at]
+                if level:
+                    table = np.stack([first, second, *ranks])
+                else:  # both characters in one number, start and tag in one number
                     ends = np.cumsum(s.sizes)
                     of = np.searchsorted(ends, at, "right")
-                    columns += [grams(s.data, length)[at].view(np.int64), _longs(x["docs"])[of], (_longs(x["starts"]) - ends + s.sizes)[of] + at, _longs(x["tags"])[of]]
-                table = np.stack(columns)
+                    start = (_longs(x["starts"]) - ends + s.sizes)[of] + at
+                    table = np.stack([first << 32 | second, *ranks, grams(s.data, length)[at].view(np.int64), _longs(x["docs"])[of], start << 32 | _longs(x["tags"])[of] & 0xFFFFFFFF])
                 to = s.ranges(at, bounds)
                 order = np.argsort(to, kind="stable")
                 full, first = np.unique(to[order], return_index=True)
@@ -443,13 +493,14 @@ class Sorter:
         def ranked(key: tuple, t: pa.Table) -> pa.Table:
             blocks = [_longs(x).reshape(longs, -1) for x in t.column("block").to_pylist()]
             own = np.concatenate(blocks, axis=1)
-            before = merged(*own[:4], np.frombuffer(b"".join(t.column("digit").to_pylist()), np.int8))
+            digit = np.frombuffer(b"".join(t.column("digit").to_pylist()), np.int8)
             if not level:
-                return judge(own, before)
+                return judge(*own[3:], merged(own[0] >> 32, own[0] & 0xFFFFFFFF, own[1], own[2], digit))
+            before = merged(*own, digit)
             back = np.split(before + 1 + (key[0].as_py() << PLACE), np.cumsum([x.shape[1] for x in blocks])[:-1])
             return pa.table([t.column("shard"), t.column("place"), pa.array([x.tobytes() for x in back], pa.binary())], ["shard", "place", "block"])
 
-        dealt = rows.select("shard", "text", "sizes", "names", "docs", "tags", "starts", "above").mapInArrow(deal, "range bigint, shard bigint, place binary, digit binary, block binary")
+        dealt = rows.select("shard", "text", "sizes", "alive", "names", "docs", "tags", "starts", "above").mapInArrow(deal, "range bigint, shard bigint, place binary, digit binary, block binary")
         if not level:
             return dealt.groupBy("range").applyInArrow(ranked, "doc bigint, tag int, at binary")
         found = dealt.groupBy("range").applyInArrow(ranked, "shard bigint, place binary, block binary")
@@ -469,22 +520,25 @@ class Sorter:
 
     def repeated(self) -> DataFrame:
         """doc, tag, at (32-bit starts): strings that also start earlier."""
+        self.shards = self.shards.withColumn("alive", F.lit(None).cast("binary"))
         for level in range(1, self.top):
             self.name(level)
+            if level + 1 == self.settled:
+                self.settle()
         ranks = None
         for level in range(self.top - 1, 0, -1):
             before, ranks = ranks, self.merge(level, ranks)
             if before is not None:
                 release(before)
         found = cut(self.merge(0, ranks), "suffix-repeated")
-        release(*self.names.values(), *([ranks] if ranks is not None else []))
+        release(*self.names.values(), *self.own, *([ranks] if ranks is not None else []))
         return found
 
 
-def judge(own: np.ndarray, before: np.ndarray) -> pa.Table:
+def judge(check: np.ndarray, doc: np.ndarray, coordinates: np.ndarray, before: np.ndarray) -> pa.Table:
     """Compares adjacent prefixes in the order of the suffixes; doc, tag and starts of those with an earlier source."""
     order = np.argsort(before, kind="stable")
-    check, doc, at, tag = own[4:, order]
+    check, doc, at, tag = check[order], doc[order], coordinates[order] >> 32, coordinates[order].astype(np.int32)
     run = np.concatenate([[0], np.cumsum(check[1:] != check[:-1])])
     order = np.lexsort([at, doc, run])
     run, doc, at, tag = run[order], doc[order], at[order], tag[order]
@@ -495,7 +549,7 @@ def judge(own: np.ndarray, before: np.ndarray) -> pa.Table:
     doc, tag, at = doc[late], tag[late], at[late]
     edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])) if len(doc) else late
     blocks = [x.astype(np.int32).tobytes() for x in np.split(at, edge[1:])] if len(edge) else []
-    return pa.table([pa.array(doc[edge]), pa.array(tag[edge].astype(np.int32)), pa.array(blocks, pa.binary())], ["doc", "tag", "at"])
+    return pa.table([pa.array(doc[edge]), pa.array(tag[edge]), pa.array(blocks, pa.binary())], ["doc", "tag", "at"])
 
 
 def uncovered(size: int, later: list[dict] | None, single: list[bytes] | None, length: int) -> np.ndarray:
