@@ -102,6 +102,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(branched(sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet")), conv - conv % 20, head))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op3_sharding": op3_sharding,
@@ -115,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op8_webp": op8_webp,
     "op11_suffix_array": op11_suffix_array,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }
 
 def _words(text: str) -> str:
