@@ -4,8 +4,8 @@ A string of `length` bytes that also starts earlier (smaller document id, or sam
 
 1. What can't repeat never enters the sort. Every string of `length` bytes has a minimizer, its GRAM bytes of lowest hash.
    Equal strings have equal minimizers at equal places, so a string whose minimizer stands once in the corpus occurs once.
-   Consecutive strings with one minimizer are a segment. Segments that repeat whole are settled by their first source (a
-   128-bit digest of their bytes tells them apart); of the first sources, those go on whose minimizer stands in several
+   Consecutive strings with one minimizer are a segment. Segments that repeat whole are settled by their first source (64
+   bits of the minimizer and 64 of a cryptographic digest of all their bytes tell them apart); of the first sources, those go on whose minimizer stands in several
    different segments. There, and only there, part of a segment can be found in another.
 2. The bytes of these open segments stand in shards, and the suffixes of all shards are sorted by the difference-cover
    algorithm (DC3). A character is STEP bytes. At level j the string is that of the names of level j at a distance of
@@ -13,7 +13,7 @@ A string of `length` bytes that also starts earlier (smaller document id, or sam
    sorted and named, and the names are the string of the next level (`name`). Only prefixes of `length` bytes are compared in
    the end, so the recursion ends when a name spans them.
    Two equal strings have sampled places at equal distances, so a string whose sampled triples stand once each is unique. Such
-   strings are settled before the last naming and take no part from there on (`living`).
+   strings are sieved out after the first namings, and the sort starts again with what may repeat (`sieve`).
 3. On the way back the remaining suffixes (digit 0) are ordered by (character, rank of the next suffix) and merged with the
    sample: with digit 1 by the same pair, with digit 2 by two characters and a rank (`merge`).
 4. In the order of all suffixes adjacent prefixes of `length` bytes are compared, by a 64-bit hash of the prefix: as many
@@ -152,7 +152,7 @@ class Repeats:
         return self.source.select("doc", "tag", "text").mapInArrow(run, "doc bigint, tag int, keys array<bigint>, starts array<int>").filter("size(keys) > 0")
 
     def candidates(self) -> DataFrame:
-        """key, a, b (digest), doc, at, tag, n: segments whose minimizer stands more than once in the corpus."""
+        """key, digest, doc, at, n, tag: segments whose minimizer stands more than once in the corpus."""
         parts = cut(self.segments(), "suffix-segments")
         each = parts.select(F.explode("keys").alias("key"))
         twice = cut(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "suffix-twice")
@@ -162,32 +162,31 @@ class Repeats:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches):
                 texts = _bytes(b.column("text").to_pylist())
-                out: list[tuple] = []
-                for doc, tag, often, text, (keys, starts) in zip(b.column("doc").to_pylist(), b.column("tag").to_pylist(), b.column("often"), texts, parsed(texts, length, gram), strict=True):
-                    if len(keys):
-                        ends = np.append(starts[1:], len(text) - length + 1)
-                        for i in np.flatnonzero(np.isin(keys.view(np.int64), often.values.to_numpy())).tolist():
-                            s, e = int(starts[i]), int(ends[i])
-                            d = hashlib.blake2b(text[s : e + length - 1], digest_size=16).digest()
-                            out.append((keys[i].view(np.int64), d[:8], d[8:], doc, s, tag, e - s))
-                if out:
-                    key, a, c, *rest = zip(*out, strict=True)
-                    whole = [np.array(key, np.int64), _longs(b"".join(a)), _longs(b"".join(c)), *[np.array(x, k) for x, k in zip(rest, (np.int64, np.int32, np.int32, np.int32), strict=True)]]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in whole], ["key", "a", "b", "doc", "at", "tag", "n"])
+                digests: list[bytes] = []
+                key, at, n, row = [], [], [], []
+                for k, (often, text, (keys, starts)) in enumerate(zip(b.column("often"), texts, parsed(texts, length, gram), strict=True)):
+                    pick = np.flatnonzero(np.isin(keys.view(np.int64), often.values.to_numpy()))
+                    own, size = starts[pick], np.append(starts[1:], len(text) - length + 1)[pick] - starts[pick]
+                    digests += [hashlib.blake2b(text[s:e], digest_size=8).digest() for s, e in zip(own.tolist(), (own + size + length - 1).tolist(), strict=True)]
+                    for held, x in ((key, keys[pick].view(np.int64)), (at, own), (n, size), (row, np.full(len(pick), k))):
+                        held.append(x)
+                rows = pa.array(np.concatenate(row))
+                whole = [pa.array(np.concatenate(key)), pa.array(_longs(b"".join(digests))), b.column("doc").take(rows), *[pa.array(np.concatenate(x).astype(np.int32)) for x in (at, n)], b.column("tag").take(rows)]
+                yield pa.RecordBatch.from_arrays(whole, ["key", "digest", "doc", "at", "n", "tag"])
 
         joined = self.source.drop("id").join(per, ["doc", "tag"])
-        found = cut(joined.mapInArrow(run, "key bigint, a bigint, b bigint, doc bigint, at int, tag int, n int"), "suffix-candidates")
+        found = cut(joined.mapInArrow(run, "key bigint, digest bigint, doc bigint, at int, n int, tag int"), "suffix-candidates")
         release(parts, twice)
         return found
 
     def marks(self) -> DataFrame:
         """doc, tag, later, open: starts and numbers of strings of the segments to remove whole, and of those to be sorted."""
         found = self.candidates()
-        firsts = cut(found.groupBy("key", "a", "b").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("copies")), "suffix-firsts")
+        firsts = cut(found.groupBy("key", "digest").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("copies")), "suffix-firsts")
         several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key", F.lit(True).alias("several"))
         # a segment that stands once needs no look at the other copies
-        own = firsts.join(several, "key", "left").filter("several OR copies > 1").select("key", "a", "b", "first", F.coalesce("several", F.lit(False)).alias("several"))
-        rows = found.join(own, ["key", "a", "b"]).select("doc", "tag", "at", "n", (F.struct("doc", "at") > F.col("first")).alias("late"), "several").filter("late OR several")
+        own = firsts.join(several, "key", "left").filter("several OR copies > 1").select("key", "digest", "first", F.coalesce("several", F.lit(False)).alias("several"))
+        rows = found.join(own, ["key", "digest"]).select("doc", "tag", "at", "n", (F.struct("doc", "at") > F.col("first")).alias("late"), "several").filter("late OR several")
         pair = F.struct("at", "n")
         out = cut(rows.groupBy("doc", "tag").agg(F.collect_list(F.when(F.col("late"), pair)).alias("later"), F.collect_list(F.when(~F.col("late"), pair)).alias("open")), "suffix-marks")
         release(found, firsts)
@@ -235,11 +234,10 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 class Shard:
     """One shard's text, and values by place."""
 
-    def __init__(self, text: bytes, length: int, sizes: bytes, alive: bytes | None = None):
+    def __init__(self, text: bytes, length: int, sizes: bytes):
         self.n, self.length, self.width = len(text), length, min(PREFIX, length)
         self.data = np.frombuffer(text + bytes(PREFIX + 8), np.uint8)
         self.sizes = _longs(sizes)
-        self.alive = None if alive is None else np.unpackbits(np.frombuffer(alive, np.uint8), count=self.n).astype(bool)
 
     def cover(self, level: int) -> np.ndarray:
         """The sample's places: the lowest `level` digits of the character's number aren't 0."""
@@ -259,9 +257,9 @@ class Shard:
         return np.cumsum(step[:-1]) > 0
 
     def needed(self, level: int) -> np.ndarray:
-        """Places of the sample whose ranks decide the order of living strings: their starts, and what stands within the reach of the merges below."""
+        """Places of the sample whose ranks decide the order of strings: their starts, and what stands within the reach of the merges below."""
         at, reach = self.cover(level), STEP * (3**level - 1)
-        count = np.concatenate([[0], np.cumsum(self.strings() if self.alive is None else self.alive)])
+        count = np.concatenate([[0], np.cumsum(self.strings())])
         return at[count[at + 1] > count[np.maximum(at - reach, 0)]]
 
     def living(self, level: int, names: np.ndarray) -> np.ndarray:
@@ -352,7 +350,6 @@ class Sorter:
     def __init__(self, shards: DataFrame, length: int):
         self.shards, self.length = shards, length
         self.names: dict[int, DataFrame] = {}
-        self.own: list[DataFrame] = []
         self.top = 1
         while STEP * 3**self.top < length:
             self.top += 1
@@ -387,7 +384,7 @@ class Sorter:
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, 1):
                 x = b.to_pylist()[0]
-                s = Shard(x["text"], length, x["sizes"], x["alive"])
+                s = Shard(x["text"], length, x["sizes"])
                 at = s.needed(level + 1) if last else s.cover(level + 1)
                 if not len(at):
                     continue
@@ -417,36 +414,43 @@ class Sorter:
             back = np.split(names, np.cumsum([x.shape[1] for x in blocks])[:-1])
             return pa.table([t.column("shard"), t.column("start"), pa.array([x.tobytes() for x in back], pa.binary())], ["shard", "start", "block"])
 
-        dealt = rows.select("shard", "text", "sizes", "alive", "names").mapInArrow(deal, "range bigint, shard bigint, start bigint, many binary, block binary")
+        dealt = rows.select("shard", "text", "sizes", "names").mapInArrow(deal, "range bigint, shard bigint, start bigint, many binary, block binary")
         found = dealt.groupBy("range").applyInArrow(named, "shard bigint, start bigint, block binary")
         by_shard = found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("start", "block"))).alias("found"))
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, 1):
                 x = b.to_pylist()[0]
-                s = Shard(x["text"], length, x["sizes"], x["alive"])
+                s = Shard(x["text"], length, x["sizes"])
                 order, new, _ = triples(s, s.needed(level + 1) if last else s.cover(level + 1), level, s.characters(level, x["names"]))
                 out = np.empty(len(order), np.int64)
                 out[order] = np.concatenate([_longs(y["block"]) for y in x["found"]])[np.cumsum(new) - 1]
                 yield pa.RecordBatch.from_arrays([b.column("shard"), pa.array([out.tobytes()], pa.binary())], ["shard", "names"])
 
-        joined = rows.join(by_shard, "shard").select("shard", "text", "sizes", "alive", "names", "found")
+        joined = rows.join(by_shard, "shard").select("shard", "text", "sizes", "names", "found")
         self.names[level + 1] = cut(joined.mapInArrow(placed, "shard bigint, names binary"), f"suffix-names{level + 1}")
 
-    def settle(self) -> None:
-        """Takes strings that can't repeat out of the shards."""
+    def sieve(self) -> None:
+        """Makes new shards of the strings that may repeat."""
         length, level = self.length, self.settled
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, 1):
-                s = Shard(b.column("text")[0].as_py(), length, b.column("sizes")[0].as_py())
-                alive = s.living(level, _longs(b.column("names")[0].as_py()))
-                if alive.any():
-                    yield pa.RecordBatch.from_arrays([b.column("shard"), pa.array([np.packbits(alive).tobytes()], pa.binary())], ["shard", "alive"])
-
-        found = self.with_names(level).select("shard", "text", "sizes", "names").mapInArrow(run, "shard bigint, alive binary")
-        self.shards = cut(self.shards.drop("alive").join(found, "shard"), "suffix-living")
-        self.own.append(self.shards)
+                x = b.to_pylist()[0]
+                s = Shard(x["text"], length, x["sizes"])
+                edge = np.diff(np.concatenate([[0], s.living(level, _longs(x["names"])).astype(np.int8), [0]]))
+                ends = np.cumsum(s.sizes)
+                first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+                of = np.searchsorted(ends, first, "right")
+                docs, tags, starts = _longs(x["docs"])[of], _longs(x["tags"])[of], (_longs(x["starts"]) - ends + s.sizes)[of] + first
+                held = [(*c, x["text"][a : e + length - 1]) for *c, a, e in zip(docs.tolist(), tags.tolist(), starts.tolist(), first.tolist(), last.tolist(), strict=True)]
+                if held:
+                    yield shard_row(x["shard"], held)
+
+        before = self.shards
+        self.shards = cut(self.with_names(level).select(*before.columns, "names").mapInArrow(run, before.schema), "suffix-sieved")
+        release(before, *self.names.values())
+        self.names = {}
 
     def merge(self, level: int, ranks: DataFrame | None) -> DataFrame:
         """Merges the remaining suffixes of a level with the sample, whose ranks are those of the level above (None: its names).
@@ -461,7 +465,7 @@ class Sorter:
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, 1):
                 x = b.to_pylist()[0]
-                s = Shard(x["text"], length, x["sizes"], x["alive"])
+                s = Shard(x["text"], length, x["sizes"])
                 chars = s.characters(level, x["names"])
                 if x["above"] is None:
                     rank = s.dense(s.cover(1), s.characters(1, None)[s.cover(1)])
@@ -500,7 +504,7 @@ class Sorter:
             back = np.split(before + 1 + (key[0].as_py() << PLACE), np.cumsum([x.shape[1] for x in blocks])[:-1])
             return pa.table([t.column("shard"), t.column("place"), pa.array([x.tobytes() for x in back], pa.binary())], ["shard", "place", "block"])
 
-        dealt = rows.select("shard", "text", "sizes", "alive", "names", "docs", "tags", "starts", "above").mapInArrow(deal, "range bigint, shard bigint, place binary, digit binary, block binary")
+        dealt = rows.select("shard", "text", "sizes", "names", "docs", "tags", "starts", "above").mapInArrow(deal, "range bigint, shard bigint, place binary, digit binary, block binary")
         if not level:
             return dealt.groupBy("range").applyInArrow(ranked, "doc bigint, tag int, at binary")
         found = dealt.groupBy("range").applyInArrow(ranked, "shard bigint, place binary, block binary")
@@ -520,18 +524,19 @@ class Sorter:
 
     def repeated(self) -> DataFrame:
         """doc, tag, at (32-bit starts): strings that also start earlier."""
-        self.shards = self.shards.withColumn("alive", F.lit(None).cast("binary"))
+        for level in range(1, self.settled):
+            self.name(level)
+        if self.settled:
+            self.sieve()
         for level in range(1, self.top):
             self.name(level)
-            if level + 1 == self.settled:
-                self.settle()
         ranks = None
         for level in range(self.top - 1, 0, -1):
             before, ranks = ranks, self.merge(level, ranks)
             if before is not None:
                 release(before)
         found = cut(self.merge(0, ranks), "suffix-repeated")
-        release(*self.names.values(), *self.own, *([ranks] if ranks is not None else []))
+        release(self.shards, *self.names.values(), *([ranks] if ranks is not None else []))
         return found
 
 
@@ -572,7 +577,6 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     marks = op.marks()
     shards = op.shards(marks)
     single = Sorter(shards, length).repeated().groupBy("doc", "tag").agg(F.collect_list("at").alias("single"))
-    release(shards)
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
