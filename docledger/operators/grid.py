@@ -65,11 +65,22 @@ def effective_text(cells: DataFrame, keys: list[str], at: str, text: str, parent
     return cells.join(p, on, "left").withColumn("effective", F.coalesce(F.nullif(F.col(text), F.lit("")), F.col("__text")))
 
 
+#: Rows and columns of a tile of a sheet.
+TILE = 16, 8
+
+
 def covered_by(cells: DataFrame, merges: DataFrame) -> DataFrame:
-    """Cells with the merge that covers them. merges: document_id, sheet, top, bottom, left, right, parent."""
-    m = merges.select(*[F.col(k).alias(f"__{k}") for k in SHEET], "top", "bottom", "left", "right", "parent")
-    on = (cells["document_id"] == m["__document_id"]) & (cells["sheet"] == m["__sheet"]) & cells["row"].between(m["top"], m["bottom"]) & cells["column"].between(m["left"], m["right"])
-    return cells.join(m, on, "left").drop("__document_id", "__sheet")
+    """Cells with the merge that covers them. merges: document_id, sheet, top, bottom, left, right, parent.
+
+    A merge stands in each tile of the sheet that it touches, a cell in one. As merges don't overlap, a cell meets at most as many
+    as a tile has cells, however large the sheet is.
+    """
+    tiles = lambda low, high, size: F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
+    m = merges.select(*[F.col(k).alias(f"__{k}") for k in SHEET], "top", "bottom", "left", "right", "parent").withColumn("__down", tiles("top", "bottom", TILE[0])).withColumn("__across", tiles("left", "right", TILE[1]))
+    own = cells.withColumns({"__tile_row": F.floor(F.col("row") / TILE[0]), "__tile_column": F.floor(F.col("column") / TILE[1])})
+    on = (own["document_id"] == m["__document_id"]) & (own["sheet"] == m["__sheet"]) & (own["__tile_row"] == m["__down"]) & (own["__tile_column"] == m["__across"])
+    on = on & own["row"].between(m["top"], m["bottom"]) & own["column"].between(m["left"], m["right"])
+    return own.join(m, on, "left").drop("__document_id", "__sheet", "__down", "__across", "__tile_row", "__tile_column")
 
 
 def with_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import cut
+from ..streaming.state import BucketedTable
+
 
 def variants(df: DataFrame, slot: list[str], content: list[str], document: str) -> DataFrame:
     """One row per slot and content: its documents' number, primary (smallest) and rows."""
@@ -36,22 +39,39 @@ def merge_documents(df: DataFrame, slot: list[str], content: list[str], document
     return df.groupBy(*slot, *content).agg(F.min(document).alias("primary"), F.sort_array(F.collect_set(document)).alias("documents"))
 
 
-def merge_to_fixpoint(base: DataFrame, incoming: DataFrame, slot: list[str], content: list[str], document: str, cut, most: int = 1000) -> tuple[DataFrame, DataFrame]:
+def merge_to_fixpoint(base: DataFrame, incoming: DataFrame, slot: list[str], content: list[str], document: str, cut, most: int = 1000, buckets: int = 32) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected incoming documents (one column each).
 
     Incoming documents replace those of the same id. Incoming ones in a conflict are rejected, which restores their
-    base version, which may conflict anew; base documents are never rejected. Every round rejects a document at least, so
-    it ends; `cut` writes a small table of ids per round and reads it back, so that the plan doesn't grow.
+    base version, which may conflict anew; base documents are never rejected.
+
+    Only the first round looks at all slots. From then on each accepted document's slots have one content each, and a conflict
+    can come from a restored base version only. So a round goes from the documents rejected last to the slots of their base versions
+    (`restorable`, bucketed by document), and from these to the incoming documents there with another content
+    (`challenged`, bucketed by slot): it reads the buckets of the last rejections, not the tables. Many versions of a hot slot
+    meet as its smallest and largest content. `cut` writes a small table of ids per round and reads it back.
     """
-    accepted = cut(incoming.select(document).distinct())
-    rejected = accepted.limit(0)
+    spark = base.sparkSession
+    everyone = cut(incoming.select(document).distinct())
+    now = base.join(everyone, document, "left_anti").unionByName(incoming)
+    last = cut(conflicting_documents(now, slot, content, document).join(everyone, document, "left_semi"))
+    rejected, parts = last, [everyone, last]
+    value = F.struct(*content).alias("content")
+    old = base.join(everyone, document, "left_semi").select(document, *slot, value).distinct()
+    restorable = BucketedTable(spark, "restorable", old.schema, [document], buckets)
+    restorable.merge(old, 0, lambda _, rows: rows)
+    new = incoming.join(old.select(*slot).distinct(), slot, "left_semi").select(document, *slot, value).distinct()
+    challenged = BucketedTable(spark, "challenged", new.schema, slot, buckets)
+    challenged.merge(new, 0, lambda _, rows: rows)
     for _ in range(most):
-        now = base.join(accepted, document, "left_anti").unionByName(incoming.join(accepted, document, "left_semi"))
-        bad = cut(conflicting_documents(now, slot, content, document).join(accepted, document, "left_semi"))
-        if bad.isEmpty():
-            return accepted, rejected
-        rejected = cut(rejected.unionByName(bad))
-        accepted = cut(accepted.join(bad, document, "left_anti"))
+        if last.isEmpty():
+            return everyone.join(rejected, document, "left_anti"), rejected
+        back = restorable.near(last).join(last, document, "left_semi")
+        edges = cut(back.groupBy(*slot).agg(F.min("content").alias("low"), F.max("content").alias("high")))
+        hit = challenged.near(edges).join(edges, slot).filter("content <> low OR content <> high").select(document).distinct()
+        last = cut(hit.join(rejected, document, "left_anti"))
+        rejected = cut(rejected.unionByName(last))
+        parts += [last, rejected]
     raise RuntimeError("the merge did not settle")
 
 
@@ -71,22 +91,72 @@ def fingerprints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(part(k)).alias(f"digest_{k}") for k in range(4)])
 
 
-def ordered_versions(df: DataFrame, keys: list[str], row_id: str, digest: str, block: int = 1000, n: int = 24) -> DataFrame:
-    """version, keys, n: a digest of ids and digests in order of ids, in two levels, so that no row holds more than a block of ids or
-    one digest a block."""
+def digest_tree(df: DataFrame, keys: list[str], row_id: str, digest: str, fanout: int = 1000) -> DataFrame:
+    """keys, level, node, digest, n: a Merkle tree over rows in order of their ids, with as many levels as the ids ask for.
+
+    A node of level 0 covers `fanout` ids, one of level k + 1 `fanout` nodes of level k, so no list is longer than the fan-out (rows that
+    repeat an id count as one entry, if they have one digest). All keys' trees have the height of the highest; it has two levels at least.
+    """
     line = F.concat_ws(":", row_id, digest)
-    blocks = df.select(*keys, F.floor(F.col(row_id) / block).alias("block"), F.struct(F.col(row_id).alias("i"), line.alias("x")).alias("s")).groupBy(*keys, "block")
-    one = blocks.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("s"))["x"], ","), 256).alias("d"), F.count(F.lit(1)).alias("n"))
-    per = one.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block", F.concat_ws(":", "block", "d").alias("x")))).alias("s"), F.sum("n").alias("n"))
-    return per.select(F.substring(F.sha2(F.array_join(F.col("s.x"), ","), 256), 1, n).alias("version"), *keys, "n")
-
-
-def months_changed(before: DataFrame, after: DataFrame, keys: list[str], row_id: str) -> DataFrame:
-    """keys, state of each partition after a delivery: added, updated (rows came or went), same."""
-    count = lambda df, x: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{x}_n"), F.sum(F.xxhash64(row_id).cast("decimal(38,0)")).alias(f"{x}_h"))
-    both = count(after, "a").join(count(before, "b"), keys, "left")
-    same = (F.col("a_n") == F.col("b_n")) & (F.col("a_h") == F.col("b_h"))
-    return both.select(*keys, F.when(F.col("b_n").isNull(), "added").when(same, "same").otherwise("updated").alias("state"))
+    rows = df.filter(F.col(row_id).isNotNull()).select(*keys, F.floor(F.col(row_id) / fanout).alias("node"), F.struct(F.col(row_id).alias("i"), line.alias("x")).alias("s"))
+    level = cut(_joined_digests(rows.groupBy(*keys, "node", "s").agg(F.count(F.lit(1)).alias("n")), keys), "digests")
+    out, height = level.select(*keys, F.lit(0).alias("level"), "node", "digest", "n"), 0
+    while height < 1 or level.select("node").distinct().limit(2).count() > 1:
+        height += 1
+        entry = F.struct(F.col("node").alias("i"), F.concat_ws(":", "node", "digest").alias("x")).alias("s")
+        level = cut(_joined_digests(level.select(*keys, F.floor(F.col("node") / fanout).alias("node"), entry, "n"), keys), "digests")
+        out = out.unionByName(level.select(*keys, F.lit(height).alias("level"), "node", "digest", "n"))
+    return out
+
+
+def _joined_digests(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys, "node").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("s"))["x"], ","), 256).alias("digest"), F.sum("n").alias("n"))
+
+
+def ordered_versions(df: DataFrame, keys: list[str], row_id: str, digest: str, fanout: int = 1000, n: int = 24) -> DataFrame:
+    """version, keys, n: the root of each key's digest tree."""
+    tree = digest_tree(df, keys, row_id, digest, fanout)
+    top = tree.agg(F.max("level")).first()[0]
+    return tree.filter(F.col("level") == F.lit(top)).select(F.substring("digest", 1, n).alias("version"), *keys, "n")
+
+
+def tree_difference(old: DataFrame, new: DataFrame, before: DataFrame, after: DataFrame, keys: list[str], row_id: str, digest: str, fanout: int = 1000) -> DataFrame:
+    """keys, row_id, state (added, dropped, changed) of rows that differ between two versions (before, after) with digest trees old and new.
+
+    Walks down from the roots: a level compares the children of nodes that differ, and only rows under leaves that differ are read
+    side by side. Where the trees' heights differ, the walk starts at the lower one's top.
+    """
+    tops = [t.agg(F.max("level")).first()[0] for t in (old, new)]
+    if None in tops:
+        level, open_nodes = None, None
+    else:
+        level, open_nodes = min(tops), None
+    while level is not None and level >= 0:
+        sides = []
+        for name, tree in (("a", old), ("b", new)):
+            at = tree.filter(F.col("level") == F.lit(level)).select(*keys, "node", F.col("digest").alias(name))
+            sides.append(at if open_nodes is None else at.withColumn("up", F.floor(F.col("node") / fanout)).join(open_nodes, [*keys, "up"], "left_semi").drop("up"))
+        differ = sides[0].join(sides[1], [*keys, "node"], "full_outer").filter("NOT (a <=> b)").select(*keys, F.col("node").alias("up"))
+        open_nodes, level = cut(differ, "differing"), level - 1
+    under = lambda df, name: _under(df, open_nodes, keys, row_id, fanout).select(*keys, row_id, F.col(digest).alias(name)).distinct()
+    both = under(before, "a").join(under(after, "b"), [*keys, row_id], "full_outer")
+    state = F.when(F.col("a").isNull(), "added").when(F.col("b").isNull(), "dropped").when(F.col("a") != F.col("b"), "changed")
+    return both.select(*keys, row_id, state.alias("state")).filter("state IS NOT NULL")
+
+
+def _under(df: DataFrame, leaves: DataFrame | None, keys: list[str], row_id: str, fanout: int) -> DataFrame:
+    df = df.filter(F.col(row_id).isNotNull())
+    if leaves is None:
+        return df
+    return df.withColumn("up", F.floor(F.col(row_id) / fanout)).join(leaves, [*keys, "up"], "left_semi")
+
+
+def months_changed(before: DataFrame, after: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """keys, state of each partition after a delivery: added, updated (the content of `columns` differs), same."""
+    a, b = fingerprints(after, keys, columns), fingerprints(before, keys, columns)
+    names = [c for c in a.columns if c not in keys]
+    both = a.select(*keys, F.struct(*names).alias("a")).join(b.select(*keys, F.struct(*names).alias("b")), keys, "left")
+    return both.select(*keys, F.when(F.col("b").isNull(), "added").when(F.col("a") == F.col("b"), "same").otherwise("updated").alias("state"))
 
 
 def changed_partitions(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from ..session import table
 from ..shared import new_path
 from ..sources import files as S
 from ..streaming import core as T
-from ..streaming.state import VersionedTable
+from ..streaming.state import BucketedTable
 from .registry import query
 
 
@@ -266,7 +266,7 @@ def stream_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three deliveries of the same sources: what is processed once isn't processed again, what failed is tried again as long as it comes."""
     k = F.col("doc_id")
     docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
-    tried = VersionedTable(spark, "tried", "doc_id bigint, sha256 string, attempts int, state string")
+    tried = BucketedTable(spark, "tried", "doc_id bigint, sha256 string, attempts int, state string", ["doc_id"])
 
     def attempt(old: DataFrame, batch: DataFrame) -> DataFrame:
         left = C.unprocessed(batch, old.filter("state = 'processed'"), ["doc_id", "sha256"])

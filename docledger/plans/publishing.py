@@ -174,24 +174,44 @@ def month_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH b AS (SELECT source, doc_id // 1000 AS block, sha256(string_agg(doc_id || ':' || sha256(coalesce(text, '')), ',' ORDER BY doc_id)) AS d, count(*) AS n FROM documents GROUP BY ALL)
-    SELECT substr(sha256(string_agg(block || ':' || d, ',' ORDER BY block)), 1, 24) AS version, source, CAST(sum(n) AS BIGINT) AS n FROM b GROUP BY source
+    WITH b AS (SELECT source, doc_id // 1000 AS block, sha256(string_agg(doc_id || ':' || sha256(coalesce(text, '')), ',' ORDER BY doc_id)) AS d, count(*) AS n FROM documents GROUP BY ALL),
+         c AS (SELECT source, block // 1000 AS block, sha256(string_agg(block || ':' || d, ',' ORDER BY block)) AS d, sum(n) AS n FROM b GROUP BY ALL),
+         h AS (SELECT max(block) > 0 AS third FROM c),
+         r AS (SELECT source, IF(any_value(third), sha256(string_agg(block || ':' || d, ',' ORDER BY block)), any_value(d)) AS d, sum(n) AS n FROM c, h GROUP BY source)
+    SELECT substr(d, 1, 24) AS version, source, CAST(n AS BIGINT) AS n FROM r
 """)
 def corpus_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Version per source: a digest over blocks of a thousand ids with their contents' digests, and one over the blocks, both in order."""
+    """Version per source: the root of a tree of digests over a thousand ids or nodes each, in order. The SQL knows three levels (10 ** 9 ids)."""
     rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
     return P.ordered_versions(rows, ["source"], "doc_id", "sha256")
 
 
 @query("""
-    SELECT strftime(o_orderdate, '%Y-%m') AS month, CASE WHEN min(o_orderdate) >= '2000-06-01' THEN 'added' WHEN max(o_orderdate) >= '2000-06-01' THEN 'updated' ELSE 'same' END AS state
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, CASE WHEN min(o_orderdate) >= '2000-06-01' THEN 'added' WHEN max(o_orderdate) >= '2000-06-01' OR bool_or(o_orderkey % 997 = 0) THEN 'updated' ELSE 'same' END AS state
     FROM orders GROUP BY 1
 """)
 def months_added(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months that a delivery from June 2000 on adds or updates."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    """Months that a delivery adds or updates: orders from June 2000 on are new, every 997th order has another price and keeps its id."""
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy-MM").alias("month"), price.alias("price"))
     early = o.filter(F.col("o_orderdate") < F.lit("2000-06-01").cast("timestamp_ntz"))
-    return P.months_changed(early, o, ["month"], "o_orderkey")
+    later = o.withColumn("price", F.when(F.col("o_orderkey") % 997 == 0, F.col("price") + 1).otherwise(F.col("price")))
+    return P.months_changed(early, later, ["month"], ["o_orderkey", "price"])
+
+
+@query("""
+    SELECT source, doc_id, CASE WHEN doc_id % 211 = 3 THEN 'dropped' WHEN doc_id % 307 = 5 THEN 'changed' ELSE 'added' END AS state
+    FROM documents WHERE doc_id % 211 = 3 OR doc_id % 307 = 5 OR doc_id % 401 = 7
+""")
+def version_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a new version of the corpus drops, changes and adds, found by walking down two digest trees."""
+    k = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    dropped, changed = k % 211 == 3, k % 307 == 5
+    before = rows.filter(dropped | changed | (k % 401 != 7))
+    after = rows.filter(~dropped).withColumn("sha256", F.when(changed, F.reverse("sha256")).otherwise(F.col("sha256")))
+    old, new = (P.digest_tree(x, ["source"], "doc_id", "sha256", 64) for x in (before, after))
+    return P.tree_difference(old, new, before, after, ["source"], "doc_id", "sha256", 64)
 
 
 @query("""

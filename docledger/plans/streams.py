@@ -9,7 +9,7 @@ from ..operators import catalog as C
 from ..session import table
 from ..shared import new_path
 from ..streaming import core as S
-from ..streaming.state import VersionedTable, review_queue
+from ..streaming.state import ROCKS, STORE, BucketedTable, action_runs, observed_once, review_items
 from .registry import query
 
 
@@ -33,28 +33,55 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_type, count(DISTINCT (user_id, json_extract_string(props, '$.k'))) AS n FROM events GROUP BY 1")
 def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unique observations (user, k) per family (event type)."""
-    e = S.table_stream(spark, sf_dir, "events").select("event_type", "user_id", F.get_json_object("props", "$.k").alias("k"))
-    return S.collect_complete(e.dropDuplicates(["event_type", "user_id", "k"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "drift")
+    """Unique observations (user, k) per family (event type); an observation stays in the state for 90 days of the stream's time."""
+    e = S.table_stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at"), "event_type", "user_id", F.get_json_object("props", "$.k").alias("k"))
+    once = observed_once(e, "at", ["event_type", "user_id", "k"], "90 days")
+    counts = BucketedTable(spark, "drift", "event_type string, n bigint", ["event_type"])
+
+    def count(old: DataFrame, batch: DataFrame) -> DataFrame:
+        return old.unionByName(batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))).groupBy("event_type").agg(F.sum("n").alias("n"))
+
+    S.run(once, lambda df, k: counts.merge(df, k, count), name="drift")
+    return counts.at(counts.last)
 
 
 @query("""
     WITH f AS (SELECT user_id, min((ts, event_id)) AS f FROM events WHERE event_type = 'error' GROUP BY 1),
-         l AS (SELECT e.user_id, count(*) FILTER (event_type = 'error') AS n_seen, bool_or(event_type = 'signup' AND value > 30) AS ignored, arg_max(event_type, (ts, event_id)) FILTER (event_type IN ('error', 'purchase')) AS last_kind
-               FROM events e JOIN f ON e.user_id = f.user_id AND (ts, event_id) >= f GROUP BY 1)
-    SELECT user_id, n_seen, CASE WHEN ignored THEN 'IGNORED' WHEN last_kind = 'error' THEN 'OPEN' ELSE 'RESOLVED' END AS status FROM l
+         a AS (SELECT e.user_id, ts, event_id, event_type, event_type = 'signup' AND value > 30 AS silences, f FROM events e JOIN f ON e.user_id = f.user_id AND (ts, event_id) >= f
+               WHERE event_type IN ('error', 'purchase') OR (event_type = 'signup' AND value > 30)),
+         b AS (SELECT *, coalesce(bool_or(silences) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS silent,
+                      lag(event_type) OVER (PARTITION BY user_id, silences ORDER BY ts, event_id) AS before FROM a),
+         l AS (SELECT user_id, count(*) FILTER (event_type = 'error') AS n_seen, bool_or(silences) AS ignored, arg_max(event_type, (ts, event_id)) FILTER (NOT silences) AS last_kind, min(ts) AS first_seen,
+                      max(ts) FILTER (event_type = 'error' OR (event_type = 'purchase' AND before = 'error' AND NOT silent)) AS last_seen FROM b GROUP BY 1)
+    SELECT user_id, n_seen, CASE WHEN ignored THEN 'IGNORED' WHEN last_kind = 'error' THEN 'OPEN' ELSE 'RESOLVED' END AS status, first_seen::TIMESTAMP AS first_seen, last_seen::TIMESTAMP AS last_seen FROM l
 """)
 def stream_review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors open a user's item, purchases resolve it, some signups silence it."""
+    """Errors open a user's item, purchases resolve it, some signups silence it.
+
+    Two streams: the first composes each batch's actions to one function a user, the second leads the users' states on.
+    """
     kind = F.col("event_type")
     action = F.when(kind == "error", "add").when(kind == "purchase", "resolve").when((kind == "signup") & (F.col("value") > 30), "ignore")
-    e = S.table_stream(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), action.alias("action"))
-    changes = review_queue(e.filter("action IS NOT NULL"), "user_id")
-    path = new_path(spark, "review")
-    S.run(changes, lambda df, k: df.withColumn("batch", F.lit(k)).write.mode("overwrite").parquet(f"{path}/{k}"), "update", "review")
-    # Spark writes a folder per batch; the last row of each key is its state
-    rows = spark.read.parquet(f"{path}/*")
-    return rows.groupBy("user_id").agg(F.max_by("n_seen", "batch").alias("n_seen"), F.max_by("status", "batch").alias("status"))
+    e = S.table_stream(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), action.alias("action")).filter("action IS NOT NULL")
+    steps, states = new_path(spark, "review-steps"), new_path(spark, "review")
+
+    def compose(batch: DataFrame, k: int) -> None:
+        runs = action_runs(batch, "user_id", "ts", "event_id", [3600, 86400])
+        runs.select(F.col("user_id").alias("key"), F.lit(k).alias("batch"), "step.*").write.mode("overwrite").parquet(f"{steps}/{k}")
+
+    S.run(e, compose, name="review-actions")
+    own = spark.read.parquet(f"{steps}/*").schema
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKS)
+    try:
+        items = review_items(spark.readStream.schema(own).parquet(f"{steps}/*"))
+        S.run(items, lambda df, k: df.withColumn("batch", F.lit(k)).write.mode("overwrite").parquet(f"{states}/{k}"), "update", "review")
+    finally:
+        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
+    # a batch has one row for each key it touches; the last one is the key's state
+    last = spark.read.parquet(f"{states}/*").groupBy("key").agg(F.max_by(F.struct("n_seen", "status", "first_seen", "last_seen"), "batch").alias("s"))
+    local = lambda c: F.col(f"s.{c}").cast("timestamp_ntz").alias(c)
+    return last.select(F.col("key").alias("user_id"), "s.n_seen", "s.status", local("first_seen"), local("last_seen"))
 
 
 @query("""
@@ -71,11 +98,11 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = rows.filter("version = 0").select("document", F.col("digest").alias("first"))
     again = (F.col("document") % 3 == 0) & (F.col("version") == 1) & F.col("first").isNotNull()
     rows = rows.join(first, "document", "left").withColumn("digest", F.when(again, F.col("first")).otherwise(F.col("digest"))).drop("first")
-    state = VersionedTable(spark, "known", rows.schema)
+    state = BucketedTable(spark, "known", rows.schema, ["document"])
     path = new_path(spark, "changes")
 
     def each(batch: DataFrame, k: int) -> None:
-        known = state.at(k).withColumn("post", F.col("document"))
+        known = state.near(batch, k).withColumn("post", F.col("document"))
         C.change_class(batch.withColumn("post", F.col("document")), known, "document", "post", "digest").drop("post").write.mode("overwrite").parquet(f"{path}/{k}")
         state.merge(batch, k, lambda old, new: C.later_wins([old, new], ["document"]))
 
@@ -86,12 +113,10 @@ def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1")
 def stream_month_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries of orders; each batch recomputes the months that it touches and leaves the others alone."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
-    late = F.month("o_orderdate") > 6
-    src = table(spark, sf_dir, "orders").select("o_orderkey", late.alias("late"))
-    both = o.join(src, "o_orderkey")
-    deliveries = [both.filter(~F.col("late") | (F.col("o_orderkey") % 2 == 0)).drop("late"), both.filter(F.col("late") & (F.col("o_orderkey") % 2 == 1)).drop("late")]
-    months = VersionedTable(spark, "months", "month string, n bigint, total decimal(38,2)")
+    month, late = F.date_format("o_orderdate", "yyyy-MM"), (F.month("o_orderdate") > 6) & (F.col("o_orderkey") % 2 == 1)
+    o = table(spark, sf_dir, "orders").select(month.alias("month"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"), F.coalesce(late, F.lit(False)).alias("late"))
+    deliveries = [o.filter("NOT late").drop("late"), o.filter("late").drop("late")]
+    months = BucketedTable(spark, "months", "month string, n bigint, total decimal(38,2)", ["month"])
 
     def project(old: DataFrame, batch: DataFrame) -> DataFrame:
         new = batch.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(38,2)").alias("total"))
@@ -111,7 +136,7 @@ def stream_no_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey")
     first = o.select("o_orderkey", F.lit(1).alias("version"), F.lit(True).alias("valid"))
     second = o.filter("o_orderkey % 3 = 0").select("o_orderkey", F.lit(2).alias("version"), (F.col("o_orderkey") % 2 == 0).alias("valid"))
-    published = VersionedTable(spark, "published", "o_orderkey bigint, version int, flagged boolean")
+    published = BucketedTable(spark, "published", "o_orderkey bigint, version int, flagged boolean", ["o_orderkey"])
 
     def publish(old: DataFrame, batch: DataFrame) -> DataFrame:
         new = batch.select("o_orderkey", F.col("version").alias("__version"), "valid")
