@@ -4,16 +4,15 @@ A string of `length` bytes that also starts earlier (smaller document id, or sam
 
 1. What can't repeat never enters the sort. Every string of `length` bytes has a minimizer, its GRAM bytes of lowest hash.
    Equal strings have equal minimizers at equal places, so a string whose minimizer stands once in the corpus occurs once.
-   Consecutive strings with one minimizer are a segment. Segments that repeat whole are settled by their first source (64
-   bits of the minimizer and 64 of a cryptographic digest of all their bytes tell them apart); of the first sources, those go on whose minimizer stands in several
-   different segments. There, and only there, part of a segment can be found in another.
-2. The bytes of these open segments stand in shards, and the suffixes of all shards are sorted by the difference-cover
+   Consecutive strings with one minimizer are a segment. Segments that repeat whole are settled by their first source (64 bits of the
+   minimizer's hash and 64 of the segment's tell them apart); of the first sources, those go on whose minimizer stands in several
+   different segments. There, and only there, part of a segment can be found in another. Of these, strings go on whose
+   minimizer stands in several segments with most of what surrounds it as well (`inner`).
+2. The bytes of these open strings stand in shards, and the suffixes of all shards are sorted by the difference-cover
    algorithm (DC3). A character is STEP bytes. At level j the string is that of the names of level j at a distance of
    STEP * 3 ** j bytes, so the sample of level L is the places whose lowest L digits to base 3 aren't 0. Sampled triples are
    sorted and named, and the names are the string of the next level (`name`). Only prefixes of `length` bytes are compared in
    the end, so the recursion ends when a name spans them.
-   Two equal strings have sampled places at equal distances, so a string whose sampled triples stand once each is unique. Such
-   strings are sieved out after the first namings, and the sort starts again with what may repeat (`sieve`).
 3. On the way back the remaining suffixes (digit 0) are ordered by (character, rank of the next suffix) and merged with the
    sample: with digit 1 by the same pair, with digit 2 by two characters and a rank (`merge`).
 4. In the order of all suffixes adjacent prefixes of `length` bytes are compared, by a 64-bit hash of the prefix: as many
@@ -45,7 +44,7 @@ from .bpe import slices
 from .common import cut, release
 from .hashing import BASE, INVERSE, U, mix, powers
 
-GRAM = 40
+GRAM = 32
 STEP = 2
 SHARD = 1 << 20
 #: Bytes that deal suffixes out. No more than a triple of level 1 spans or than are compared: equal ones meet.
@@ -60,11 +59,21 @@ AT = 22
 RANGES = 1 << 17
 
 
-def grams(data: np.ndarray, n: int) -> np.ndarray:
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.concatenate([np.zeros(1, U), np.cumsum((data.astype(U) + U(1)) * powers(BASE, len(data)))])
+
+
+def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int = 7) -> np.ndarray:
+    """Hashes of the bytes from each start to each end. Equal bytes have equal hashes wherever they stand."""
+    with np.errstate(over="ignore"):
+        return mix((sums[end] - sums[start]) * powers(INVERSE, len(sums))[start], salt)
+
+
+def grams(sums: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the strings of n bytes."""
     with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, U), np.cumsum((data.astype(U) + U(1)) * powers(BASE, len(data)))])
-        return mix((sums[n:] - sums[:-n]) * powers(INVERSE, len(data) - n + 1), 7)
+        return mix((sums[n:] - sums[:-n]) * powers(INVERSE, len(sums) - n), 7)
 
 
 def lowest(x: np.ndarray, width: int) -> np.ndarray:
@@ -76,40 +85,51 @@ def lowest(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - span)], x[width - span :]) if width > span else x
 
 
-def minimizers(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the minimizer and first start of each segment of the bytes."""
-    keys, starts, before = [], [], -1
+def minimizers(data: np.ndarray, length: int, gram: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Stretches of the strings of `length` bytes: where a stretch starts, and the place and hash of each string's minimizer."""
     size = (1 << AT) - length
     for at in range(0, len(data) - length + 1, size):
-        own = grams(data[at : at + size + length - 1], gram)
+        own = grams(prefix_sums(data[at : at + size + length - 1]), gram)
         place = lowest((own >> U(AT) << U(AT)) | np.arange(len(own), dtype=U), length - gram + 1) & U((1 << AT) - 1)
-        new = np.flatnonzero(np.concatenate([[int(place[0]) + at != before], place[1:] != place[:-1]]))
-        keys.append(own[place[new]])
-        starts.append(new + at)
-        before = int(place[-1]) + at
-    return np.concatenate(keys), np.concatenate(starts)
+        yield at, place.astype(np.int64) + at, own[place]
+
 
+def parsed(texts: list[bytes], length: int, gram: int, limit: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each text's segments: the minimizer's hash, the segment's hash, and (start << 16 | number of strings).
 
-def parsed(texts: list[bytes], length: int, gram: int, limit: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """minimizers() of each text. Short texts are hashed together; segments that reach over an end are cut there."""
-    none = np.zeros(0, U), np.zeros(0, np.int64)
+    Short texts are hashed together; segments that reach over an end are cut there.
+    """
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     held: list[bytes] = []
 
-    def flush() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def flush() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         data = np.frombuffer(b"".join(held), np.uint8)
         if len(data) < length:
             yield from (none for _ in held)
             return
-        keys, starts = minimizers(data, length, gram)
-        at = 0
-        for t in held:
-            last = at + len(t) - length
-            if last < at:
-                yield none
-            else:
-                a, b = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, last, "right")
-                yield keys[a:b], np.maximum(starts[a:b] - at, 0)
-            at += len(t)
+        sizes = np.array([len(t) for t in held])
+        ends = np.cumsum(sizes)
+        within = sizes >= length
+        edges = np.concatenate([(ends - sizes)[within], (ends - length + 1)[within]])  # segments start and end there
+        keys, starts, before = [], [], -1
+        for at, place, key in minimizers(data, length, gram):
+            new = np.concatenate([[int(place[0]) != before], place[1:] != place[:-1]])
+            inside = edges[(edges >= at) & (edges < at + len(place))] - at
+            new[inside] = True
+            new = np.flatnonzero(new)
+            keys.append(key[new])
+            starts.append(new + at)
+            before = int(place[-1])
+        key, start = np.concatenate(keys), np.concatenate(starts)
+        stop = np.append(start[1:], len(data) - length + 1)
+        of = np.searchsorted(ends, start, "right")
+        real = stop <= (ends - length + 1)[of]  # the rest reaches over the end of its text
+        key, start, stop, of = key[real], start[real], stop[real], of[real]
+        whole = spans(prefix_sums(data), start, stop + length - 1)
+        place = start - (ends - sizes)[of] << 16 | stop - start
+        cuts = np.searchsorted(of, np.arange(len(held) + 1))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield key[a:b].view(np.int64), whole[a:b].view(np.int64), place[a:b]
 
     size = 0
     for t in texts:
@@ -122,6 +142,25 @@ def parsed(texts: list[bytes], length: int, gram: int, limit: int = 1 << 17) ->
         yield from flush()
 
 
+def inner(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each string a hash of most of what surrounds its minimizer, and which strings start a run with the same one.
+
+    With `room` bytes around the minimizer, strings whose minimizer starts in the same quarter of it share all but a quarter.
+    """
+    room = length - gram
+    quarter = room // 4
+    sums = prefix_sums(data)
+    (_, place, _) = next(minimizers(data, length, gram))
+    left = place - np.arange(len(place))
+    part = np.minimum(left // quarter, 3) if quarter else np.zeros(len(left), np.int64)
+    right = np.where(part < 3, room - quarter * (part + 1), 0) if quarter else 0
+    with np.errstate(over="ignore"):
+        found = mix(spans(sums, place - quarter * part, place + gram + right) + part.astype(U), 11).view(np.int64)
+    new = np.ones(len(place), bool)
+    new[1:] = (place[1:] != place[:-1]) | (part[1:] != part[:-1])
+    return found, new
+
+
 def _bytes(texts: list[str | None]) -> list[bytes]:
     return [(t or "").encode() for t in texts]
 
@@ -139,56 +178,38 @@ class Repeats:
         self.source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FAR)).alias("doc"), F.hash(text).alias("tag"), F.col(id_col).alias("id"), text.alias("text"))
 
     def segments(self) -> DataFrame:
-        """doc, tag, keys, starts: minimizers and starts of each text's segments."""
+        """doc, tag, keys, digests, places: each text's segments, as parsed() gives them."""
         length, gram = self.length, self.gram
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches):
                 found = list(parsed(_bytes(b.column("text").to_pylist()), length, gram))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc"), b.column("tag"), _lists([k.view(np.int64) for k, _ in found], pa.int64()), _lists([s for _, s in found], pa.int32())], ["doc", "tag", "keys", "starts"]
-                )
+                lists = [_lists([x[k] for x in found]) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("tag"), *lists], ["doc", "tag", "keys", "digests", "places"])
 
-        return self.source.select("doc", "tag", "text").mapInArrow(run, "doc bigint, tag int, keys array<bigint>, starts array<int>").filter("size(keys) > 0")
+        return self.source.select("doc", "tag", "text").mapInArrow(run, "doc bigint, tag int, keys array<bigint>, digests array<bigint>, places array<bigint>").filter("size(keys) > 0")
 
     def candidates(self) -> DataFrame:
-        """key, digest, doc, at, n, tag: segments whose minimizer stands more than once in the corpus."""
+        """key, digest, doc, place, tag: segments whose minimizer stands more than once in the corpus."""
         parts = cut(self.segments(), "suffix-segments")
         each = parts.select(F.explode("keys").alias("key"))
-        twice = cut(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "suffix-twice")
-        per = parts.select("doc", "tag", F.explode(F.array_distinct("keys")).alias("key")).join(twice, "key").groupBy("doc", "tag").agg(F.collect_set("key").alias("often"))
-        length, gram = self.length, self.gram
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in slices(batches):
-                texts = _bytes(b.column("text").to_pylist())
-                digests: list[bytes] = []
-                key, at, n, row = [], [], [], []
-                for k, (often, text, (keys, starts)) in enumerate(zip(b.column("often"), texts, parsed(texts, length, gram), strict=True)):
-                    pick = np.flatnonzero(np.isin(keys.view(np.int64), often.values.to_numpy()))
-                    own, size = starts[pick], np.append(starts[1:], len(text) - length + 1)[pick] - starts[pick]
-                    digests += [hashlib.blake2b(text[s:e], digest_size=8).digest() for s, e in zip(own.tolist(), (own + size + length - 1).tolist(), strict=True)]
-                    for held, x in ((key, keys[pick].view(np.int64)), (at, own), (n, size), (row, np.full(len(pick), k))):
-                        held.append(x)
-                rows = pa.array(np.concatenate(row))
-                whole = [pa.array(np.concatenate(key)), pa.array(_longs(b"".join(digests))), b.column("doc").take(rows), *[pa.array(np.concatenate(x).astype(np.int32)) for x in (at, n)], b.column("tag").take(rows)]
-                yield pa.RecordBatch.from_arrays(whole, ["key", "digest", "doc", "at", "n", "tag"])
-
-        joined = self.source.drop("id").join(per, ["doc", "tag"])
-        found = cut(joined.mapInArrow(run, "key bigint, digest bigint, doc bigint, at int, n int, tag int"), "suffix-candidates")
-        release(parts, twice)
+        twice = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+        rows = parts.select("doc", "tag", F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("digests").alias("digest"), F.col("places").alias("place"))).alias("x"))
+        found = cut(rows.select("x.key", "x.digest", "doc", "x.place", "tag").join(twice, "key"), "suffix-candidates")
+        release(parts)
         return found
 
     def marks(self) -> DataFrame:
-        """doc, tag, later, open: starts and numbers of strings of the segments to remove whole, and of those to be sorted."""
+        """doc, tag, later, open: places (as in parsed) of the segments to remove whole, and of those to be sorted."""
         found = self.candidates()
-        firsts = cut(found.groupBy("key", "digest").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("copies")), "suffix-firsts")
+        first = F.min(F.struct("doc", "place")).alias("first")
+        firsts = cut(found.groupBy("key", "digest").agg(first, F.count(F.lit(1)).alias("copies")), "suffix-firsts")
         several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key", F.lit(True).alias("several"))
         # a segment that stands once needs no look at the other copies
         own = firsts.join(several, "key", "left").filter("several OR copies > 1").select("key", "digest", "first", F.coalesce("several", F.lit(False)).alias("several"))
-        rows = found.join(own, ["key", "digest"]).select("doc", "tag", "at", "n", (F.struct("doc", "at") > F.col("first")).alias("late"), "several").filter("late OR several")
-        pair = F.struct("at", "n")
-        out = cut(rows.groupBy("doc", "tag").agg(F.collect_list(F.when(F.col("late"), pair)).alias("later"), F.collect_list(F.when(~F.col("late"), pair)).alias("open")), "suffix-marks")
+        rows = found.join(own, ["key", "digest"]).select("doc", "tag", "place", (F.struct("doc", "place") > F.col("first")).alias("late"), "several").filter("late OR several")
+        late = F.when(F.col("late"), F.col("place")), F.when(~F.col("late"), F.col("place"))
+        out = cut(rows.groupBy("doc", "tag").agg(F.collect_list(late[0]).alias("later"), F.collect_list(late[1]).alias("open")), "suffix-marks")
         release(found, firsts)
         return out
 
@@ -201,7 +222,7 @@ class Repeats:
             for b in slices(batches):
                 for doc, tag, opened, text in zip(b.column("doc").to_pylist(), b.column("tag").to_pylist(), b.column("open").to_pylist(), _bytes(b.column("text").to_pylist()), strict=True):
                     end = -1
-                    for at, n in sorted({(x["at"], x["n"]) for x in opened}):
+                    for at, n in sorted({(x >> 16, x & 0xFFFF) for x in opened}):
                         if at == end:
                             held[-1] = (doc, tag, held[-1][2], text[held[-1][2] : at + n + length - 1])
                             size += n
@@ -219,16 +240,53 @@ class Repeats:
         return cut(joined.mapInArrow(run, "shard bigint, text binary, docs binary, tags binary, starts binary, sizes binary"), "suffix-shards")
 
 
+def sieved(shards: DataFrame, length: int, gram: int) -> DataFrame:
+    """New shards with the strings whose inner() part stands in several places."""
+
+    def parts(x: dict) -> tuple[np.ndarray, np.ndarray]:
+        """inner() of the strings, and which of them are none: these reach over a border."""
+        found, new = inner(np.frombuffer(x["text"], np.uint8), length, gram)
+        whole = Shard(x["text"], length, x["sizes"]).strings()[: len(found)]
+        new[1:] |= whole[1:] != whole[:-1]
+        return found, new & whole
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            found, new = parts(b.to_pylist()[0])
+            x, n = np.unique(found[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), b.column("shard")[0].as_py())), pa.array(x), pa.array(n)], ["shard", "x", "n"])
+
+    each = cut(shards.select("shard", "text", "sizes").mapInArrow(counted, "shard bigint, x bigint, n bigint"), "suffix-inner")
+    several = each.groupBy("x").agg(F.sum("n").alias("n")).filter("n > 1").select("x")
+    lists = each.select("shard", "x").join(several, "x").groupBy("shard").agg(F.collect_list("x").alias("several"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            x = b.drop_columns(["several"]).to_pylist()[0]
+            s = Shard(x["text"], length, x["sizes"])
+            found, _ = inner(np.frombuffer(x["text"], np.uint8), length, gram)
+            alive = s.strings()[: len(found)] & np.isin(found, b.column("several")[0].values.to_numpy())
+            edge = np.diff(np.concatenate([[0], alive.astype(np.int8), [0]]))
+            first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            ends = np.cumsum(s.sizes)
+            of = np.searchsorted(ends, first, "right")
+            docs, tags, starts = _longs(x["docs"])[of], _longs(x["tags"])[of], (_longs(x["starts"]) - ends + s.sizes)[of] + first
+            yield shard_row(x["shard"], [(*c, x["text"][a : e + length - 1]) for *c, a, e in zip(docs.tolist(), tags.tolist(), starts.tolist(), first.tolist(), last.tolist(), strict=True)])
+
+    out = cut(shards.join(lists, "shard").select(*shards.columns, "several").mapInArrow(run, shards.schema), "suffix-sieved")
+    release(shards, each)
+    return out
+
+
 def shard_row(number: int, held: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     docs, tags, starts, texts = zip(*held, strict=True)
     longs = [np.array(x, np.int64).tobytes() for x in (docs, tags, starts, [len(t) for t in texts])]
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *[pa.array([x], pa.binary()) for x in (b"".join(texts), *longs)]], ["shard", "text", "docs", "tags", "starts", "sizes"])
 
 
-def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0] + [len(x) for x in arrays])
-    values = np.concatenate(arrays) if arrays else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.astype(kind.to_pandas_dtype())))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
 
 
 class Shard:
@@ -262,21 +320,6 @@ class Shard:
         count = np.concatenate([[0], np.cumsum(self.strings())])
         return at[count[at + 1] > count[np.maximum(at - reach, 0)]]
 
-    def living(self, level: int, names: np.ndarray) -> np.ndarray:
-        """Strings that may repeat: behind one of their first places, all names of the level up to their end stand several times.
-
-        Two equal strings have a place at the same distance that both sample, and so equal names from there on.
-        """
-        width, reach = STEP * 3**level, STEP * (3**level - 1)
-        several = np.zeros(self.n, bool)
-        several[self.cover(level)] = names & 1 == 0
-        chain = several.copy()
-        for k in range(1, (self.length - reach) // width):
-            chain &= shifted(several, k * width)
-        count = np.concatenate([[0], np.cumsum(chain)])
-        starts = np.arange(self.n)
-        return self.strings() & (count[np.minimum(starts + reach + 1, self.n)] > count[starts])
-
     def packed(self, width: int) -> np.ndarray:
         """`width` bytes from each place on as one number, in order; 0 is left for what lies behind the end."""
         out = np.zeros(self.n, np.int64)
@@ -353,8 +396,6 @@ class Sorter:
         self.top = 1
         while STEP * 3**self.top < length:
             self.top += 1
-        #: The last level of which a sampled triple stands in any string, wherever it starts.
-        self.settled = max((k for k in range(2, self.top) if STEP * (2 * 3**k - 1) <= length), default=0)
         self.bounds = self.splitters()
 
     def splitters(self) -> np.ndarray:
@@ -390,14 +431,11 @@ class Sorter:
                     continue
                 order, new, own = triples(s, at, level, s.characters(level, x["names"]))
                 first = order[new]
-                many = (np.diff(np.append(np.flatnonzero(new), len(new))) > 1).astype(np.int8)
                 cuts = np.concatenate([[0], np.searchsorted(s.prefixes(at[first]), bounds), [len(first)]])
                 full = np.flatnonzero(cuts[1:] > cuts[:-1])
-                spans = [slice(cuts[k], cuts[k + 1]) for k in full]
-                blocks = [np.concatenate([t[first[z]] for t in own]).tobytes() for z in spans]
+                blocks = [np.concatenate([t[first[cuts[k] : cuts[k + 1]]] for t in own]).tobytes() for k in full]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full), pa.array([x["shard"]] * len(full), pa.int64()), pa.array(cuts[:-1][full]), pa.array([many[z].tobytes() for z in spans], pa.binary()), pa.array(blocks, pa.binary())],
-                    ["range", "shard", "start", "many", "block"],
+                    [pa.array(full), pa.array([x["shard"]] * len(full), pa.int64()), pa.array(cuts[:-1][full]), pa.array(blocks, pa.binary())], ["range", "shard", "start", "block"]
                 )
 
         def named(key: tuple, t: pa.Table) -> pa.Table:
@@ -406,15 +444,12 @@ class Sorter:
             order = np.lexsort(own[::-1])
             new = np.ones(len(order), bool)
             new[1:] = (own[:, order[1:]] != own[:, order[:-1]]).any(axis=0)
-            first = np.flatnonzero(new)
-            count = np.diff(np.append(first, len(new))) + np.add.reduceat(np.frombuffer(b"".join(t.column("many").to_pylist()), np.int8)[order].astype(np.int64), first)
-            place = np.cumsum(new)
             names = np.empty(len(order), np.int64)
-            names[order] = (place + (key[0].as_py() << PLACE)) << 1 | (count == 1)[place - 1]
+            names[order] = np.cumsum(new) + (key[0].as_py() << PLACE)
             back = np.split(names, np.cumsum([x.shape[1] for x in blocks])[:-1])
             return pa.table([t.column("shard"), t.column("start"), pa.array([x.tobytes() for x in back], pa.binary())], ["shard", "start", "block"])
 
-        dealt = rows.select("shard", "text", "sizes", "names").mapInArrow(deal, "range bigint, shard bigint, start bigint, many binary, block binary")
+        dealt = rows.select("shard", "text", "sizes", "names").mapInArrow(deal, "range bigint, shard bigint, start bigint, block binary")
         found = dealt.groupBy("range").applyInArrow(named, "shard bigint, start bigint, block binary")
         by_shard = found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("start", "block"))).alias("found"))
 
@@ -430,28 +465,6 @@ class Sorter:
         joined = rows.join(by_shard, "shard").select("shard", "text", "sizes", "names", "found")
         self.names[level + 1] = cut(joined.mapInArrow(placed, "shard bigint, names binary"), f"suffix-names{level + 1}")
 
-    def sieve(self) -> None:
-        """Makes new shards of the strings that may repeat."""
-        length, level = self.length, self.settled
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in slices(batches, 1):
-                x = b.to_pylist()[0]
-                s = Shard(x["text"], length, x["sizes"])
-                edge = np.diff(np.concatenate([[0], s.living(level, _longs(x["names"])).astype(np.int8), [0]]))
-                ends = np.cumsum(s.sizes)
-                first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                of = np.searchsorted(ends, first, "right")
-                docs, tags, starts = _longs(x["docs"])[of], _longs(x["tags"])[of], (_longs(x["starts"]) - ends + s.sizes)[of] + first
-                held = [(*c, x["text"][a : e + length - 1]) for *c, a, e in zip(docs.tolist(), tags.tolist(), starts.tolist(), first.tolist(), last.tolist(), strict=True)]
-                if held:
-                    yield shard_row(x["shard"], held)
-
-        before = self.shards
-        self.shards = cut(self.with_names(level).select(*before.columns, "names").mapInArrow(run, before.schema), "suffix-sieved")
-        release(before, *self.names.values())
-        self.names = {}
-
     def merge(self, level: int, ranks: DataFrame | None) -> DataFrame:
         """Merges the remaining suffixes of a level with the sample, whose ranks are those of the level above (None: its names).
 
@@ -484,7 +497,7 @@ class Sorter:
                     ends = np.cumsum(s.sizes)
                     of = np.searchsorted(ends, at, "right")
                     start = (_longs(x["starts"]) - ends + s.sizes)[of] + at
-                    table = np.stack([first << 32 | second, *ranks, grams(s.data, length)[at].view(np.int64), _longs(x["docs"])[of], start << 32 | _longs(x["tags"])[of] & 0xFFFFFFFF])
+                    table = np.stack([first << 32 | second, *ranks, grams(prefix_sums(s.data), length)[at].view(np.int64), _longs(x["docs"])[of], start << 32 | _longs(x["tags"])[of] & 0xFFFFFFFF])
                 to = s.ranges(at, bounds)
                 order = np.argsort(to, kind="stable")
                 full, first = np.unique(to[order], return_index=True)
@@ -524,10 +537,6 @@ class Sorter:
 
     def repeated(self) -> DataFrame:
         """doc, tag, at (32-bit starts): strings that also start earlier."""
-        for level in range(1, self.settled):
-            self.name(level)
-        if self.settled:
-            self.sieve()
         for level in range(1, self.top):
             self.name(level)
         ranks = None
@@ -557,12 +566,13 @@ def judge(check: np.ndarray, doc: np.ndarray, coordinates: np.ndarray, before: n
     return pa.table([pa.array(doc[edge]), pa.array(tag[edge]), pa.array(blocks, pa.binary())], ["doc", "tag", "at"])
 
 
-def uncovered(size: int, later: list[dict] | None, single: list[bytes] | None, length: int) -> np.ndarray:
+def uncovered(size: int, later: np.ndarray | None, single: list[bytes] | None, length: int) -> np.ndarray:
     """Which of `size` bytes stay."""
     step = np.zeros(size + 1, np.int64)
-    for x in later or []:
-        step[x["at"]] += 1
-        step[min(size, x["at"] + x["n"] + length - 1)] -= 1
+    if later is not None and len(later):
+        at = later >> 16
+        np.add.at(step, at, 1)
+        np.add.at(step, at + (later & 0xFFFF) + length - 1, -1)
     if single:
         at = np.unique(np.concatenate([np.frombuffer(x, np.int32) for x in single]))
         at = at[at + length <= size]
@@ -575,23 +585,24 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, and with_text: kept (binary, the bytes that stay)."""
     op = Repeats(docs, length, id_col, text_col, gram)
     marks = op.marks()
-    shards = op.shards(marks)
+    shards = sieved(op.shards(marks), length, op.gram)
     single = Sorter(shards, length).repeated().groupBy("doc", "tag").agg(F.collect_list("at").alias("single"))
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             out: list[tuple] = []
-            for later, one, text in zip(b.column("later").to_pylist(), b.column("single").to_pylist(), _bytes(b.column("text").to_pylist()), strict=True):
-                spans = lost = 0
-                if later or one:
-                    stay = uncovered(len(text), later, one, length)
+            for later, one, text in zip(b.column("later"), b.column("single").to_pylist(), _bytes(b.column("text").to_pylist()), strict=True):
+                runs = lost = 0
+                whole = later.values.to_numpy() if later.is_valid else np.zeros(0, np.int64)
+                if len(whole) or one:
+                    stay = uncovered(len(text), whole, one, length)
                     lost = int(np.count_nonzero(~stay))
-                    spans = int(np.count_nonzero(~stay & np.concatenate([[True], stay[:-1]])))
+                    runs = int(np.count_nonzero(~stay & np.concatenate([[True], stay[:-1]])))
                     kept = np.frombuffer(text, np.uint8)[stay].tobytes()
                 else:
                     kept = text
-                out.append((len(text), lost, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+                out.append((len(text), lost, runs, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("id"), *[pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]], names)
 

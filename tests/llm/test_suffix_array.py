@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from docledger.llm import suffix_array
-from docledger.llm.suffix_array import FAR, merged, minimizers, suffix_dedup
+from docledger.llm.suffix_array import FAR, inner, merged, minimizers, suffix_dedup
 
 from .conftest import table
 
@@ -80,11 +80,11 @@ def test_equal_strings_have_one_minimizer_across_stretches(monkeypatch):
     rnd = random.Random(2)
     text = "".join(rnd.choice("ab") for _ in range(300)).encode()
     data = np.frombuffer(text * 3 + b"aaaa" * 40 + text, np.uint8)
+    part, _ = inner(data, 30, 8)
     monkeypatch.setattr(suffix_array, "AT", 7)
-    keys, starts = minimizers(data, 30, 8)
-    of = keys[np.searchsorted(starts, np.arange(len(data) - 29), "right") - 1]
+    place = np.concatenate([p for _, p, _ in minimizers(data, 30, 8)]) - np.arange(len(data) - 29)
     seen = {}
-    for i, k in enumerate(of.tolist()):
+    for i, k in enumerate(zip(place.tolist(), part.tolist(), strict=True)):
         assert seen.setdefault(data[i : i + 30].tobytes(), k) == k
 
 
