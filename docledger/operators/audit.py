@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 
 def domain_counts(df: DataFrame, column: Column, domain: list[str]) -> DataFrame:
@@ -108,3 +109,48 @@ def template_families(df: DataFrame, row_id: str, extension: str, features: str)
     hashed = df.withColumn("template", F.substring(F.sha2(features, 256), 1, 12))
     sized = hashed.groupBy(extension, "template").agg(F.count(F.lit(1)).alias("n"), F.min(row_id).alias("example"))
     return sized.withColumn("family", F.row_number().over(Window.partitionBy(extension).orderBy(F.desc("n"), "template")))
+
+
+def route_tables(documents: DataFrame, route: str, routes: list[str], values: dict[str, Column]) -> DataFrame:
+    """dimension, value, documents, and a column a route: documents by route against each dimension, in one pass.
+
+    values: a column for each dimension, an array where a document may have several values (each counts once), null where it
+    has none ('undetected'). Counts are taken per route and value and turned, so that a row a task and pair is shuffled.
+    """
+    none = F.lit("undetected")
+    each = []
+    for name, value in values.items():
+        listed = value if isinstance(documents.select(value).schema[0].dataType, ArrayType) else F.array(value)
+        kept = F.array_distinct(F.transform(F.coalesce(listed, F.array(none)), lambda v: F.coalesce(v.cast("string"), none)))
+        filled = F.when(F.size(kept) == 0, F.array(none)).otherwise(kept)
+        each.append(F.arrays_zip(F.array_repeat(F.lit(name), F.size(filled)).alias("dimension"), filled.alias("value")))
+    rows = documents.select(F.col(route).alias("__route"), F.explode(F.concat(*each)).alias("x")).select("__route", "x.dimension", "x.value")
+    counted = rows.groupBy("dimension", "value").pivot("__route", routes).agg(F.count(F.lit(1))).fillna(0, routes)
+    return counted.withColumn("documents", sum(F.col(r) for r in routes)).select("dimension", "value", "documents", *routes)
+
+
+def cell_structure(cells: DataFrame, keys: tuple[str, ...] = ("document_id", "sheet")) -> DataFrame:
+    """What sheets of workbook cells (sources.workbook.cells) hold, without their contents: counts by kind, used range, number formats."""
+    full = (F.col("raw_text") != "") | F.col("is_formula")
+    count = lambda test: F.count_if(test)
+    return cells.filter("coordinate IS NOT NULL").groupBy(*keys).agg(
+        count(full).alias("n_cells"),
+        F.max(F.when(full, F.col("row"))).alias("max_row"),
+        F.max(F.when(full, F.col("column"))).alias("max_column"),
+        count(F.col("is_formula")).alias("n_formulas"),
+        count(F.col("is_excel_error")).alias("n_errors"),
+        count(F.col("raw_type") == "date").alias("n_dates"),
+        count(F.col("raw_type") == "number").alias("n_numbers"),
+        count(F.col("merged_parent").isNotNull()).alias("n_merged"),
+        F.countDistinct(F.when(F.col("hidden_row"), F.col("row"))).alias("n_hidden_rows"),
+        F.countDistinct(F.when(full, F.col("number_format"))).alias("n_formats"),
+    )
+
+
+def unknown_roles(posts: DataFrame, post: str, attachments: str, known: list[str]) -> DataFrame:
+    """role, post, pos, n: attachments (array of structs with a role) whose role isn't known, a row each, with how many have the same.
+
+    A missing role is 'unknown'. Counts are taken before they are joined back, so that a role that most have splits like any key.
+    """
+    each = posts.select(post, F.posexplode(attachments).alias("pos", "x")).select(F.coalesce("x.role", F.lit("unknown")).alias("role"), post, "pos").filter(~F.col("role").isin(known))
+    return each.join(each.groupBy("role").agg(F.count(F.lit(1)).alias("n")), "role")

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.display import MEALS
 from ..functions.rules import secrets_in, token_category
-from .publish import check, one_sided
+from .contract import any_leaf
+from .layout import asof_anchor
+from .publish import check, fingerprints, one_sided
 
 # Names of fields and beginnings of values that no public row has.
 PRIVATE_FIELDS = r"(?i)\"(?:local_path|traceback|hostname|developer_username)\"\s*:"
@@ -94,10 +96,9 @@ def release_audit(tables: dict[str, DataFrame], items: dict[str, str]) -> DataFr
     out = None
     for name, df in tables.items():
         text = F.to_json(F.struct(*df.columns))
-        strings = [c for c, kind in df.dtypes if kind == "string"]
         local = F.lit(False)
-        for c in strings:
-            local = local | F.coalesce(F.col(c).rlike(LOCAL_VALUE), F.lit(False))
+        for field in df.schema.fields:
+            local = local | any_leaf(F.col(field.name), field.dataType, lambda x: x.rlike(LOCAL_VALUE))
         found = [secrets_in(text), F.when(text.rlike(PRIVATE_FIELDS), F.array(F.lit("private_public_field"))), F.when(local, F.array(F.lit("local_path")))]
         if name in items:
             found.append(F.transform(F.filter(items[name], lambda x: token_category(x).isNotNull()), lambda x: F.concat(F.lit("artifact_"), token_category(x))))
@@ -107,9 +108,45 @@ def release_audit(tables: dict[str, DataFrame], items: dict[str, str]) -> DataFr
     return out
 
 
-def consistent_version(pointer_before: str | None, pointer_after: str | None, report: str | None) -> bool:
-    """Whether a build saw one version: the pointer stood still and the report is of the version it names."""
-    return pointer_before is not None and pointer_before == pointer_after == report
+def table_digests(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, digest: of all rows of each table, whatever their order."""
+    out = None
+    for name, df in tables.items():
+        one = fingerprints(df, [], df.columns)
+        part = one.select(F.lit(name).alias("table_name"), F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in one.columns]), 256).alias("digest"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def bundle_audit(bundle: dict[str, DataFrame], availability: DataFrame, declared: dict[str, int], digests: DataFrame, more: dict[str, DataFrame] | None = None) -> DataFrame:
+    """finding, table_name, n: all that keeps a bundle from being released, in one table; empty for a good one.
+
+    bundle: institutions, slots, sources. The contract's failed checks ('contract_...'), secrets, private fields, local paths and
+    artifacts in any leaf of any row (`more`: further public tables), and tables whose rows aren't those of the digests
+    that the build declared (table_name, digest): 'tree_digest', for missing and undeclared tables as well.
+    """
+    tables = bundle | {"availability": availability} | (more or {})
+    checks = bundle_checks(bundle["institutions"], bundle["slots"], bundle["sources"], availability, declared).filter("failures > 0")
+    contract = checks.select(F.concat(F.lit("contract_"), "check_name").alias("finding"), F.lit("bundle").alias("table_name"), F.col("failures").alias("n"))
+    own = table_digests(tables).withColumnRenamed("digest", "own").join(digests, "table_name", "full_outer").filter("NOT (own <=> digest)")
+    moved = own.select(F.lit("tree_digest").alias("finding"), "table_name", F.lit(1).cast("long").alias("n"))
+    return contract.unionByName(release_audit(tables, {"slots": "items"})).unionByName(moved)
+
+
+def consistent_builds(builds: DataFrame, pointers: DataFrame) -> DataFrame:
+    """builds with seen_before, seen_after and consistent: the version that the pointer named when a build began and when it ended.
+
+    builds: build, began, ended, report; pointers: at, version. A build saw one version if the pointer stood still and the report is
+    of the version it names. Pointer moves and both ends of builds stand in one order, dealt out by ranges.
+    """
+    none = F.lit(None).cast("string")
+    moves = pointers.select(F.col("at"), F.lit(0).alias("kind"), none.alias("build"), F.col("version"))
+    ends = [builds.select(F.col(c).alias("at"), F.lit(n + 1).alias("kind"), F.col("build").cast("string").alias("build"), none.alias("version")) for n, c in enumerate(("began", "ended"))]
+    seen = asof_anchor(moves.unionByName(ends[0]).unionByName(ends[1]), [], ["at", "kind", "build"], F.col("version"), "seen").filter("kind > 0")
+    pairs = seen.groupBy("build").agg(F.max(F.when(F.col("kind") == 1, F.col("seen"))).alias("seen_before"), F.max(F.when(F.col("kind") == 2, F.col("seen"))).alias("seen_after"))
+    joined = builds.join(pairs.withColumnRenamed("build", "__build"), F.col("build").cast("string") == F.col("__build"), "left").drop("__build")
+    same = (F.col("seen_before") == F.col("seen_after")) & (F.col("report") == F.col("seen_after"))
+    return joined.withColumn("consistent", F.coalesce(same, F.lit(False)))
 
 
 def workbook_reasons(failures: Column, families: Column, known: tuple[str, ...], ready: Column, missing_dates: Column, missing_meals: Column, counts: dict[str, Column]) -> Column:

@@ -99,9 +99,16 @@ def unresolved_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lone.join(counts, F.col("source").eqNullSafe(F.col("of"))).select("source", "doc_id", "n")
 
 
-@query("SELECT doc_id, lang, source FROM documents WHERE lang IS NULL OR lang NOT IN ('en', 'fr')")
+@query("""
+    WITH a AS (SELECT doc_id, unnest([source || '-' || coalesce(lang, ''), IF(doc_id % 5 = 0, NULL, lang), IF(doc_id % 7 = 0, 'unknown', 'menu')]) AS role, unnest([0, 1, 2]) AS pos FROM documents)
+    SELECT coalesce(role, 'unknown') AS role, doc_id, pos::INT AS pos, count(*) OVER (PARTITION BY coalesce(role, 'unknown')) AS n FROM a WHERE coalesce(role, 'unknown') NOT IN ('en', 'fr', 'menu')
+""")
 def unknown_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").filter(F.col("lang").isNull() | ~F.col("lang").isin("en", "fr")).select("doc_id", "lang", "source")
+    """Attachments whose role is none of the known ones, with how many share it: three attachments a document, roles null or strange in some."""
+    k = F.col("doc_id")
+    roles = F.array(F.concat("source", F.lit("-"), F.coalesce("lang", F.lit(""))), F.when(k % 5 != 0, F.col("lang")), F.when(k % 7 == 0, "unknown").otherwise("menu"))
+    posts = table(spark, sf_dir, "documents").select("doc_id", F.transform(roles, lambda r: F.struct(r.alias("role"))).alias("attachments"))
+    return A.unknown_roles(posts, "doc_id", "attachments", ["en", "fr", "menu"])
 
 
 @query("""
@@ -136,11 +143,3 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_count_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy(F.when(F.col("n") >= 4, "4+").otherwise(F.col("n").cast("string")).alias("items")).agg(F.count(F.lit(1)).alias("slots"))
-
-
-@query("""
-    WITH c AS (SELECT source, lang, count(*) AS count FROM documents GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY count DESC, lang) AS INT) AS rank FROM c QUALIFY rank <= 2
-""")
-def top_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two most frequent languages of each source, as a sheet's most frequent number formats."""
-    return A.top_values(table(spark, sf_dir, "documents").select("source", "lang"), ["source"], "lang", 2)

@@ -114,17 +114,18 @@ def grid_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {WORDS}, t AS (SELECT conv_id, unnest(string_split_regex(array_to_string(x, '/'), '[/,]')) AS item FROM c)
-    SELECT CAST(conv_id AS VARCHAR) AS document_id, count(*) AS n_a, count(*) AS n_b, count(*) AS n_both FROM t WHERE item <> '' GROUP BY conv_id
+    WITH {WORDS}, t AS (SELECT conv_id, turn, k, unnest(string_split_regex(array_to_string(x, '/'), '[/,]')) AS item FROM c),
+         n AS (SELECT conv_id, item, count(*) AS a, count(*) FILTER (NOT (conv_id % 4 = 0 AND turn = 0 AND k = 1)) AS b FROM t WHERE item <> '' GROUP BY ALL)
+    SELECT CAST(conv_id AS VARCHAR) AS document_id, CAST(sum(a) AS BIGINT) AS n_a, CAST(sum(b) AS BIGINT) AS n_b, CAST(sum(least(a, b)) AS BIGINT) AS n_both FROM n GROUP BY conv_id
 """)
 def grid_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items of the meal cells against items of the records: surplus on either side (none, if extraction is complete)."""
-    from ..functions.text import split_items
+    """Items of the turns' words against items of the records: every fourth document's first breakfast is lost on the way, nothing else is."""
     from ..operators.quality import multiset_overlap
 
     cells = _grid(spark, sf_dir)
-    full = G.layout(cells).filter("family = 'date_rows_meal_columns'").select("document_id")
-    food = cells.filter("`column` > 1 AND row > 1").join(full, "document_id", "left_semi")
-    source = food.select("document_id", F.explode(split_items(F.col("text"))).alias("item"))
-    found = G.date_rows(cells, F.lit(2024), F.lit(1)).select("document_id", F.explode("items").alias("item"))
-    return multiset_overlap(source, found, ["document_id"], "item")
+    turns = table(spark, sf_dir, "conversations")
+    full = turns.groupBy("conv_id").count().filter("count >= 5").select("conv_id")
+    item = F.explode(F.flatten(F.transform(F.split("text", r"\s+"), lambda w: F.split(w, "[/,]"))))
+    source = turns.join(full, "conv_id", "left_semi").select(F.col("conv_id").cast("string").alias("document_id"), item.alias("item")).filter("item <> ''")
+    records = G.date_rows(cells, F.lit(2024), F.lit(1)).filter("NOT (cast(document_id AS bigint) % 4 = 0 AND day = DATE '2024-01-01' AND meal = 'breakfast')")
+    return multiset_overlap(source, records.select("document_id", F.explode("items").alias("item")), ["document_id"], "item")

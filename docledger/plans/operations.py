@@ -10,6 +10,7 @@ from ..operators import contract as K
 from ..operators import publish as P
 from ..operators import release as L
 from ..operators import runs as R
+from ..operators.registry import Handlers, IncrementalRun
 from ..session import table
 from ..shared import new_path
 from ..sources import files as S
@@ -234,22 +235,48 @@ def dataset_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.reconcile_dataset(manifest, routes, public, "doc_id", {"ready": -1})
 
 
-@query("SELECT 'built' AS build, TRUE AS consistent UNION ALL SELECT 'moved', FALSE UNION ALL SELECT 'other report', FALSE")
+@query("""
+    WITH b AS (SELECT o_orderkey, o_orderdate AS began, o_orderdate + INTERVAL 1 DAY * (o_orderkey % 40) AS ended FROM orders)
+    SELECT o_orderkey, strftime(began, '%Y-%m') AS seen_before, strftime(least(ended, (SELECT max(o_orderdate) FROM orders)), '%Y-%m') AS seen_after,
+           strftime(began, '%Y-%m') = strftime(least(ended, (SELECT max(o_orderdate) FROM orders)), '%Y-%m') AND o_orderkey % 7 <> 3 AS consistent FROM b
+""")
 def version_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Builds against the pointer of published versions: one that saw it stand still, one during which it moved, one of another report."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
-    store = S.Published(spark, new_path(spark, "pointer"))
-    store.publish(o, "v1", ["y"], {})
-    first = store.current()
-    good, other = L.consistent_version(first, store.current(), "v1"), L.consistent_version(first, store.current(), "v0")
-    store.publish(o, "v2", ["y"], {})
-    rows = [("built", good), ("moved", L.consistent_version(first, store.current(), "v1")), ("other report", other)]
-    known = store.pointers().select("version")
-    named = spark.createDataFrame(rows, "build string, consistent boolean")
-    return named.join(F.broadcast(known.agg(F.count(F.lit(1)).alias("n"))), F.lit(True)).filter("n = 2").drop("n")
-
-
-@query("SELECT c_custkey, c_custkey % 4 = 0 AS private, IF(c_custkey % 2 = 0, 'c_note,local_path', 'c_note,local_path') AS fields FROM customer")
+    """Orders as builds of up to 39 days against a pointer that moves to a new version each month: builds during which it moved, and
+    those that report another version, are inconsistent."""
+    k, began = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
+    o = table(spark, sf_dir, "orders").select(k, began.alias("began"), F.date_format(began, "yyyy-MM").alias("month"))
+    builds = o.select(k.alias("build"), "began", F.date_add("began", (k % 40).cast("int")).cast("timestamp_ntz").alias("ended"), F.when(k % 7 == 3, "other").otherwise(F.col("month")).alias("report"))
+    moves = o.groupBy("month").agg(F.date_trunc("month", F.min("began")).cast("timestamp_ntz").alias("at")).withColumnRenamed("month", "version")
+    return L.consistent_builds(builds, moves).select(F.col("build").alias("o_orderkey"), "seen_before", "seen_after", "consistent")
+
+
+@query("""
+    SELECT doc_id::VARCHAR AS document_id, CASE WHEN lang = 'de' THEN 'failed' WHEN lang IN ('en', 'fr') THEN IF(doc_id % 6 = 1, 'review', 'ready') ELSE 'unsupported' END AS route,
+           CASE WHEN lang IN ('en', 'fr') AND doc_id % 6 <> 1 THEN 'accepted' ELSE 'held' END AS status, CASE WHEN lang IN ('en', 'fr') AND doc_id % 6 <> 1 THEN IF(doc_id % 3 = 0, 1, 0) ELSE IF(doc_id % 3 = 2, 0, 1) END::INT AS run FROM documents
+""")
+def injected_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries through injected collector, handlers and judge. The second has every third document with new content and the
+    next ones unchanged: accepted ones aren't handled again, held ones are tried again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("document_id"), F.coalesce("lang", F.lit("none")).alias("format"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+
+    def collect(k: int) -> DataFrame:
+        rows = docs if k == 0 else docs.filter("doc_id % 3 < 2").withColumn("sha256", F.when(F.col("doc_id") % 3 == 0, F.reverse("sha256")).otherwise(F.col("sha256")))
+        return rows.drop("doc_id")
+
+    def fails(row: dict) -> tuple[str, list[str]]:
+        raise ValueError("can't be read")
+
+    def menu(row: dict) -> tuple[str, list[str]]:
+        return ("review", ["MISSING_DATE"]) if int(row["document_id"]) % 6 == 1 else ("ready", [])
+
+    judge = lambda rows: rows.withColumn("status", F.when(F.col("route") == "ready", "accepted").otherwise("held"))
+    run = IncrementalRun(spark, collect, Handlers({"en": menu, "fr": menu, "de": fails}), judge)
+    for k in range(2):
+        run.run(k)
+    return run.result().select("document_id", "route", "status", "run")
+
+
+@query("SELECT c_custkey, c_custkey % 4 = 0 AS private, 'c_note,local_path' AS fields FROM customer")
 def forbidden_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Private names anywhere in the schema of nested rows, and rows with a private value in any leaf."""
     k = F.col("c_custkey")

@@ -12,6 +12,7 @@ from pyspark.sql.types import BinaryType
 
 from ..functions import text as T
 from ..functions.display import MEALS, shown_url
+from ..operators import audit as A
 from ..operators import grid as G
 from ..operators import release as R
 from ..session import table
@@ -89,26 +90,53 @@ def bundle_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT 'google_api_key' AS finding, 'sources' AS table_name, count(*) AS n FROM orders WHERE o_orderkey % 40 = 0 UNION ALL SELECT 'local_path', 'sources', count(*) FROM orders WHERE o_orderkey % 40 IN (1, 2)
+    UNION ALL SELECT 'local_path', 'slots', count(*) FROM orders WHERE o_orderkey % 40 = 5
     UNION ALL SELECT 'private_public_field', 'hosts', count(*) FROM nation UNION ALL SELECT 'artifact_price', 'slots', count(*) FROM orders WHERE o_orderkey % 40 = 3 UNION ALL SELECT 'artifact_subtotal', 'slots', count(*) FROM orders WHERE o_orderkey % 40 IN (3, 4)
 """)
 def release_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of three public tables, with a key, local paths, a private field and artifacts planted."""
+    """Every row of three public tables, with a key, local paths (one deep inside a row), a private field and artifacts planted."""
     k = F.col("o_orderkey") % 40
     o = table(spark, sf_dir, "orders")
     note = F.when(k == 0, F.concat(F.lit("AIza"), F.repeat(F.lit("x"), 35))).when(k == 1, "data/raw/x.xls").when(k == 2, "D:\\x").otherwise("fine data/raw/")
     items = F.when(k == 3, F.array(F.lit("1,200원"), F.lit("합계"))).when(k == 4, F.array(F.lit("rice"), F.lit("소 계"))).otherwise(F.array(F.lit("rice")))
-    tables = {"sources": o.select("o_orderkey", note.alias("note")), "slots": o.select("o_orderkey", items.alias("items")), "hosts": table(spark, sf_dir, "nation").select(F.col("n_name").alias("hostname"))}
+    tables = {"sources": o.select("o_orderkey", note.alias("note")), "slots": o.select("o_orderkey", items.alias("items"), F.array(F.struct(F.create_map(F.lit("file"), F.when(k == 5, "file:///x").otherwise("x")).alias("m"))).alias("nested")), "hosts": table(spark, sf_dir, "nation").select(F.col("n_name").alias("hostname"))}
     return R.release_audit(tables, {"slots": "items"})
 
 
 @query("""
-    SELECT o_custkey::VARCHAR AS institution_id, year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month, o_orderdate::DATE::VARCHAR AS day, m AS meal, (i - 1)::INT AS position, [p, 'rice'][i] AS item, 1 AS n_documents
-    FROM (SELECT DISTINCT o_custkey, o_orderdate, ['breakfast', 'lunch', 'dinner'][o_orderkey % 3 + 1] AS m, min(o_orderpriority) OVER (PARTITION BY o_custkey, o_orderdate, o_orderkey % 3) AS p FROM orders WHERE o_custkey % 50 = 0), (SELECT unnest([1, 2]) AS i)
+    SELECT 'contract_' || n AS finding, 'bundle' AS table_name, f AS n FROM (
+      WITH c AS (SELECT c_custkey AS k FROM customer), o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderdate AS d FROM orders), x AS (SELECT * FROM o WHERE k % 100 = 1),
+        m AS (SELECT DISTINCT c, year(d) AS y, month(d) AS m FROM o), s AS (SELECT DISTINCT c, year(d) AS y, month(d) AS m FROM o WHERE k % 100 <> 1), g AS (SELECT DISTINCT year(d) AS y, month(d) AS m FROM x),
+        w AS (SELECT DISTINCT c FROM m WHERE y = 1998 AND c % 50 = 7)
+      SELECT 'duplicate_institution' AS n, 0::BIGINT AS f
+      UNION ALL SELECT 'institution_fields', count(*) FILTER (k % 50 = 1) FROM c
+      UNION ALL SELECT 'coordinate_pair', count(*) FILTER ((k % 50 = 2) OR (k % 50 = 3)) FROM c
+      UNION ALL SELECT 'coordinate_range', count(*) FILTER (k % 50 = 3) FROM c
+      UNION ALL SELECT 'institution_url', count(*) FILTER (k % 50 = 5) FROM c
+      UNION ALL SELECT 'unknown_institution', count(*) FROM x
+      UNION ALL SELECT 'meal_type', count(*) FILTER (k % 100 = 2) FROM o UNION ALL SELECT 'menu_items', count(*) FILTER (k % 100 = 3) FROM o UNION ALL SELECT 'document_links', count(*) FILTER (k % 100 = 4) FROM o
+      UNION ALL SELECT 'unlinked_source', (SELECT count(*) FROM x) + (SELECT count(*) FROM (SELECT DISTINCT c, year(d), month(d) FROM o WHERE k % 100 = 4))
+      UNION ALL SELECT 'unreferenced_source', count(*) FILTER (k % 100 IN (1, 4)) FROM o
+      UNION ALL SELECT 'source_identity', count(*) FILTER (k % 100 = 5) FROM o UNION ALL SELECT 'duplicate_source', 0 UNION ALL SELECT 'availability_list', (SELECT count(*) FROM w)
+      UNION ALL SELECT 'availability_months', (SELECT count(*) FROM (SELECT * FROM m EXCEPT SELECT * FROM s)) + (SELECT count(*) FROM g) + (SELECT count(*) FROM w) UNION ALL SELECT 'declared_stats', 1) WHERE f > 0
+    UNION ALL SELECT 'tree_digest', unnest(['institutions', 'slots', 'sources']), 1 UNION ALL SELECT 'tree_digest', 'availability', 1 WHERE EXISTS (FROM orders WHERE o_custkey % 50 = 7 AND year(o_orderdate) = 1998)
+    UNION ALL SELECT 'artifact_price', 'slots', count(*) FROM orders WHERE o_orderkey % 100 = 3 HAVING count(*) < 0
+""")
+def bundle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All findings about a faulty bundle in one table: contract, leaves, and the digests of the good bundle that it should be."""
+    good, bad = (dict(zip(("institutions", "slots", "sources", "availability"), _bundle(spark, sf_dir, x), strict=True)) for x in (False, True))
+    declared = {c: v for c, v in R.bundle_stats(good["institutions"], good["slots"]).first().asDict().items()} | {"total_institutions": -1}
+    return R.bundle_audit({k: v for k, v in bad.items() if k != "availability"}, bad["availability"], declared, R.table_digests(good))
+
+
+@query("""
+    WITH o AS (SELECT c_nationkey AS n, o_orderdate::DATE AS d, ['breakfast', 'lunch', 'dinner'][o_orderkey % 3 + 1] AS m, min(o_orderpriority) AS p FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL)
+    SELECT n::VARCHAR AS institution_id, year(d)::INT AS year, month(d)::INT AS month, d::VARCHAR AS day, m AS meal, (i - 1)::INT AS position, [p, 'rice'][i] AS item, 1 AS n_documents FROM o, (SELECT unnest([1, 2]) AS i)
 """)
 def month_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of every fiftieth customer (an institution) as monthly JSON files, written and read back item by item."""
-    o = table(spark, sf_dir, "orders").filter("o_custkey % 50 = 0")
-    keys = [F.col("o_custkey").cast("string").alias("institution_id"), F.to_date("o_orderdate").alias("day"), F.get(F.array(*map(F.lit, MEALS)), (F.col("o_orderkey") % 3).cast("int")).alias("meal")]
+    """All orders as the menus of nations (institutions) in monthly JSON files, written and read back item by item."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    keys = [F.col("c_nationkey").cast("string").alias("institution_id"), F.to_date("o_orderdate").alias("day"), F.get(F.array(*map(F.lit, MEALS)), (F.col("o_orderkey") % 3).cast("int")).alias("meal")]
     slots = o.groupBy(*keys).agg(F.array(F.min("o_orderpriority"), F.lit("rice")).alias("items"), F.array(F.min("o_orderkey").cast("string")).alias("documents"))
     path = new_path(spark, "months")
     M.write_months(slots, path)
@@ -144,24 +172,76 @@ SHEET = (
     '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>{name}</t></is></c><c r="B1"><v>{key}</v></c></row>'
     '<row r="2" hidden="1"><c r="A2" t="str"><f>B1</f><v>ok {key}</v></c><c r="B2" t="e"><f>C1</f><v>#REF!</v></c><c r="C2"><f>D1</f></c></row><row r="3"><c r="A3" t="inlineStr"><is><t>m</t></is></c></row></sheetData><mergeCells><mergeCell ref="A3:B3"/></mergeCells></worksheet>'
 )
+MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 PARTS = {
-    "xl/workbook.xml": '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="s" r:id="r1"/></sheets></workbook>',
+    "xl/workbook.xml": f'<workbook {MAIN} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="s" r:id="r1"/></sheets></workbook>',
     "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>',
 }
+#: Styles 1 to 14 show the date format and 13 number formats; two sheets a workbook.
+FORMATS = ["yyyy-mm-dd", *[f"0.{'0' * k}" for k in range(1, 14)]]
+STYLED = {
+    "xl/workbook.xml": PARTS["xl/workbook.xml"].replace("</sheets>", '<sheet name="t" r:id="r2"/></sheets>'),
+    "xl/_rels/workbook.xml.rels": PARTS["xl/_rels/workbook.xml.rels"].replace("</Rel", '<Relationship Id="r2" Target="/xl/worksheets/sheet2.xml"/></Rel'),
+    "xl/sharedStrings.xml": f"<sst {MAIN}><si><t>shared</t></si></sst>",
+    "xl/styles.xml": f"<styleSheet {MAIN}><numFmts>" + "".join(f'<numFmt numFmtId="{170 + k}" formatCode="{f}"/>' for k, f in enumerate(FORMATS)) + "</numFmts><cellXfs>"
+    + "".join(f'<xf numFmtId="{n}"/>' for n in [0, *range(170, 170 + len(FORMATS))]) + "</cellXfs></styleSheet>",
+}
+
+
+def _packed(parts: dict[str, str]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, text in parts.items():
+            z.writestr(name, text)
+    return out.getvalue()
+
+
+@F.pandas_udf(BinaryType())
+def _styled(keys: pd.Series) -> pd.Series:
+    """A workbook of two sheets for each key k: 1 + k % 5 rows of a shared string, a date and two numbers; the second sheet has a row more."""
+
+    def sheet(k: int, rows: int) -> str:
+        row = '<row r="{0}"><c r="A{0}" t="s"><v>0</v></c><c r="B{0}" s="1"><v>{1}</v></c><c r="C{0}" s="{2}"><v>{3}</v></c><c r="D{0}"><v>{0}</v></c></row>'
+        return f"<worksheet {MAIN}><sheetData>" + "".join(row.format(r, 45000 + k % 100, 2 + (k + r) % 13, k) for r in range(1, rows + 1)) + "</sheetData></worksheet>"
+
+    return pd.Series([_packed(STYLED | {"xl/worksheets/sheet1.xml": sheet(k, 1 + k % 5), "xl/worksheets/sheet2.xml": sheet(k, 2 + k % 5)}) for k in keys])
+
+
+def _styled_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("document_id"), _styled(F.col("s_suppkey")).alias("content"))
+    return W.cells(files)
+
+
+STYLED_SQL = """
+    d AS (SELECT s_suppkey AS k, sheet, unnest(range(1, 2 + s_suppkey % 5 + n)) AS r FROM supplier, (VALUES ('s', 0), ('t', 1)) v(sheet, n)),
+    f AS (SELECT k, sheet, r, unnest(['General', 'yyyy-mm-dd', '0.' || repeat('0', 1 + CAST((k + r) % 13 AS INT)), 'General']) AS number_format FROM d)
+"""
+
+
+@query(f"""
+    WITH {STYLED_SQL}
+    SELECT k::VARCHAR AS document_id, sheet, CAST(4 * max(r) AS BIGINT) AS n_cells, CAST(max(r) AS INT) AS max_row, 4 AS max_column, 0::BIGINT AS n_formulas, 0::BIGINT AS n_errors, max(r) AS n_dates, 2 * max(r) AS n_numbers,
+           0::BIGINT AS n_merged, 0::BIGINT AS n_hidden_rows, count(DISTINCT number_format) AS n_formats FROM f GROUP BY ALL
+""")
+def sheet_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structure of the sheets of workbooks: cells, range, dates, numbers, number formats."""
+    return A.cell_structure(_styled_cells(spark, sf_dir))
+
+
+@query(f"""
+    WITH {STYLED_SQL}, c AS (SELECT sheet, number_format, count(*) AS count FROM f GROUP BY ALL)
+    SELECT *, CAST(row_number() OVER (PARTITION BY sheet ORDER BY count DESC, number_format) AS INT) AS rank FROM c QUALIFY rank <= 12
+""")
+def top_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 12 most frequent number formats of the sheets of each name; on ties by the format."""
+    return A.top_values(_styled_cells(spark, sf_dir).select("sheet", "number_format"), ["sheet"], "number_format", 12)
 
 
 @F.pandas_udf(BinaryType())
 def _workbook(names: pd.Series, keys: pd.Series) -> pd.Series:
     """A small workbook for each name and key."""
 
-    def one(name: str, key: int) -> bytes:
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w") as z:
-            for part, text in (PARTS | {"xl/worksheets/sheet1.xml": SHEET.format(name=name, key=key)}).items():
-                z.writestr(part, text)
-        return out.getvalue()
-
-    return pd.Series([one(n, k) for n, k in zip(names, keys, strict=True)])
+    return pd.Series([_packed(PARTS | {"xl/worksheets/sheet1.xml": SHEET.format(name=n, key=k)}) for n, k in zip(names, keys, strict=True)])
 
 
 def _workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,13 @@ equivalents state the records that such sheets must give.
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from ..functions import text as T
 from ..functions.rules import document_role
@@ -18,6 +23,7 @@ from ..operators import periods as P
 from ..operators import quality as Q
 from ..operators import records as R
 from ..session import table
+from ..sources import files as S
 from ..shared import cut
 from .registry import query
 
@@ -80,6 +86,15 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut(G.with_merges(cells, days.unionByName(feet).unionByName(empty)), "sheets")
 
 
+@F.pandas_udf(BinaryType())
+def packages(keys: pd.Series) -> pd.Series:
+    """The smallest OOXML package."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("[Content_Types].xml", "x")
+    return pd.Series([out.getvalue()] * len(keys))
+
+
 def _records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     cells = _cells(spark, sf_dir)
     return cells, G.extract(cells, F.lit(YEAR), F.lit(MONTH))
@@ -392,6 +407,24 @@ def route_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(F.when(F.coalesce("bad", F.lit(True)), "review").otherwise("ready").alias("route"), "layout").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"""
+    WITH {EXPECTED}, g AS (SELECT k, any_value(family) AS layout, bool_or(unresolved) AS bad FROM q GROUP BY 1),
+         d AS (SELECT s_suppkey AS k, coalesce(layout, 'undetected') AS layout, IF(s_suppkey % 5 = 0, 'xls', 'xlsx') AS extension, CASE WHEN s_suppkey % 7 = 0 THEN 'unknown' WHEN s_suppkey % 10 = 0 THEN 'ole' ELSE 'ooxml' END AS detected,
+                      CASE WHEN s_suppkey % 7 = 0 THEN 'failed' WHEN bad OR layout IS NULL THEN 'review' ELSE 'ready' END AS route FROM supplier LEFT JOIN g ON k = s_suppkey),
+         x AS (SELECT route, unnest(['extension', 'detected', 'layout']) AS dimension, unnest([extension, detected, layout]) AS value FROM d)
+    SELECT dimension, value, count(*) AS documents, count(*) FILTER (route = 'ready') AS ready, count(*) FILTER (route = 'review') AS review, count(*) FILTER (route = 'failed') AS failed FROM x GROUP BY ALL
+""")
+def route_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes against declared formats, formats by content, and layouts, in one pass. Files of unknown content fail."""
+    k = F.col("k")
+    cells, records = _records(spark, sf_dir)
+    judged = R.menu_quality(records, cells).groupBy("document_id").agg(F.collect_set("family").alias("layout"), F.bool_or("unresolved").alias("bad"))
+    content = F.when(k % 7 == 0, F.lit("plain").cast("binary")).when(k % 10 == 0, F.unhex(F.lit("D0CF11E0A1B11AE1"))).otherwise(packages(k))
+    d = _documents(spark, sf_dir).select("document_id", F.when(k % 5 == 0, "xls").otherwise("xlsx").alias("extension"), S.detected_format(content).alias("detected")).join(judged, "document_id", "left")
+    route = F.when(F.col("detected") == "unknown", "failed").when(F.coalesce("bad", F.lit(True)), "review").otherwise("ready")
+    return A.route_tables(d.withColumn("route", route), "route", ["ready", "review", "failed"], {"extension": F.col("extension"), "detected": F.col("detected"), "layout": F.col("layout")})
+
+
 @query(f"""
     WITH {EXPECTED}, p AS (SELECT document_id, day(day) AS d, meal = 'lunch' AS l, len(clean) = 0 AS e, unresolved FROM q),
     x AS (SELECT 'BLANK_MEAL' AS code, count(*) AS n FROM p WHERE e OR (l AND d = 5) UNION ALL SELECT 'DATE_OUTSIDE_MEAL_MONTH', count(*) FROM p WHERE l AND d = 7 UNION ALL SELECT 'DUPLICATE_DATE_MEAL', 2 * count(*) FROM p WHERE l AND d = 6
@@ -427,19 +460,31 @@ def cell_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("document_id", F.col("n_cells").cast("int").alias("n_cells"), "max_row", "n_formulas", "n_numbers", "n_keywords")
 
 
-@query("""
-    WITH f AS (SELECT s_suppkey::VARCHAR AS id, 'xlsx' AS extension, 'n1;s|' || ['24x5|m11|석식,조식,중식', '17x4|m0|석식,점심,조식', '9x8|m0|석식,조식,중식', '5x3|m1|조식'][s_suppkey % 4 + 1] AS features FROM supplier
-      UNION ALL SELECT 'p' || page_id, 'pdf', CASE WHEN b <= 20 THEN '<= 20' WHEN b <= 60 THEN '<= 60' WHEN b <= 120 THEN '<= 120' WHEN b <= 240 THEN '<= 240' ELSE '> 240' END || '|' || CASE WHEN n <= 100 THEN '<= 100' WHEN n <= 500 THEN '<= 500' WHEN n <= 1000 THEN '<= 1000' WHEN n <= 2500 THEN '<= 2500'
-        WHEN n <= 5000 THEN '<= 5000' ELSE '> 5000' END || '|' || CASE WHEN i <= 0 THEN '<= 0' WHEN i <= 2 THEN '<= 2' WHEN i <= 6 THEN '<= 6' WHEN i <= 12 THEN '<= 12' ELSE '> 12' END FROM (SELECT page_id, length(html) // 40 AS b, length(html) AS n, page_id % 20 AS i FROM pages)),
+def _bucket_sql(x: str, *bounds: int) -> str:
+    return "CASE " + " ".join(f"WHEN {x} <= {b} THEN '<= {b}'" for b in bounds) + f" ELSE '> {bounds[-1]}' END"
+
+
+@query(rf"""
+    WITH h AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    m AS (SELECT page_id, len(regexp_extract_all(h, '(?i)<(?:p|li|tr|h[1-6]|div)[\s>]')) AS b, length(regexp_replace(h, '<[^>]*>', '', 'g')) AS n, len(regexp_extract_all(h, '(?i)<img[\s>]')) AS i FROM h),
+    s AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, len(string_split(t, chr(10))) AS b, length(t) AS n, len(regexp_extract_all(t, '[0-9]+')) AS i FROM s),
+    f AS (SELECT s_suppkey::VARCHAR AS id, 'xlsx' AS extension, 'n1;s|' || ['24x5|m11|석식,조식,중식', '17x4|m0|석식,점심,조식', '9x8|m0|석식,조식,중식', '5x3|m1|조식'][s_suppkey % 4 + 1] AS features FROM supplier
+      UNION ALL SELECT 'p' || page_id, 'html', {_bucket_sql("b", 20, 60, 120, 240)} || '|' || {_bucket_sql("n", 100, 500, 1000, 2500, 5000)} || '|' || {_bucket_sql("i", 0, 2, 6, 12)} FROM m
+      UNION ALL SELECT 'd' || doc_id, 'text', {_bucket_sql("b", 20, 60, 120, 240)} || '|' || {_bucket_sql("n", 100, 500, 1000, 2500, 5000)} || '|' || {_bucket_sql("i", 0, 2, 6, 12)} FROM w),
     g AS (SELECT extension, sha256(features)[1:12] AS template, count(*) AS n, min(id) AS example FROM f GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY extension ORDER BY n DESC, template) AS INT) AS family FROM g
 """)
 def document_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Families of documents by their structure: sheets by shapes, merges and meals named, paged ones by buckets."""
+    """Families of documents by their structure: sheets by shapes, merges and meals named; pages by blocks, characters and images of
+    their markup; plain texts by lines, characters and numbers."""
     words = tuple(x for names in G.MEALS.values() for x in names)
     sheets = A.sheet_features(_cells(spark, sf_dir), words).select(F.col("document_id").alias("id"), F.lit("xlsx").alias("extension"), "features")
-    n = F.length("html")
-    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.lit("pdf").alias("extension"), A.page_features(F.floor(n / 40), n, F.col("page_id") % 20).alias("features"))
-    return A.template_families(sheets.unionByName(pages), "id", "extension", "features")
+    html, text = F.coalesce("html", F.lit("")), F.coalesce("text", F.lit(""))
+    blocks, images = F.regexp_count(html, F.lit(r"(?i)<(?:p|li|tr|h[1-6]|div)[\s>]")), F.regexp_count(html, F.lit(r"(?i)<img[\s>]"))
+    shown = F.length(F.regexp_replace(html, "<[^>]*>", ""))
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.lit("html").alias("extension"), A.page_features(blocks, shown, images).alias("features"))
+    lines, numbers = F.size(F.split(text, "\n")), F.regexp_count(text, F.lit("[0-9]+"))
+    plain = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), F.lit("text").alias("extension"), A.page_features(lines, F.length(text), numbers).alias("features"))
+    return A.template_families(sheets.unionByName(pages).unionByName(plain), "id", "extension", "features")
 
 
 @query("""

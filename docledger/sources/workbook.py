@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import math
 import re
+import shutil
 import zipfile
 from collections.abc import Iterator
 from datetime import date, timedelta
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.rules import EXCEL_ERRORS
 
@@ -55,93 +59,191 @@ def _plain(x: float) -> str:
     return str(int(x)) if x.is_integer() else repr(x)
 
 
-def read_workbook(content: bytes) -> Iterator[dict]:
-    """Cells with a value, and cells that a merge with a value covers, in row order."""
+SHEET_SCHEMA = "document_id string, sheet string, sheet_index int, part binary, strings binary, styles binary, error string"
+
+
+def _squeezed(z: zipfile.ZipFile, name: str) -> bytes:
+    """A member of the package, packed anew while it is read."""
+    out = io.BytesIO()
+    with z.open(name) as source, gzip.GzipFile(fileobj=out, mode="wb", compresslevel=1) as target:
+        shutil.copyfileobj(source, target, 1 << 20)
+    return out.getvalue()
+
+
+def read_sheets(content: bytes) -> Iterator[dict]:
+    """A package's sheets: name, index, the packed XML of the sheet, of the shared strings and of the styles."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = set(z.namelist())
-        xml = lambda name: ElementTree.fromstring(z.read(name))
-        strings = [_text(s) for s in xml("xl/sharedStrings.xml").iter(f"{MAIN}si")] if "xl/sharedStrings.xml" in names else []
-        formats: list[tuple[str, bool]] = [("General", False)]
-        if "xl/styles.xml" in names:
-            styles = xml("xl/styles.xml")
-            own = {int(n.get("numFmtId")): n.get("formatCode") for n in styles.iter(f"{MAIN}numFmt")}
-            cell_styles = styles.find(f"{MAIN}cellXfs")
-            ids = [int(x.get("numFmtId", 0)) for x in (cell_styles if cell_styles is not None else [])]
-            dated = lambda i: i in DATE_FORMATS or bool(re.search(r"[ymd]", re.sub(r'"[^"]*"|\[[^\]]*\]', "", own.get(i, "")), re.I))
-            formats = [(own.get(i, "General" if i == 0 else f"#{i}"), dated(i)) for i in ids] or formats
+        xml = lambda name: ElementTree.fromstring(z.read(name))  # noqa: E731  small parts
+        shared = {key: _squeezed(z, name) if name in names else None for key, name in (("strings", "xl/sharedStrings.xml"), ("styles", "xl/styles.xml"))}
         targets = {r.get("Id"): r.get("Target") for r in xml("xl/_rels/workbook.xml.rels")}
         for index, sheet in enumerate(xml("xl/workbook.xml").iter(f"{MAIN}sheet")):
             target = targets[sheet.get(f"{REL}id")].lstrip("/")
-            yield from _sheet(xml(target if target.startswith("xl/") else f"xl/{target}"), sheet.get("name"), index, strings, formats)
-
-
-def _sheet(root: ElementTree.Element, name: str, index: int, strings: list[str], formats: list[tuple[str, bool]]) -> Iterator[dict]:
-    hidden = set()
-    for c in root.iter(f"{MAIN}col"):
-        if c.get("hidden") == "1":
-            hidden.update(range(int(c.get("min")), int(c.get("max")) + 1))
-    cells: dict[tuple[int, int], dict] = {}
-    hidden_rows = set()
-    for row in root.iter(f"{MAIN}row"):
-        if row.get("hidden") == "1":
-            hidden_rows.add(int(row.get("r")))
-        for c in row.iter(f"{MAIN}c"):
-            m = re.fullmatch(r"([A-Z]+)(\d+)", c.get("r"))
-            at = int(m[2]), column_number(m[1])
-            value, formula = c.findtext(f"{MAIN}v"), c.find(f"{MAIN}f")
-            kind = c.get("t", "n")
-            style = int(c.get("s", 0))
-            number_format, dated = formats[style] if style < len(formats) else ("General", False)
-            out = {"raw_type": "empty", "raw_double": None, "raw_text": "", "number_format": number_format, "is_excel_error": kind == "e", "cached_text": None}
-            text = strings[int(value)] if kind == "s" and value else _text(c.find(f"{MAIN}is")) if kind == "inlineStr" else value or ""
-            if kind == "n" and value:
-                x = float(value)
-                if dated and 60 <= x < 2958466:
-                    out |= {"raw_type": "date", "raw_double": x}
-                    text = (date(1899, 12, 30) + timedelta(days=int(x))).isoformat()
-                else:
-                    out |= {"raw_type": "number", "raw_double": x if math.isfinite(x) else None}
-                    text = _plain(x) if math.isfinite(x) else value
-            elif kind == "b":
-                out["raw_type"], text = "boolean", "True" if value == "1" else "False"
-            elif text:
-                out["raw_type"] = "error" if kind == "e" else "string"
-            out["is_formula"] = formula is not None
-            out["formula"] = f"={formula.text or ''}" if formula is not None else None
-            if formula is not None:
-                out["cached_text"] = text.strip() if value is not None else None
-            out["raw_text"] = text.strip()
-            if text or formula is not None:
-                cells[at] = out
-    merged: dict[tuple[int, int], tuple[str, str]] = {}
-    for m in root.iter(f"{MAIN}mergeCell"):
-        top, bottom, left, right = _range(m.get("ref"))
-        if (top, left) in cells:
-            parent = f"{column_letters(left)}{top}"
-            merged |= {(r, c): (parent, m.get("ref")) for r in range(top, bottom + 1) for c in range(left, right + 1)}
-    empty = {"raw_type": "empty", "raw_double": None, "raw_text": "", "number_format": "General", "is_excel_error": False, "cached_text": None, "is_formula": False, "formula": None}
-    for r, c in sorted(cells.keys() | merged.keys()):
-        coordinate = f"{column_letters(c)}{r}"
-        parent, ref = merged.get((r, c), (None, None))
-        place = {"sheet": name, "sheet_index": index, "coordinate": coordinate, "row": r, "column": c, "hidden_row": r in hidden_rows, "hidden_column": c in hidden}
-        yield cells.get((r, c), empty) | place | {"merged_parent": parent if parent != coordinate else None, "merged_range": ref}
-
-
-def cells(files: DataFrame, id_col: str = "document_id", content: str = "content") -> DataFrame:
-    """Long-form cells of workbooks. A file that can't be read gives one row with its error and no coordinate."""
-    names = [x.split()[0].strip("`") for x in CELL_SCHEMA.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            part = _squeezed(z, target if target.startswith("xl/") else f"xl/{target}")
+            yield {"sheet": sheet.get("name"), "sheet_index": index, "part": part, **shared}
+
+
+def _elements(packed: bytes | None, *tags: str) -> Iterator[ElementTree.Element]:
+    """Elements of these names when they end; what has been passed is let go, so that one of them is in memory at a time."""
+    if packed is None:
+        return
+    wanted, inside, open_tags = {f"{MAIN}{t}" for t in tags}, 0, []
+    with gzip.GzipFile(fileobj=io.BytesIO(packed)) as source:
+        for event, node in ElementTree.iterparse(source, ("start", "end")):
+            if event == "start":
+                inside += node.tag in wanted
+                open_tags.append(node)
+                continue
+            open_tags.pop()
+            if node.tag in wanted:
+                inside -= 1
+                if not inside:
+                    yield node
+            if not inside:
+                node.clear()
+                if open_tags:
+                    open_tags[-1].remove(node)
+
+
+def _formats(packed: bytes | None) -> list[tuple[str, bool]]:
+    """Number format and whether it shows a date, by cell style."""
+    own, ids = {}, []
+    for node in _elements(packed, "numFmts", "cellXfs"):
+        if node.tag == f"{MAIN}numFmts":
+            own = {int(n.get("numFmtId")): n.get("formatCode") for n in node}
+        else:
+            ids = [int(x.get("numFmtId", 0)) for x in node]
+    dated = lambda i: i in DATE_FORMATS or bool(re.search(r"[ymd]", re.sub(r'"[^"]*"|\[[^\]]*\]', "", own.get(i, "")), re.I))
+    return [(own.get(i, "General" if i == 0 else f"#{i}"), dated(i)) for i in ids] or [("General", False)]
+
+
+def _cell(c: ElementTree.Element, strings: list[str], formats: list[tuple[str, bool]]) -> dict | None:
+    """A cell's fields; None if it has neither text nor formula."""
+    value, formula = c.findtext(f"{MAIN}v"), c.find(f"{MAIN}f")
+    kind, style = c.get("t", "n"), int(c.get("s", 0))
+    number_format, dated = formats[style] if style < len(formats) else ("General", False)
+    out = {"raw_type": "empty", "raw_double": None, "number_format": number_format, "is_excel_error": kind == "e", "cached_text": None, "is_formula": formula is not None, "formula": None}
+    text = strings[int(value)] if kind == "s" and value else _text(c.find(f"{MAIN}is")) if kind == "inlineStr" else value or ""
+    if kind == "n" and value:
+        x = float(value)
+        if dated and 60 <= x < 2958466:
+            out |= {"raw_type": "date", "raw_double": x}
+            text = (date(1899, 12, 30) + timedelta(days=int(x))).isoformat()
+        else:
+            out |= {"raw_type": "number", "raw_double": x if math.isfinite(x) else None}
+            text = _plain(x) if math.isfinite(x) else value
+    elif kind == "b":
+        out["raw_type"], text = "boolean", "True" if value == "1" else "False"
+    elif text:
+        out["raw_type"] = "error" if kind == "e" else "string"
+    if formula is not None:
+        out |= {"formula": f"={formula.text or ''}", "cached_text": text.strip() if value is not None else None}
+    return out | {"raw_text": text.strip()} if text or formula is not None else None
+
+
+EMPTY = {"raw_type": "empty", "raw_double": None, "raw_text": "", "number_format": "General", "is_excel_error": False, "cached_text": None, "is_formula": False, "formula": None}
+
+
+def read_sheet(part: bytes, strings: bytes | None, styles: bytes | None) -> Iterator[dict]:
+    """Cells with a value, and cells that a merge with a value covers, in row order.
+
+    The XML is read twice: for merges and hidden columns, which stand around the rows, then for the rows. In memory are the shared
+    strings, the sheet's merges and one row.
+    """
+    texts, formats = [_text(s) for s in _elements(strings, "si")], _formats(styles)
+    hidden, boxes = set(), []
+    for node in _elements(part, "col", "mergeCell", "row"):
+        if node.tag == f"{MAIN}col" and node.get("hidden") == "1":
+            hidden.update(range(int(node.get("min")), int(node.get("max")) + 1))
+        elif node.tag == f"{MAIN}mergeCell":
+            boxes.append((*_range(node.get("ref")), node.get("ref")))
+    boxes.sort(key=lambda b: b[0], reverse=True)
+    live: list[tuple] = []
+
+    def row_cells(r: int, own: dict[int, dict], off: bool) -> Iterator[dict]:
+        while boxes and boxes[-1][0] <= r:
+            box = boxes.pop()
+            if box[0] == r and box[2] in own:
+                live.append(box)
+        live[:] = [b for b in live if b[1] >= r]
+        covered = {c: b for b in live for c in range(b[2], b[3] + 1)}
+        for c in sorted(own.keys() | covered.keys()):
+            coordinate, box = f"{column_letters(c)}{r}", covered.get(c)
+            parent = f"{column_letters(box[2])}{box[0]}" if box else None
+            place = {"coordinate": coordinate, "row": r, "column": c, "hidden_row": off, "hidden_column": c in hidden}
+            yield own.get(c, EMPTY) | place | {"merged_parent": parent if parent != coordinate else None, "merged_range": box[4] if box else None}
+
+    at = 0
+    for node in _elements(part, "row"):
+        own = {column_number(re.match("[A-Z]+", c.get("r"))[0]): _cell(c, texts, formats) for c in node.iter(f"{MAIN}c")}
+        r = int(node.get("r"))
+        for between in range(at + 1, r):
+            if not live and not (boxes and boxes[-1][0] <= between):
+                break
+            yield from row_cells(between, {}, False)
+        yield from row_cells(r, {c: x for c, x in own.items() if x is not None}, node.get("hidden") == "1")
+        at = r
+    while live:
+        at += 1
+        yield from row_cells(at, {}, False)
+
+
+def _failure(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"[:500]
+
+
+def _batches(rows: Iterator[dict], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def sheets(files: DataFrame, id_col: str = "document_id", content: str = "content") -> DataFrame:
+    """A row a sheet, with the parts of the package that it needs. A file that can't be read gives one row with its error."""
+    schema = to_arrow_schema(StructType.fromDDL(SHEET_SCHEMA))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for key, data in zip(b["id"], b["content"], strict=True):
+            for key, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 try:
-                    rows = [{"document_id": key, "error": None} | c for c in read_workbook(bytes(data))]
+                    rows = list(read_sheets(data.as_py() or b""))
                 except Exception as e:  # noqa: BLE001  any failure is this file's outcome
-                    rows = [{"document_id": key, "error": f"{type(e).__name__}: {e}"[:500]}]
-                frame = pd.DataFrame(rows, columns=names)
-                yield frame.astype({c: object for c in names}).where(frame.notna(), None)
+                    rows = [{"error": _failure(e)}]
+                yield from _batches(({"document_id": key} | r for r in rows), schema, 1)
+
+    return files.select(F.col(id_col).cast("string").alias("id"), F.col(content).alias("content")).mapInArrow(run, SHEET_SCHEMA)
+
+
+def cells(files: DataFrame, id_col: str = "document_id", content: str = "content", size: int = 10_000) -> DataFrame:
+    """Long-form cells of workbooks, `size` at a time. A sheet that can't be read gives one row with its error and no coordinate.
+
+    Sheets are dealt out one by one, so the sheets of a large workbook are read side by side. A task holds a sheet's packed XML, the
+    shared strings and merges, a row and `size` cells, however many cells the sheet has.
+    """
+    schema = to_arrow_schema(StructType.fromDDL(CELL_SCHEMA))
+
+    def rows_of(x: dict) -> Iterator[dict]:
+        head = {k: x[k] for k in ("document_id", "sheet", "sheet_index", "error")}
+        if x["error"]:
+            yield head
+            return
+        try:
+            for c in read_sheet(x["part"], x["strings"], x["styles"]):
+                yield head | c
+        except Exception as e:  # noqa: BLE001  any failure is this sheet's outcome
+            yield head | {"error": _failure(e)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                yield from _batches(rows_of(b.slice(k, 1).to_pylist()[0]), schema, size)
 
-    return files.select(F.col(id_col).cast("string").alias("id"), F.col(content).alias("content")).mapInPandas(run, CELL_SCHEMA)
+    return sheets(files, id_col, content).repartition("document_id", "sheet_index").mapInArrow(run, CELL_SCHEMA)
 
 
 def resolved(rows: DataFrame) -> DataFrame:
