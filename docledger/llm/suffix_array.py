@@ -493,27 +493,31 @@ class Sorter:
                 first, second = chars[at], shifted(chars, step)[at]
                 if level:
                     table = np.stack([first, second, *ranks])
-                else:  # both characters in one number, start and tag in one number
+                else:  # both characters and the digit in one number, start and tag in one number
                     ends = np.cumsum(s.sizes)
                     of = np.searchsorted(ends, at, "right")
                     start = (_longs(x["starts"]) - ends + s.sizes)[of] + at
-                    table = np.stack([first << 32 | second, *ranks, grams(prefix_sums(s.data), length)[at].view(np.int64), _longs(x["docs"])[of], start << 32 | _longs(x["tags"])[of] & 0xFFFFFFFF])
+                    table = np.stack([first << 32 | second << 2 | digit, *ranks, grams(prefix_sums(s.data), length)[at].view(np.int64), _longs(x["docs"])[of], start << 32 | _longs(x["tags"])[of] & 0xFFFFFFFF])
+                fields = (
+                    lambda p: p.astype(np.int32).tobytes() if level else None,
+                    lambda p: digit[p].astype(np.int8).tobytes() if level else None,
+                    lambda p: table[:, p].tobytes(),
+                )
                 to = s.ranges(at, bounds)
                 order = np.argsort(to, kind="stable")
                 full, first = np.unique(to[order], return_index=True)
                 parts = np.split(order, first[1:])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full), pa.array([x["shard"]] * len(full), pa.int64()), *[pa.array([f(p) for p in parts], pa.binary()) for f in (lambda p: p.astype(np.int32).tobytes(), lambda p: digit[p].astype(np.int8).tobytes(), lambda p: table[:, p].tobytes())]],
+                    [pa.array(full), pa.array([x["shard"]] * len(full), pa.int64()), *[pa.array([f(p) for p in parts], pa.binary()) for f in fields]],
                     ["range", "shard", "place", "digit", "block"],
                 )
 
         def ranked(key: tuple, t: pa.Table) -> pa.Table:
             blocks = [_longs(x).reshape(longs, -1) for x in t.column("block").to_pylist()]
             own = np.concatenate(blocks, axis=1)
-            digit = np.frombuffer(b"".join(t.column("digit").to_pylist()), np.int8)
             if not level:
-                return judge(*own[3:], merged(own[0] >> 32, own[0] & 0xFFFFFFFF, own[1], own[2], digit))
-            before = merged(*own, digit)
+                return judge(*own[3:], merged(own[0] >> 32, (own[0] & 0xFFFFFFFF) >> 2, own[1], own[2], own[0] & 3))
+            before = merged(*own, np.frombuffer(b"".join(t.column("digit").to_pylist()), np.int8))
             back = np.split(before + 1 + (key[0].as_py() << PLACE), np.cumsum([x.shape[1] for x in blocks])[:-1])
             return pa.table([t.column("shard"), t.column("place"), pa.array([x.tobytes() for x in back], pa.binary())], ["shard", "place", "block"])
 
@@ -542,8 +546,7 @@ class Sorter:
         ranks = None
         for level in range(self.top - 1, 0, -1):
             before, ranks = ranks, self.merge(level, ranks)
-            if before is not None:
-                release(before)
+            release(*[x for x in (before, self.names.pop(level, None), self.names.pop(self.top, None)) if x is not None])
         found = cut(self.merge(0, ranks), "suffix-repeated")
         release(self.shards, *self.names.values(), *([ranks] if ranks is not None else []))
         return found
