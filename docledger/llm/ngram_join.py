@@ -43,7 +43,7 @@ from .hashing import LOWER, U, blocks, mix, windows, word_hashes
 #: Cuts of the order that a level may look at. A set of few n-grams falls short under one with a chance below 4 in 100.
 CUTS = 64
 #: N-grams of a block at most, about. Cells of a strip of summed overlaps.
-GRAMS, STRIP = 1 << 23, 1 << 14
+GRAMS, STRIP = 1 << 22, 1 << 14
 
 
 class Levels:
@@ -307,7 +307,7 @@ class NgramJoin:
                     return []
                 return [(vs[a], vs[b]) for a, b in near_forest(np.array([held[v][0] for v in vs]), [held[v][1] for v in vs], num, den)]
 
-            for b in batches:
+            for b in slices(batches):
                 out = []
                 for c, i, j, v, n, x in zip(*(b.column(k).to_pylist() for k in ("c", "i", "j", "v", "n", "bits")), strict=True):
                     if (c, i, j) != key:
@@ -381,7 +381,7 @@ class NgramJoin:
                     ready.append((c, i, j, s, f, *whose, packed(common[s : s + high])))
                     size += len(ready[-1][-1])
 
-            for b in batches:
+            for b in slices(batches):
                 for c, i, j, part, f, v, n, x in zip(*(b.column(k).to_pylist() for k in ("c", "i", "j", "part", "f", "v", "n", "x")), strict=True):
                     if (c, i, j, f) != key:
                         done()
@@ -402,7 +402,7 @@ class NgramJoin:
                 u, w, nu, nw = map(np.array, sets)
                 return strip_links(u, w, nu, nw, common.reshape(len(u), len(w)), num, den)
 
-            for b in batches:
+            for b in slices(batches):
                 out = []
                 for c, i, j, s, f, *whose, x in zip(*(b.column(k).to_pylist() for k in names), strict=True):
                     if (c, i, j, s) != key:
