@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.text import squeeze
+from ..functions.text import split_items, squeeze
 from ..operators import quality as Q
 from ..session import table
 from .registry import query
@@ -179,24 +179,31 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PLANTED = ("=SUM(A1)", "# REF!", "소 계", "1200원", "-", "부식물 단가", "※물량공급이어려울시 동일식군내대체가능.")
+BRACKETED = "밥(흰,잡곡)/국[소/무,파]"
 KINDS_OF = ("formula_literal", "excel_error", "subtotal", "price", "placeholder", "cost_metadata", "instruction_note")
 
 
 @query("""
-    WITH p AS (SELECT doc_id, text || '/' || coalesce([""" + ", ".join(f"'{x}'" for x in PLANTED) + """][doc_id % 9 + 1], 'x') AS text FROM documents),
-         t AS (SELECT doc_id, unnest(string_split_regex(text, '[\n\r/,]')) AS token FROM p), c AS (SELECT doc_id, trim(token, ' ·•' || chr(9)) AS token FROM t)
+    WITH p AS (SELECT doc_id, coalesce(text, '') || '/' || coalesce([""" + ", ".join(f"'{x}'" for x in (*PLANTED, BRACKETED)) + """][doc_id % 9 + 1], 'x') AS text FROM documents),
+         h AS (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(length(text))) AS i FROM p WHERE regexp_matches(text, '[\\[(（]')),
+         s AS (SELECT *, sum(CASE WHEN ch IN ('[', '(', '（') THEN 1 WHEN ch IN (']', ')', '）') THEN -1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM h),
+         d AS (SELECT *, s = least(0, min(s) OVER (PARTITION BY doc_id ORDER BY i)) AND ch IN (chr(10), chr(13), '/', ',', '，') AS cut FROM s),
+         k AS (SELECT *, count(*) FILTER (cut) OVER (PARTITION BY doc_id ORDER BY i) AS part FROM d),
+         t AS (SELECT doc_id, unnest(string_split_regex(text, '[\n\r/,，]')) AS token FROM p WHERE NOT regexp_matches(text, '[\\[(（]')
+           UNION ALL SELECT doc_id, string_agg(ch, '' ORDER BY i) FILTER (NOT cut) FROM k GROUP BY doc_id, part), c AS (SELECT doc_id, trim(token, ' ·•' || chr(9)) AS token FROM t)
     SELECT category, count(*) AS n, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, CASE
       WHEN ltrim(token) LIKE '=%' THEN 'formula_literal' """ + " ".join(f"WHEN token = '{x}' THEN '{k}'" for x, k in zip(PLANTED[1:4] + PLANTED[5:], KINDS_OF[1:4] + KINDS_OF[5:], strict=True)) + r"""
-      WHEN regexp_full_match(regexp_replace(token, '\s', '', 'g'), '0+(?:\.0+)?|-') THEN 'placeholder' ELSE 'item' END AS category
+      WHEN regexp_full_match(regexp_replace(token, '\s', '', 'g'), '0+(?:\.0+)?|-') THEN 'placeholder' WHEN regexp_matches(token, '[\[(（].*[/,，]') THEN 'item_with_list' ELSE 'item' END AS category
       FROM c WHERE token <> '') GROUP BY 1
 """)
 def token_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of all texts by category, with one of all seven planted. Brackets don't occur around separators here, so a plain split is the oracle."""
-    planted = F.coalesce(F.get(F.array(*map(F.lit, PLANTED)), (F.col("doc_id") % 9).cast("int")), F.lit("x"))
-    text = F.regexp_replace(F.concat("text", F.lit("/"), planted), r"[\[\]（）]", "")
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(text, r"[\n\r/,]")).alias("raw"))
-    tokens = rows.select("doc_id", F.btrim("raw", F.lit(" ·•\t")).alias("token")).filter("token <> ''").withColumn("squeezed", squeeze(F.col("token")))
-    kind = F.coalesce(R.token_category(F.col("token"), F.col("squeezed")), F.lit("item"))
+    """Tokens of all texts by category, with one of all seven planted, or an item with lists in brackets, which stays whole."""
+    planted = F.coalesce(F.get(F.array(*map(F.lit, (*PLANTED, BRACKETED))), (F.col("doc_id") % 9).cast("int")), F.lit("x"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit("/"), planted)
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(split_items(text)).alias("token"))
+    tokens = rows.withColumn("squeezed", squeeze(F.col("token")))
+    plain = F.when(F.col("token").rlike(r"(?s)[\[(（].*[/,，]"), "item_with_list").otherwise("item")
+    kind = F.coalesce(R.token_category(F.col("token"), F.col("squeezed")), plain)
     return tokens.groupBy(kind.alias("category")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("documents"))
 
 
