@@ -49,7 +49,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 IMPLIED = frozenset("p li dt dd tr td th option tbody thead tfoot".split())
 OUT = frozenset("head nav footer aside form menu dialog button select fieldset".split())
 MAIN = frozenset(("article", "main"))
-#: A class, id or role is excluded if all its words are in one of these lists, one of them not in the second.
+#: A class, id or role is excluded if all its words are in one of these lists, one of them not in the second; and as below.
 OUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner sidebar widget related recommended cookie cookies consent gdpr notice "
     "notices popup modal overlay newsletter subscribe subscription signup login comment comments respond disqus breadcrumb breadcrumbs menu menus nav navbar "
@@ -58,6 +58,17 @@ OUT_WORDS = frozenset(
 PLAIN_WORDS = frozenset("area bar block body bottom box container content global group header holder inner item items left list main outer page panel posts right row section site slot text top unit wrap wrapper".split())
 #: Only outside a main region: inside one, these are parts of the article or its subject.
 HEADER_WORDS = frozenset("header masthead topbar banner share sharing social search form alert".split())
+#: A name that ends with one of these, or begins with one of the second list, is excluded whatever else it says ("post-comments",
+#: "google-ads", "disqus_thread"), but for names that tell of something elsewhere ("has-sidebar").
+LAST_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion sidebar related recommended cookie cookies consent gdpr popup modal newsletter subscribe "
+    "subscription signup login comment comments respond disqus breadcrumb breadcrumbs nav navbar navigation footer pagination pager copyright".split()
+)
+FIRST_WORDS = frozenset("disqus advert advertisement sponsored cookie cookies gdpr newsletter comments breadcrumb breadcrumbs pagination".split())
+ELSEWHERE = frozenset("has have with without no not is hide show before after above below near".split())
+#: Names of nothing but these are buttons for sharing, inside a main region too.
+SHARE_WORDS = frozenset("share shares sharing social".split())
+SHARE_MORE = frozenset("button buttons link links icon icons bar list tools widget follow this post article page top bottom inline sticky".split())
 WORD = re.compile(r"[a-z]{2,}")
 #: A page with a body of its own has so many lines, and one part in so many of its text, that no other page of its host has.
 OWN_LINES, OWN_PART = 2, 4
@@ -126,8 +137,14 @@ def attributes(text: str) -> tuple[set[str], bool, bool]:
         elif name in ("class", "id", "role"):
             for token in value.split():
                 parts = WORD.findall(token)
-                if parts and all(x in OUT_WORDS or x in PLAIN_WORDS or x in HEADER_WORDS for x in parts):
+                if not parts:
+                    continue
+                if all(x in OUT_WORDS or x in PLAIN_WORDS or x in HEADER_WORDS for x in parts):
                     words.update(x for x in parts if x in OUT_WORDS or x in HEADER_WORDS)
+                elif (parts[-1] in LAST_WORDS or parts[0] in FIRST_WORDS) and ELSEWHERE.isdisjoint(parts):
+                    words.add(parts[-1] if parts[-1] in LAST_WORDS else parts[0])
+                if not SHARE_WORDS.isdisjoint(parts) and all(x in SHARE_WORDS or x in SHARE_MORE or x in PLAIN_WORDS for x in parts) and not {"share", "shares", "sharing"}.isdisjoint(parts):
+                    words.add("sharing buttons")
             main = main or name == "role" and value.strip() == "main"
     return words, hidden, main
 
@@ -137,6 +154,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
     out: list[Line] = []
     held: list[str] = []
     main: list[str] = []  # open main regions, by name
+    regions: Counter = Counter()  # how many of each name
     opened: Counter = Counter()  # open elements outside excluded ones
     within: Counter = Counter()  # open elements inside the excluded one
     skip, marked, at = "", False, 0
@@ -182,9 +200,10 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             close()
         if closing:
             opened[name] -= opened[name] > 0
-            if name in MAIN and name in main:
-                while main.pop() != name:
-                    pass
+            if name in MAIN and regions[name]:
+                while (last := main.pop()) != name:
+                    regions[last] -= 1
+                regions[name] -= 1
             elif main and name == main[-1].partition(" ")[2]:
                 at -= 1
                 if not at:
@@ -193,7 +212,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         if name in VOID:
             continue
         words, hidden, role = attributes(attrs) if attrs else (set(), False, False)
-        bad = name in OUT or hidden or words & OUT_WORDS or not main and (name == "header" or words & HEADER_WORDS)
+        bad = name in OUT or hidden or words & OUT_WORDS or "sharing buttons" in words or not main and (name == "header" or words & HEADER_WORDS)
         if bad and name not in ("html", "body", *MAIN):
             skip = name
             within.clear()
@@ -201,6 +220,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         opened[name] += 1
         if name in MAIN:
             main.append(name)
+            regions[name] += 1
             marked = True
         elif role and not main:
             main.append(f"role {name}")

@@ -309,6 +309,22 @@ def test_html_markup(text, want):
     assert X.page_lines(text)[0] == want
 
 
+@pytest.mark.parametrize("attribute", ['class="post-comments"', 'class="reader-comments"', 'id="user-comments"', 'id="disqus_thread"', 'class="x google-ads"', 'class="share-buttons"', 'class="social-share"', 'class="article-footer"'])
+def test_html_names_inside_articles(attribute):
+    assert X.page_lines(f"<article><p>text</p><div {attribute}><p>not text</p></div><p>more</p></article>")[0] == ["text", "more"]
+
+
+@pytest.mark.parametrize("attribute", ['class="has-sidebar"', 'class="page-without-ads"', 'class="post-content"', 'class="social-history"', 'id="share-price"', 'class="lunch-menu"', 'class="legal-notice-text"'])
+def test_html_names_of_content(attribute):
+    assert X.page_lines(f"<article><div {attribute}><p>text</p></div></article>")[0] == ["text"]
+
+
+def test_html_nested_regions_take_linear_time():
+    began = time.time()
+    assert X.page_lines("<article>" * 100_000 + "x" + "</main></article>" * 100_000)[0] == ["x"]
+    assert time.time() - began < 10
+
+
 def test_html_broken_pages_take_linear_time():
     for page in ("<a " + '"' * 200_000, '<a ">" ' * 50_000, "<a " * 100_000, '<a title="' * 50_000 + ">", "<script>" * 50_000 + "</script " * 50_000, "<div class=ad>" * 100_000, "<!-- " * 100_000):
         began = time.time()
