@@ -193,10 +193,11 @@ class Repeats:
         """key, digest, doc, place, tag: segments whose minimizer stands more than once in the corpus."""
         parts = cut(self.segments(), "suffix-segments")
         each = parts.select(F.explode("keys").alias("key"))
-        twice = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+        # written, so that the join can split a hot minimizer and no other shuffle is there beside its own
+        twice = cut(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "suffix-twice")
         rows = parts.select("doc", "tag", F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("digests").alias("digest"), F.col("places").alias("place"))).alias("x"))
-        found = cut(rows.select("x.key", "x.digest", "doc", "x.place", "tag").join(twice, "key"), "suffix-candidates")
-        release(parts)
+        found = cut(rows.select("x.key", "x.digest", "doc", "x.place", "tag").join(twice.hint("merge"), "key"), "suffix-candidates")
+        release(parts, twice)
         return found
 
     def marks(self) -> DataFrame:
