@@ -103,11 +103,6 @@ def absolute_url(link: Column, base: Column) -> Column:
     return F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link).when(link.startswith("/"), F.concat(root, link)).otherwise(F.concat(folder, link))
 
 
-def safe_url(c: Column) -> Column:
-    """http(s) URLs only; local paths and anything else become null."""
-    return F.when(F.trim(c).rlike(r"^https?://[^\s/]+"), F.trim(c))
-
-
 def link_id(c: Column, keys: tuple[str, ...] = ("id", "no", "seq")) -> Column:
     """Id of a link: a call's first number, else a query key, else the last number of the path."""
     ways = [F.regexp_extract(c, r"\w+\(\s*'?(\d+)", 1)]

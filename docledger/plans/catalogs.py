@@ -91,6 +91,14 @@ def alias_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.resolve(s, aliases, alias_key(F.col("name"))).select("s_suppkey", "resolved")
 
 
+@query("SELECT lower(regexp_replace(c_mktsegment, '[ ._-]', '', 'g')) AS alias, count(DISTINCT c_nationkey) AS n_ids FROM customer GROUP BY 1 HAVING n_ids > 1")
+def alias_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments in two spellings as aliases of nations: those that lead to more than one nation can't resolve anything."""
+    c = table(spark, sf_dir, "customer")
+    spelled = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("["), F.lower("c_mktsegment"), F.lit("]"))).otherwise(F.concat(F.lit(" "), F.col("c_mktsegment")))
+    return C.ambiguous_aliases(c.select(alias_key(spelled).alias("alias"), F.col("c_nationkey").alias("id")), "alias", "id")
+
+
 @query("SELECT c_custkey, IF(c_custkey % 5 = 0, NULL, c_nationkey) AS resolved FROM customer")
 def bracket_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles '[nobody] [NATION_x] ...': the first bracket that an alias resolves."""

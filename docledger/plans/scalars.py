@@ -110,6 +110,17 @@ def text_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", ym["year"].alias("year"), ym["month"].alias("month"), loose.cast("string").alias("loose"))
 
 
+@query("""
+    SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_orderdate::DATE WHEN 1 THEN make_date(2024, month(o_orderdate), least(day(o_orderdate), 28)) WHEN 2 THEN make_date(2024, 5, day(o_orderdate)) END::VARCHAR AS day FROM orders
+""")
+def cell_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of cells that hold a whole date, a month and a day, a day, or none; in a sheet of May 2024."""
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 4
+    short = F.concat_ws("/", F.month(d), F.least(F.dayofmonth(d), F.lit(28)))
+    text = F.when(k == 0, F.date_format(d, "yyyy. M. d")).when(k == 1, short).when(k == 2, F.concat(F.dayofmonth(d).cast("string"), F.lit("일"))).otherwise("menu")
+    return table(spark, sf_dir, "orders").select("o_orderkey", D.cell_date(text, F.lit(2024), F.lit(5)).cast("string").alias("day"))
+
+
 @query("""
     SELECT o_orderkey, CASE WHEN o_orderkey % 40 BETWEEN 1 AND 29 THEN make_date(2024, 2, (o_orderkey % 40)::INT)::VARCHAR WHEN o_orderkey % 40 = 0 OR o_orderkey % 40 BETWEEN 30 AND 39 THEN NULL END AS small,
       (DATE '1899-12-30' + (60 + o_orderkey % 50000)::INT)::VARCHAR AS serial FROM orders
