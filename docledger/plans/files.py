@@ -88,14 +88,14 @@ def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.links(table(spark, sf_dir, "pages")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"), F.countDistinct("href").alias("n_distinct"))
 
 
-@query("SELECT s_suppkey, '0' || (s_suppkey % 9 + 1) || '-' || ((s_suppkey // 10000) % 9877 + 123) || '-' || lpad((s_suppkey % 10000)::VARCHAR, 4, '0') AS phone, lpad(((s_suppkey * 7) % 100000)::VARCHAR, 5, '0') AS postal_code, s_name AS name FROM supplier")
+@query("SELECT s_suppkey, '0' || (s_suppkey % 9 + 1) || '-' || ((s_suppkey // 10000) % 9877 + 123) || '-' || lpad((s_suppkey % 10000)::VARCHAR, 4, '0') AS phone, lpad((s_suppkey * 7)::VARCHAR, 5, '0') AS postal_code, s_name AS name FROM supplier")
 def html_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as pages with a directory table, read back. Keys above four digits go on in the middle group of the phone number."""
     s, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey").cast("long")
     cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
     middle = F.floor(k / 10000) % 9877 + 123
     phone = F.concat(F.lit("0"), (k % 9 + 1).cast("string"), F.lit("-"), middle.cast("string"), F.lit("-"), F.lpad((k % 10000).cast("string"), 4, "0"))
-    row = F.concat(F.lit("<table><tr><th>"), "s_name", F.lit("</th>"), cell(F.lit("addr &amp; more")), cell(F.lpad((k * 7 % 100000).cast("string"), 5, "0")), cell(phone), F.lit("</tr></table>"))
+    row = F.concat(F.lit("<table><tr><th>"), "s_name", F.lit("</th>"), cell(F.lit("addr &amp; more")), cell(F.lpad((k * 7).cast("string"), 5, "0")), cell(phone), F.lit("</tr></table>"))
     rows = H.table_rows(s.select(F.col("s_suppkey").alias("page_id"), row.alias("html")))
     return H.directory(rows).select(F.col("page_id").alias("s_suppkey"), "phone", "postal_code", "name")
 
