@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import codes
+from ..functions.text import bound
 
 # Two coarse boxes of the country (south, north, west, east).
 COUNTRY = ((34.0, 38.65, 125.0, 129.65), (33.1, 33.65, 126.1, 127.0))
@@ -77,36 +78,37 @@ def physical_address(c: Column) -> Column:
     """An address through its road and number: no parentheses, postal codes or mail boxes."""
     x = F.regexp_replace(F.regexp_replace(c, ASIDES[0], " "), ASIDES[1], " ")
     x = F.regexp_replace(F.regexp_replace(x, SPLIT_ROAD, "$1$2"), POSTAL, "")
-    road = F.regexp_extract(x, THROUGH_ROAD, 1)
-    return F.trim(F.regexp_replace(F.when(road != "", road).otherwise(x), r"\s+", " "))
+    through = lambda x: bound(F.regexp_extract(x, THROUGH_ROAD, 1), lambda road: F.when(road != "", road).otherwise(x))
+    return F.trim(F.regexp_replace(bound(x, through), r"\s+", " "))
 
 
 def province(c: Column) -> Column:
-    first = F.regexp_extract(F.trim(c), r"^(\S+)", 1)
-    out = F.lit(None).cast("string")
-    for name, words in PROVINCES.items():
-        out = F.when(first.isin(*words), F.lit(name)).otherwise(out)
+    names = F.create_map(*[F.lit(x) for name, words in PROVINCES.items() for w in words for x in (w, name)])
     merged = F.when(c.rlike(MERGED_CITY), "광주").otherwise("전남")
-    return F.when(first == MERGED, merged).otherwise(out)
+    return bound(F.regexp_extract(F.trim(c), r"^(\S+)", 1), lambda first: F.when(first == MERGED, merged).otherwise(names[first]))
 
 
 def road(c: Column) -> Column:
     """Road and number of a physical address without spaces, or null."""
-    x = physical_address(c)
-    name, number = F.regexp_extract(x, ROAD, 1), F.regexp_extract(x, ROAD, 2)
-    return F.when(name != "", F.concat(name, F.lit(" "), number))
+
+    def named(x: Column) -> Column:
+        name, number = F.regexp_extract(x, ROAD, 1), F.regexp_extract(x, ROAD, 2)
+        return F.when(name != "", F.concat(name, F.lit(" "), number))
+
+    return bound(physical_address(c), named)
 
 
 def road_matches(expected: Column, returned: Column) -> Column:
-    """Whether an address names the expected road and number; white space inside the name doesn't count.
+    """Whether an address names the expected road and number; white space inside the name doesn't count."""
+    return bound(physical_address(expected), lambda x: _names_road(x, physical_address(returned)))
 
-    The pattern is made from the expected road, a row at a time, in the JVM.
-    """
-    x = physical_address(expected)
-    name, number = F.regexp_extract(x, ROAD, 1), F.regexp_extract(x, ROAD, 2)
+
+def _names_road(own: Column, other: Column) -> Column:
+    """road_matches() of physical addresses. The pattern is made from the expected road, a row at a time, in the JVM."""
+    name, number = F.regexp_extract(own, ROAD, 1), F.regexp_extract(own, ROAD, 2)
     letters = F.array_join(F.filter(F.split(name, ""), lambda c: c != ""), r"\s*")
     pattern = F.concat(F.lit("(?<![가-힣0-9])"), letters, F.lit(r"\s*"), number, F.lit(r"(?![\d-])"))
-    return (name != "") & F.regexp_like(physical_address(returned), pattern)
+    return (name != "") & F.regexp_like(other, pattern)
 
 
 def _region_issue(lat: Column, lon: Column, region: Column) -> Column:
@@ -119,28 +121,33 @@ def _region_issue(lat: Column, lon: Column, region: Column) -> Column:
 def location_issues(address: Column, lat: Column, lon: Column, returned: Column, precision: Column, official: Column, identity: Column) -> Column:
     """Sorted issue codes of a candidate point for an address: none of nine for a point that passes.
 
-    lat and lon: numbers or texts. Province, road and number, towns and districts of both addresses must agree.
+    lat and lon: numbers or texts. Province, road and number, towns and districts of both addresses must agree. Both addresses
+    and the province are made once a row, however many tests use them.
     """
     y, x = lat.try_cast("double"), lon.try_cast("double")
-    own, other = physical_address(address), physical_address(F.coalesce(returned, F.lit("")))
-    region = province(own)
     issue = coordinate_issue(y, x)
     states = [w for names in PROVINCES.values() for w in names] + [MERGED]
-    towns = F.array_except(F.regexp_extract_all(own, F.lit(TOWN), F.lit(1)), F.array(*map(F.lit, states)))
-    districts, found = (F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(DISTRICT), F.lit(1)))) for c in (own, other))
-    return codes(
-        {
-            "INVALID_COORDINATE_RANGE": issue == "INVALID_COORDINATE_RANGE",
-            "OUTSIDE_KOREA_OR_OFFSHORE": issue == "OUTSIDE_KOREA_OR_OFFSHORE",
-            "ADMINISTRATIVE_AREA_MISMATCH": ~region.eqNullSafe(province(other)) | region.isNull(),
-            "ROAD_ADDRESS_MISMATCH": ~F.coalesce(road_matches(address, F.coalesce(returned, F.lit(""))), F.lit(False)),
-            "MUNICIPALITY_MISMATCH": F.size(F.array_except(towns, F.regexp_extract_all(other, F.lit(TOWN), F.lit(1)))) > 0,
-            "DISTRICT_MISMATCH": (F.size(districts) > 0) & (districts != found),
-            "COORDINATE_REGION_MISMATCH": F.coalesce(_region_issue(y, x, region), F.lit(False)),
-            "INSUFFICIENT_PRECISION": ~F.coalesce(precision == EXACT, F.lit(False)),
-            "OFFICIAL_INSTITUTION_IDENTITY_MISMATCH": F.coalesce(official, F.lit(False)) & ~F.coalesce(identity, F.lit(False)),
-        }
-    )
+    exact, identified = F.coalesce(precision == EXACT, F.lit(False)), F.coalesce(identity, F.lit(False))
+
+    def judged(own: Column, other: Column, region: Column) -> Column:
+        towns = F.array_except(F.regexp_extract_all(own, F.lit(TOWN), F.lit(1)), F.array(*map(F.lit, states)))
+        districts, found = (F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(DISTRICT), F.lit(1)))) for c in (own, other))
+        return codes(
+            {
+                "INVALID_COORDINATE_RANGE": issue == "INVALID_COORDINATE_RANGE",
+                "OUTSIDE_KOREA_OR_OFFSHORE": issue == "OUTSIDE_KOREA_OR_OFFSHORE",
+                "ADMINISTRATIVE_AREA_MISMATCH": ~region.eqNullSafe(province(other)) | region.isNull(),
+                "ROAD_ADDRESS_MISMATCH": ~F.coalesce(_names_road(own, other), F.lit(False)),
+                "MUNICIPALITY_MISMATCH": F.size(F.array_except(towns, F.regexp_extract_all(other, F.lit(TOWN), F.lit(1)))) > 0,
+                "DISTRICT_MISMATCH": (F.size(districts) > 0) & (districts != found),
+                "COORDINATE_REGION_MISMATCH": F.coalesce(_region_issue(y, x, region), F.lit(False)),
+                "INSUFFICIENT_PRECISION": ~exact,
+                "OFFICIAL_INSTITUTION_IDENTITY_MISMATCH": F.coalesce(official, F.lit(False)) & ~identified,
+            }
+        )
+
+    other = physical_address(F.coalesce(returned, F.lit("")))
+    return bound(physical_address(address), lambda a: bound(other, lambda b: bound(province(a), lambda r: judged(a, b, r))))
 
 
 def attach_candidates(rows: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
@@ -151,7 +158,7 @@ def attach_candidates(rows: DataFrame, candidates: DataFrame, key: str) -> DataF
     """
     names = [c for c in candidates.columns if c != key]
     per = candidates.groupBy(key).agg(F.count(F.lit(1)).alias("n_candidates"), F.any_value(F.struct(*names)).alias("__c"))
-    joined = rows.join(per, key, "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0).cast("long")))
+    joined = rows.hint("merge").join(per, key, "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0).cast("long")))
     one = F.col("n_candidates") == 1
     c = {n: F.when(one, F.col(f"__c.{n}")) for n in names}
     issues = location_issues(F.col("address"), c["latitude"], c["longitude"], c["returned_address"], c["precision"], c["official"], c["identity"])

@@ -142,7 +142,7 @@ def _places(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def location_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine issue codes of candidate points."""
     rows, candidates = _places(spark, sf_dir)
-    c = rows.join(candidates, "k")
+    c = rows.hint("merge").join(candidates, "k")
     issues = G.location_issues(*[F.col(x) for x in ("address", "latitude", "longitude", "returned_address", "precision", "official", "identity")])
     return c.select("k", F.array_join(issues, ",").alias("issues")).withColumn("status", F.when(F.col("issues") == "", "PASS").otherwise("REVIEW"))
 
