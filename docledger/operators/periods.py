@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.rules import codes
 
 # Patterns of periods in title rows and of months in file names; years that are believed.
-PERIOD = r"(20\d{2})\s*년?\s*[./-]?\s*(1[0-2]|0?[1-9])\s*월?"
+# Year and month without anything between or behind them count at the start of a word only, not inside a number, a path or a joined item.
+BARE = r"(?:(?=20\d{2}[\s년./-])|(?=20\d{2}(?:1[0-2]|0?[1-9])\s*월)|(?<![^\s\p{L}(\[（【~_-]))"
+PERIOD = BARE + r"(20\d{2})\s*년?\s*[./-]?\s*(1[0-2]|0?[1-9])\s*월?"
 ISO_DAY = r"20\d{2}-\d{2}-\d{2}(?:T.*)?"
 FILE_MONTH = r"(?<!\d)(1[0-2]|0?[1-9])\s*월"
 YEARS = (2010, 2035)
@@ -40,7 +42,7 @@ def resolve_period(samples: DataFrame, evidence: DataFrame) -> DataFrame:
     counts = evidence.groupBy("document_id", "year", "month").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("first"))
     rank = F.struct((-F.col("n")).alias("n"), "first")
     named = counts.groupBy("document_id").agg(F.min_by(F.struct("year", "month"), rank).alias("mode"), F.collect_set(F.struct("year", "month")).alias("named"))
-    s = samples.join(named, "document_id", "left")
+    s = samples.hint("merge").join(named, "document_id", "left")
     number = lambda c: F.nullif(F.col(c).cast("int"), F.lit(0))
     year0, month0 = number("meal_year"), number("meal_month")
     given = year0.isNotNull() & month0.isNotNull()

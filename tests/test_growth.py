@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from docledger.operators import geo
+from docledger.operators import geo, periods
+from docledger.plans import QUERIES
 
 
 def plan(df):
@@ -16,3 +17,21 @@ def test_addresses_are_made_once_a_row(spark):
     spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
     assert plan(df.select(issues)).count("우편번호") <= 4  # both addresses; 330 of each before
     assert df.select(issues.alias("x")).first()["x"] == []
+
+
+def test_bare_digits_in_a_number_or_path_name_no_period(spark):
+    texts = ["x0·20162", "rice/20245", "Supplier#000020113", "x0·201601", "202405", "식단 20245", "(202404)", "x/2024.5", "m·20246월", "2024년 7월 20258"]
+    cells = spark.createDataFrame([(str(i), "s", 1, 1, t) for i, t in enumerate(texts)], "document_id string, sheet string, row int, column int, text string")
+    got = sorted((int(r["document_id"]), r["year"], r["month"]) for r in periods.period_evidence(cells).collect())
+    assert got == [(4, 2024, 5), (5, 2024, 5), (6, 2024, 4), (7, 2024, 5), (8, 2024, 6), (9, 2024, 7), (9, 2025, 8)]
+
+
+def test_period_resolution_of_later_keys(spark, tmp_path):
+    keys = (20162, 20258, 20282, 201601, 19164)
+    spark.createDataFrame([(k, f"Supplier#{k:09d}", 1) for k in keys], "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = {int(r["document_id"]): (r["year"], r["month"], r["evidence"]) for r in QUERIES["period_resolution"](spark, str(tmp_path)).collect()}
+    metadata = "historical metadata year/month"
+    # remainders by 7: 2 (metadata of April 2023), 0, 3 (file name and publication), 1 (inferred year), 5 (a title, file name, publication)
+    assert got[20162] == (2023, 4, metadata) and got[20258] == (2024, 5, metadata) and got[20282] == (2025, 11, "filename month;publication year")
+    assert got[201601] == (2024, 5, metadata + ";publication fallback not confirmed")
+    assert got[19164][:2] == (2024, 5)
