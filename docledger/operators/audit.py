@@ -73,7 +73,7 @@ def sheet_profile(cells: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     for w in keywords:
         found = found + F.max(F.col("text").contains(w).cast("int"))
     per = c.groupBy(*SHEET).agg(F.count(F.lit(1)).alias("n_cells"), F.count_if("formula").alias("n_formulas"), F.count_if(number).alias("n_numbers"), found.cast("long").alias("n_keywords"))
-    return used_range(cells).join(per, SHEET)
+    return used_range(cells).hint("merge").join(per, SHEET)
 
 
 def top_values(df: DataFrame, keys: list[str], value: str, n: int = 12) -> DataFrame:
@@ -91,7 +91,7 @@ def sheet_features(cells: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     c = complete(cells)
     found = F.array_sort(F.array_compact(F.array(*[F.when(F.bool_or(F.col("text").contains(w)), F.lit(w)) for w in keywords])))
     per = c.groupBy(*SHEET).agg(F.count_if(F.col("bottom").isNotNull()).alias("merges"), F.array_join(found, ",").alias("keywords"))
-    shaped = used_range(cells).join(per, SHEET)
+    shaped = used_range(cells).hint("merge").join(per, SHEET)
     one = F.concat_ws("|", sheet_key(F.col("sheet")), F.concat_ws("x", "rows", "columns"), F.concat(F.lit("m"), F.col("merges").cast("string")), "keywords")
     sheets = shaped.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("sheet", one.alias("x")))).alias("s"))
     return sheets.select("document_id", F.concat_ws(";", F.concat(F.lit("n"), F.size("s").cast("string")), F.array_join(F.col("s.x"), ";")).alias("features"))

@@ -3,6 +3,9 @@
 Cells: document_id, sheet, row, column, text, one row each. More columns tell of merges and formulas where there are any:
 child (covered by another cell's merge), bottom and right (end of the cell's own merge), parent_text (text of the merge that covers
 it), formula, resolved (its cached value is good), error. complete() gives their defaults.
+
+Cells and what is made of them repeat much, so that they are far smaller as files than as rows: a broadcast that Spark chooses by the
+size of files can outgrow the driver. Joins of a row per sheet or more are therefore merges, on both sides spread over tasks.
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ def effective_text(cells: DataFrame, keys: list[str], at: str, text: str, parent
     on = (cells[parent] == p["__at"]) & F.expr("true")
     for k in keys:
         on = on & (cells[k] == p[f"__{k}"])
-    return cells.join(p, on, "left").withColumn("effective", F.coalesce(F.nullif(F.col(text), F.lit("")), F.col("__text")))
+    return cells.hint("merge").join(p, on, "left").withColumn("effective", F.coalesce(F.nullif(F.col(text), F.lit("")), F.col("__text")))
 
 
 #: Rows and columns of a tile of a sheet.
@@ -80,7 +83,7 @@ def covered_by(cells: DataFrame, merges: DataFrame) -> DataFrame:
     own = cells.withColumns({"__tile_row": F.floor(F.col("row") / TILE[0]), "__tile_column": F.floor(F.col("column") / TILE[1])})
     on = (own["document_id"] == m["__document_id"]) & (own["sheet"] == m["__sheet"]) & (own["__tile_row"] == m["__down"]) & (own["__tile_column"] == m["__across"])
     on = on & own["row"].between(m["top"], m["bottom"]) & own["column"].between(m["left"], m["right"])
-    return own.join(m, on, "left").drop("__document_id", "__sheet", "__down", "__across", "__tile_row", "__tile_column")
+    return own.hint("merge").join(m, on, "left").drop("__document_id", "__sheet", "__down", "__across", "__tile_row", "__tile_column")
 
 
 def with_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:
@@ -89,7 +92,7 @@ def with_merges(cells: DataFrame, merges: DataFrame) -> DataFrame:
     own = cells.select(*[F.col(k).alias(f"__{k}") for k in SHEET], F.struct("row", "column").alias("__at"), F.col("text").alias("parent_text"))
     c = covered_by(cells, ranges)
     head = (F.col("row") == F.col("top")) & (F.col("column") == F.col("left"))
-    c = c.join(own, (c["document_id"] == own["__document_id"]) & (c["sheet"] == own["__sheet"]) & (c["parent"] == own["__at"]), "left")
+    c = c.hint("merge").join(own, (c["document_id"] == own["__document_id"]) & (c["sheet"] == own["__sheet"]) & (c["parent"] == own["__at"]), "left")
     out = c.withColumns({
         "child": F.coalesce(~head, F.lit(False)), "bottom": F.when(head, F.col("bottom")), "right": F.when(head, F.col("right")), "parent_text": F.when(~head, F.col("parent_text")),
     })
@@ -116,13 +119,13 @@ def body_ends(cells: DataFrame, starts: DataFrame, notes: bool = False) -> DataF
     """
     c = complete(cells)
     last = used_range(c).select(*SHEET, F.col("max_row").alias("__last"))
-    rows = c.join(starts.select(*SHEET, "start", "first_meal"), SHEET).filter((F.col("text") != "") & (F.col("row") > F.col("start")) & (F.col("column") < F.col("first_meal")))
+    rows = c.hint("merge").join(starts.select(*SHEET, "start", "first_meal"), SHEET).filter((F.col("text") != "") & (F.col("row") > F.col("start")) & (F.col("column") < F.col("first_meal")))
     footer = ~F.col("child") & ((F.coalesce(F.col("right") >= F.col("first_meal"), F.lit(False))) | token_category(F.col("text")).isin("instruction_note", "cost_metadata"))
     if notes:
         for n in NOTES:
             footer = footer | F.col("text").startswith(n)
     first = rows.filter(footer).groupBy(*SHEET, "start").agg((F.min("row") - 1).alias("__foot"))
-    out = starts.join(last, SHEET).join(first, [*SHEET, "start"], "left")
+    out = starts.hint("merge").join(last, SHEET).hint("merge").join(first, [*SHEET, "start"], "left")
     return out.withColumn("body_end", F.coalesce(F.least("__foot", "__last"), F.col("__last"))).drop("__foot", "__last")
 
 
@@ -136,26 +139,26 @@ def layout(cells: DataFrame) -> DataFrame:
     c = complete(cells)
     heads = headers(c).withColumns({"first_meal": F.least(*[F.col(f"columns.{m}") for m in MEALS]), "start": F.col("header_row")})
     tops = body_ends(c, heads)
-    left = _named(c).join(tops.select(*SHEET, "header_row", "body_end", "first_meal"), SHEET)
+    left = _named(c).hint("merge").join(tops.select(*SHEET, "header_row", "body_end", "first_meal"), SHEET)
     left = left.filter("row > header_row AND row <= body_end AND `column` < first_meal").withColumns({"is_day": (F.size(days_in_text(F.col("text"))) > 0) & ~F.col("formula"), "weekday": weekday_of(F.col("text"))})
     at = F.when(F.col("weekday").isNotNull(), F.col("row"))
     counted = left.groupBy(*SHEET).agg(
         F.count_if("is_day").alias("n_days"), F.count("weekday").alias("n_anchors"), F.countDistinct("weekday").alias("n_weekdays"), (F.max(at) - F.min(at)).alias("span")
     )
-    out = tops.join(counted, SHEET, "left").fillna(0, ["n_days", "n_anchors", "n_weekdays"])
+    out = tops.hint("merge").join(counted, SHEET, "left").fillna(0, ["n_days", "n_anchors", "n_weekdays"])
     weekly = F.col("n_anchors").between(5, 7) & (F.col("n_weekdays") >= 5) & (F.coalesce("span", F.lit(0)) > 7)
     family = F.when((F.col("n_days") >= 5) & ~weekly, FAMILIES[0]).otherwise(FAMILIES[1])
     confidence = F.when((F.col("n_days") >= 5) | (F.col("n_anchors") >= 5), "high").otherwise("medium")
     none = F.lit(None).cast("struct<breakfast:int,lunch:int,dinner:int>")
     out = out.withColumns({"family": family, "confidence": confidence, "rows": none, "label_column": F.lit(None).cast("int")})
 
-    named = _named(c).withColumns({"meal": meal_of(F.col("text")), "weekday": weekday_of(F.col("text"))}).join(heads.select(*SHEET), SHEET, "left_anti")
+    named = _named(c).withColumns({"meal": meal_of(F.col("text")), "weekday": weekday_of(F.col("text"))}).hint("merge").join(heads.select(*SHEET), SHEET, "left_anti")
     labels = named.filter("meal IS NOT NULL").groupBy(*SHEET, "column").agg(
         F.min(F.struct("row", "column")).alias("first"), *[F.max(F.when(F.col("meal") == m, F.col("row"))).alias(m) for m in MEALS]
     )
     days = named.filter("weekday IS NOT NULL").groupBy(*SHEET).agg(F.collect_set("column").alias("days"))  # columns of a sheet
     right = F.size(F.filter("days", lambda x: x > F.col("column")))
-    across = labels.filter(" AND ".join(f"{m} IS NOT NULL" for m in MEALS)).join(days, SHEET).withColumn("n_weekdays", right.cast("long")).filter("n_weekdays >= 5")
+    across = labels.filter(" AND ".join(f"{m} IS NOT NULL" for m in MEALS)).hint("merge").join(days, SHEET).withColumn("n_weekdays", right.cast("long")).filter("n_weekdays >= 5")
     best = across.groupBy(*SHEET).agg(F.min_by(F.struct(F.struct(*MEALS).alias("rows"), F.col("column").alias("label_column"), "n_weekdays"), "first").alias("b")).select(*SHEET, "b.*")
     lower = best.withColumns({"family": F.lit(FAMILIES[2]), "confidence": F.lit("high"), "header_row": F.least(*[F.col(f"rows.{m}") for m in MEALS])})
     names = [*SHEET, "family", "confidence", "header_row", "columns", "body_end", "rows", "label_column", "n_days", "n_anchors", "n_weekdays", "span"]
@@ -168,7 +171,7 @@ def choose_sheets(sheets: DataFrame, position: str = "sheet") -> DataFrame:
     any_staff = staff | F.col("sheet").contains(STAFF_WORDS[1])
     tier = F.when(F.col("sheet").contains(INMATE_WORD) & ~staff, 0).when(~any_staff, 1).otherwise(2)
     best = sheets.groupBy("document_id").agg(F.min_by("sheet", F.struct(tier.alias("tier"), F.col(position).alias("at"))).alias("sheet"))
-    return sheets.join(best, SHEET, "left_semi")
+    return sheets.hint("merge").join(best, SHEET, "left_semi")
 
 
 def menu_cells(cells: DataFrame) -> DataFrame:
@@ -190,10 +193,10 @@ def _records(cells: DataFrame, blocks: DataFrame) -> DataFrame:
     Blocks without items have no record. source holds the coordinates of the cells, raw_text their lines.
     """
     keys = [*SHEET, "day", "meal", "weekday", "top", "bottom", "at"]
-    c = menu_cells(cells).select(*[F.col(k).alias(f"__{k}") for k in SHEET], "row", "column", F.trim("text").alias("text"))
+    c = menu_cells(cells).select(*[F.col(k).alias(f"__{k}") for k in SHEET], "row", "column", F.trim("text").alias("text"), menu_tokens(F.trim("text")).alias("tokens"))
     on = (blocks["document_id"] == c["__document_id"]) & (blocks["sheet"] == c["__sheet"]) & (blocks["at"] == c["column"]) & c["row"].between(blocks["top"], blocks["bottom"])
-    rows = blocks.join(c, on).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("row", "column", "text"))).alias("cells"))
-    items = F.flatten(F.transform("cells", lambda x: menu_tokens(x["text"])))
+    rows = blocks.hint("merge").join(c, on).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("row", "column", "text", "tokens"))).alias("cells"))
+    items = F.flatten(F.col("cells.tokens"))
     source = F.transform("cells", lambda x: a1(x["row"], x["column"]))
     return rows.select(*keys, items.alias("items"), F.array_join(F.col("cells.text"), "\n").alias("raw_text"), source.alias("source")).filter("size(items) > 0")
 
@@ -210,7 +213,7 @@ def _first_meal() -> Column:
 
 def day_columns(cells: DataFrame, sheets: DataFrame) -> DataFrame:
     """The column left of the meals with most day numbers below the header, the leftmost on a tie: day_column."""
-    left = complete(cells).join(sheets.select(*SHEET, "header_row", "columns"), SHEET).filter(F.col("row") > F.col("header_row")).filter(F.col("column") < _first_meal())
+    left = complete(cells).hint("merge").join(sheets.select(*SHEET, "header_row", "columns"), SHEET).filter(F.col("row") > F.col("header_row")).filter(F.col("column") < _first_meal())
     per = left.filter(F.size(days_in_text(F.col("text"))) > 0).groupBy(*SHEET, "column").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy(*SHEET).agg(F.min_by("column", F.struct((-F.col("n")).alias("a"), "column")).alias("day_column"), F.max("n").alias("n"))
 
@@ -219,12 +222,12 @@ def date_rows(cells: DataFrame, year: Column, month: Column, sheets: DataFrame |
     """Records of sheets with a day per row, or per merged rows. The weekday is the nearest one left of the day."""
     c = complete(cells)
     sheets = cut((layout(c) if sheets is None else sheets).filter(F.col("family") == FAMILIES[0]), "sheets")  # a row per sheet, used several times
-    best = sheets.join(day_columns(c, sheets), SHEET).select(*SHEET, "header_row", "body_end", "columns", "day_column")
-    inside = c.join(best, SHEET).filter("row > header_row AND row <= body_end AND `column` <= day_column")
+    best = sheets.hint("merge").join(day_columns(c, sheets), SHEET).select(*SHEET, "header_row", "body_end", "columns", "day_column")
+    inside = c.hint("merge").join(best, SHEET).filter("row > header_row AND row <= body_end AND `column` <= day_column")
     days = inside.filter("`column` = day_column AND NOT child").withColumn("days", days_in_text(F.col("text"))).filter("size(days) > 0")
     shown = F.when((F.col("text") == "") & F.col("child"), F.col("parent_text")).otherwise(F.col("text"))
     week = inside.filter("`column` < day_column").withColumn("w", weekday_of(shown)).filter("w IS NOT NULL").groupBy(*SHEET, "row").agg(F.max_by("w", "column").alias("weekday"))
-    rows = days.join(week, [*SHEET, "row"], "left").select(*SHEET, "columns", "weekday", F.col("row").alias("top"), F.coalesce("bottom", "row").alias("bottom"), F.explode("days").alias("d"))
+    rows = days.hint("merge").join(week, [*SHEET, "row"], "left").select(*SHEET, "columns", "weekday", F.col("row").alias("top"), F.coalesce("bottom", "row").alias("bottom"), F.explode("days").alias("d"))
     blocks = rows.withColumn("day", made_date(year, month, F.col("d"))).filter("day IS NOT NULL").drop("d")
     return _records(c, _by_meal(blocks))
 
@@ -237,22 +240,22 @@ def weekday_blocks(cells: DataFrame, year: Column, month: Column, sheets: DataFr
     c = complete(cells)
     sheets = cut((layout(c) if sheets is None else sheets).filter(F.col("family") == FAMILIES[1]), "sheets")
     facts = sheets.select(*SHEET, "header_row", "body_end", "columns", _first_meal().alias("first_meal"))
-    labels = c.join(facts, SHEET).filter("row > header_row AND `column` < first_meal AND NOT child")
+    labels = c.hint("merge").join(facts, SHEET).filter("row > header_row AND `column` < first_meal AND NOT child")
     anchors = labels.filter("row <= body_end").withColumn("weekday", weekday_of(F.col("text"))).filter("weekday IS NOT NULL").groupBy(*SHEET, "row").agg(F.min_by("weekday", "column").alias("weekday"))
-    first = anchors.groupBy(*SHEET).agg((F.min("row") - 1).alias("row")).join(facts.select(*SHEET, "columns"), SHEET)
-    above = menu_cells(c).join(first, [*SHEET, "row"]).filter(F.col("column").isin(*[F.col(f"columns.{m}") for m in MEALS]))
+    first = anchors.groupBy(*SHEET).agg((F.min("row") - 1).alias("row")).hint("merge").join(facts.select(*SHEET, "columns"), SHEET)
+    above = menu_cells(c).hint("merge").join(first, [*SHEET, "row"]).filter(F.col("column").isin(*[F.col(f"columns.{m}") for m in MEALS]))
     food = above.groupBy(*SHEET).agg(F.bool_or(~F.regexp_replace(F.trim("text"), " ", "").isin(*HEADINGS)).alias("shift"))
-    placed = anchors.join(food, SHEET, "left").join(facts.select(*SHEET, "header_row", "first_meal"), SHEET)
+    placed = anchors.hint("merge").join(food, SHEET, "left").hint("merge").join(facts.select(*SHEET, "header_row", "first_meal"), SHEET)
     shift = F.coalesce("shift", F.lit(False)) & (F.col("row") - 1 > F.col("header_row"))
     starts = placed.select(*SHEET, "first_meal", "weekday", (F.col("row") - shift.cast("int")).alias("start"))
     last = body_ends(c, starts.groupBy(*SHEET, "first_meal").agg(F.max("start").alias("start")), notes=True).select(*SHEET, F.col("body_end").alias("last_end"))
-    blocks = L.blocks(starts.join(last, SHEET), SHEET, "start", F.col("last_end")).select(*SHEET, F.col("start").alias("top"), F.col("block_end").alias("bottom"), "weekday")
+    blocks = L.blocks(starts.hint("merge").join(last, SHEET), SHEET, "start", F.col("last_end")).select(*SHEET, F.col("start").alias("top"), F.col("block_end").alias("bottom"), "weekday")
     numbers = labels.filter("NOT formula").select(*[F.col(k).alias(f"__{k}") for k in SHEET], "row", days_in_text(F.col("text")).alias("days"))
-    inside = blocks.join(numbers, (F.col("document_id") == F.col("__document_id")) & (F.col("sheet") == F.col("__sheet")) & F.col("row").between(F.col("top"), F.col("bottom")), "left")
+    inside = blocks.hint("merge").join(numbers, (F.col("document_id") == F.col("__document_id")) & (F.col("sheet") == F.col("__sheet")) & F.col("row").between(F.col("top"), F.col("bottom")), "left")
     per = inside.groupBy(*SHEET, "top", "bottom", "weekday").agg(F.array_distinct(F.flatten(F.collect_list("days"))).alias("days"))
     named = F.filter(F.transform("days", lambda d: made_date(year, month, d)), lambda d: d.isNotNull())
     dates = F.when(F.size("days") > 0, named).otherwise(weekday_dates(year, month, F.col("weekday")))
-    return _records(c, _by_meal(per.withColumn("day", F.explode(dates)).drop("days").join(facts.select(*SHEET, "columns"), SHEET)))
+    return _records(c, _by_meal(per.withColumn("day", F.explode(dates)).drop("days").hint("merge").join(facts.select(*SHEET, "columns"), SHEET)))
 
 
 def meal_rows(cells: DataFrame, year: Column, month: Column, sheets: DataFrame | None = None) -> DataFrame:
@@ -262,9 +265,9 @@ def meal_rows(cells: DataFrame, year: Column, month: Column, sheets: DataFrame |
     meals = _by_meal(sheets.select(*SHEET, "label_column", "rows"), "rows").withColumnRenamed("at", "start")
     starts = meals.groupBy(*SHEET).agg(F.max("start").alias("start"), (F.max("label_column") + 1).alias("first_meal"))
     last = body_ends(c, starts, notes=True).select(*SHEET, F.col("body_end").alias("last_end"))
-    blocks = L.blocks(meals.join(last, SHEET), SHEET, "start", F.col("last_end")).select(*SHEET, "label_column", "meal", F.col("start").alias("top"), F.col("block_end").alias("bottom"))
+    blocks = L.blocks(meals.hint("merge").join(last, SHEET), SHEET, "start", F.col("last_end")).select(*SHEET, "label_column", "meal", F.col("start").alias("top"), F.col("block_end").alias("bottom"))
     week = c.withColumn("w", weekday_of(F.col("text"))).filter("w IS NOT NULL").groupBy(*SHEET, F.col("column").alias("at")).agg(F.max_by("w", "row").alias("weekday"))
-    slots = blocks.join(week, SHEET).filter("at > label_column").withColumn("day", F.explode(weekday_dates(year, month, F.col("weekday"))))
+    slots = blocks.hint("merge").join(week, SHEET).filter("at > label_column").withColumn("day", F.explode(weekday_dates(year, month, F.col("weekday"))))
     return _records(c, slots.drop("label_column"))
 
 
@@ -283,7 +286,7 @@ def diagnose(cells: DataFrame, keywords: tuple[str, ...], samples: int = 20) ->
     The closest family is that of meals in columns if all three meals are named anywhere, else none.
     """
     c = complete(cells)
-    lost = c.join(layout(c).select(*SHEET), SHEET, "left_anti")
+    lost = c.hint("merge").join(layout(c).select(*SHEET), SHEET, "left_anti")
     words = F.array_sort(F.array_compact(F.array(*[F.when(F.bool_or(F.col("text").contains(w)), F.lit(w)) for w in keywords])))
     date_like = F.when(F.size(days_in_text(F.col("text"))) > 0, F.struct("row", "column", "text"))
     named = [F.bool_or(F.coalesce(meal_of(F.col("text")) == m, F.lit(False))) for m in MEALS]
@@ -292,4 +295,4 @@ def diagnose(cells: DataFrame, keywords: tuple[str, ...], samples: int = 20) ->
         F.slice(F.array_sort(F.collect_list(date_like)), 1, samples).alias("found"), (named[0] & named[1] & named[2]).alias("all_meals"),
     )
     near = F.when(F.col("all_meals"), F.lit(FAMILIES[0])).otherwise(F.lit("none"))
-    return used_range(lost).join(per, SHEET).select(*SHEET, "min_row", "max_row", "min_column", "max_column", "n_merges", "keywords", F.col("found.text").alias("samples"), near.alias("closest"))
+    return used_range(lost).hint("merge").join(per, SHEET).select(*SHEET, "min_row", "max_row", "min_column", "max_column", "n_merges", "keywords", F.col("found.text").alias("samples"), near.alias("closest"))

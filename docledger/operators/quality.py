@@ -39,7 +39,7 @@ def multiset_overlap(a: DataFrame, b: DataFrame, key: list[str], item: str) -> D
     left = a.groupBy(*key, item).agg(F.count(F.lit(1)).alias("__a"))
     right = b.groupBy(*key, item).agg(F.count(F.lit(1)).alias("__b"))
     x, y = F.coalesce("__a", F.lit(0)), F.coalesce("__b", F.lit(0))
-    return left.join(right, [*key, item], "full_outer").groupBy(*key).agg(F.sum(x).alias("n_a"), F.sum(y).alias("n_b"), F.sum(F.least(x, y)).alias("n_both"))
+    return left.hint("merge").join(right, [*key, item], "full_outer").groupBy(*key).agg(F.sum(x).alias("n_a"), F.sum(y).alias("n_b"), F.sum(F.least(x, y)).alias("n_both"))
 
 
 def metrics(truth: Column, found: Column) -> list[Column]:

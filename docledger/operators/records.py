@@ -31,8 +31,8 @@ def menu_quality(records: DataFrame, cells: DataFrame) -> DataFrame:
     c = complete(cells).select(*[F.col(k).alias(f"__{k}") for k in SHEET], a1(F.col("row"), F.col("column")).alias("__at"), menu_tokens(F.trim("text")).alias("tokens"), "error", "formula", "resolved")
     each = records.select(*RECORD, F.posexplode("source").alias("pos", "coordinate"))
     on = (each["document_id"] == c["__document_id"]) & (each["sheet"] == c["__sheet"]) & (each["coordinate"] == c["__at"])
-    own = each.join(c, on).groupBy(*RECORD).agg(F.array_sort(F.collect_list(F.struct("pos", "coordinate", "tokens", "error", "formula", "resolved"))).alias("cells"))
-    joined = records.join(own, RECORD, "left").withColumn("cells", F.coalesce("cells", F.array().cast(own.schema["cells"].dataType)))
+    own = each.hint("merge").join(c, on).groupBy(*RECORD).agg(F.array_sort(F.collect_list(F.struct("pos", "coordinate", "tokens", "error", "formula", "resolved"))).alias("cells"))
+    joined = records.hint("merge").join(own, RECORD, "left").withColumn("cells", F.coalesce("cells", F.array().cast(own.schema["cells"].dataType)))
 
     def category(item: Column) -> Column:
         bad = F.exists("cells", lambda x: x["error"] & F.array_contains(x["tokens"], item))
@@ -75,10 +75,10 @@ def validate(records: DataFrame, cells: DataFrame, year: Column, month: Column)
     records: also clean, unresolved and attachment_id.
     """
     known = complete(cells).select(*SHEET, a1(F.col("row"), F.col("column")).alias("coordinate"))
-    lost = records.select(*RECORD, F.explode("source").alias("coordinate")).join(known, [*SHEET, "coordinate"], "left_anti").select(*RECORD).distinct().withColumn("__lost", F.lit(True))
+    lost = records.select(*RECORD, F.explode("source").alias("coordinate")).hint("merge").join(known, [*SHEET, "coordinate"], "left_anti").select(*RECORD).distinct().withColumn("__lost", F.lit(True))
     many = records.groupBy("document_id", "day", "meal").agg((F.count(F.lit(1)) > 1).alias("__many"))
     day = F.col("day")
-    joined = records.join(lost, RECORD, "left").join(many, ["document_id", "day", "meal"], "left")
+    joined = records.hint("merge").join(lost, RECORD, "left").hint("merge").join(many, ["document_id", "day", "meal"], "left")
     issues = codes(
         {
             "INVALID_DATE": day.isNull(),
@@ -102,7 +102,7 @@ def document_issues(records: DataFrame, year: int, month: int) -> DataFrame:
     days = F.sequence(F.make_date(F.lit(year), F.lit(month), F.lit(1)), F.last_day(F.make_date(F.lit(year), F.lit(month), F.lit(1))))
     expected = records.select("document_id").distinct().withColumn("day", F.explode(days))
     seen = good.groupBy("document_id", "day").agg(F.collect_set("meal").alias("meals"))
-    missing = expected.join(seen, ["document_id", "day"], "left_anti").select("document_id", F.lit("MISSING_MEAL_DATE").alias("code"), F.col("day").cast("string").alias("message"))
+    missing = expected.hint("merge").join(seen, ["document_id", "day"], "left_anti").select("document_id", F.lit("MISSING_MEAL_DATE").alias("code"), F.col("day").cast("string").alias("message"))
     lacks = F.array_sort(F.array_except(F.array(*map(F.lit, MEALS)), F.col("meals")))
     part = seen.withColumn("lacks", lacks).filter("size(lacks) > 0")
     message = F.concat(F.col("day").cast("string"), F.lit(": missing "), F.array_join("lacks", ","))
@@ -130,7 +130,7 @@ def scope_warnings(cells: DataFrame, records: DataFrame, rows: int = 6, least: i
     top = complete(cells).filter((F.col("row") <= rows) & (F.col("text") != "") & ~F.col("child"))
     titles = top.groupBy(*SHEET).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "column", "text"))), lambda x: x["text"]), " ").alias("title"))
     morning = records.filter("meal = 'breakfast'").groupBy(*SHEET).agg(F.count(F.lit(1)).alias("n"), F.bool_and((F.size("clean") == 1) & F.get("clean", 0).isin(*DAIRY)).alias("dairy"))
-    joined = titles.join(morning, SHEET, "left")
+    joined = titles.hint("merge").join(morning, SHEET, "left")
     staff, adds = F.lit(False), F.col("title").rlike(ADDS_TO_MENU)
     for w in STAFF_WORDS:
         staff = staff | F.col("sheet").contains(w) | F.col("title").contains(w)

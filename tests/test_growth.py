@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docledger.operators import geo, periods
+from docledger.operators import geo, grid, periods, records
 from docledger.plans import QUERIES
 
 
@@ -35,3 +35,13 @@ def test_period_resolution_of_later_keys(spark, tmp_path):
     assert got[20162] == (2023, 4, metadata) and got[20258] == (2024, 5, metadata) and got[20282] == (2025, 11, "filename month;publication year")
     assert got[201601] == (2024, 5, metadata + ";publication fallback not confirmed")
     assert got[19164][:2] == (2024, 5)
+
+
+def test_cells_are_not_broadcast_by_the_size_of_their_file(spark):
+    """All joins of cells, records and sheets shuffle: tables written here are tiny as files, and stay so at any size."""
+    cells = spark.range(8).selectExpr("cast(id AS string) AS document_id", "'s' AS sheet", "1 AS row", "1 AS `column`", "'조식' AS text")
+    found = grid.extract(grid.with_merges(cells, cells.selectExpr("document_id", "sheet", "row AS top", "row AS bottom", "`column` AS left", "`column` AS right")), F.lit(2024), F.lit(5))
+    judged = records.validate(records.menu_quality(found, cells).withColumn("attachment_id", F.lit("a")), cells, F.lit(2024), F.lit(5))
+    physical = judged._jdf.queryExecution().sparkPlan().toString()
+    sent = [line for line in physical.splitlines() if "BroadcastHashJoin" in line]
+    assert "SortMergeJoin" in physical and all("__part" in line for line in sent)  # carries of blocks: two rows a range
