@@ -87,8 +87,9 @@ def fingerprints(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
     Row digests are summed as numbers in map-side partial aggregates; no partition's rows are collected.
     """
     row = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
-    part = lambda k: F.conv(F.substring(row, 1 + 14 * k, 14), 16, 10).cast("decimal(38,0)")
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(part(k)).alias(f"digest_{k}") for k in range(4)])
+    part = lambda k: F.conv(F.substring("__row", 1 + 14 * k, 14), 16, 10).cast("decimal(38,0)")
+    rows = df.select(*keys, row.alias("__row"))  # made once, read by four sums
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(part(k)).alias(f"digest_{k}") for k in range(4)])
 
 
 def digest_tree(df: DataFrame, keys: list[str], row_id: str, digest: str, fanout: int = 1000) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.display import MEALS
 from ..functions.rules import secrets_in, token_category
+from ..functions.text import bound
 from .contract import any_leaf
 from .layout import asof_anchor
 from .publish import check, fingerprints, one_sided
@@ -99,10 +100,12 @@ def release_audit(tables: dict[str, DataFrame], items: dict[str, str]) -> DataFr
         local = F.lit(False)
         for field in df.schema.fields:
             local = local | any_leaf(F.col(field.name), field.dataType, lambda x: x.rlike(LOCAL_VALUE))
-        found = [secrets_in(text), F.when(text.rlike(PRIVATE_FIELDS), F.array(F.lit("private_public_field"))), F.when(local, F.array(F.lit("local_path")))]
+        none = F.array().cast("array<string>")
+        words = lambda t: F.concat(secrets_in(t), F.when(t.rlike(PRIVATE_FIELDS), F.array(F.lit("private_public_field"))).otherwise(none))
+        found = [bound(text, words), F.when(local, F.array(F.lit("local_path")))]  # the JSON text is made once a row
         if name in items:
             found.append(F.transform(F.filter(items[name], lambda x: token_category(x).isNotNull()), lambda x: F.concat(F.lit("artifact_"), token_category(x))))
-        rows = df.select(F.explode(F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in found])).alias("finding"))
+        rows = df.select(F.explode(F.concat(*[F.coalesce(x, none) for x in found])).alias("finding"))
         part = rows.groupBy("finding").agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docledger.operators import geo, grid, periods, records
+from docledger.operators import geo, grid, periods, records, release
 from docledger.plans import QUERIES
 
 
@@ -45,3 +45,12 @@ def test_cells_are_not_broadcast_by_the_size_of_their_file(spark):
     physical = judged._jdf.queryExecution().sparkPlan().toString()
     sent = [line for line in physical.splitlines() if "BroadcastHashJoin" in line]
     assert "SortMergeJoin" in physical and all("__part" in line for line in sent)  # carries of blocks: two rows a range
+
+
+def test_rows_of_an_audit_are_made_text_once(spark):
+    df = spark.createDataFrame([(1, "AIza" + "x" * 35)], "k int, note string")
+    out = release.release_audit({"t": df}, {})
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    analyzed = out._jdf.queryExecution().analyzed().toString()
+    assert analyzed.count("to_json(") == 1  # seven times before
+    assert [tuple(r) for r in out.select("finding", "n").collect()] == [("google_api_key", 1)]
