@@ -478,7 +478,8 @@ class Sorter:
     def merge(self, level: int, ranks: DataFrame | None) -> DataFrame:
         """Merges the remaining suffixes of a level with the sample, whose ranks are those of the level above (None: its names).
 
-        shard, ranks: by the needed places of this level. Level 0 gives doc, tag, at instead: strings that also start earlier.
+        shard, ranks: by the needed places of this level. Level 0 gives shard, place instead, a row a range and shard at most: the
+        places (32 bits) of strings that also start earlier.
         """
         length, bounds = self.length, self.bounds
         rows, above = self.with_names(level), self.names.get(self.top) if ranks is None else ranks
@@ -503,11 +504,11 @@ class Sorter:
                 first, second = chars[at], shifted(chars, step)[at]
                 if level:
                     table = np.stack([first, second, *ranks])
-                else:  # both characters and the digit in one number, start and tag in one number
+                else:  # both characters and the digit in one number, start and place in one number
                     ends = np.cumsum(s.sizes)
                     of = np.searchsorted(ends, at, "right")
                     start = (_longs(x["starts"]) - ends + s.sizes)[of] + at
-                    table = np.stack([first << 32 | second << 2 | digit, *ranks, grams(prefix_sums(s.data), length)[at].view(np.int64), _longs(x["docs"])[of], start << 32 | _longs(x["tags"])[of] & 0xFFFFFFFF])
+                    table = np.stack([first << 32 | second << 2 | digit, *ranks, grams(prefix_sums(s.data), length)[at].view(np.int64), _longs(x["docs"])[of], start << 32 | at])
                 fields = (
                     lambda p: p.astype(np.int32).tobytes() if level else None,
                     lambda p: digit[p].astype(np.int8).tobytes() if level else None,
@@ -526,14 +527,18 @@ class Sorter:
             blocks = [numbers(x).reshape(longs, -1) for x in t.column("block").to_pylist()]
             own = np.concatenate(blocks, axis=1)
             if not level:
-                return judge(*own[3:], merged(own[0] >> 32, (own[0] & 0xFFFFFFFF) >> 2, own[1], own[2], own[0] & 3))
+                late = judge(own[3], own[4], own[5] >> 32, merged(own[0] >> 32, (own[0] & 0xFFFFFFFF) >> 2, own[1], own[2], own[0] & 3))
+                edges = np.cumsum([x.shape[1] for x in blocks])[:-1]
+                parts = [p[k].astype(np.int32).tobytes() for p, k in zip(np.split(own[5], edges), np.split(late, edges), strict=True)]  # the low 32 bits
+                some = pa.array([len(x) > 0 for x in parts])
+                return pa.table([t.column("shard"), pa.array(parts, pa.binary())], ["shard", "place"]).filter(some)
             before = merged(*own, np.frombuffer(b"".join(t.column("digit").to_pylist()), np.int8))
             back = np.split(before + 1 + (key[0].as_py() << PLACE), np.cumsum([x.shape[1] for x in blocks])[:-1])
             return pa.table([t.column("shard"), t.column("place"), pa.array([planes(x) for x in back], pa.binary())], ["shard", "place", "block"])
 
         dealt = rows.select("shard", "text", "sizes", "names", "docs", "tags", "starts", "above").mapInArrow(deal, "range bigint, shard bigint, place binary, digit binary, block binary")
         if not level:
-            return dealt.groupBy("range").applyInArrow(ranked, "doc bigint, tag int, at binary")
+            return dealt.groupBy("range").applyInArrow(ranked, "shard bigint, place binary")
         found = dealt.groupBy("range").applyInArrow(ranked, "shard bigint, place binary, block binary")
 
         @F.pandas_udf("binary")
@@ -549,6 +554,28 @@ class Sorter:
         lists = found.groupBy("shard").agg(F.collect_list(F.struct("place", "block")).alias("found"))
         return cut(lists.select("shard", placed("found").alias("ranks")), f"suffix-ranks{level}")
 
+    def sources(self, late: DataFrame) -> DataFrame:
+        """doc, tag, at (32-bit starts), a row a text of a shard, from places of shards.
+
+        Places go back to their shards and become texts' starts there: dealt to texts by the ranges, a text would have a row in each
+        range that holds one of its strings.
+        """
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, 1):
+                x = b.to_pylist()[0]
+                place = np.sort(np.concatenate([np.frombuffer(y, np.int32) for y in x["late"]]))
+                docs, tags, starts, sizes = (_longs(x[k]) for k in ("docs", "tags", "starts", "sizes"))
+                ends = np.cumsum(sizes)
+                of = np.searchsorted(ends, place, "right")
+                doc, tag, at = docs[of], tags[of], (starts - ends + sizes)[of] + place
+                edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])]))
+                blocks = [y.astype(np.int32).tobytes() for y in np.split(at, edge[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(doc[edge]), pa.array(tag[edge].astype(np.int32)), pa.array(blocks, pa.binary())], ["doc", "tag", "at"])
+
+        by_shard = late.groupBy("shard").agg(F.collect_list("place").alias("late"))
+        return self.shards.select("shard", "docs", "tags", "starts", "sizes").join(by_shard, "shard").mapInArrow(run, "doc bigint, tag int, at binary")
+
     def repeated(self) -> DataFrame:
         """doc, tag, at (32-bit starts): strings that also start earlier."""
         for level in range(1, self.top):
@@ -557,26 +584,23 @@ class Sorter:
         for level in range(self.top - 1, 0, -1):
             before, ranks = ranks, self.merge(level, ranks)
             release(*[x for x in (before, self.names.pop(level, None), self.names.pop(self.top, None)) if x is not None])
-        found = cut(self.merge(0, ranks), "suffix-repeated")
+        found = cut(self.sources(self.merge(0, ranks)), "suffix-repeated")
         release(self.shards, *self.names.values(), *([ranks] if ranks is not None else []))
         return found
 
 
-def judge(check: np.ndarray, doc: np.ndarray, coordinates: np.ndarray, before: np.ndarray) -> pa.Table:
-    """Compares adjacent prefixes in the order of the suffixes; doc, tag and starts of those with an earlier source."""
+def judge(check: np.ndarray, doc: np.ndarray, start: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Compares adjacent prefixes in the order of the suffixes: which strings have an earlier source."""
     order = np.argsort(before, kind="stable")
-    check, doc, at, tag = check[order], doc[order], coordinates[order] >> 32, coordinates[order].astype(np.int32)
+    check = check[order]
     run = np.concatenate([[0], np.cumsum(check[1:] != check[:-1])])
-    order = np.lexsort([at, doc, run])
-    run, doc, at, tag = run[order], doc[order], at[order], tag[order]
-    new = np.concatenate([[True], run[1:] != run[:-1]])
-    first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    late = np.flatnonzero((doc != doc[first]) | (at != at[first]))
-    late = late[np.lexsort([tag[late], doc[late]])]
-    doc, tag, at = doc[late], tag[late], at[late]
-    edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])) if len(doc) else late
-    blocks = [x.astype(np.int32).tobytes() for x in np.split(at, edge[1:])] if len(edge) else []
-    return pa.table([pa.array(doc[edge]), pa.array(tag[edge]), pa.array(blocks, pa.binary())], ["doc", "tag", "at"])
+    by_source = np.lexsort([start[order], doc[order], run])
+    order, run = order[by_source], run[by_source]
+    doc, start = doc[order], start[order]
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))[run]
+    out = np.zeros(len(order), bool)
+    out[order] = (doc != doc[first]) | (start != start[first])
+    return out
 
 
 def uncovered(size: int, later: np.ndarray | None, single: list[bytes] | None, length: int) -> np.ndarray:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from docledger.llm import suffix_array
-from docledger.llm.suffix_array import FAR, inner, merged, minimizers, suffix_dedup
+from docledger.llm.suffix_array import FAR, Repeats, Sorter, inner, merged, minimizers, sieved, suffix_dedup
 
 from .conftest import table
 
@@ -55,6 +55,15 @@ def test_agrees_with_brute_force(spark, monkeypatch, length, gram, shard):
     assert sorted(map(tuple, found), key=str) == brute(rows, length)
 
 
+def test_a_text_has_one_row_however_many_ranges_hold_its_strings(spark, monkeypatch):
+    monkeypatch.setattr(suffix_array, "SHARD", 300)
+    op = Repeats(table(spark, corpus(3)[:40]), 30, "doc_id", "text", 8)
+    sorter = Sorter(sieved(op.shards(op.marks()), 30, 8), 30)
+    assert len(sorter.bounds) > 3
+    found = sorter.repeated()
+    assert 0 < found.count() == found.select("doc", "tag").distinct().count()  # a row for each range and text before
+
+
 def test_odd_rows(spark, odd, none):
     found = suffix_dedup(odd)
     assert found.count() == odd.count()
