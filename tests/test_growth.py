@@ -1,9 +1,10 @@
 """What must not grow with the tables faster than they do: expressions, broadcasts, results on keys of later copies."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from docledger.operators import geo, grid, periods, records, release
-from docledger.plans import QUERIES
+from docledger.plans import QUERIES, sheets
 
 
 def plan(df):
@@ -54,3 +55,31 @@ def test_rows_of_an_audit_are_made_text_once(spark):
     analyzed = out._jdf.queryExecution().analyzed().toString()
     assert analyzed.count("to_json(") == 1  # seven times before
     assert [tuple(r) for r in out.select("finding", "n").collect()] == [("google_api_key", 1)]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def sent(df):
+    """Broadcast joins of a plan but those with carries of blocks: two rows a range."""
+    text = df._jdf.queryExecution().sparkPlan().toString()
+    return [line for line in text.splitlines() if "Broadcast" in line and "__part" not in line]
+
+
+@pytest.fixture(scope="module")
+def written(spark):
+    return sheets._records(spark, SF)
+
+
+@pytest.mark.parametrize("name", ["menu_artifacts"])
+def test_queries_over_records_send_no_cells(spark, monkeypatch, written, name):
+    """The written tables of ten sheets are as tiny as files as those of many: Spark would broadcast them."""
+    monkeypatch.setattr(sheets, "_records", lambda *a: written)
+    monkeypatch.setattr(sheets, "cut", lambda df, name: df)  # what a query writes on the way is looked at too
+    assert sent(QUERIES[name](spark, SF)) == []
+
+
+@pytest.mark.parametrize("name", [])
+def test_queries_over_cells_send_no_cells(spark, monkeypatch, name):
+    monkeypatch.setattr(sheets, "cut", lambda df, name: df)
+    assert sent(QUERIES[name](spark, SF)) == []
