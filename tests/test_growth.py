@@ -71,7 +71,7 @@ def written(spark):
     return sheets._records(spark, SF)
 
 
-@pytest.mark.parametrize("name", ["menu_artifacts", "sheet_quality", "route_layouts", "route_tables", "version_compare", "suspicious_meals", "source_completeness"])
+@pytest.mark.parametrize("name", ["menu_artifacts", "sheet_quality", "route_layouts", "route_tables", "version_compare", "suspicious_meals", "source_completeness", "scope_warnings"])
 def test_queries_over_records_send_no_cells(spark, monkeypatch, written, name):
     """The written tables of ten sheets are as tiny as files as those of many: Spark would broadcast them."""
     monkeypatch.setattr(sheets, "_records", lambda *a: written)
