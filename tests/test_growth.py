@@ -79,7 +79,7 @@ def test_queries_over_records_send_no_cells(spark, monkeypatch, written, name):
     assert sent(QUERIES[name](spark, SF)) == []
 
 
-@pytest.mark.parametrize("name", ["document_templates", "header_row"])
+@pytest.mark.parametrize("name", ["document_templates", "header_row", "merged_parents"])
 def test_queries_over_cells_send_no_cells(spark, monkeypatch, name):
     monkeypatch.setattr(sheets, "cut", lambda df, name: df)
     assert sent(QUERIES[name](spark, SF)) == []
